@@ -69,11 +69,15 @@ params AS (SELECT '{RULES_RE}' AS rules_re, TIMESTAMP '{LAST_SYNC_TIME}' AS last
 
 def with_fixtures(body: str) -> str:
     """``body`` is either ``SELECT ...`` or ``name AS (...), ... SELECT ...``
-    (more CTEs followed by the final select)."""
+    (more CTEs followed by the final select). A body that defines a recursive
+    CTE starts with the word ``RECURSIVE``."""
     body = body.strip()
+    head = "WITH "
+    if body.upper().startswith("RECURSIVE"):
+        head, body = "WITH RECURSIVE ", body[len("RECURSIVE"):].strip()
     if body.upper().startswith("SELECT"):
-        return "WITH " + FIXTURE_CTES.strip() + "\n" + body
-    return "WITH " + FIXTURE_CTES.strip() + ",\n" + body
+        return head + FIXTURE_CTES.strip() + "\n" + body
+    return head + FIXTURE_CTES.strip() + ",\n" + body
 
 
 # Reusable SQL fragments ---------------------------------------------------
@@ -90,5 +94,20 @@ def excluded_sql(col: str) -> str:
 
 def ancestors_sql(col: str) -> str:
     """Ancestors-or-self list of a path, top first, '/' included (H1)."""
-    return (f"list_concat(['/'], list_transform(range(1, len(list_filter(string_split({col}, '/'), x -> x <> '')) + 1), "
-            f"i -> '/' || array_to_string(list_filter(string_split({col}, '/'), x -> x <> '')[1:i], '/')))")
+    return (f"list_concat(['/'], list_transform(range(1, len(list_filter(string_split({col}, '/'), lambda x: x <> '')) + 1), "
+            f"lambda i: '/' || array_to_string(list_filter(string_split({col}, '/'), lambda x: x <> '')[1:i], '/')))")
+
+
+def excluded_up_sql(name: str, src: str, path_col: str = "path", include_stop: bool = False,
+                    stops: str | None = "sync_roots") -> str:
+    """CTEs ``{name}_hit(path)``: paths of ``src`` excluded under F8
+    (``include_stop`` False) or F9 (True), by unnesting ancestors relationally."""
+    stop_cte = (f"{name}_stop AS (SELECT p, max(i) AS si FROM {name}_ua WHERE a IN (SELECT path FROM {stops}) GROUP BY p)"
+                if stops else f"{name}_stop AS (SELECT NULL::VARCHAR AS p, 0 AS si WHERE FALSE)")
+    cmp = ">=" if include_stop else ">"
+    return f"""
+{name}_src AS (SELECT DISTINCT {path_col} AS p FROM {src}),
+{name}_ua AS (SELECT p, unnest({ancestors_sql('p')}) AS a, generate_subscripts({ancestors_sql('p')}, 1) AS i FROM {name}_src),
+{stop_cte},
+{name}_hit AS (SELECT DISTINCT u.p AS path FROM {name}_ua u LEFT JOIN {name}_stop s ON s.p = u.p
+  WHERE u.i {cmp} coalesce(s.si, {'1' if include_stop else '0'}) AND {excluded_sql('u.a')})"""
