@@ -55,7 +55,7 @@ def path_parts(col) -> Column:
 
 def path_depth(col) -> Column:
     """Number of components: ``/`` is 0, ``/a`` is 1."""
-    return F.size(path_parts(col))
+    return F.size(path_parts(col)).cast("bigint")
 
 
 def ancestors(col) -> Column:

@@ -52,7 +52,8 @@ def path_ancestors(df: DataFrame, path_col: str = "path", proper: bool = False)
 
     ``proper`` drops the path itself.
     """
-    exploded = df.select("*", F.posexplode(ancestors(F.col(path_col))).alias("depth", "ancestor"))
+    exploded = df.select("*", F.posexplode(ancestors(F.col(path_col))).alias("depth", "ancestor")) \
+        .withColumn("depth", F.col("depth").cast("bigint"))
     if proper:
         exploded = exploded.filter(F.col("ancestor") != F.col(path_col))
     return exploded
@@ -80,7 +81,7 @@ def tree_listing(local: DataFrame, root: str, files: bool = True) -> DataFrame:
     rel = path_depth(F.col("path")) - F.lit(len([p for p in root.split("/") if p]))
     return df.select(
         F.lit(root).alias("root"), "path", rel.alias("rel_depth"), basename(F.col("path")).alias("name"), "is_dir",
-        F.concat(F.repeat(F.lit("  "), rel), basename(F.col("path"))).alias("line"),
+        F.concat(F.repeat(F.lit("  "), rel.cast("int")), basename(F.col("path"))).alias("line"),
         path_parts(F.col("path")).alias("sort_key"))
 
 
@@ -264,25 +265,28 @@ def nearest_tracked_ancestor(changes: DataFrame, remote: DataFrame, archive: Dat
     """For each changed id, the first ancestor starting at its parent (taken
     from the change row) that is a root or archived. NULL when an ignored id is
     met first, when the id itself is a root or ignored, or when there is no
-    parent. Returns ``file_id, parent_id, tracked_id`` per distinct
-    (file_id, parent_id)."""
+    parent. Returns ``file_id, parent_id, tracked_id, mid_path`` per distinct
+    (file_id, parent_id); ``mid_path`` joins the names strictly below the
+    tracked ancestor down to the parent (``''`` when the parent is tracked)."""
     root_ids, ignored_ids = list(root_ids), list(ignored_ids)
-    t = tag_archived(remote.select("file_id", "parent_id"), archive)
+    t = tag_archived(remote.select("file_id", "parent_id", "name"), archive)
     is_root = F.col("file_id").isin(root_ids) if root_ids else F.lit(False)
     is_ign = F.col("file_id").isin(ignored_ids) if ignored_ids else F.lit(False)
     t = t.withColumn("tag", F.when(is_ign, "ignored").when(is_root | F.col("archived"), "tracked"))
     pairs = changes.select("file_id", "parent_id").distinct()
-    ch = climb(t, pairs.filter(F.col("parent_id").isNotNull()), start_col="parent_id", carry=("tag",),
+    ch = climb(t, pairs.filter(F.col("parent_id").isNotNull()), start_col="parent_id", carry=("tag", "name"),
                halt_after=F.col("tag").isNotNull(), max_depth=max_depth)
     first_tag = F.filter(F.col("chain"), lambda e: e["tag"].isNotNull())
     hit = F.try_element_at(first_tag, F.lit(1))
+    below = F.slice(F.col("chain"), 1, F.greatest(F.size(F.col("chain")) - 1, F.lit(0)))
     ch = ch.select(F.col("start_id").alias("__p"),
-                   F.when(hit["tag"] == "tracked", hit["id"]).alias("__tracked"))
+                   F.when(hit["tag"] == "tracked", hit["id"]).alias("__tracked"),
+                   F.array_join(F.reverse(below["name"]), "/").alias("__mid"))
     out = pairs.join(ch, F.col("parent_id") == F.col("__p"), "left")
     self_block = (F.col("file_id").isin(root_ids + ignored_ids)) if (root_ids or ignored_ids) else F.lit(False)
-    return out.select("file_id", "parent_id",
-                      F.when(self_block | F.col("parent_id").isNull(), F.lit(None).cast("string"))
-                      .otherwise(F.col("__tracked")).alias("tracked_id"))
+    tracked = F.when(self_block | F.col("parent_id").isNull(), F.lit(None).cast("string")).otherwise(F.col("__tracked"))
+    return out.select("file_id", "parent_id", tracked.alias("tracked_id"),
+                      F.when(tracked.isNotNull(), F.col("__mid")).alias("mid_path"))
 
 
 def parent_archive(remote: DataFrame, archive: DataFrame, ids: DataFrame, id_col: str = "file_id",
@@ -297,7 +301,8 @@ def parent_archive(remote: DataFrame, archive: DataFrame, ids: DataFrame, id_col
 
 
 def walk(remote: DataFrame, folder_id: str, where: Column | None = None, where_files_only: bool = False,
-         max_depth: int = DEFAULT_MAX_DEPTH, folder_mime: str = "application/vnd.folder") -> DataFrame:
+         max_depth: int = DEFAULT_MAX_DEPTH, folder_mime: str = "application/vnd.folder",
+         root_name: str | None = None) -> DataFrame:
     """H4: the non-trashed subtree of ``folder_id``, root included, one row per
     node with ``path`` starting at the root's name, ``depth`` and ``type``.
 
@@ -309,33 +314,38 @@ def walk(remote: DataFrame, folder_id: str, where: Column | None = None, where_f
     if where is not None:
         cond = where if not where_files_only else ((F.col("mime_type") == folder_mime) | where)
         kids = kids.filter(cond)
-    seeds = remote.filter(F.col("file_id") == folder_id).select(*NODE_COLS, F.col("name").alias("path"))
+    root_path = F.lit(root_name) if root_name is not None else F.col("name")
+    seeds = remote.filter(F.col("file_id") == folder_id).select(*NODE_COLS, root_path.alias("path"))
     out = descend(kids, seeds, expand=None, max_depth=max_depth, folder_mime=folder_mime)
     return out.withColumn("type", F.when(F.col("mime_type") == folder_mime, "#folder").otherwise("#file")) \
         .withColumn("is_root", F.col("depth") == 0).drop("seed_id")
 
 
-def walk_pruned(nodes: DataFrame, folder_id: str, flag_col: str, max_depth: int = DEFAULT_MAX_DEPTH,
+def walk_pruned(nodes: DataFrame, folder_id, flag_col: str, max_depth: int = DEFAULT_MAX_DEPTH,
                 folder_mime: str = "application/vnd.folder") -> DataFrame:
     """H5: walk where a folder whose ``flag_col`` is true is reported but not
-    entered. ``nodes`` is the listing with the flag already computed."""
+    entered. ``nodes`` is the listing with the flag already computed.
+    ``folder_id`` may be a list: one walk per id, told apart by ``seed_id``."""
     kids = nodes.filter(~F.col("trashed"))
     extra = [c for c in nodes.columns if c not in NODE_COLS]
-    seeds = nodes.filter(F.col("file_id") == folder_id)
+    ids = [folder_id] if isinstance(folder_id, str) else list(folder_id)
+    seeds = nodes.filter(F.col("file_id").isin(ids))
     return _walk_flagged(kids, seeds, flag_col, extra, max_depth, folder_mime)
 
 
 def _walk_flagged(kids: DataFrame, seeds: DataFrame, flag_col: str, extra, max_depth: int,
                   folder_mime: str) -> DataFrame:
-    cols = NODE_COLS + list(extra)
-    level = _cut(seeds.select(*cols, F.col("name").alias("path"), F.lit(0).alias("depth")))
+    cols = NODE_COLS + [c for c in extra if c != "seed_id"]
+    level = _cut(seeds.select(*cols, F.col("name").alias("path"), F.lit(0).alias("depth"),
+                              F.col("file_id").alias("seed_id")))
     levels = [level]
     src = kids.select(*cols)
     for depth in range(1, max_depth + 2):
         front = level.filter((F.col("mime_type") == folder_mime) & ~F.coalesce(F.col(flag_col), F.lit(False))) \
-            .select(F.col("file_id").alias("__pid"), F.col("path").alias("__ppath"))
+            .select(F.col("file_id").alias("__pid"), F.col("path").alias("__ppath"), "seed_id")
         nxt = src.join(front, F.col("parent_id") == F.col("__pid")).select(
-            *cols, F.concat(F.col("__ppath"), F.lit("/"), F.col("name")).alias("path"), F.lit(depth).alias("depth"))
+            *cols, F.concat(F.col("__ppath"), F.lit("/"), F.col("name")).alias("path"), F.lit(depth).alias("depth"),
+            "seed_id")
         nxt = _cut(nxt)
         if nxt.isEmpty():
             break

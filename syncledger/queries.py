@@ -382,7 +382,8 @@ def q_h7(spark, sf_dir):
 @register("h8_subtree_rollup", oracle=f"""
 x AS (SELECT path, size, {ancestors_sql('path')} AS anc FROM local_files WHERE NOT is_dir),
 u AS (SELECT path, size, unnest(anc) AS folder FROM x)
-SELECT folder, count(*) AS n_files, sum(coalesce(size, 0)) AS bytes FROM u WHERE folder <> path GROUP BY folder""")
+SELECT folder, count(*) AS n_files, CAST(sum(coalesce(size, 0)) AS BIGINT) AS bytes FROM u WHERE folder <> path
+GROUP BY folder""")
 def q_h8(spark, sf_dir):
     return H.subtree_rollup(inv(spark, sf_dir).L)
 
@@ -556,7 +557,8 @@ RECURSIVE {_j8_sql("SELECT DISTINCT file_id, parent_id FROM changes")}
 SELECT file_id, parent_id, tracked_id FROM j8""")
 def q_j8(spark, sf_dir):
     i = inv(spark, sf_dir)
-    return H.nearest_tracked_ancestor(i.C, i.R, i.A, root_ids_of(i), IGNORED_IDS)
+    return H.nearest_tracked_ancestor(i.C, i.R, i.A, root_ids_of(i), IGNORED_IDS).select(
+        "file_id", "parent_id", "tracked_id")
 
 
 @register("j10_parent_archive", oracle="""
@@ -609,3 +611,6 @@ def q_a3(spark, sf_dir):
 
 
 _ = collides  # used by the plan queries below
+
+
+from . import queries_plans  # noqa: E402,F401  (registers the plan queries)

@@ -49,13 +49,37 @@ def rows_of(columns, rows):
     return sorted(out, key=repr)
 
 
-def compare(spark_df, con, sql: str):
+_SPARK_TO_ARROW = {"int": "int32", "bigint": "int64", "string": "string", "boolean": "bool",
+                   "timestamp_ntz": "timestamp[us]", "double": "double", "float": "float", "smallint": "int16",
+                   "tinyint": "int8", "date": "date32[day]"}
+
+
+def type_mismatches(spark_df, arrow_schema) -> list[str]:
+    """Columns whose Spark type and DuckDB (Arrow) type differ."""
+    out = []
+    arrow = {f.name: str(f.type) for f in arrow_schema}
+    for f in spark_df.schema.fields:
+        st = f.dataType.simpleString()
+        want = _SPARK_TO_ARROW.get(st)
+        got = arrow.get(f.name)
+        if want is not None and got is not None and want != got and not (want == "string" and got == "large_string"):
+            out.append(f"{f.name}: spark={st} duck={got}")
+    return out
+
+
+def compare(spark_df, con, sql: str, check_types: bool = True):
     """Returns (ok, message)."""
     s_cols = spark_df.columns
     s_rows = [tuple(r) for r in spark_df.collect()]
     res = con.execute(sql)
-    d_cols = [d[0] for d in res.description]
-    d_rows = res.fetchall()
+    tbl = res.to_arrow_table() if hasattr(res, "to_arrow_table") else res.fetch_arrow_table()
+    tbl = tbl.read_all() if hasattr(tbl, "read_all") else tbl
+    d_cols = list(tbl.column_names)
+    d_rows = list(zip(*[c.to_pylist() for c in tbl.columns])) if d_cols else []
+    if check_types:
+        tm = type_mismatches(spark_df, tbl.schema)
+        if tm:
+            return False, f"type mismatch: {tm}"
     if sorted(s_cols) != sorted(d_cols):
         return False, f"columns differ: spark={sorted(s_cols)} duck={sorted(d_cols)}"
     if len(s_rows) != len(d_rows):
