@@ -153,6 +153,7 @@ class Inventories:
     changes: DataFrame
     exclusions: DataFrame
     roots: DataFrame
+    paths: dict
 
     @property
     def R(self):  # noqa: N802 - short names follow the survey
@@ -205,6 +206,7 @@ def load(spark: SparkSession, sf_dir: str) -> Inventories:
     local = _materialise(spark, views["local_files"], f"{base}/local_files")
     archive = _materialise(spark, views["archive"], f"{base}/archive")
     changes = _materialise(spark, build_changes(t["events"], remote), f"{base}/changes")
-    inv = Inventories(remote, local, archive, changes, exclusions_df(spark), roots_df(spark))
+    paths = {n: f"{base}/{n}" for n in ("remote_files", "local_files", "archive", "changes")}
+    inv = Inventories(remote, local, archive, changes, exclusions_df(spark), roots_df(spark), paths)
     _CACHE[key] = inv
     return inv

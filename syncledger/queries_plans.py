@@ -656,3 +656,70 @@ def q_t10(spark, sf_dir):
 
 
 _ = (DEFAULT_DOWNLOAD,)
+
+
+# --------------------------------------------------------------------------- streaming twins
+
+def _stream_dirs(spark, name):
+    import uuid
+
+    from .session import scratch_path
+    base = scratch_path(spark, "streams", f"{name}-{uuid.uuid4().hex[:12]}")
+    return f"{base}/out", f"{base}/checkpoint"
+
+
+def _run_stream(spark, sf_dir, name, job):
+    from .streaming import jobs as V
+    i = inv(spark, sf_dir)
+    out, ckpt = _stream_dirs(spark, name)
+    stream = V.stream_changes(spark, i.paths["changes"], max_files_per_trigger=2)
+    q = job(i, stream, out, ckpt)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return V.read_output(spark, out)
+
+
+@register("v1_stream_changes", oracle="SELECT seq, file_id, removed FROM changes")
+def q_v1(spark, sf_dir):
+    from .streaming import jobs as V
+
+    def job(i, stream, out, ckpt):
+        return V._run(stream, lambda b, _id: b.select("seq", "file_id", "removed"), out, ckpt)
+    return _run_stream(spark, sf_dir, "v1", job).select("seq", "file_id", "removed")
+
+
+P3_STREAM_COLS = "seq, file_id, type, decision, why, root_parent_id, dest_path, md5sum, exists_locally, conflict"
+
+
+@register("v2_stream_download_plan", oracle=f"""
+RECURSIVE {p3_sql()}
+SELECT {P3_STREAM_COLS} FROM p3_plan""")
+def q_v2(spark, sf_dir):
+    from .streaming import jobs as V
+    ex = excl(spark, sf_dir)
+
+    def job(i, stream, out, ckpt):
+        return V.stream_download_plan(stream, i.R, lambda: inv(spark, sf_dir).A, i.L, ex, i.roots, LAST_SYNC, out,
+                                      ckpt, ignored_ids=IGNORED_IDS)
+    return _run_stream(spark, sf_dir, "v2", job).select(*[c.strip() for c in P3_STREAM_COLS.split(",")])
+
+
+@register("v3_stream_removed", oracle="""
+SELECT c.seq, a.drive_id, a.path FROM changes c JOIN archive a ON a.drive_id = c.file_id
+WHERE c.removed OR coalesce(c.trashed, FALSE)""")
+def q_v3(spark, sf_dir):
+    from .streaming import jobs as V
+
+    def job(i, stream, out, ckpt):
+        return V.stream_removed(stream, i.A, out, ckpt)
+    return _run_stream(spark, sf_dir, "v3", job).select("seq", "drive_id", "path")
+
+
+@register("v6_init_offset", oracle="SELECT CAST(-1 AS BIGINT) AS batch_id, max(seq) AS max_seq FROM changes")
+def q_v6(spark, sf_dir):
+    from .streaming import jobs as V
+    i = inv(spark, sf_dir)
+    out, _ckpt = _stream_dirs(spark, "v6")
+    V.init_offset(spark, i.C, out)
+    return spark.read.parquet(f"{out}/_offsets").select("batch_id", "max_seq")
