@@ -38,14 +38,18 @@ def normalize_path(col, base: str = "/", fold_case: bool = False) -> Column:
 
 
 def basename(col) -> Column:
-    """Last component; ``''`` for ``/`` or a trailing separator."""
-    return F.regexp_extract(_c(col), r"([^/]*)$", 1)
+    """Last component; ``''`` for ``/`` or a trailing separator.
+
+    ``substring_index`` is a linear scan; an end-anchored regex such as
+    ``([^/]*)$`` backtracks quadratically on every call."""
+    return F.substring_index(_c(col), SEP, -1)
 
 
 def parent_dir(col) -> Column:
     """Parent folder; the parent of ``/`` and of ``/x`` is ``/``."""
-    stripped = F.regexp_replace(_c(col), r"/[^/]*$", "")
-    return F.when(stripped == "", F.lit(SEP)).otherwise(stripped)
+    c = _c(col)
+    keep = F.length(c) - F.length(F.substring_index(c, SEP, -1)) - 1
+    return F.when(keep <= 0, F.lit(SEP)).otherwise(c.substr(F.lit(1), keep))
 
 
 def path_parts(col) -> Column:
@@ -62,13 +66,14 @@ def ancestors(col) -> Column:
     """Ancestors-or-self of a path, top first, ``/`` included (H1 as an array).
 
     ``/a/b`` -> ``['/', '/a', '/a/b']``; element ``i`` (0-based) has depth ``i``.
+    The path must be normalised (:func:`normalize_path`): each ancestor is one
+    ``substring_index`` cut, no regex and no re-splitting.
     """
-    parts = path_parts(col)
-    below_root = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(parts), F.lit(1))),
-        lambda i: F.concat(F.lit(SEP), F.array_join(F.slice(parts, 1, i), SEP)),
-    )
-    return F.when(F.size(parts) == 0, F.array(F.lit(SEP))).otherwise(
+    c = _c(col)
+    n = F.size(F.split(c, SEP)) - 1  # components of a normalised absolute path
+    below_root = F.transform(F.sequence(F.lit(2), F.greatest(n, F.lit(1)) + 1),
+                             lambda k: F.call_function("substring_index", c, F.lit(SEP), k))
+    return F.when((c == SEP) | (n <= 0), F.array(F.lit(SEP))).otherwise(
         F.concat(F.array(F.lit(SEP)), below_root))
 
 

@@ -82,27 +82,31 @@ def _candidates_below(anc: Column, stops, include_stop: bool) -> Column:
 
 
 def _up_flag(df: DataFrame, path_col: str, ex: Exclusions, stops, include_stop: bool, out: str,
-             only_below_stop: bool = False) -> DataFrame:
-    anc = ancestors(F.col(path_col))
+             anc_col: str | None = None) -> DataFrame:
+    """Shared body of F8/F9. The ancestor array is computed once per row
+    (``anc_col``) and every test reads it."""
+    own_anc = anc_col is None
+    if own_anc:
+        anc_col = "__anc"
+        df = df.withColumn(anc_col, ancestors(F.col(path_col)))
+    anc = F.col(anc_col)
     cands = _candidates_below(anc, stops, include_stop)
-    if only_below_stop and stops:
-        has_stop = F.exists(anc, lambda a: a.isin(list(stops)))
-    else:
-        has_stop = F.lit(True)
     regex = ex.regex
     if ex.literal:
         test = F.exists(cands, lambda a: _in_paths(a, ex.paths) | (
-            basename(a).rlike(regex) if regex else F.lit(False)))
-        return df.withColumn(out, has_stop & test)
+            F.substring_index(a, "/", -1).rlike(regex) if regex else F.lit(False)))
+        out_df = df.withColumn(out, test)
+        return out_df.drop(anc_col) if own_anc else out_df
     # Large exact-path set: explode candidates and join; partition by the row id.
     rid = "__rid"
     base = df.withColumn(rid, F.monotonically_increasing_id())
-    exploded = base.select(rid, F.explode(cands).alias("__anc"))
-    hits = exploded.join(ex.paths_df.select(F.col("path").alias("__anc")), "__anc", "left_semi") \
+    exploded = base.select(rid, F.explode(cands).alias("__cand"))
+    hits = exploded.join(ex.paths_df.select(F.col("path").alias("__cand")), "__cand", "left_semi") \
         .select(rid).distinct().withColumn("__hit", F.lit(True))
-    rule_hit = F.exists(cands, lambda a: basename(a).rlike(regex)) if regex else F.lit(False)
-    return base.join(hits, rid, "left").withColumn(
-        out, has_stop & (F.coalesce(F.col("__hit"), F.lit(False)) | rule_hit)).drop(rid, "__hit")
+    rule_hit = F.exists(cands, lambda a: F.substring_index(a, "/", -1).rlike(regex)) if regex else F.lit(False)
+    out_df = base.join(hits, rid, "left").withColumn(
+        out, F.coalesce(F.col("__hit"), F.lit(False)) | rule_hit).drop(rid, "__hit")
+    return out_df.drop(anc_col) if own_anc else out_df
 
 
 def is_excluded_up(df: DataFrame, path_col: str, ex: Exclusions, stops=(), out: str = "excluded") -> DataFrame:
@@ -119,11 +123,12 @@ def prune_excluded(df: DataFrame, path_col: str, ex: Exclusions, roots, out: str
     The walk root of a node is its deepest root ancestor-or-self.
     """
     roots = tuple(roots)
-    anc = ancestors(F.col(path_col))
+    df = df.withColumn("__anc", ancestors(F.col(path_col)))
+    anc = F.col("__anc")
     root_pos = F.array_max(F.transform(anc, lambda a, i: F.when(a.isin(list(roots)), i).otherwise(F.lit(-1))))
     withroot = df.withColumn("root", F.when(root_pos >= 0, F.element_at(anc, root_pos + 1)))
-    flagged = _up_flag(withroot, path_col, ex, roots, include_stop=True, out=out)
-    return flagged.withColumn(out, F.when(F.col("root").isNotNull(), F.col(out)))
+    flagged = _up_flag(withroot, path_col, ex, roots, include_stop=True, out=out, anc_col="__anc")
+    return flagged.withColumn(out, F.when(F.col("root").isNotNull(), F.col(out))).drop("__anc")
 
 
 def match_rules_df(df: DataFrame, path_col: str, rules, out: str = "matched") -> DataFrame:
