@@ -58,8 +58,9 @@ def path_parts(col) -> Column:
 
 
 def path_depth(col) -> Column:
-    """Number of components: ``/`` is 0, ``/a`` is 1."""
-    return F.size(path_parts(col)).cast("bigint")
+    """Number of components of a normalised absolute path: ``/`` is 0, ``/a`` is 1."""
+    c = _c(col)
+    return F.when(c == SEP, F.lit(0)).otherwise(F.size(F.split(c, SEP)) - 1).cast("bigint")
 
 
 def ancestors(col) -> Column:

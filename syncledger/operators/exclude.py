@@ -13,11 +13,12 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.globs import match_rules, name_matches, rules_regex
+from ..functions.globs import component_rules_regex, match_rules, name_matches, rules_regex
 from ..functions.paths import ancestors, basename, parent_dir, path_depth
 
 MAX_LITERAL_PATHS = 50_000
 MAX_RULES = 10_000
+FAST_MAX = 64  # up to this many stop/root paths and exact paths: plain code-generated expressions
 
 
 @dataclass(frozen=True)
@@ -81,10 +82,70 @@ def _candidates_below(anc: Column, stops, include_stop: bool) -> Column:
     return F.filter(anc, lambda _a, i: i > stop_pos)
 
 
+def _lit_at_or_below(x: str, scope: str) -> bool:
+    return scope == "/" or x == scope or x.startswith(scope + "/")
+
+
+def _at_or_below(c: Column, p: str) -> Column:
+    """``c`` is ``p`` or below it (normalised paths)."""
+    return c.startswith("/") if p == "/" else (c == p) | c.startswith(p + "/")
+
+
+def _scope_test(c: Column, ex: Exclusions, scope: str | None, include: bool) -> Column:
+    """Some ancestor-or-self of ``c`` inside the scope is excluded. The scope is
+    everything below ``scope`` (and ``scope`` itself when ``include``); all
+    ancestors up to ``/`` when ``scope`` is None.
+
+    Exact paths: ``c`` is at or below one of them (only those inside the scope
+    count). Rules: one regex finds a component of the in-scope part of the
+    path that fully matches a rule. No arrays, no lambdas: all of it compiles
+    into the generated code of the stage."""
+    if scope is None:
+        xs = list(ex.paths)
+        suffix = c
+    elif include:
+        xs = [x for x in ex.paths if _lit_at_or_below(x, scope)]
+        start = 1 if scope == "/" else len(scope) - len(scope.rsplit("/", 1)[-1]) + 1
+        suffix = c.substr(F.lit(start), F.lit(1 << 30)) if start > 1 else c
+    else:
+        xs = [x for x in ex.paths if x != scope and _lit_at_or_below(x, scope)]
+        prefix = "/" if scope == "/" else scope + "/"
+        suffix = c.substr(F.lit(len(prefix) + 1), F.lit(1 << 30))
+    test = F.lit(False)
+    for x in xs:
+        test = test | _at_or_below(c, x)
+    crx = component_rules_regex(ex.rules)
+    if crx is not None:
+        test = test | suffix.rlike(crx)
+    return test
+
+
+def _fast_ok(ex: Exclusions, scopes) -> bool:
+    return (ex.literal and len(ex.paths) <= FAST_MAX and len(scopes) <= FAST_MAX
+            and (not ex.rules or component_rules_regex(ex.rules) is not None))
+
+
+def _deepest_first(paths) -> list[str]:
+    return sorted(set(paths), key=lambda p: (-len(p), p))
+
+
+def _fast_up(c: Column, ex: Exclusions, stops, include: bool, default_all: bool) -> Column:
+    """F8 (``include`` False, ``default_all`` True) or F9 (True, False) as a CASE
+    over the stop paths, deepest first."""
+    expr = None
+    for s in _deepest_first(stops):
+        cond, val = _at_or_below(c, s), _scope_test(c, ex, s, include)
+        expr = F.when(cond, val) if expr is None else expr.when(cond, val)
+    fallback = _scope_test(c, ex, None, include) if default_all else F.lit(None).cast("boolean")
+    return fallback if expr is None else expr.otherwise(fallback)
+
+
 def _up_flag(df: DataFrame, path_col: str, ex: Exclusions, stops, include_stop: bool, out: str,
              anc_col: str | None = None) -> DataFrame:
     """Shared body of F8/F9. The ancestor array is computed once per row
     (``anc_col``) and every test reads it."""
+    if anc_col is None and _fast_ok(ex, stops):
+        return df.withColumn(out, _fast_up(F.col(path_col), ex, stops, include_stop, default_all=True))
     own_anc = anc_col is None
     if own_anc:
         anc_col = "__anc"
@@ -123,6 +184,13 @@ def prune_excluded(df: DataFrame, path_col: str, ex: Exclusions, roots, out: str
     The walk root of a node is its deepest root ancestor-or-self.
     """
     roots = tuple(roots)
+    if _fast_ok(ex, roots):
+        c = F.col(path_col)
+        root = None
+        for r in _deepest_first(roots):
+            root = F.when(_at_or_below(c, r), F.lit(r)) if root is None else root.when(_at_or_below(c, r), F.lit(r))
+        root = F.lit(None).cast("string") if root is None else root
+        return df.withColumn("root", root).withColumn(out, _fast_up(c, ex, roots, True, default_all=False))
     df = df.withColumn("__anc", ancestors(F.col(path_col)))
     anc = F.col("__anc")
     root_pos = F.array_max(F.transform(anc, lambda a, i: F.when(a.isin(list(roots)), i).otherwise(F.lit(-1))))

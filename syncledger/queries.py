@@ -32,8 +32,15 @@ def inv(spark: SparkSession, sf_dir: str) -> fx.Inventories:
     return fx.load(spark, sf_dir)
 
 
+_EXCL: dict = {}
+
+
 def excl(spark: SparkSession, sf_dir: str) -> Exclusions:
-    return Exclusions.from_df(inv(spark, sf_dir).exclusions)
+    """Exclusions of the fixture set-up, read once per session."""
+    key = (id(spark.sparkContext), sf_dir.rstrip("/"))
+    if key not in _EXCL:
+        _EXCL[key] = Exclusions.from_df(inv(spark, sf_dir).exclusions)
+    return _EXCL[key]
 
 
 FOLDER = "'application/vnd.folder'"
