@@ -71,8 +71,8 @@ def compare(spark_df, con, sql: str, check_types: bool = True):
     """Returns (ok, message)."""
     s_cols = spark_df.columns
     s_rows = [tuple(r) for r in spark_df.collect()]
-    res = con.execute(sql)
-    tbl = res.to_arrow_table() if hasattr(res, "to_arrow_table") else res.fetch_arrow_table()
+    rel = con.sql(sql)
+    tbl = rel.to_arrow_table() if hasattr(rel, "to_arrow_table") else rel.arrow()
     tbl = tbl.read_all() if hasattr(tbl, "read_all") else tbl
     d_cols = list(tbl.column_names)
     d_rows = list(zip(*[c.to_pylist() for c in tbl.columns])) if d_cols else []
