@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.paths import ancestors, basename, parent_dir, path_depth
+from ..functions.paths import ancestors_at, basename, depths_of, parent_dir, path_depth
 from .exclude import Exclusions, is_excluded, is_excluded_up
 
 MAX_CONTAINS_CHUNK = 10_000
@@ -93,12 +93,15 @@ def descendants_join(archive: DataFrame, paths: DataFrame, path_col: str = "path
     """
     p = paths.select(F.col(path_col).alias("matched_path")).distinct()
     if mode == "descendant":
-        ex = archive.select("*", F.explode(ancestors(F.col("path"))).alias("__anc"))
+        depths = depths_of(p, "matched_path")
+        ex = archive.select("*", F.explode(ancestors_at(F.col("path"), depths)).alias("__anc"))
         return ex.join(p, F.col("__anc") == F.col("matched_path")).drop("__anc")
     if mode == "prefix":
         pp = p.withColumn("__pparent", parent_dir(F.col("matched_path"))) \
             .withColumn("__pdepth", path_depth(F.col("__pparent")))
-        ex = archive.select("*", F.posexplode(ancestors(F.col("path"))).alias("__d", "__anc"))
+        depths = depths_of(pp, "__pparent")
+        ex = archive.select("*", F.explode(ancestors_at(F.col("path"), depths)).alias("__anc")) \
+            .withColumn("__d", path_depth(F.col("__anc")))
         j = ex.join(pp, (F.col("__anc") == F.col("__pparent")) & (F.col("__d") == F.col("__pdepth")))
         return j.filter(F.col("path").startswith(F.col("matched_path"))).drop("__anc", "__d", "__pparent", "__pdepth")
     if mode == "contains":
@@ -106,11 +109,12 @@ def descendants_join(archive: DataFrame, paths: DataFrame, path_col: str = "path
         if len(pats) <= MAX_CONTAINS_CHUNK:
             small = p.sparkSession.createDataFrame([(x,) for x in pats], "matched_path string")
             return archive.join(F.broadcast(small), F.col("path").contains(F.col("matched_path")))
-        # Large pattern sets: bounded broadcast chunks, one nested-loop join each.
-        chunked = p.withColumn("__chunk", F.floor(F.rand(7) * F.lit(1 + p.count() // MAX_CONTAINS_CHUNK)))
-        n_chunks = chunked.agg(F.max("__chunk")).first()[0] + 1
+        # Large pattern sets: bounded broadcast chunks (by a hash of the pattern,
+        # so a recomputed chunk holds the same patterns), one nested-loop join each.
+        n_chunks = 2 * (1 + p.count() // MAX_CONTAINS_CHUNK)
+        chunked = p.withColumn("__chunk", F.pmod(F.xxhash64("matched_path"), F.lit(n_chunks)))
         parts = []
-        for i in range(int(n_chunks)):
+        for i in range(n_chunks):
             part = chunked.filter(F.col("__chunk") == i).select("matched_path").checkpoint(eager=True)
             parts.append(archive.join(F.broadcast(part), F.col("path").contains(F.col("matched_path"))))
         return reduce(lambda a, b: a.unionByName(b), parts)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.globs import component_rules_regex, match_rules, name_matches, rules_regex
-from ..functions.paths import ancestors, basename, parent_dir, path_depth
+from ..functions.paths import ancestors, parent_dir, path_depth
 
 MAX_LITERAL_PATHS = 50_000
 MAX_RULES = 10_000

@@ -26,7 +26,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.paths import ancestors, basename, path_depth, path_parts
+from ..functions.paths import ancestors, ancestors_at, basename, depths_of, path_depth, path_parts
 from ..session import checkpoint_dir
 
 DEFAULT_MAX_DEPTH = 64
@@ -63,7 +63,8 @@ def topmost(paths: DataFrame, path_col: str = "path") -> DataFrame:
     """H6: keep the paths that have no other listed path above them (an antichain
     that covers the input)."""
     p = paths.select(path_col).distinct()
-    proper = p.select(F.col(path_col), F.explode(ancestors(F.col(path_col))).alias("__anc")) \
+    depths = depths_of(p, path_col)
+    proper = p.select(F.col(path_col), F.explode(ancestors_at(F.col(path_col), depths)).alias("__anc")) \
         .filter(F.col("__anc") != F.col(path_col))
     covered = proper.join(p.select(F.col(path_col).alias("__anc")), "__anc", "left_semi").select(path_col)
     return p.join(covered, path_col, "left_anti")

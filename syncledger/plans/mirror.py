@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.paths import ancestors
+from ..functions.paths import ancestors_at, depths_of
 from ..operators.catalog import delete_archive
 from ..operators.diff import descendants_join, removed_locally
 from ..operators.exclude import Exclusions
@@ -103,13 +103,16 @@ def mirror_all(local: DataFrame, archive: DataFrame, ex: Exclusions, roots, fast
            .select("path", "drive_id").collect()}  # one row per configured root
     if fast:
         gone = archive.join(local.select("path"), "path", "left_anti")
-        rooted = gone.select("*", F.explode(ancestors(F.col("path"))).alias("__anc")) \
+        root_depths = [len([x for x in r.split("/") if x]) for r in roots]
+        rooted = gone.select("*", F.explode(ancestors_at(F.col("path"), root_depths)).alias("__anc")) \
             .join(F.broadcast(rdf), F.col("__anc") == F.col("root")).drop("__anc")
-        proper = rooted.select("root", "path", F.explode(ancestors(F.col("path"))).alias("__anc")) \
+        gone_depths = depths_of(rooted, "path")
+        proper = rooted.select("root", "path", F.explode(ancestors_at(F.col("path"), gone_depths)).alias("__anc")) \
             .filter(F.col("__anc") != F.col("path"))
         covered = proper.join(rooted.select("root", F.col("path").alias("__anc")), ["root", "__anc"], "left_semi")
         deletes = rooted.join(covered.select("root", "path"), ["root", "path"], "left_anti")
-        forget = archive.select("*", F.explode(ancestors(F.col("path"))).alias("__anc")) \
+        del_depths = depths_of(deletes, "path")
+        forget = archive.select("*", F.explode(ancestors_at(F.col("path"), del_depths)).alias("__anc")) \
             .join(deletes.select("root", F.col("path").alias("__anc")), "__anc").drop("__anc")
     else:
         if remote is None:
@@ -122,7 +125,8 @@ def mirror_all(local: DataFrame, archive: DataFrame, ex: Exclusions, roots, fast
                                  F.col("file_id").alias("drive_id"),
                                  F.when(F.col("type") == "#folder", "").otherwise("x").alias("md5sum"))
         tops = removed.filter(F.col("archived")).select("root", F.col("archive_path").alias("__anc"))
-        forget = archive.select("*", F.explode(ancestors(F.col("path"))).alias("__anc")) \
+        top_depths = depths_of(tops, "__anc")
+        forget = archive.select("*", F.explode(ancestors_at(F.col("path"), top_depths)).alias("__anc")) \
             .join(tops, "__anc").drop("__anc")
     forget = forget.dropDuplicates(["root", "drive_id"])
     remaining = delete_archive(archive, forget, "drive_id")

@@ -723,3 +723,25 @@ def q_v6(spark, sf_dir):
     out, _ckpt = _stream_dirs(spark, "v6")
     V.init_offset(spark, i.C, out)
     return spark.read.parquet(f"{out}/_offsets").select("batch_id", "max_seq")
+
+
+# --------------------------------------------------------------------------- executing a plan
+
+def _simulated_delete_service(pdf):
+    """Stand-in handler: the status a delete service would answer, derived
+    from the id (the same rule as the oracle)."""
+    import pandas as pd
+    n = pdf["drive_id"].str.len() % 4
+    status = n.map({0: 200, 1: 404, 2: 403, 3: 500}).astype("int32")
+    err = status.map(lambda s: None if s in (200, 404) else f"HTTP {s}")
+    return pd.DataFrame({"drive_id": pdf["drive_id"], "status": status, "error": err})
+
+
+@register("c2_apply_plan", oracle=f"""
+{GONE_BATCH_SQL}
+SELECT drive_id, CAST({STATUS_SQL} AS INTEGER) AS status,
+  CASE WHEN {STATUS_SQL} IN (200, 404) THEN NULL ELSE 'HTTP ' || CAST({STATUS_SQL} AS VARCHAR) END AS error FROM p12""")
+def q_c2(spark, sf_dir):
+    from .plans.execute import apply_plan
+    i = inv(spark, sf_dir)
+    return apply_plan(PM.purge_removed_local(i.A, i.L), _simulated_delete_service)
