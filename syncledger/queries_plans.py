@@ -745,3 +745,33 @@ def q_c2(spark, sf_dir):
     from .plans.execute import apply_plan
     i = inv(spark, sf_dir)
     return apply_plan(PM.purge_removed_local(i.A, i.L), _simulated_delete_service)
+
+
+@register("j13_collides", oracle=f"""
+RECURSIVE {P2_SQL},
+two_plans AS (SELECT file_id, '/data/' || path AS dest_path FROM w UNION ALL SELECT file_id, dest_path FROM p2_plan),
+{collides_sql('two_plans', 'jc')}
+SELECT file_id, dest_path, exists_locally, dup_dest FROM jc""")
+def q_j13(spark, sf_dir):
+    """J13 on two plans at once: a full copy of the ASIA folder to /data and the
+    ASIA download plan. Copies land on existing files, and both plans write
+    some of the same paths."""
+    from .operators.reconcile import collides
+    i = inv(spark, sf_dir)
+    copy = PD.copy_down_plan(i.R, WALK_FOLDER, "/data").select("file_id", "dest_path")
+    down = PD.download_folder_plan(i.R, i.A, i.L, excl(spark, sf_dir), WALK_FOLDER, WALK_LOCAL) \
+        .select("file_id", "dest_path")
+    return collides(copy.unionByName(down), i.L, "dest_path").select("file_id", "dest_path", "exists_locally",
+                                                                      "dup_dest")
+
+
+@register("w2_assign_batches", oracle="""
+x AS (SELECT file_id, CASE WHEN mime_type = 'application/vnd.folder' THEN 'folder' ELSE 'file' END AS kind
+  FROM remote_files WHERE trashed)
+SELECT file_id, kind, (row_number() OVER (PARTITION BY kind ORDER BY file_id) - 1) // 32 AS batch FROM x""")
+def q_w2(spark, sf_dir):
+    """Trashed nodes cut into delete batches of 32 per kind (one hot group)."""
+    from .operators.ordering import assign_batches
+    r = inv(spark, sf_dir).R.filter(F.col("trashed"))
+    x = r.select("file_id", F.when(F.col("mime_type") == fx.FOLDER_MIME, "folder").otherwise("file").alias("kind"))
+    return assign_batches(x, by=["kind"], order="file_id")

@@ -54,8 +54,10 @@ def stream_changes(spark: SparkSession, path: str, schema: T.StructType = CHANGE
 
 def dedupe_events(stream: DataFrame, delay: str = "1 hour", time_col: str = "modified_time") -> DataFrame:
     """V4 option: drop replayed copies of an event (same ``seq``) that arrive
-    within ``delay`` of each other; state is bounded by the watermark."""
-    return stream.withWatermark(time_col, delay).dropDuplicatesWithinWatermark(["seq"])
+    within ``delay`` of each other; state is bounded by the watermark.
+    (Watermarks need a zoned timestamp, so a cast copy of the time is used.)"""
+    ev = stream.withColumn("__event_time", F.col(time_col).cast("timestamp"))
+    return ev.withWatermark("__event_time", delay).dropDuplicatesWithinWatermark(["seq"]).drop("__event_time")
 
 
 def _offsets_path(out: str) -> str:
