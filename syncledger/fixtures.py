@@ -198,7 +198,9 @@ def load(spark: SparkSession, sf_dir: str) -> Inventories:
     key = (id(spark.sparkContext), sf_dir)
     if key in _CACHE:
         return _CACHE[key]
-    tag = hashlib.sha1(f"{FIXTURE_VERSION}|{sf_dir}".encode()).hexdigest()[:12]
+    import inspect
+    code = "".join(inspect.getsource(f) for f in (_fx_file, _fx_dir, build_views, build_changes))
+    tag = hashlib.sha1(f"{FIXTURE_VERSION}|{sf_dir}|{code}".encode()).hexdigest()[:12]
     base = scratch_path(spark, "fixtures", tag)
     t = read_tables(spark, sf_dir, ["orders", "customer", "nation", "region", "events"])
     views = build_views(t)

@@ -11,11 +11,55 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.paths import ancestors_at, basename, depths_of, parent_dir, path_depth
 from .exclude import Exclusions, is_excluded, is_excluded_up
 
-MAX_CONTAINS_CHUNK = 10_000
+MAX_CONTAINS_CHUNK = 100_000  # patterns per broadcast automaton
+
+
+def _contains_join(archive: DataFrame, patterns: list[str], path_col: str = "path") -> DataFrame:
+    """Rows of ``archive`` with every pattern that occurs in ``path_col`` as a
+    substring (one output row per row and pattern).
+
+    The patterns (a bounded chunk) are broadcast once; each task builds an
+    Aho-Corasick automaton and scans every path once, so the cost is the
+    length of the paths plus the matches, not paths x patterns.
+    """
+    spark = archive.sparkSession
+    bc = spark.sparkContext.broadcast(sorted(set(patterns)))
+    schema = T.StructType(list(archive.schema.fields) + [T.StructField("matched_path", T.StringType())])
+    pos = archive.columns.index(path_col)
+
+    def run(batches):
+        import ahocorasick
+        import pandas as pd
+
+        pats = bc.value
+        auto = ahocorasick.Automaton()
+        for p in pats:
+            if p:
+                auto.add_word(p, p)
+        empty = "" in pats
+        if len(auto):
+            auto.make_automaton()
+        for pdf in batches:
+            idx, found = [], []
+            for i, s in enumerate(pdf.iloc[:, pos].tolist()):
+                if s is None:
+                    continue
+                hits = {p for _end, p in auto.iter(s)} if len(auto) else set()
+                if empty:
+                    hits.add("")
+                for p in sorted(hits):
+                    idx.append(i)
+                    found.append(p)
+            out = pdf.iloc[idx].reset_index(drop=True)
+            out["matched_path"] = pd.Series(found, dtype="object")
+            yield out
+
+    return archive.mapInPandas(run, schema)
 
 
 def lookup(keys: DataFrame, archive: DataFrame, key_col: str, field: str = "path",
@@ -86,8 +130,9 @@ def descendants_join(archive: DataFrame, paths: DataFrame, path_col: str = "path
     * ``prefix``: plain ``startswith`` (``/a/b`` also takes ``/a/bc``). The
       archive path's ancestor one level above the prefix's depth is
       equi-joined with the prefix's parent, then ``startswith`` is checked.
-    * ``contains``: plain substring. Not an equi-join: the pattern list is
-      broadcast in bounded chunks.
+    * ``contains``: plain substring. Not an equi-join: the patterns are
+      broadcast in bounded chunks and matched with an Aho-Corasick automaton
+      per task (each path is scanned once, whatever the number of patterns).
 
     An archive row matched by several paths appears once per match.
     """
@@ -107,16 +152,18 @@ def descendants_join(archive: DataFrame, paths: DataFrame, path_col: str = "path
     if mode == "contains":
         pats = [r[0] for r in p.limit(MAX_CONTAINS_CHUNK + 1).collect()]
         if len(pats) <= MAX_CONTAINS_CHUNK:
-            small = p.sparkSession.createDataFrame([(x,) for x in pats], "matched_path string")
-            return archive.join(F.broadcast(small), F.col("path").contains(F.col("matched_path")))
-        # Large pattern sets: bounded broadcast chunks (by a hash of the pattern,
-        # so a recomputed chunk holds the same patterns), one nested-loop join each.
+            return _contains_join(archive, pats)
+        # More patterns than one automaton should hold: chunks by a hash of the
+        # pattern (a recomputed chunk holds the same patterns), one scan each.
         n_chunks = 2 * (1 + p.count() // MAX_CONTAINS_CHUNK)
         chunked = p.withColumn("__chunk", F.pmod(F.xxhash64("matched_path"), F.lit(n_chunks)))
         parts = []
         for i in range(n_chunks):
-            part = chunked.filter(F.col("__chunk") == i).select("matched_path").checkpoint(eager=True)
-            parts.append(archive.join(F.broadcast(part), F.col("path").contains(F.col("matched_path"))))
+            chunk = [r[0] for r in chunked.filter(F.col("__chunk") == i).select("matched_path")
+                     .limit(MAX_CONTAINS_CHUNK + 1).collect()]
+            if len(chunk) > MAX_CONTAINS_CHUNK:
+                raise ValueError("pattern chunk over its bound; the hash split is too uneven")
+            parts.append(_contains_join(archive, chunk))
         return reduce(lambda a, b: a.unionByName(b), parts)
     raise ValueError(f"unknown mode {mode!r}")
 

@@ -26,7 +26,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.paths import ancestors, ancestors_at, basename, depths_of, path_depth, path_parts
+from ..functions.paths import ancestors, ancestors_at, basename, depths_of, parent_dir, path_depth, path_parts
 from ..session import checkpoint_dir
 
 DEFAULT_MAX_DEPTH = 64
@@ -89,14 +89,16 @@ def tree_listing(local: DataFrame, root: str, files: bool = True) -> DataFrame:
 def subtree_rollup(local: DataFrame) -> DataFrame:
     """H8: per folder, number of files and bytes at or below it.
 
-    Explodes each file into its proper ancestors and aggregates; partial
-    aggregation combines the hot top folders map-side before the shuffle.
+    Two aggregations: files are first summed per parent folder (partial,
+    map-side combined, no arrays), then only the much smaller folder table is
+    exploded into ancestors and summed again. Hot top folders never see one
+    row per file.
     """
-    files = local.filter(~F.col("is_dir")).select("path", "size")
-    ex = files.select(F.explode(ancestors(F.col("path"))).alias("folder"), "path", "size") \
-        .filter(F.col("folder") != F.col("path"))
-    return ex.groupBy("folder").agg(F.count(F.lit(1)).alias("n_files"),
-                                    F.sum(F.coalesce(F.col("size"), F.lit(0))).alias("bytes"))
+    files = local.filter(~F.col("is_dir")).select(parent_dir(F.col("path")).alias("parent"), "size")
+    direct = files.groupBy("parent").agg(F.count(F.lit(1)).alias("n"),
+                                         F.sum(F.coalesce(F.col("size"), F.lit(0))).alias("b"))
+    up = direct.select(F.explode(ancestors(F.col("parent"))).alias("folder"), "n", "b")
+    return up.groupBy("folder").agg(F.sum("n").alias("n_files"), F.sum("b").alias("bytes"))
 
 
 # --------------------------------------------------------------------------- parent-pointer trees

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..fixtures import FOLDER_MIME
-from ..functions.paths import ancestors, basename, normalize_path
+from ..functions.paths import ancestors, basename, normalize_path, parent_dir
 
 LOCAL_SCHEMA = T.StructType([
     T.StructField("path", T.StringType(), False),
@@ -39,7 +39,9 @@ def scan_local(spark: SparkSession, path: str, with_md5: bool = False, with_dirs
     if not with_dirs:
         return files
     base = normalize_path(F.lit(path))
-    dirs = files.select(F.explode(ancestors(F.col("path"))).alias("path"), F.col("mtime")) \
+    # newest file time per parent first (partial aggregation), then up the ancestors of the folders only
+    parents = files.groupBy(parent_dir(F.col("path")).alias("parent")).agg(F.max("mtime").alias("mtime"))
+    dirs = parents.select(F.explode(ancestors(F.col("parent"))).alias("path"), F.col("mtime")) \
         .groupBy("path").agg(F.max("mtime").alias("mtime"))
     dirs = dirs.join(files.select(F.col("path").alias("__f")), F.col("path") == F.col("__f"), "left_anti")
     dirs = dirs.filter((F.col("path") == base) | F.col("path").startswith(F.concat(base, F.lit("/"))))
