@@ -195,7 +195,7 @@ def roots_df(spark: SparkSession) -> DataFrame:
 def load(spark: SparkSession, sf_dir: str) -> Inventories:
     """Inventories for one test-data folder, materialised once per session."""
     sf_dir = sf_dir.rstrip("/")
-    key = (id(spark.sparkContext), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key in _CACHE:
         return _CACHE[key]
     import inspect

@@ -168,6 +168,13 @@ def descendants_join(archive: DataFrame, paths: DataFrame, path_col: str = "path
     raise ValueError(f"unknown mode {mode!r}")
 
 
+def path_match(df: DataFrame, patterns: DataFrame, mode: str = "descendant", path_col: str = "path") -> DataFrame:
+    """rows of ``df`` whose path matches one of ``patterns`` (``path``)
+    by ``descendant`` (separator-aware), ``prefix`` or ``contains``."""
+    return descendants_join(df, patterns, mode=mode) if path_col == "path" else \
+        descendants_join(df.withColumnRenamed(path_col, "path"), patterns, mode=mode).withColumnRenamed("path", path_col)
+
+
 def resolve_parent(df: DataFrame, archive: DataFrame, path_col: str = "path", fallback: str | None = "root",
                    out: str = "parent_id") -> DataFrame:
     """Remote id of the parent folder of ``path_col`` from the archive,
@@ -208,4 +215,4 @@ def diff_state(remote: DataFrame, archive: DataFrame, local: DataFrame) -> DataF
 
 
 __all__ = ["lookup", "remote_exists", "removed_locally", "removed_remotely", "archive_gc", "excluded_archived",
-           "descendants_join", "resolve_parent", "tracked_roots", "unarchived_nodes", "diff_state", "basename"]
+           "descendants_join", "path_match", "resolve_parent", "tracked_roots", "unarchived_nodes", "diff_state", "basename"]

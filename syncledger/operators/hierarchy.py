@@ -126,12 +126,12 @@ def descend(children: DataFrame, seeds: DataFrame, path_col: str = "path", expan
         if expand is not None:
             front = front.filter(expand)
         front = front.select(*frontier_cols)
+        if front.isEmpty():  # nothing left to expand: no join for an empty level
+            return _union(levels)
         nxt = kids_src.join(front, F.col("parent_id") == F.col("__pid")).select(
             *cols, F.concat(F.col("__ppath"), F.lit("/"), F.col("name")).alias(path_col),
             F.lit(depth).alias("depth"), F.col("seed_id"))
         nxt = _cut(nxt)
-        if nxt.isEmpty():
-            return _union(levels)
         if depth > max_depth:
             raise TreeTooDeep(f"walk did not end within {max_depth} levels (parent cycle?)")
         levels.append(nxt)
@@ -199,18 +199,19 @@ def closure(remote: DataFrame, max_depth: int = DEFAULT_MAX_DEPTH) -> DataFrame:
 
 
 def _closure_bfs(remote: DataFrame, seeds: DataFrame, max_depth: int) -> DataFrame:
+    """Every node is a frontier node (a child of a non-folder is still in the tree)."""
     cols = NODE_COLS
     level = _cut(seeds.select(*cols, "path", F.lit(0).alias("depth"), F.array(F.col("file_id")).alias("chain")))
     levels = [level]
     for depth in range(1, max_depth + 2):
         front = level.select(F.col("file_id").alias("__pid"), F.col("path").alias("__ppath"),
                              F.col("chain").alias("__pchain"))
+        if front.isEmpty():
+            return _union(levels)
         nxt = remote.select(*cols).join(front, F.col("parent_id") == F.col("__pid")).select(
             *cols, F.concat(F.col("__ppath"), F.lit("/"), F.col("name")).alias("path"), F.lit(depth).alias("depth"),
             F.concat(F.col("__pchain"), F.array(F.col("file_id"))).alias("chain"))
         nxt = _cut(nxt)
-        if nxt.isEmpty():
-            return _union(levels)
         if depth > max_depth:
             raise TreeTooDeep(f"closure did not end within {max_depth} levels")
         levels.append(nxt)
@@ -346,12 +347,12 @@ def _walk_flagged(kids: DataFrame, seeds: DataFrame, flag_col: str, extra, max_d
     for depth in range(1, max_depth + 2):
         front = level.filter((F.col("mime_type") == folder_mime) & ~F.coalesce(F.col(flag_col), F.lit(False))) \
             .select(F.col("file_id").alias("__pid"), F.col("path").alias("__ppath"), "seed_id")
+        if front.isEmpty():
+            break
         nxt = src.join(front, F.col("parent_id") == F.col("__pid")).select(
             *cols, F.concat(F.col("__ppath"), F.lit("/"), F.col("name")).alias("path"), F.lit(depth).alias("depth"),
             "seed_id")
         nxt = _cut(nxt)
-        if nxt.isEmpty():
-            break
         if depth > max_depth:
             raise TreeTooDeep(f"walk did not end within {max_depth} levels")
         levels.append(nxt)

@@ -37,7 +37,7 @@ _EXCL: dict = {}
 
 def excl(spark: SparkSession, sf_dir: str) -> Exclusions:
     """Exclusions of the fixture set-up, read once per session."""
-    key = (id(spark.sparkContext), sf_dir.rstrip("/"))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if key not in _EXCL:
         _EXCL[key] = Exclusions.from_df(inv(spark, sf_dir).exclusions)
     return _EXCL[key]

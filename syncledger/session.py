@@ -12,7 +12,7 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-_LOCAL_DIRS: dict[int, str] = {}
+_LOCAL_DIRS: dict[str, str] = {}
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
@@ -54,7 +54,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    key = id(sc)
+    key = sc.applicationId
     if key not in _LOCAL_DIRS:
         _LOCAL_DIRS[key] = tempfile.mkdtemp(prefix="run-syncledger-")
         sc.setCheckpointDir(_LOCAL_DIRS[key])

@@ -80,3 +80,19 @@ def test_delete_results(spark, inv):
     new_archive, retry = PM.apply_delete_results(inv.A, res)
     assert retry.count() == plan.filter(F.col("batch") % 2 == 1).count()
     assert inv.A.count() - new_archive.count() == plan.filter(F.col("batch") % 2 == 0).count()
+
+
+def test_insert_rejects_duplicates(spark, inv):
+    import pytest
+    dup = inv.A.limit(3)
+    with pytest.raises(U.UniquenessError):
+        U.insert_archive(inv.A, dup)
+    fresh = dup.select(F.concat(F.lit("/new"), "path").alias("path"), F.concat(F.lit("n-"), "drive_id").alias("drive_id"),
+                       "date_modified_on_disk", "md5sum")
+    assert U.insert_archive(inv.A, fresh).count() == inv.A.count() + 3
+
+
+def test_rename_subtree(spark, inv):
+    moved = U.rename_paths(inv.A, "/data/ASIA", "/moved")
+    assert moved.filter(F.col("path").startswith("/data/ASIA/")).count() == 0
+    assert moved.count() == inv.A.count() and U.check_unique(moved).count() == 0
