@@ -672,7 +672,7 @@ def _run_stream(spark, sf_dir, name, job):
     from .streaming import jobs as V
     i = inv(spark, sf_dir)
     out, ckpt = _stream_dirs(spark, name)
-    stream = V.stream_changes(spark, i.paths["changes"], max_files_per_trigger=2)
+    stream = V.stream_changes(spark, i.paths["changes"])
     q = job(i, stream, out, ckpt)
     q.awaitTermination()
     if q.exception() is not None:

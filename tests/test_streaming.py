@@ -54,3 +54,26 @@ def test_dedupe_replayed_events(spark, inv, tmp_path):
         .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
     q.awaitTermination()
     assert sum(seen) == 200
+
+
+def test_download_plan_stream_matches_batch(spark, inv, tmp_path):
+    from syncledger import fixtures as fx
+    from syncledger.operators.exclude import Exclusions
+    from syncledger.plans.download import download_changes_plan
+
+    ex = Exclusions.from_df(inv.exclusions)
+    feed = str(tmp_path / "feed")
+    top = inv.C.agg(F.max("seq")).first()[0]
+    for lo, hi in [(-1, top // 3), (top // 3, 2 * top // 3), (2 * top // 3, top)]:
+        inv.C.filter((F.col("seq") > lo) & (F.col("seq") <= hi)).coalesce(1).write.parquet(feed, mode="append")
+    out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
+    q = V.stream_download_plan(V.stream_changes(spark, feed, max_files_per_trigger=1), inv.R, lambda: inv.A, inv.L, ex,
+                               inv.roots, fx.LAST_SYNC_TIME, out, ckpt, ignored_ids=["n12"])
+    q.awaitTermination()
+    cols = ["seq", "file_id", "type", "decision", "why", "root_parent_id", "dest_path", "md5sum", "exists_locally"]
+    got = V.read_output(spark, out)
+    assert got.select("batch_id").distinct().count() == 3
+    want = download_changes_plan(inv.C, inv.R, inv.A, inv.L, ex, inv.roots, fx.LAST_SYNC_TIME, ignored_ids=["n12"])
+    got, want = got.select(*cols), want.select(*cols)
+    assert got.count() > 0
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
