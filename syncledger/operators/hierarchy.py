@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.paths import ancestors, ancestors_at, basename, depths_of, parent_dir, path_depth, path_parts
@@ -36,9 +36,19 @@ class TreeTooDeep(RuntimeError):
     """Raised when a walk does not end within ``max_depth`` levels (parent cycle)."""
 
 
-def _cut(df: DataFrame) -> DataFrame:
+def _cut_count(df: DataFrame, open_rows: Column, depth: int = 0, max_depth: int | None = None
+               ) -> tuple[DataFrame, int]:
+    """Checkpoint a level and, in the same job, count its rows that still
+    need another step (an ``Observation`` read after the eager checkpoint).
+    A non-empty level deeper than ``max_depth`` raises :class:`TreeTooDeep`."""
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    obs = Observation()
+    cut = df.observe(obs, F.count(F.when(open_rows, F.lit(1))).alias("n_open"),
+                     F.count(F.lit(1)).alias("n_rows")).checkpoint(eager=True)
+    metrics = obs.get
+    if max_depth is not None and depth > max_depth and metrics["n_rows"]:
+        raise TreeTooDeep(f"tree walk did not end within {max_depth} levels (parent cycle?)")
+    return cut, int(metrics["n_open"])
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -118,24 +128,22 @@ def descend(children: DataFrame, seeds: DataFrame, path_col: str = "path", expan
     """
     cols = [c for c in NODE_COLS if c in children.columns]
     frontier_cols = [F.col("file_id").alias("__pid"), F.col(path_col).alias("__ppath"), F.col("seed_id")]
-    level = _cut(seeds.select(*cols, path_col, F.lit(0).alias("depth"), F.col("file_id").alias("seed_id")))
+    opens = F.col("mime_type") == folder_mime
+    if expand is not None:
+        opens = opens & expand
+    level, n_open = _cut_count(seeds.select(*cols, path_col, F.lit(0).alias("depth"),
+                                            F.col("file_id").alias("seed_id")), opens)
     levels = [level]
     kids_src = children.select(*cols)
     for depth in range(1, max_depth + 2):
-        front = level.filter(F.col("mime_type") == folder_mime)
-        if expand is not None:
-            front = front.filter(expand)
-        front = front.select(*frontier_cols)
-        if front.isEmpty():  # nothing left to expand: no join for an empty level
+        if n_open == 0:  # nothing left to expand
             return _union(levels)
+        front = level.filter(opens).select(*frontier_cols)
         nxt = kids_src.join(front, F.col("parent_id") == F.col("__pid")).select(
             *cols, F.concat(F.col("__ppath"), F.lit("/"), F.col("name")).alias(path_col),
             F.lit(depth).alias("depth"), F.col("seed_id"))
-        nxt = _cut(nxt)
-        if depth > max_depth:
-            raise TreeTooDeep(f"walk did not end within {max_depth} levels (parent cycle?)")
-        levels.append(nxt)
-        level = nxt
+        level, n_open = _cut_count(nxt, opens, depth, max_depth)
+        levels.append(level)
     return _union(levels)  # pragma: no cover
 
 
@@ -176,11 +184,11 @@ def climb(nodes: DataFrame, starts: DataFrame, start_col: str = "start_id", carr
         step = j.select("start_id", new_chain.alias("chain"), F.col("parent_id").alias("__next"),
                         stop.alias("__stop"),
                         (found if first else F.col("found")).alias("found"))
-        step = _cut(step)
+        step, n_open = _cut_count(step, ~F.col("__stop"))
         done.append(step.filter(F.col("__stop")).select("start_id", "chain", "found"))
         state = step.filter(~F.col("__stop")).select("start_id", "chain", "found", F.col("__next").alias("__cur"))
         first = False
-        if state.isEmpty():
+        if n_open == 0:
             return _union(done)
     raise TreeTooDeep(f"climb did not end within {max_depth} levels (parent cycle?)")
 
@@ -201,21 +209,20 @@ def closure(remote: DataFrame, max_depth: int = DEFAULT_MAX_DEPTH) -> DataFrame:
 def _closure_bfs(remote: DataFrame, seeds: DataFrame, max_depth: int) -> DataFrame:
     """Every node is a frontier node (a child of a non-folder is still in the tree)."""
     cols = NODE_COLS
-    level = _cut(seeds.select(*cols, "path", F.lit(0).alias("depth"), F.array(F.col("file_id")).alias("chain")))
+    level, n_open = _cut_count(seeds.select(*cols, "path", F.lit(0).alias("depth"),
+                                            F.array(F.col("file_id")).alias("chain")), F.lit(True))
     levels = [level]
     for depth in range(1, max_depth + 2):
+        if n_open == 0:
+            return _union(levels)
         front = level.select(F.col("file_id").alias("__pid"), F.col("path").alias("__ppath"),
                              F.col("chain").alias("__pchain"))
-        if front.isEmpty():
-            return _union(levels)
         nxt = remote.select(*cols).join(front, F.col("parent_id") == F.col("__pid")).select(
             *cols, F.concat(F.col("__ppath"), F.lit("/"), F.col("name")).alias("path"), F.lit(depth).alias("depth"),
             F.concat(F.col("__pchain"), F.array(F.col("file_id"))).alias("chain"))
-        nxt = _cut(nxt)
-        if depth > max_depth:
-            raise TreeTooDeep(f"closure did not end within {max_depth} levels")
-        levels.append(nxt)
-        level = nxt
+        level, n_open = _cut_count(nxt, F.lit(True), depth, max_depth)
+        if n_open:
+            levels.append(level)
     return _union(levels)  # pragma: no cover
 
 
@@ -340,23 +347,20 @@ def walk_pruned(nodes: DataFrame, folder_id, flag_col: str, max_depth: int = DEF
 def _walk_flagged(kids: DataFrame, seeds: DataFrame, flag_col: str, extra, max_depth: int,
                   folder_mime: str) -> DataFrame:
     cols = NODE_COLS + [c for c in extra if c != "seed_id"]
-    level = _cut(seeds.select(*cols, F.col("name").alias("path"), F.lit(0).alias("depth"),
-                              F.col("file_id").alias("seed_id")))
+    opens = (F.col("mime_type") == folder_mime) & ~F.coalesce(F.col(flag_col), F.lit(False))
+    level, n_open = _cut_count(seeds.select(*cols, F.col("name").alias("path"), F.lit(0).alias("depth"),
+                                            F.col("file_id").alias("seed_id")), opens)
     levels = [level]
     src = kids.select(*cols)
     for depth in range(1, max_depth + 2):
-        front = level.filter((F.col("mime_type") == folder_mime) & ~F.coalesce(F.col(flag_col), F.lit(False))) \
-            .select(F.col("file_id").alias("__pid"), F.col("path").alias("__ppath"), "seed_id")
-        if front.isEmpty():
+        if n_open == 0:
             break
+        front = level.filter(opens).select(F.col("file_id").alias("__pid"), F.col("path").alias("__ppath"), "seed_id")
         nxt = src.join(front, F.col("parent_id") == F.col("__pid")).select(
             *cols, F.concat(F.col("__ppath"), F.lit("/"), F.col("name")).alias("path"), F.lit(depth).alias("depth"),
             "seed_id")
-        nxt = _cut(nxt)
-        if depth > max_depth:
-            raise TreeTooDeep(f"walk did not end within {max_depth} levels")
-        levels.append(nxt)
-        level = nxt
+        level, n_open = _cut_count(nxt, opens, depth, max_depth)
+        levels.append(level)
     out = _union(levels)
     return out.withColumn("type", F.when(F.col("mime_type") == folder_mime, "#folder").otherwise("#file")) \
         .withColumn("is_root", F.col("depth") == 0)

@@ -94,3 +94,14 @@ def test_contains_in_chunks(spark, inv, monkeypatch):
     got = D.descendants_join(archive, pats, mode="contains")
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     assert got.count() > 0
+
+
+def test_depth_guard_counts_levels(spark):
+    chain = [node("d0", "d0", None)] + [node(f"d{k}", f"d{k}", f"d{k - 1}") for k in range(1, 6)]
+    remote = spark.createDataFrame(chain, COLS)
+    assert H.walk(remote, "d0", max_depth=5).count() == 6   # exactly deep enough
+    with pytest.raises(H.TreeTooDeep):
+        H.walk(remote, "d0", max_depth=4).collect()
+    cyc = spark.createDataFrame([node("p", "p", "q"), node("q", "q", "p")], COLS)
+    with pytest.raises(H.TreeTooDeep):
+        H.walk(cyc, "p", max_depth=8).collect()
