@@ -149,34 +149,41 @@ def descend(children: DataFrame, seeds: DataFrame, path_col: str = "path", expan
 
 def climb(nodes: DataFrame, starts: DataFrame, start_col: str = "start_id", carry=("name",),
           halt_before: Column | None = None, halt_after: Column | None = None,
-          max_depth: int = DEFAULT_MAX_DEPTH) -> DataFrame:
+          max_depth: int = DEFAULT_MAX_DEPTH, marks: DataFrame | None = None,
+          derived: dict | None = None) -> DataFrame:
     """Bottom-up walk from ``starts[start_col]`` through ``nodes`` (``file_id,
-    parent_id`` + ``carry`` columns).
+    parent_id`` + node columns).
 
     Returns one row per distinct start id: ``chain`` = array of structs
-    (``id`` + carried columns), self first, and ``found`` (the start id exists).
+    (``id`` + ``carry`` columns), self first, and ``found`` (the start id exists).
     A row stops when the current node has no parent, is unknown, matches
-    ``halt_before`` (not appended) or ``halt_after`` (appended). Predicates
-    refer to the node's columns.
+    ``halt_before`` (not appended) or ``halt_after`` (appended).
+
+    ``marks`` (key column ``__mark_id`` + columns) is joined to the visited
+    node of every level, so per-node facts (e.g. "is archived") are looked up
+    only for the nodes the climb reaches, never joined to the whole listing.
+    ``derived`` adds named columns computed on the joined level; predicates and
+    ``carry`` may use node, mark and derived columns.
     """
     carry = list(carry)
-    node_cols = ["file_id", "parent_id", *[c for c in carry if c not in ("file_id", "parent_id")]]
+    derived = dict(derived or {})
+    node_cols = ["file_id", "parent_id", *[c for c in carry if c in nodes.columns and c not in ("file_id", "parent_id")]]
     n = nodes.select(*node_cols)
-    if halt_before is not None:
-        n = n.withColumn("__hb", halt_before)
-    if halt_after is not None:
-        n = n.withColumn("__ha", halt_after)
     elem_type = F.struct(F.col("file_id").alias("id"), *[F.col(c) for c in carry])
     empty = F.filter(F.array(elem_type), lambda _x: F.lit(False))
     state = starts.select(F.col(start_col).alias("start_id")).distinct() \
         .withColumn("__cur", F.col("start_id"))
     first = True
     done: list[DataFrame] = []
-    for depth in range(max_depth + 1):
+    for _depth in range(max_depth + 1):
         j = state.join(n, F.col("__cur") == F.col("file_id"), "left")
+        if marks is not None:
+            j = j.join(marks, F.col("file_id") == F.col("__mark_id"), "left").drop("__mark_id")
+        for name, col in derived.items():
+            j = j.withColumn(name, col)
         found = F.col("file_id").isNotNull()
-        hb = F.coalesce(F.col("__hb"), F.lit(False)) if halt_before is not None else F.lit(False)
-        ha = F.coalesce(F.col("__ha"), F.lit(False)) if halt_after is not None else F.lit(False)
+        hb = F.coalesce(halt_before, F.lit(False)) if halt_before is not None else F.lit(False)
+        ha = F.coalesce(halt_after, F.lit(False)) if halt_after is not None else F.lit(False)
         append = found & ~hb
         chain_in = empty if first else F.col("chain")
         new_chain = F.when(append, F.concat(chain_in, F.array(elem_type))).otherwise(chain_in)
@@ -271,6 +278,12 @@ def tag_archived(remote: DataFrame, archive: DataFrame) -> DataFrame:
         .withColumn("archived", F.col("__aid").isNotNull()).drop("__aid")
 
 
+def archive_marks(archive: DataFrame) -> DataFrame:
+    """Per-node facts from the archive, keyed for :func:`climb`'s ``marks``."""
+    return archive.select(F.col("drive_id").alias("__mark_id"), F.lit(True).alias("archived"),
+                          F.col("path").alias("archive_path"))
+
+
 def nearest_tracked_ancestor(changes: DataFrame, remote: DataFrame, archive: DataFrame, root_ids,
                              ignored_ids=(), max_depth: int = DEFAULT_MAX_DEPTH) -> DataFrame:
     """For each changed id, the first ancestor starting at its parent (taken
@@ -280,13 +293,14 @@ def nearest_tracked_ancestor(changes: DataFrame, remote: DataFrame, archive: Dat
     (file_id, parent_id); ``mid_path`` joins the names strictly below the
     tracked ancestor down to the parent (``''`` when the parent is tracked)."""
     root_ids, ignored_ids = list(root_ids), list(ignored_ids)
-    t = tag_archived(remote.select("file_id", "parent_id", "name"), archive)
     is_root = F.col("file_id").isin(root_ids) if root_ids else F.lit(False)
     is_ign = F.col("file_id").isin(ignored_ids) if ignored_ids else F.lit(False)
-    t = t.withColumn("tag", F.when(is_ign, "ignored").when(is_root | F.col("archived"), "tracked"))
+    tag = F.when(is_ign, "ignored").when(is_root | F.coalesce(F.col("archived"), F.lit(False)), "tracked")
     pairs = changes.select("file_id", "parent_id").distinct()
-    ch = climb(t, pairs.filter(F.col("parent_id").isNotNull()), start_col="parent_id", carry=("tag", "name"),
-               halt_after=F.col("tag").isNotNull(), max_depth=max_depth)
+    ch = climb(remote.select("file_id", "parent_id", "name"), pairs.filter(F.col("parent_id").isNotNull()),
+               start_col="parent_id", carry=("tag", "name"), halt_after=F.col("tag").isNotNull(),
+               max_depth=max_depth, marks=archive_marks(archive).select("__mark_id", "archived"),
+               derived={"tag": tag})
     first_tag = F.filter(F.col("chain"), lambda e: e["tag"].isNotNull())
     hit = F.try_element_at(first_tag, F.lit(1))
     below = F.slice(F.col("chain"), 1, F.greatest(F.size(F.col("chain")) - 1, F.lit(0)))
@@ -303,10 +317,10 @@ def nearest_tracked_ancestor(changes: DataFrame, remote: DataFrame, archive: Dat
 def parent_archive(remote: DataFrame, archive: DataFrame, ids: DataFrame, id_col: str = "file_id",
                    max_depth: int = DEFAULT_MAX_DEPTH) -> DataFrame:
     """First archived ancestor-or-self of each id (``archive_id``, ``archive_path``)."""
-    t = tag_archived(remote.select("file_id", "parent_id"), archive)
-    ch = climb(t, ids, start_col=id_col, carry=("archived", "archive_path"), halt_after=F.col("archived"),
-               max_depth=max_depth)
-    hit = F.try_element_at(F.filter(F.col("chain"), lambda e: e["archived"]), F.lit(1))
+    ch = climb(remote.select("file_id", "parent_id"), ids, start_col=id_col, carry=("is_archived", "archive_path"),
+               halt_after=F.col("is_archived"), max_depth=max_depth, marks=archive_marks(archive),
+               derived={"is_archived": F.coalesce(F.col("archived"), F.lit(False))})
+    hit = F.try_element_at(F.filter(F.col("chain"), lambda e: e["is_archived"]), F.lit(1))
     return ch.select(F.col("start_id").alias(id_col), hit["id"].alias("archive_id"),
                      hit["archive_path"].alias("archive_path"))
 
