@@ -35,11 +35,11 @@ def upsert_archive(archive: DataFrame, updates: DataFrame, seq_col: str = "seq")
     the update with the highest ``seq_col`` wins."""
     a = archive.select(*ARCHIVE_COLS)
     by_id = _latest(updates.filter(F.col("drive_id").isNotNull()).select(*ARCHIVE_COLS, seq_col), "drive_id",
-                    seq_col)
-    u = by_id.select([F.col(c).alias("__n_" + c) for c in ARCHIVE_COLS])
-    j = a.join(u, F.col("drive_id") == F.col("__n_drive_id"), "full_outer")
-    merged = j.select(*[F.when(F.col("__n_drive_id").isNotNull(), F.col("__n_" + c)).otherwise(F.col(c)).alias(c)
-                        for c in ARCHIVE_COLS])
+                    seq_col).select(*ARCHIVE_COLS)
+    # replace-or-insert by id: rows whose id is updated leave, the latest updates come in.
+    # A left anti join (not a full outer join) lets AQE broadcast a small update set,
+    # so a handful of updates does not shuffle the whole archive.
+    merged = a.join(by_id.select("drive_id"), "drive_id", "left_anti").select(*ARCHIVE_COLS).unionByName(by_id)
     by_path_src = updates.filter(F.col("drive_id").isNull())
     by_path = _latest(by_path_src.select("path", "date_modified_on_disk", "md5sum", seq_col), "path", seq_col)
     p = by_path.select(F.col("path").alias("__p"), F.col("date_modified_on_disk").alias("__pt"),
