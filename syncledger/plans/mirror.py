@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.paths import ancestors_at, depths_of
+from ..session import checkpoint_dir
 from ..operators.catalog import delete_archive
 from ..operators.diff import descendants_join, removed_locally
 from ..operators.exclude import Exclusions
@@ -19,6 +20,13 @@ from ..operators.hierarchy import tag_archived, topmost, walk_pruned
 from .upload import upload_plan, upload_sync_plan
 
 OUT_COLS = ["root", "action", "op", "type", "path", "drive_id", "parent_id"]
+
+
+def _materialise(df: DataFrame) -> DataFrame:
+    """Write a set the plan reads several times (gone / forgotten rows, small
+    next to the archive) once into the shared checkpoint folder."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 UNKNOWN_ID = "?UNKNOWN?"  # fixed value: folder id placeholder of a dry run for an unlinked root
 
 
@@ -53,10 +61,11 @@ def mirror_fast_plan(local: DataFrame, archive: DataFrame, ex: Exclusions, root:
 
     ``mode='prefix'`` reproduces plain ``startswith`` matching.
     """
-    gone = removed_locally(archive, local, under=root, mode=mode)
+    gone = _materialise(removed_locally(archive, local, under=root, mode=mode))
     tops = topmost(gone.select("path")) if mode == "descendant" else prefix_topmost(gone)
     deletes = gone.join(tops, "path", "left_semi")
-    forget = descendants_join(archive, tops, mode=mode).select(*archive.columns).dropDuplicates(["drive_id"])
+    forget = _materialise(descendants_join(archive, tops, mode=mode).select(*archive.columns)
+                          .dropDuplicates(["drive_id"]))
     remaining = delete_archive(archive, forget, "drive_id")
     fid = folder_id or root_folder_id(archive, root)
     up = upload_sync_plan(local, remaining, ex, fid, root)
@@ -81,7 +90,8 @@ def mirror_full_plan(remote: DataFrame, local: DataFrame, archive: DataFrame, ex
                              F.col("file_id").alias("drive_id"),
                              F.when(F.col("type") == "#folder", "").otherwise("x").alias("md5sum"))
     archived_tops = removed.filter(F.col("archived")).select(F.col("archive_path").alias("path"))
-    forget = descendants_join(archive, archived_tops, mode=mode).select(*archive.columns).dropDuplicates(["drive_id"])
+    forget = _materialise(descendants_join(archive, archived_tops, mode=mode).select(*archive.columns)
+                          .dropDuplicates(["drive_id"]))
     remaining = delete_archive(archive, forget, "drive_id")
     up = upload_sync_plan(local, remaining, ex, folder_id, root)
     return _rows(deletes, root, "delete").unionByName(_rows(forget, root, "forget")).unionByName(_upload_rows(up))
@@ -102,7 +112,7 @@ def mirror_all(local: DataFrame, archive: DataFrame, ex: Exclusions, roots, fast
     ids = {r["path"]: r["drive_id"] for r in archive.filter(F.col("path").isin(roots))
            .select("path", "drive_id").collect()}  # one row per configured root
     if fast:
-        gone = archive.join(local.select("path"), "path", "left_anti")
+        gone = _materialise(archive.join(local.select("path"), "path", "left_anti"))
         root_depths = [len([x for x in r.split("/") if x]) for r in roots]
         rooted = gone.select("*", F.explode(ancestors_at(F.col("path"), root_depths)).alias("__anc")) \
             .join(F.broadcast(rdf), F.col("__anc") == F.col("root")).drop("__anc")
@@ -128,7 +138,7 @@ def mirror_all(local: DataFrame, archive: DataFrame, ex: Exclusions, roots, fast
         top_depths = depths_of(tops, "__anc")
         forget = archive.select("*", F.explode(ancestors_at(F.col("path"), top_depths)).alias("__anc")) \
             .join(tops, "__anc").drop("__anc")
-    forget = forget.dropDuplicates(["root", "drive_id"])
+    forget = _materialise(forget.dropDuplicates(["root", "drive_id"]))
     remaining = delete_archive(archive, forget, "drive_id")
     up = upload_plan(local, remaining, ex, roots, root_ids={k: v for k, v in ids.items()})
     return (_rows(deletes, F.col("root"), "delete").unionByName(_rows(forget, F.col("root"), "forget"))
