@@ -1,6 +1,6 @@
 """Mirror plans (P4, P5, P6): make the remote side match a local root.
 
-Output rows: ``root, action, op, type, path, drive_id, parent_id`` where
+Output rows: ``root, action, op, type, path, drive_id, parent_id, is_root`` where
 ``action`` is ``delete`` (remote delete), ``forget`` (archive row to drop) or
 ``upload`` (``op`` NEW / UPDATE, from the upload plan computed on the archive
 without the forgotten rows).
@@ -19,7 +19,15 @@ from ..operators.exclude import Exclusions
 from ..operators.hierarchy import tag_archived, topmost, walk_pruned
 from .upload import upload_plan, upload_sync_plan
 
-OUT_COLS = ["root", "action", "op", "type", "path", "drive_id", "parent_id"]
+OUT_COLS = ["root", "action", "op", "type", "path", "drive_id", "parent_id", "is_root"]
+
+
+def _flag_root(plan: DataFrame, root_id) -> DataFrame:
+    """``is_root``: the row is the mirrored root itself (its local path or its
+    remote id), so a caller can refuse to delete or forget it."""
+    rid = F.lit(root_id) if isinstance(root_id, str) or root_id is None else root_id
+    return plan.withColumn("is_root", (F.col("path") == F.col("root")) |
+                           F.coalesce(F.col("drive_id") == rid, F.lit(False)))
 
 
 def _materialise(df: DataFrame) -> DataFrame:
@@ -69,7 +77,8 @@ def mirror_fast_plan(local: DataFrame, archive: DataFrame, ex: Exclusions, root:
     remaining = delete_archive(archive, forget, "drive_id")
     fid = folder_id or root_folder_id(archive, root)
     up = upload_sync_plan(local, remaining, ex, fid, root)
-    return _rows(deletes, root, "delete").unionByName(_rows(forget, root, "forget")).unionByName(_upload_rows(up))
+    out = _rows(deletes, root, "delete").unionByName(_rows(forget, root, "forget")).unionByName(_upload_rows(up))
+    return _flag_root(out, fid)
 
 
 def flag_removed(remote: DataFrame, archive: DataFrame, local: DataFrame) -> DataFrame:
@@ -94,7 +103,8 @@ def mirror_full_plan(remote: DataFrame, local: DataFrame, archive: DataFrame, ex
                           .dropDuplicates(["drive_id"]))
     remaining = delete_archive(archive, forget, "drive_id")
     up = upload_sync_plan(local, remaining, ex, folder_id, root)
-    return _rows(deletes, root, "delete").unionByName(_rows(forget, root, "forget")).unionByName(_upload_rows(up))
+    out = _rows(deletes, root, "delete").unionByName(_rows(forget, root, "forget")).unionByName(_upload_rows(up))
+    return _flag_root(out, folder_id)
 
 
 def mirror_all(local: DataFrame, archive: DataFrame, ex: Exclusions, roots, fast: bool = True,
@@ -141,5 +151,8 @@ def mirror_all(local: DataFrame, archive: DataFrame, ex: Exclusions, roots, fast
     forget = _materialise(forget.dropDuplicates(["root", "drive_id"]))
     remaining = delete_archive(archive, forget, "drive_id")
     up = upload_plan(local, remaining, ex, roots, root_ids={k: v for k, v in ids.items()})
-    return (_rows(deletes, F.col("root"), "delete").unionByName(_rows(forget, F.col("root"), "forget"))
-            .unionByName(_upload_rows(up)))
+    out = (_rows(deletes, F.col("root"), "delete").unionByName(_rows(forget, F.col("root"), "forget"))
+           .unionByName(_upload_rows(up)))
+    rid = F.create_map(*[x for k, v in ids.items() for x in (F.lit(k), F.lit(v))])[F.col("root")] if ids \
+        else F.lit(None).cast("string")
+    return _flag_root(out, rid)

@@ -234,10 +234,11 @@ fgt AS (SELECT DISTINCT a.* FROM archive a JOIN tops t ON a.path = t.path OR sta
 remaining AS (SELECT * FROM archive WHERE drive_id NOT IN (SELECT drive_id FROM fgt)),
 {ONE_ROOT},
 {link_sql('linked', 'remaining', FID_SQL, WALK_LOCAL)},
-{p1_sql('m', 'linked', 'one_root', FID_SQL)}
-{_mirror_rows('tops', f"'{WALK_LOCAL}'", 'delete')}
-UNION ALL {_mirror_rows('fgt', f"'{WALK_LOCAL}'", 'forget')}
-UNION ALL SELECT root, 'upload', op, type, path, drive_id, parent_id FROM m_plan""")
+{p1_sql('m', 'linked', 'one_root', FID_SQL)},
+mo AS ({_mirror_rows('tops', f"'{WALK_LOCAL}'", 'delete')}
+  UNION ALL {_mirror_rows('fgt', f"'{WALK_LOCAL}'", 'forget')}
+  UNION ALL SELECT root, 'upload', op, type, path, drive_id, parent_id FROM m_plan)
+SELECT *, (path = root OR coalesce(drive_id = {FID_SQL}, FALSE)) AS is_root FROM mo""")
 def q_p4(spark, sf_dir):
     i = inv(spark, sf_dir)
     return PMI.mirror_fast_plan(i.L, i.A, excl(spark, sf_dir), WALK_LOCAL)
@@ -259,10 +260,11 @@ fgt AS (SELECT DISTINCT a.* FROM archive a JOIN (SELECT archive_path AS p FROM r
 remaining AS (SELECT * FROM archive WHERE drive_id NOT IN (SELECT drive_id FROM fgt)),
 {ONE_ROOT},
 {link_sql('linked', 'remaining', f"'{WALK_FOLDER}'", WALK_LOCAL)},
-{p1_sql('m', 'linked', 'one_root', f"'{WALK_FOLDER}'")}
-{_mirror_rows('dels', f"'{WALK_LOCAL}'", 'delete')}
-UNION ALL {_mirror_rows('fgt', f"'{WALK_LOCAL}'", 'forget')}
-UNION ALL SELECT root, 'upload', op, type, path, drive_id, parent_id FROM m_plan""")
+{p1_sql('m', 'linked', 'one_root', f"'{WALK_FOLDER}'")},
+mo AS ({_mirror_rows('dels', f"'{WALK_LOCAL}'", 'delete')}
+  UNION ALL {_mirror_rows('fgt', f"'{WALK_LOCAL}'", 'forget')}
+  UNION ALL SELECT root, 'upload', op, type, path, drive_id, parent_id FROM m_plan)
+SELECT *, (path = root OR coalesce(drive_id = '{WALK_FOLDER}', FALSE)) AS is_root FROM mo""")
 def q_p5(spark, sf_dir):
     i = inv(spark, sf_dir)
     return PMI.mirror_full_plan(i.R, i.L, i.A, excl(spark, sf_dir), WALK_FOLDER, WALK_LOCAL)
@@ -275,10 +277,12 @@ tops AS (SELECT r.* FROM rooted r WHERE NOT EXISTS (SELECT 1 FROM rooted o WHERE
   AND starts_with(r.path, o.path || '/'))),
 fgt AS (SELECT DISTINCT t.root, a.* FROM archive a JOIN tops t ON a.path = t.path OR starts_with(a.path, t.path || '/')),
 remaining AS (SELECT * FROM archive WHERE drive_id NOT IN (SELECT drive_id FROM fgt)),
-{p1_sql('m', 'remaining', 'sync_roots', "coalesce((SELECT x.drive_id FROM archive x WHERE x.path = c.root), 'root')")}
-{_mirror_rows('tops', 'root', 'delete')}
-UNION ALL {_mirror_rows('fgt', 'root', 'forget')}
-UNION ALL SELECT root, 'upload', op, type, path, drive_id, parent_id FROM m_plan""")
+{p1_sql('m', 'remaining', 'sync_roots', "coalesce((SELECT x.drive_id FROM archive x WHERE x.path = c.root), 'root')")},
+mo AS ({_mirror_rows('tops', 'root', 'delete')}
+  UNION ALL {_mirror_rows('fgt', 'root', 'forget')}
+  UNION ALL SELECT root, 'upload', op, type, path, drive_id, parent_id FROM m_plan)
+SELECT mo.*, (mo.path = mo.root OR coalesce(mo.drive_id = (SELECT x.drive_id FROM archive x WHERE x.path = mo.root),
+  FALSE)) AS is_root FROM mo""")
 def q_p6(spark, sf_dir):
     i = inv(spark, sf_dir)
     return PMI.mirror_all(i.L, i.A, excl(spark, sf_dir), fx.ROOT_PATHS, fast=True)
@@ -300,10 +304,12 @@ dels AS (SELECT root, coalesce(archive_path, path) AS path, file_id AS drive_id,
 fgt AS (SELECT DISTINCT t.root, a.* FROM archive a JOIN (SELECT root, archive_path AS p FROM removed WHERE archived) t
   ON a.path = t.p OR starts_with(a.path, t.p || '/')),
 remaining AS (SELECT * FROM archive WHERE drive_id NOT IN (SELECT drive_id FROM fgt)),
-{p1_sql('m', 'remaining', 'sync_roots', "coalesce((SELECT x.drive_id FROM archive x WHERE x.path = c.root), 'root')")}
-{_mirror_rows('dels', 'root', 'delete')}
-UNION ALL {_mirror_rows('fgt', 'root', 'forget')}
-UNION ALL SELECT root, 'upload', op, type, path, drive_id, parent_id FROM m_plan""")
+{p1_sql('m', 'remaining', 'sync_roots', "coalesce((SELECT x.drive_id FROM archive x WHERE x.path = c.root), 'root')")},
+mo AS ({_mirror_rows('dels', 'root', 'delete')}
+  UNION ALL {_mirror_rows('fgt', 'root', 'forget')}
+  UNION ALL SELECT root, 'upload', op, type, path, drive_id, parent_id FROM m_plan)
+SELECT mo.*, (mo.path = mo.root OR coalesce(mo.drive_id = (SELECT x.drive_id FROM archive x WHERE x.path = mo.root),
+  FALSE)) AS is_root FROM mo""")
 def q_p6_full(spark, sf_dir):
     i = inv(spark, sf_dir)
     return PMI.mirror_all(i.L, i.A, excl(spark, sf_dir), fx.ROOT_PATHS, fast=False, remote=i.R)

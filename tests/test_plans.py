@@ -96,3 +96,19 @@ def test_rename_subtree(spark, inv):
     moved = U.rename_paths(inv.A, "/data/ASIA", "/moved")
     assert moved.filter(F.col("path").startswith("/data/ASIA/")).count() == 0
     assert moved.count() == inv.A.count() and U.check_unique(moved).count() == 0
+
+
+def test_mirror_flags_the_root(spark):
+    folder = "application/vnd.folder"
+    cols = ("file_id string, name string, parent_id string, mime_type string, md5sum string, "
+            "modified_time timestamp_ntz, size bigint, trashed boolean")
+    remote = spark.createDataFrame([("R", "home", None, folder, None, None, 0, False),
+                                    ("f", "a.txt", "R", "text/plain", "m", None, 1, False)], cols)
+    archive = spark.createDataFrame([], "path string, drive_id string, date_modified_on_disk timestamp_ntz, "
+                                        "md5sum string")
+    local = spark.createDataFrame([("/home", True, None, None, 0)],
+                                  "path string, is_dir boolean, mtime timestamp_ntz, md5sum string, size bigint")
+    plan = PMI.mirror_full_plan(remote, local, archive, Exclusions(), "R", "/home")
+    rows = {(r["action"], r["drive_id"], r["is_root"]) for r in plan.collect()}
+    # the unarchived root is flagged (and not entered); callers can refuse to delete it
+    assert ("delete", "R", True) in rows and not any(d == "f" for _a, d, _r in rows)
