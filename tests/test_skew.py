@@ -50,3 +50,30 @@ def test_hot_folder_walk_is_split(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_hot_ancestor_climb_is_split(spark):
+    old = {k: spark.conf.get(k, None) for k in CONF}
+    try:
+        for k, v in CONF.items():
+            spark.conf.set(k, v)
+        nodes = listing(spark)
+        files = nodes.filter(F.col("mime_type") != FOLDER).select("file_id")
+        anc = H.id_ancestors(nodes, files)
+        assert anc.count() == 30000 * 3
+        assert anc.filter((F.col("depth") == 1) & (F.col("ancestor_id") == "d0")).count() == \
+            nodes.filter(F.col("parent_id") == "d0").count()
+        # climbing rows that share one current node: the left side of a left outer join is hot
+        # as in the climb: distinct start ids, their chain so far, the current node; read from a checkpoint
+        state = files.join(nodes.select("file_id", "parent_id"), "file_id").select(
+            F.col("file_id").alias("start_id"), F.array(F.col("file_id")).alias("chain"),
+            F.col("parent_id").alias("__cur")).checkpoint(eager=True)
+        j = state.join(nodes.select("file_id", "parent_id"), F.col("__cur") == F.col("file_id"), "left")
+        j.collect()
+        assert "SortMergeJoin(skew=true)" in j._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
