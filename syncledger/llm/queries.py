@@ -1,8 +1,12 @@
 """The registered queries of the llm operators and their DuckDB oracles."""
 
 from .mixing import OP2_SQL, op2_mix_sources
+from .packing import op8_pack_best_fit
+from .token_counts import op5_token_counts
 
 QUERIES = {
+    "op5_token_counts": op5_token_counts,
+    "op8_pack_best_fit": op8_pack_best_fit,
     "op2_mix_sources": op2_mix_sources,
 }
 
