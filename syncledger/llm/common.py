@@ -209,7 +209,7 @@ def window_hashes(h: np.ndarray, first: np.ndarray, k: int, short: bool) -> tupl
         return np.zeros(0, _U), np.zeros(len(first), np.int64)
     w = np.zeros(total, _U)
     for j in range(k):
-        w[:total - j] += h[j:] * odd[j]
+        w[:max(total - j, 0)] += h[j:] * odd[j]
     valid = np.ones(total, bool)
     for j in range(1, k):
         at = first[1:][n >= j] - j

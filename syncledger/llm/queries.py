@@ -2,10 +2,12 @@
 
 from .mixing import OP2_SQL, op2_mix_sources
 from .packing import op8_pack_best_fit
+from .quality import op7_quality_weak_supervision
 from .token_counts import op5_token_counts
 
 QUERIES = {
     "op5_token_counts": op5_token_counts,
+    "op7_quality_weak_supervision": op7_quality_weak_supervision,
     "op8_pack_best_fit": op8_pack_best_fit,
     "op2_mix_sources": op2_mix_sources,
 }
