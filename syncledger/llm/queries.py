@@ -1,5 +1,6 @@
 """The registered queries of the llm operators and their DuckDB oracles."""
 
+from .language import op6_language_ppm
 from .mixing import OP2_SQL, op2_mix_sources
 from .packing import op8_pack_best_fit
 from .quality import op7_quality_weak_supervision
@@ -7,6 +8,7 @@ from .token_counts import op5_token_counts
 
 QUERIES = {
     "op5_token_counts": op5_token_counts,
+    "op6_language_ppm": op6_language_ppm,
     "op7_quality_weak_supervision": op7_quality_weak_supervision,
     "op8_pack_best_fit": op8_pack_best_fit,
     "op2_mix_sources": op2_mix_sources,
