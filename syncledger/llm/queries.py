@@ -1,5 +1,6 @@
 """The registered queries of the llm operators and their DuckDB oracles."""
 
+from .class_lm import op9_class_ngram_score
 from .language import op6_language_ppm
 from .mixing import OP2_SQL, op2_mix_sources
 from .packing import op8_pack_best_fit
@@ -11,6 +12,7 @@ QUERIES = {
     "op6_language_ppm": op6_language_ppm,
     "op7_quality_weak_supervision": op7_quality_weak_supervision,
     "op8_pack_best_fit": op8_pack_best_fit,
+    "op9_class_ngram_score": op9_class_ngram_score,
     "op2_mix_sources": op2_mix_sources,
 }
 
