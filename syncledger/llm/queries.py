@@ -3,11 +3,13 @@
 from .class_lm import op9_class_ngram_score
 from .language import op6_language_ppm
 from .mixing import OP2_SQL, op2_mix_sources
+from .near_dup import op1_minmax_near_dup
 from .packing import op8_pack_best_fit
 from .quality import op7_quality_weak_supervision
 from .token_counts import op5_token_counts
 
 QUERIES = {
+    "op1_minmax_near_dup": op1_minmax_near_dup,
     "op5_token_counts": op5_token_counts,
     "op6_language_ppm": op6_language_ppm,
     "op7_quality_weak_supervision": op7_quality_weak_supervision,
