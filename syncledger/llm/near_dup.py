@@ -7,11 +7,12 @@ values propose candidates; links are confirmed on the full sets.
 
 * Documents with equal sets are one class from the start (a grouping by a
   128-bit digest of the set); only class representatives are banded.
-* In a bucket, all members are compared with one member (the leader). What is
-  left of buckets that still hold two components or more is compared with the
-  next leaders, from the smallest component, with twice as many leaders each
-  round, until each bucket is settled. No pairs inside a component are made,
-  no bucket is gathered in one task, and no candidate is dropped.
+* In a bucket, all members are compared with one member (the leader). Of buckets
+  that still hold two components or more, members leave that have too many
+  shingles of their own to be linked with any other; the rest is compared with
+  the next leaders, from the smallest component, with twice as many leaders
+  each round, until each bucket is settled. No pairs inside a component are
+  made, no bucket is gathered in one task, and no possible link is dropped.
 * A pair with J = 0.75 is missed by all 32 bands with probability 5e-6.
 
 Defined cases: without words, or with a null text, the set is empty and the
@@ -159,6 +160,34 @@ def _pairs(rows: DataFrame, percent: int) -> DataFrame:
         .select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct()
 
 
+def _unsettled(held: DataFrame) -> DataFrame:
+    """The members of buckets that hold two components or more, stored."""
+    held = stored(held, "dup-held")
+    keys = held.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")) \
+        .filter("x < y").select("key")
+    return stored(held.join(keys, "key", "left_semi"), "dup-open")
+
+
+def _supported(held: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``held`` without the members that can have no link in their bucket: a link to a set of ``m`` shingles takes
+    ``percent / (100 + percent) * (n + m)`` common ones, and those of a member that no other member of any bucket
+    has are common to none. Exact, and one count of shingles, however many members a bucket has."""
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rep, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                h = np.frombuffer(raw.as_buffer(), np.int64)
+                yield pa.record_batch([pa.array(h), pa.array(np.full(len(h), rep))], ["h", "rep"])
+
+    reps = hinted(held.select(F.col("rep").alias("id")).distinct())
+    own = sets.join(reps, "id", "left_semi").select("id", "shingles").mapInArrow(spread, "h bigint, rep bigint") \
+        .groupBy("h").agg(F.min("rep").alias("rep"), F.max("rep").alias("last")).filter("rep = last") \
+        .groupBy("rep").agg(F.count("*").alias("own"))
+    least = held.groupBy("key").agg(F.min("n").alias("least"))
+    partner = F.greatest("least", F.ceil(F.col("n") * F.lit(percent) / 100))
+    can = (100 + percent) * (F.col("n") - F.coalesce("own", F.lit(0))) >= percent * (F.col("n") + partner)
+    return held.join(own, "rep", "left").join(least, "key").filter(can).select("key", "rep", "n", "component")
+
+
 def _components(docs: DataFrame, reps: DataFrame, words: int, percent: int, id_col: str,
                 text_col: str) -> DataFrame | None:
     """(node, label) of the representatives (rep, n, bands) that are linked; null if none can be."""
@@ -176,10 +205,10 @@ def _components(docs: DataFrame, reps: DataFrame, words: int, percent: int, id_c
     while True:
         held = left.join(labels.withColumnRenamed("node", "rep"), "rep", "left") \
             .select("key", "rep", "n", F.coalesce("label", "rep").alias("component"))
-        held = stored(held, "dup-held")
-        open_keys = held.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")) \
-            .filter("x < y").select("key")
-        held = stored(held.join(open_keys, "key", "left_semi"), "dup-open")
+        held = _unsettled(held)
+        if held.isEmpty():
+            return labels
+        held = _unsettled(_supported(held, sets, percent))
         if held.isEmpty():
             return labels
         sizes = held.groupBy("key", "component").agg(F.count("*").alias("size"))
