@@ -7,9 +7,11 @@ from .near_dup import op1_minmax_near_dup
 from .packing import op8_pack_best_fit
 from .quality import op7_quality_weak_supervision
 from .token_counts import op5_token_counts
+from .topk import OP3_SQL, op3_bit_sliced_topk
 
 QUERIES = {
     "op1_minmax_near_dup": op1_minmax_near_dup,
+    "op3_bit_sliced_topk": op3_bit_sliced_topk,
     "op5_token_counts": op5_token_counts,
     "op6_language_ppm": op6_language_ppm,
     "op7_quality_weak_supervision": op7_quality_weak_supervision,
@@ -20,4 +22,5 @@ QUERIES = {
 
 ORACLES = {
     "op2_mix_sources": OP2_SQL,
+    "op3_bit_sliced_topk": OP3_SQL,
 }
