@@ -5,6 +5,7 @@ from .language import op6_language_ppm
 from .mixing import OP2_SQL, op2_mix_sources
 from .near_dup import op1_minmax_near_dup
 from .packing import op8_pack_best_fit
+from .pii import op4_pii_semi_crf
 from .quality import op7_quality_weak_supervision
 from .token_counts import op5_token_counts
 from .topk import OP3_SQL, op3_bit_sliced_topk
@@ -12,6 +13,7 @@ from .topk import OP3_SQL, op3_bit_sliced_topk
 QUERIES = {
     "op1_minmax_near_dup": op1_minmax_near_dup,
     "op3_bit_sliced_topk": op3_bit_sliced_topk,
+    "op4_pii_semi_crf": op4_pii_semi_crf,
     "op5_token_counts": op5_token_counts,
     "op6_language_ppm": op6_language_ppm,
     "op7_quality_weak_supervision": op7_quality_weak_supervision,
