@@ -272,6 +272,9 @@ def _variants(text: str, gold: list[tuple[int, int, str]], seed: int) -> list[tu
                 (f"{d[:3]}-{d[3:7]}", None), (f"{d[:1]}.{d[1:2]}", None)]
     elif kind == "email":
         user, _, host = span.partition("@")
+        plain, site = re.sub("[^A-Za-z]", "", user) or "x", re.sub("[0-9]", "", host)
+        out += [(f"{plain}[at]{site}", kind), (f"{plain} [at] {site}", kind), (f"{plain}(at){site}", kind),
+                (f"{plain} (at) {site}", kind), (f"{plain} at {site}", None), (site, None), (f"{plain}.{plain}", None)]
         out += [(f"{user}[at]{host}", kind), (f"{user} [at] {host}", kind), (f"{user}(at){host}", kind),
                 (f"{user} (at) {host}", kind), (host, None), (user, None), (f"{user}@", None),
                 (f"@{user.split('.')[0]}", None), (hashlib.md5(span.encode()).hexdigest(), None)]

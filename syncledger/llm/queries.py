@@ -1,5 +1,6 @@
 """The registered queries of the llm operators and their DuckDB oracles."""
 
+from .chat import OP10_SQL, op10_perspective_rotation
 from .class_lm import op9_class_ngram_score
 from .language import op6_language_ppm
 from .mixing import OP2_SQL, op2_mix_sources
@@ -19,10 +20,12 @@ QUERIES = {
     "op7_quality_weak_supervision": op7_quality_weak_supervision,
     "op8_pack_best_fit": op8_pack_best_fit,
     "op9_class_ngram_score": op9_class_ngram_score,
+    "op10_perspective_rotation": op10_perspective_rotation,
     "op2_mix_sources": op2_mix_sources,
 }
 
 ORACLES = {
     "op2_mix_sources": OP2_SQL,
     "op3_bit_sliced_topk": OP3_SQL,
+    "op10_perspective_rotation": OP10_SQL,
 }
