@@ -26,6 +26,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401 - pa.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -247,16 +248,20 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel, reject_bits: float = REJECT_BITS,
-                    text_col: str = "text") -> DataFrame:
+                    text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows of ``docs`` whose text is in a learned language: not ``und``, and not coded by the best model with
-    ``reject_bits`` bits more than its plain bytes have. Same columns."""
+    ``reject_bits`` bits more than its plain bytes have. Same columns; a null language becomes the predicted one."""
     shipped = _shipped(docs, model)
-    at = docs.columns.index(text_col)
+    at, lang = docs.columns.index(text_col), docs.columns.index(lang_col)
 
     def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names, _, bits, n = judge(batch.column(at), shipped.value)
             fits = (bits - 8 * n < reject_bits) & (np.array(names, object) != UNKNOWN)
+            column = batch.column(lang)
+            if column.null_count:
+                column = pa.compute.coalesce(column, pa.array(names, column.type))
+                batch = batch.set_column(lang, batch.schema.field(lang), column)
             yield batch.filter(pa.array(fits.astype(bool)))
 
     return docs.mapInArrow(select, docs.schema)
