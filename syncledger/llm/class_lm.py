@@ -125,8 +125,18 @@ def exchange(bigrams: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS)
         return x * np.log(np.maximum(x, 1))
 
     side = len(bigrams)
-    words = side - 2
-    of = np.arange(side) % max(classes, 1)
+    words, seeds = side - 2, min(classes, side - 2)
+    # words whose neighbours are least like each other's begin a class each, the others join the one most like them
+    near = np.concatenate([bigrams, bigrams.T], axis=1).astype(float)
+    near /= np.maximum(np.sqrt((near ** 2).sum(axis=1, keepdims=True)), 1)
+    of = np.zeros(side, np.int64)
+    like = np.full((words, seeds), -1.0)
+    for c in range(seeds):
+        seed = int(like.max(axis=1).argmin()) if c else 0
+        like[:, c] = near[:words] @ near[seed]
+        like[seed, c] = 2.0
+    if seeds:
+        of[:words] = like.argmax(axis=1)
     of[words:] = [classes, classes + 1]
     both = classes + 2
     member = np.zeros((side, both))

@@ -42,6 +42,8 @@ RULES = (
     ("word_length", "-abs(word_chars / n_words - 5.5)", -2.0, -4.5),
 )
 ROUNDS = 50
+#: At the start a bad vote outweighs so many good ones: rules call bad only what is far out, and good what is usual.
+BAD_WEIGHT = 5
 
 _STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_letters", "n_capitals",
           "n_distinct", "n_stops")
@@ -152,12 +154,13 @@ def estimate(patterns: list[str], counts: np.ndarray, rounds: int = ROUNDS) -> t
     """Posterior probability of good for each vote pattern, by expectation-maximisation.
 
     A rule votes with its own probabilities given good and given bad; rules are
-    independent given the class. It starts from the majority of the votes.
+    independent given the class. It starts from the majority of the votes, a bad
+    one counting BAD_WEIGHT times.
     """
     v = np.array([[int(c) for c in p] for p in patterns]).reshape(len(patterns), -1)
     onehot = (v[:, :, None] == np.arange(3)).astype(float)
-    lean = (v - 1).sum(axis=1)
-    good = 1 / (1 + np.exp(-1.5 * lean))
+    lean = (v == 2).sum(axis=1) - BAD_WEIGHT * (v == 0).sum(axis=1)
+    good = 1 / (1 + np.exp(-np.clip(lean, -30, 30)))
     for _ in range(rounds):
         weight = np.stack([counts * (1 - good), counts * good])
         # each rule is taken to be better than chance: a little of the start stays as a prior
