@@ -85,42 +85,6 @@ def glob_to_regex(glob: str) -> str:
     return "(?s:" + "".join(out) + ")"
 
 
-def glob_to_component_regex(glob: str) -> str:
-    """Like :func:`glob_to_regex`, but no wildcard may cross a ``/``, so the
-    pattern can be matched against one component of a full path."""
-    body = glob_to_regex(glob)[len("(?s:"):-1]
-    out, i = [], 0
-    while i < len(body):
-        ch = body[i]
-        if body.startswith(".*", i):
-            out.append("[^/]*")
-            i += 2
-            continue
-        if ch == "\\":
-            out.append(body[i:i + 2])
-            i += 2
-            continue
-        if ch == "[":
-            j = body.index("]", i + 1)
-            cls = body[i:j + 1]
-            out.append("[^/" + cls[2:] if cls.startswith("[^") else cls)
-            i = j + 1
-            continue
-        out.append("[^/]" if ch == "." else ch)
-        i += 1
-    return "".join(out)
-
-
-def component_rules_regex(rules) -> str | None:
-    """A pattern that finds a path component fully matching any rule, e.g.
-    ``(?:^|/)(?:[^/]*\\.pyc)(?:/|\\z)``. ``None`` for no rules. Rules that
-    contain ``/`` cannot be expressed this way (also ``None``; callers check)."""
-    rules = [r.strip() for r in rules if r and r.strip()]
-    if not rules or any("/" in r for r in rules):
-        return None
-    return "(?:^|/)(?:" + "|".join(glob_to_component_regex(r) for r in rules) + ")(?:/|\\z)"
-
-
 def rules_regex(rules) -> str | None:
     """One anchored pattern for a list of globs; ``None`` when the list is empty.
 

@@ -78,21 +78,16 @@ def ancestors(col) -> Column:
         F.concat(F.array(F.lit(SEP)), below_root))
 
 
-def ancestors_at(col, depths) -> Column:
-    """Ancestors-or-self of ``col`` whose depth is in ``depths`` (a small list).
-
-    Exploding only the depths a join can match keeps the universal ancestors
-    (``/``, top folders) out of the shuffle, where they would be hot keys."""
-    depths = sorted({int(d) for d in depths})
-    if not depths:
-        return F.array().cast("array<string>")
-    return F.filter(ancestors(col), lambda _a, i: i.isin(depths))
-
-
-def depths_of(df, path_col: str, limit: int = 4096) -> list[int]:
-    """Distinct depths present in a path column (at most ``limit``; read on the driver)."""
-    rows = df.select(path_depth(F.col(path_col)).alias("d")).distinct().limit(limit).collect()
-    return [r["d"] for r in rows]
+def explode_ancestors(df, path_col: str, out: str, like, like_col: str):
+    """``df`` with one row per ancestor-or-self of ``path_col`` (as ``out``) whose depth
+    occurs among the paths ``like[like_col]``.
+
+    Keeping only the depths a join can match keeps the universal ancestors (``/``,
+    top folders) out of the shuffle, where they would be hot keys. The depths are
+    a scalar subquery of the same plan: no driver read, no bound on their number."""
+    depths = like.agg(F.collect_set(path_depth(F.col(like_col))).alias("d")).scalar()
+    return df.select("*", F.posexplode(ancestors(F.col(path_col))).alias("__depth", out)) \
+        .filter(F.array_contains(depths, F.col("__depth").cast("bigint"))).drop("__depth")
 
 
 def join_path(*cols) -> Column:

@@ -7,60 +7,12 @@ the big side.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions.paths import ancestors_at, basename, depths_of, parent_dir, path_depth
+from ..functions.paths import SEP, basename, explode_ancestors, parent_dir, path_depth
 from .exclude import Exclusions, is_excluded, is_excluded_up
 
-MAX_CONTAINS_CHUNK = 100_000  # patterns per broadcast automaton
-
-
-def _contains_join(archive: DataFrame, patterns: list[str], path_col: str = "path") -> DataFrame:
-    """Rows of ``archive`` with every pattern that occurs in ``path_col`` as a
-    substring (one output row per row and pattern).
-
-    The patterns (a bounded chunk) are broadcast once; each task builds an
-    Aho-Corasick automaton and scans every path once, so the cost is the
-    length of the paths plus the matches, not paths x patterns.
-    """
-    spark = archive.sparkSession
-    bc = spark.sparkContext.broadcast(sorted(set(patterns)))
-    schema = T.StructType(list(archive.schema.fields) + [T.StructField("matched_path", T.StringType())])
-    pos = archive.columns.index(path_col)
-
-    def run(batches):
-        import ahocorasick
-        import pandas as pd
-
-        pats = bc.value
-        auto = ahocorasick.Automaton()
-        for p in pats:
-            if p:
-                auto.add_word(p, p)
-        empty = "" in pats
-        if len(auto):
-            auto.make_automaton()
-        for pdf in batches:
-            idx, found = [], []
-            for i, s in enumerate(pdf.iloc[:, pos].tolist()):
-                if s is None:
-                    continue
-                hits = {p for _end, p in auto.iter(s)} if len(auto) else set()
-                if empty:
-                    hits.add("")
-                for p in sorted(hits):
-                    idx.append(i)
-                    found.append(p)
-            out = pdf.iloc[idx].reset_index(drop=True)
-            out["matched_path"] = pd.Series(found, dtype="object")
-            yield out
-
-    return archive.mapInPandas(run, schema)
-
 
 def lookup(keys: DataFrame, archive: DataFrame, key_col: str, field: str = "path",
            value: str = "drive_id", fallback=None, out: str | None = None) -> DataFrame:
@@ -127,47 +79,49 @@ def descendants_join(archive: DataFrame, paths: DataFrame, path_col: str = "path
 
     * ``descendant``: separator-aware. Each archive path is exploded into its
       ancestors-or-self and equi-joined with the given paths.
-    * ``prefix``: plain ``startswith`` (``/a/b`` also takes ``/a/bc``). The
-      archive path's ancestor one level above the prefix's depth is
-      equi-joined with the prefix's parent, then ``startswith`` is checked.
-    * ``contains``: plain substring. Not an equi-join: the patterns are
-      broadcast in bounded chunks and matched with an Aho-Corasick automaton
-      per task (each path is scanned once, whatever the number of patterns).
+    * ``prefix``: plain ``startswith`` (``/a/b`` also takes ``/a/bc``): the
+      beginnings of a path that are as long as a pattern of the same folder are
+      equi-joined with the patterns.
+    * ``contains``: plain substring. A pattern that starts with a separator can
+      only begin at one of the path's separators, so it is a prefix match of the
+      path's tails; any other pattern is looked for at every character.
 
     An archive row matched by several paths appears once per match.
     """
-    p = paths.select(F.col(path_col).alias("matched_path")).distinct()
+    p = paths.select(F.col(path_col).alias("matched_path")).filter("matched_path IS NOT NULL").distinct()
     if mode == "descendant":
-        depths = depths_of(p, "matched_path")
-        ex = archive.select("*", F.explode(ancestors_at(F.col("path"), depths)).alias("__anc"))
-        return ex.join(p, F.col("__anc") == F.col("matched_path")).drop("__anc")
+        ex = explode_ancestors(archive, "path", "__anc", p, "matched_path")
+        return ex.join(p, F.col("__anc") == F.col("matched_path")).select(*archive.columns, "matched_path")
     if mode == "prefix":
-        pp = p.withColumn("__pparent", parent_dir(F.col("matched_path"))) \
-            .withColumn("__pdepth", path_depth(F.col("__pparent")))
-        depths = depths_of(pp, "__pparent")
-        ex = archive.select("*", F.explode(ancestors_at(F.col("path"), depths)).alias("__anc")) \
-            .withColumn("__d", path_depth(F.col("__anc")))
-        j = ex.join(pp, (F.col("__anc") == F.col("__pparent")) & (F.col("__d") == F.col("__pdepth")))
-        return j.filter(F.col("path").startswith(F.col("matched_path"))).drop("__anc", "__d", "__pparent", "__pdepth")
+        return _starting_with(archive, p, "path").select(*archive.columns, "matched_path")
     if mode == "contains":
-        pats = [r[0] for r in p.limit(MAX_CONTAINS_CHUNK + 1).collect()]
-        if len(pats) <= MAX_CONTAINS_CHUNK:
-            return _contains_join(archive, pats)
-        # More patterns than one automaton should hold: chunks by a hash of the
-        # pattern (a recomputed chunk holds the same patterns), one scan each.
-        n_chunks = 2 * (1 + p.count() // MAX_CONTAINS_CHUNK)
-        chunked = p.withColumn("__chunk", F.pmod(F.xxhash64("matched_path"), F.lit(n_chunks)))
-        parts = []
-        for i in range(n_chunks):
-            chunk = [r[0] for r in chunked.filter(F.col("__chunk") == i).select("matched_path")
-                     .limit(MAX_CONTAINS_CHUNK + 1).collect()]
-            if len(chunk) > MAX_CONTAINS_CHUNK:
-                raise ValueError("pattern chunk over its bound; the hash split is too uneven")
-            parts.append(_contains_join(archive, chunk))
-        return reduce(lambda a, b: a.unionByName(b), parts)
+        steps = F.sequence(F.lit(1), path_depth(F.col("path")).cast("int"))
+        tails = F.when(F.col("path") == SEP, F.array(F.lit(SEP))).otherwise(F.transform(
+            steps, lambda k: F.concat(F.lit(SEP), F.call_function("substring_index", F.col("path"), F.lit(SEP), -k))))
+        rooted = _starting_with(archive.withColumn("__tail", F.explode(tails)),
+                                p.filter(F.col("matched_path").startswith(SEP)), "__tail").drop("__tail")
+        other = p.filter(~F.col("matched_path").startswith(SEP)).withColumn("__n", F.length("matched_path"))
+        spans = archive.join(other.select("__n").distinct(), F.length("path") >= F.col("__n")) \
+            .withColumn("__at", F.explode(F.sequence(F.lit(1), F.length("path") - F.col("__n") + 1))) \
+            .withColumn("__part", F.expr("substring(path, __at, __n)"))
+        loose = spans.join(other.select("matched_path"), F.col("__part") == F.col("matched_path")) \
+            .drop("__n", "__at", "__part")
+        return rooted.unionByName(loose).select(*archive.columns, "matched_path").distinct()
     raise ValueError(f"unknown mode {mode!r}")
 
 
+def _starting_with(df: DataFrame, patterns: DataFrame, col: str) -> DataFrame:
+    """``df`` joined with the ``patterns`` (``matched_path``) that ``col`` starts with, by equi-joins alone: ``col``
+    meets the distinct pattern lengths of each folder on its way, and its beginnings of those lengths meet the
+    patterns. The rows between depend on how many lengths a folder has, not on how many patterns."""
+    pp = patterns.withColumn("__folder", parent_dir(F.col("matched_path"))) \
+        .withColumn("__n", F.length("matched_path"))
+    lengths = pp.select("__folder", "__n").distinct()
+    cut = explode_ancestors(df, col, "__folder", pp, "__folder").join(lengths, "__folder") \
+        .filter(F.length(col) >= F.col("__n")).withColumn("matched_path", F.expr(f"left({col}, __n)"))
+    return cut.join(pp.select("__folder", "matched_path"), ["__folder", "matched_path"]).drop("__folder", "__n")
+
+
 def path_match(df: DataFrame, patterns: DataFrame, mode: str = "descendant", path_col: str = "path") -> DataFrame:
     """rows of ``df`` whose path matches one of ``patterns`` (``path``)
     by ``descendant`` (separator-aware), ``prefix`` or ``contains``."""
@@ -202,16 +156,21 @@ def unarchived_nodes(nodes: DataFrame, archive: DataFrame) -> DataFrame:
 
 def diff_state(remote: DataFrame, archive: DataFrame, local: DataFrame) -> DataFrame:
     """``side, key`` for remote-only ids (live and not archived), local-only
-    paths (not archived) and archive-only rows (gone remotely and locally)."""
+    paths (not archived), archive-only rows (gone remotely and locally), and
+    archived rows that are still there: on ``both`` sides, or ``archive_remote``
+    or ``archive_local`` where one side is gone. Every archived row has one side."""
     live = remote.filter(~F.col("trashed")).select(F.col("file_id").alias("key"))
     r_only = live.join(archive.select(F.col("drive_id").alias("key")), "key", "left_anti") \
         .withColumn("side", F.lit("remote_only"))
     l_only = local.select(F.col("path").alias("key")).join(archive.select(F.col("path").alias("key")), "key",
                                                             "left_anti").withColumn("side", F.lit("local_only"))
-    a_gone = remote_exists(archive, remote, "drive_id", out="__rx").filter(~F.col("__rx")) \
-        .join(local.select("path"), "path", "left_anti").select(F.col("drive_id").alias("key")) \
-        .withColumn("side", F.lit("archive_only"))
-    return r_only.unionByName(l_only).unionByName(a_gone)
+    here = local.select(F.col("path").alias("__lp")).distinct()
+    archived = remote_exists(archive, remote, "drive_id", out="__rx") \
+        .join(here, F.col("path") == F.col("__lp"), "left") \
+        .select(F.col("drive_id").alias("key"), F.when(F.col("__rx") & F.col("__lp").isNotNull(), "both")
+                .when(F.col("__rx"), "archive_remote").when(F.col("__lp").isNotNull(), "archive_local")
+                .otherwise("archive_only").alias("side"))
+    return r_only.unionByName(l_only).unionByName(archived)
 
 
 __all__ = ["lookup", "remote_exists", "removed_locally", "removed_remotely", "archive_gc", "excluded_archived",

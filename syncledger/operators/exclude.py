@@ -1,9 +1,9 @@
 """Exclusion rules: exact paths and basename globs.
 
-Exclusions are configuration, collected once on the driver with a hard row
-bound. Up to ``MAX_LITERAL_PATHS`` exact paths become an ``IN`` set (a hash set
-in generated code, no shuffle); beyond that the ancestor tests fall back to an
-explode + join plan that partitions like any other join.
+The rules are configuration: a list that becomes one regular expression. Exact
+paths are always a table and always joined, whatever their number: ancestors in
+scope are exploded, matched by a left semi join, and the few hits are joined
+back by path. While the set is small, both joins broadcast it.
 """
 
 from __future__ import annotations
@@ -13,17 +13,13 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.globs import component_rules_regex, match_rules, name_matches, rules_regex
-from ..functions.paths import ancestors, parent_dir, path_depth
-
-MAX_LITERAL_PATHS = 50_000
-MAX_RULES = 10_000
-FAST_MAX = 64  # up to this many stop/root paths and exact paths: plain code-generated expressions
+from ..functions.globs import match_rules, rules_regex
+from ..functions.paths import ancestors, parent_dir
 
 
 @dataclass(frozen=True)
 class Exclusions:
-    """Exact excluded paths plus shell-style rules on basenames."""
+    """Exact excluded paths (listed, or a table ``path``) plus shell-style rules on basenames."""
 
     paths: tuple[str, ...] = ()
     rules: tuple[str, ...] = ()
@@ -31,149 +27,66 @@ class Exclusions:
 
     @classmethod
     def from_df(cls, df: DataFrame) -> "Exclusions":
-        """Read a ``(kind, value)`` table; ``kind`` is ``path`` or ``rule``."""
-        rules = [r["value"] for r in df.filter(F.col("kind") == "rule").select("value").limit(MAX_RULES + 1).collect()]
-        if len(rules) > MAX_RULES:
-            raise ValueError(f"more than {MAX_RULES} exclusion rules")
-        paths_df = df.filter(F.col("kind") == "path").select(F.col("value").alias("path")).distinct()
-        paths = [r["path"] for r in paths_df.limit(MAX_LITERAL_PATHS + 1).collect()]
-        if len(paths) > MAX_LITERAL_PATHS:
-            return cls((), tuple(rules), paths_df)
-        return cls(tuple(sorted(paths)), tuple(rules), None)
-
-    @property
-    def literal(self) -> bool:
-        return self.paths_df is None
+        """From a ``(kind, value)`` table; ``kind`` is ``path`` or ``rule``. Only the rules (configuration, one
+        regular expression) are read by the driver; the paths stay a table."""
+        rules = [r["value"] for r in df.filter(F.col("kind") == "rule").select("value").distinct().collect()]
+        paths = df.filter(F.col("kind") == "path").select(F.col("value").alias("path")).distinct()
+        return cls((), tuple(sorted(rules)), paths)
+
+    def path_table(self, like: DataFrame) -> DataFrame | None:
+        """All exact paths as ``path``, or None if there are none to look for."""
+        listed = like.sparkSession.createDataFrame([(x,) for x in self.paths], "path string") if self.paths else None
+        if self.paths_df is None:
+            return listed
+        table = self.paths_df.select("path")
+        return (table if listed is None else table.unionByName(listed)).distinct()
 
     @property
     def regex(self) -> str | None:
         return rules_regex(self.rules)
 
 
-def _in_paths(c: Column, paths) -> Column:
-    return c.isin(list(paths)) if paths else F.lit(False)
-
-
-def _excluded_one(c: Column, ex: Exclusions) -> Column:
-    """F7 on one path-valued expression (literal path set)."""
-    return _in_paths(c, ex.paths) | match_rules(c, ex.rules)
-
-
 def is_excluded(df: DataFrame, path_col: str, ex: Exclusions, out: str = "excluded") -> DataFrame:
     """the path itself is an excluded path or its basename matches a rule.
 
     Ancestors are not tested (see :func:`is_excluded_up`).
     """
-    if ex.literal:
-        return df.withColumn(out, _excluded_one(F.col(path_col), ex))
-    hits = ex.paths_df.select(F.col("path").alias("__xp"), F.lit(True).alias("__xhit"))
+    by_rule = F.coalesce(match_rules(F.col(path_col), ex.rules), F.lit(False))
+    table = ex.path_table(df)
+    if table is None:
+        return df.withColumn(out, by_rule)
+    hits = table.select(F.col("path").alias("__xp"), F.lit(True).alias("__xhit"))
     joined = df.join(hits, F.col(path_col) == F.col("__xp"), "left")
-    return joined.withColumn(out, F.coalesce(F.col("__xhit"), F.lit(False)) | match_rules(F.col(path_col), ex.rules)) \
-        .drop("__xp", "__xhit")
+    return joined.withColumn(out, F.col("__xhit").isNotNull() | by_rule).drop("__xp", "__xhit")
 
 
-def _candidates_below(anc: Column, stops, include_stop: bool) -> Column:
-    """Ancestors strictly below (or at) the deepest stop path in the chain."""
+def _in_scope(path: Column, stops, include_stop: bool) -> Column:
+    """Ancestors-or-self of a path below (or at) the deepest stop path among them; all of them without one."""
+    chain = ancestors(path)
     if not stops:
-        return anc
-    stop_pos = F.array_max(F.transform(anc, lambda a, i: F.when(a.isin(list(stops)), i).otherwise(F.lit(-1))))
-    if include_stop:
-        return F.filter(anc, lambda _a, i: i >= stop_pos)
-    return F.filter(anc, lambda _a, i: i > stop_pos)
-
-
-def _lit_at_or_below(x: str, scope: str) -> bool:
-    return scope == "/" or x == scope or x.startswith(scope + "/")
-
-
-def _at_or_below(c: Column, p: str) -> Column:
-    """``c`` is ``p`` or below it (normalised paths)."""
-    return c.startswith("/") if p == "/" else (c == p) | c.startswith(p + "/")
-
-
-def _scope_test(c: Column, ex: Exclusions, scope: str | None, include: bool) -> Column:
-    """Some ancestor-or-self of ``c`` inside the scope is excluded. The scope is
-    everything below ``scope`` (and ``scope`` itself when ``include``); all
-    ancestors up to ``/`` when ``scope`` is None.
-
-    Exact paths: ``c`` is at or below one of them (only those inside the scope
-    count). Rules: one regex finds a component of the in-scope part of the
-    path that fully matches a rule. No arrays, no lambdas: all of it compiles
-    into the generated code of the stage."""
-    if scope is None:
-        xs = list(ex.paths)
-        suffix = c
-    elif include:
-        xs = [x for x in ex.paths if _lit_at_or_below(x, scope)]
-        start = 1 if scope == "/" else len(scope) - len(scope.rsplit("/", 1)[-1]) + 1
-        suffix = c.substr(F.lit(start), F.lit(1 << 30)) if start > 1 else c
-    else:
-        xs = [x for x in ex.paths if x != scope and _lit_at_or_below(x, scope)]
-        prefix = "/" if scope == "/" else scope + "/"
-        suffix = c.substr(F.lit(len(prefix) + 1), F.lit(1 << 30))
-    test = F.lit(False)
-    for x in xs:
-        test = test | _at_or_below(c, x)
-    crx = component_rules_regex(ex.rules)
-    if crx is not None:
-        test = test | suffix.rlike(crx)
-    return test
-
-
-def _fast_ok(ex: Exclusions, scopes) -> bool:
-    return (ex.literal and len(ex.paths) <= FAST_MAX and len(scopes) <= FAST_MAX
-            and (not ex.rules or component_rules_regex(ex.rules) is not None))
-
-
-def _deepest_first(paths) -> list[str]:
-    return sorted(set(paths), key=lambda p: (-len(p), p))
-
-
-def _fast_up(c: Column, ex: Exclusions, stops, include: bool, default_all: bool) -> Column:
-    """F8 (``include`` False, ``default_all`` True) or F9 (True, False) as a CASE
-    over the stop paths, deepest first."""
-    expr = None
-    for s in _deepest_first(stops):
-        cond, val = _at_or_below(c, s), _scope_test(c, ex, s, include)
-        expr = F.when(cond, val) if expr is None else expr.when(cond, val)
-    fallback = _scope_test(c, ex, None, include) if default_all else F.lit(None).cast("boolean")
-    return fallback if expr is None else expr.otherwise(fallback)
-
-
-def _up_flag(df: DataFrame, path_col: str, ex: Exclusions, stops, include_stop: bool, out: str,
-             anc_col: str | None = None) -> DataFrame:
-    """Shared body of F8/F9. The ancestor array is computed once per row
-    (``anc_col``) and every test reads it."""
-    if anc_col is None and _fast_ok(ex, stops):
-        return df.withColumn(out, _fast_up(F.col(path_col), ex, stops, include_stop, default_all=True))
-    own_anc = anc_col is None
-    if own_anc:
-        anc_col = "__anc"
-        df = df.withColumn(anc_col, ancestors(F.col(path_col)))
-    anc = F.col(anc_col)
-    cands = _candidates_below(anc, stops, include_stop)
-    regex = ex.regex
-    if ex.literal:
-        test = F.exists(cands, lambda a: _in_paths(a, ex.paths) | (
-            F.substring_index(a, "/", -1).rlike(regex) if regex else F.lit(False)))
-        out_df = df.withColumn(out, test)
-        return out_df.drop(anc_col) if own_anc else out_df
-    # Large exact-path set: explode candidates and join; partition by the row id.
-    rid = "__rid"
-    base = df.withColumn(rid, F.monotonically_increasing_id())
-    exploded = base.select(rid, F.explode(cands).alias("__cand"))
-    hits = exploded.join(ex.paths_df.select(F.col("path").alias("__cand")), "__cand", "left_semi") \
-        .select(rid).distinct().withColumn("__hit", F.lit(True))
-    rule_hit = F.exists(cands, lambda a: F.substring_index(a, "/", -1).rlike(regex)) if regex else F.lit(False)
-    out_df = base.join(hits, rid, "left").withColumn(
-        out, F.coalesce(F.col("__hit"), F.lit(False)) | rule_hit).drop(rid, "__hit")
-    return out_df.drop(anc_col) if own_anc else out_df
+        return chain
+    stop = F.array_max(F.transform(chain, lambda a, i: F.when(a.isin(list(stops)), i).otherwise(F.lit(-1))))
+    return F.filter(chain, lambda _a, i: i >= stop if include_stop else i > stop)
+
+
+def _any_excluded(df: DataFrame, path_col: str, ex: Exclusions, stops, include_stop: bool, out: str) -> DataFrame:
+    """Some ancestor-or-self of the path in scope is an excluded path or has a name that matches a rule."""
+    scope, regex = _in_scope(F.col(path_col), stops, include_stop), ex.regex
+    by_rule = F.exists(scope, lambda a: F.substring_index(a, "/", -1).rlike(regex)) if regex else F.lit(False)
+    flagged = df.withColumn(out, F.coalesce(by_rule, F.lit(False)))
+    table = ex.path_table(df)
+    if table is None:
+        return flagged
+    hits = df.select(F.col(path_col).alias("__hit"), F.explode(scope).alias("path")) \
+        .join(table, "path", "left_semi").select("__hit").distinct()
+    return flagged.join(hits, F.col(path_col) == F.col("__hit"), "left") \
+        .withColumn(out, F.col(out) | F.col("__hit").isNotNull()).drop("__hit")
 
 
 def is_excluded_up(df: DataFrame, path_col: str, ex: Exclusions, stops=(), out: str = "excluded") -> DataFrame:
     """F8: the path or any ancestor is excluded, walking up and stopping at
     (without testing) the nearest stop path; ``/`` is tested when no stop is met."""
-    return _up_flag(df, path_col, ex, tuple(stops), include_stop=False, out=out)
+    return _any_excluded(df, path_col, ex, tuple(stops), include_stop=False, out=out)
 
 
 def prune_excluded(df: DataFrame, path_col: str, ex: Exclusions, roots, out: str = "pruned") -> DataFrame:
@@ -184,24 +97,10 @@ def prune_excluded(df: DataFrame, path_col: str, ex: Exclusions, roots, out: str
     The walk root of a node is its deepest root ancestor-or-self.
     """
     roots = tuple(roots)
-    if _fast_ok(ex, roots):
-        c = F.col(path_col)
-        root = None
-        for r in _deepest_first(roots):
-            root = F.when(_at_or_below(c, r), F.lit(r)) if root is None else root.when(_at_or_below(c, r), F.lit(r))
-        root = F.lit(None).cast("string") if root is None else root
-        return df.withColumn("root", root).withColumn(out, _fast_up(c, ex, roots, True, default_all=False))
-    df = df.withColumn("__anc", ancestors(F.col(path_col)))
-    anc = F.col("__anc")
-    root_pos = F.array_max(F.transform(anc, lambda a, i: F.when(a.isin(list(roots)), i).otherwise(F.lit(-1))))
-    withroot = df.withColumn("root", F.when(root_pos >= 0, F.element_at(anc, root_pos + 1)))
-    flagged = _up_flag(withroot, path_col, ex, roots, include_stop=True, out=out, anc_col="__anc")
-    return flagged.withColumn(out, F.when(F.col("root").isNotNull(), F.col(out))).drop("__anc")
-
-
-def match_rules_df(df: DataFrame, path_col: str, rules, out: str = "matched") -> DataFrame:
-    """F6 as a DataFrame transform."""
-    return df.withColumn(out, match_rules(F.col(path_col), rules))
+    above = F.filter(ancestors(F.col(path_col)), lambda a: a.isin(list(roots)))
+    rooted = df.withColumn("root", F.try_element_at(above, F.lit(-1)))
+    flagged = _any_excluded(rooted, path_col, ex, roots, include_stop=True, out=out)
+    return flagged.withColumn(out, F.when(F.col("root").isNotNull(), F.col(out)))
 
 
 def merge_exclusions(x1: DataFrame, x2: DataFrame) -> DataFrame:
@@ -212,10 +111,9 @@ def merge_exclusions(x1: DataFrame, x2: DataFrame) -> DataFrame:
 def minimal_exclusions(ex: Exclusions, local: DataFrame, roots) -> DataFrame:
     """Keep excluded paths that exist locally and whose parent is not itself
     excluded (F8 with the roots as stops). Returns ``path``."""
-    if ex.literal:
-        paths = local.filter(F.col("path").isin(list(ex.paths)) if ex.paths else F.lit(False)).select("path")
-    else:
-        paths = local.select("path").join(ex.paths_df, "path", "left_semi")
+    table = ex.path_table(local)
+    paths = local.select("path").filter(F.lit(False)) if table is None else \
+        local.select("path").join(table, "path", "left_semi")
     flagged = is_excluded_up(paths.withColumn("__parent", parent_dir(F.col("path"))), "__parent", ex, roots,
                              out="__parent_excl")
     return flagged.filter(~F.col("__parent_excl")).select("path").distinct()
@@ -232,11 +130,5 @@ def add_exclusions(ex: Exclusions, new_paths: DataFrame, local: DataFrame, roots
     return topmost(flagged.filter(~F.col("__covered")).select("path"), "path")
 
 
-def depth_of(path_col: str) -> Column:
-    return path_depth(F.col(path_col))
-
-
-__all__ = [
-    "Exclusions", "is_excluded", "is_excluded_up", "prune_excluded", "match_rules_df", "merge_exclusions",
-    "minimal_exclusions", "add_exclusions", "name_matches",
-]
+__all__ = ["Exclusions", "is_excluded", "is_excluded_up", "prune_excluded", "merge_exclusions", "minimal_exclusions",
+           "add_exclusions"]

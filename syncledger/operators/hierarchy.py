@@ -15,8 +15,8 @@ level by level with joins:
 
 Every level is cut from its lineage with a reliable ``checkpoint()`` into the
 shared checkpoint folder, so a lost executor recomputes one level, not the
-whole loop, and plans do not grow with depth. ``max_depth`` guards against
-parent cycles.
+whole loop, and plans do not grow with depth. There is no limit on the depth:
+a parent cycle is known by an id that is met again, and raises.
 """
 
 from __future__ import annotations
@@ -26,28 +26,35 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..functions.paths import ancestors, ancestors_at, basename, depths_of, parent_dir, path_depth, path_parts
+from ..functions.paths import ancestors, basename, explode_ancestors, parent_dir, path_depth, path_parts
 from ..session import checkpoint_dir
-
-DEFAULT_MAX_DEPTH = 64
+from .reconcile import null_safe_key
 
 
 class TreeTooDeep(RuntimeError):
-    """Raised when a walk does not end within ``max_depth`` levels (parent cycle)."""
+    """A walk met a parent cycle, or did not end within the ``max_depth`` levels its caller allows."""
+
 
+class TreeCycle(TreeTooDeep):
+    """Nodes that are their own ancestors."""
 
-def _cut_count(df: DataFrame, open_rows: Column, depth: int = 0, max_depth: int | None = None
-               ) -> tuple[DataFrame, int]:
+
+def _cut_count(df: DataFrame, open_rows: Column, depth: int = 0, max_depth: int | None = None,
+               cycle: Column | None = None) -> tuple[DataFrame, int]:
     """Checkpoint a level and, in the same job, count its rows that still
     need another step (an ``Observation`` read after the eager checkpoint).
-    A non-empty level deeper than ``max_depth`` raises :class:`TreeTooDeep`."""
+    A row of a parent cycle (``cycle`` true) raises :class:`TreeCycle`, a
+    non-empty level deeper than ``max_depth`` :class:`TreeTooDeep`."""
     checkpoint_dir(df.sparkSession)
     obs = Observation()
-    cut = df.observe(obs, F.count(F.when(open_rows, F.lit(1))).alias("n_open"),
-                     F.count(F.lit(1)).alias("n_rows")).checkpoint(eager=True)
+    cut = df.observe(obs, F.count(F.when(open_rows, F.lit(1))).alias("n_open"), F.count(F.lit(1)).alias("n_rows"),
+                     F.count(F.when(F.lit(False) if cycle is None else cycle, F.lit(1))).alias("n_cycle")) \
+        .checkpoint(eager=True)
     metrics = obs.get
+    if metrics["n_cycle"]:
+        raise TreeCycle(f"{metrics['n_cycle']} nodes met themselves again {depth} levels away (parent cycle)")
     if max_depth is not None and depth > max_depth and metrics["n_rows"]:
-        raise TreeTooDeep(f"tree walk did not end within {max_depth} levels (parent cycle?)")
+        raise TreeTooDeep(f"tree walk did not end within {max_depth} levels")
     return cut, int(metrics["n_open"])
 
 
@@ -73,9 +80,7 @@ def topmost(paths: DataFrame, path_col: str = "path") -> DataFrame:
     """H6: keep the paths that have no other listed path above them (an antichain
     that covers the input)."""
     p = paths.select(path_col).distinct()
-    depths = depths_of(p, path_col)
-    proper = p.select(F.col(path_col), F.explode(ancestors_at(F.col(path_col), depths)).alias("__anc")) \
-        .filter(F.col("__anc") != F.col(path_col))
+    proper = explode_ancestors(p, path_col, "__anc", p, path_col).filter(F.col("__anc") != F.col(path_col))
     covered = proper.join(p.select(F.col(path_col).alias("__anc")), "__anc", "left_semi").select(path_col)
     return p.join(covered, path_col, "left_anti")
 
@@ -117,39 +122,57 @@ NODE_COLS = ["file_id", "name", "parent_id", "mime_type", "md5sum", "modified_ti
 
 
 def descend(children: DataFrame, seeds: DataFrame, path_col: str = "path", expand: Column | None = None,
-            max_depth: int = DEFAULT_MAX_DEPTH, folder_mime: str = "application/vnd.folder") -> DataFrame:
-    """Top-down BFS.
+            max_depth: int | None = None, folder_mime: str = "application/vnd.folder",
+            extra=()) -> DataFrame:
+    """Top-down BFS over the folders; all other nodes are attached by one join at the end.
 
     ``children``: nodes that may be reached (``NODE_COLS``), e.g. the
     non-trashed listing. ``seeds``: the level-0 rows, with ``NODE_COLS`` plus
     ``path_col``. Every reached node gets ``path = parent path + '/' + name``,
     ``depth`` and ``seed_id``. Only folders are expanded, and only those for
-    which ``expand`` (evaluated on the reached row) is true.
+    which ``expand`` (evaluated on the reached row) is true. ``extra`` names
+    further columns of both tables to carry.
     """
-    cols = [c for c in NODE_COLS if c in children.columns]
-    frontier_cols = [F.col("file_id").alias("__pid"), F.col(path_col).alias("__ppath"), F.col("seed_id")]
+    cols = [*[c for c in NODE_COLS if c in children.columns], *extra]
+    front_cols = [F.col("file_id").alias("__pid"), F.col(path_col).alias("__ppath"), F.col("seed_id"),
+                  F.col("depth").alias("__pdepth")]
     opens = F.col("mime_type") == folder_mime
     if expand is not None:
         opens = opens & expand
+
+    def below(kids: DataFrame, front: DataFrame) -> DataFrame:
+        return kids.join(front.select(*front_cols), F.col("parent_id") == F.col("__pid")).select(
+            *cols, F.concat(F.col("__ppath"), F.lit("/"), F.col("name")).alias(path_col),
+            (F.col("__pdepth") + 1).alias("depth"), F.col("seed_id"))
+
+    is_folder = F.coalesce(F.col("mime_type") == folder_mime, F.lit(False))
+    folders, files = children.select(*cols).filter(is_folder), children.select(*cols).filter(~is_folder)
+    checkpoint_dir(children.sparkSession)
     level, n_open = _cut_count(seeds.select(*cols, path_col, F.lit(0).alias("depth"),
                                             F.col("file_id").alias("seed_id")), opens)
-    levels = [level]
-    kids_src = children.select(*cols)
-    for depth in range(1, max_depth + 2):
-        if n_open == 0:  # nothing left to expand
-            return _union(levels)
-        front = level.filter(opens).select(*frontier_cols)
-        nxt = kids_src.join(front, F.col("parent_id") == F.col("__pid")).select(
-            *cols, F.concat(F.col("__ppath"), F.lit("/"), F.col("name")).alias(path_col),
-            F.lit(depth).alias("depth"), F.col("seed_id"))
-        level, n_open = _cut_count(nxt, opens, depth, max_depth)
+    levels, depth = [level], 0
+    if n_open:
+        folders = folders.checkpoint(eager=True)  # each level joins the folders only
+    while n_open:
+        depth += 1
+        # every node has one parent, so a walk can only come back to its seed
+        level, n_open = _cut_count(below(folders, level.filter(opens)), opens, depth, max_depth,
+                                   F.col("file_id") == F.col("seed_id"))
         levels.append(level)
-    return _union(levels)  # pragma: no cover
+    reached = _union(levels)
+    if not depth:
+        return reached
+    leaves = below(files, reached.filter(opens))
+    if max_depth is not None:
+        leaves, _ = _cut_count(leaves, F.lit(False))
+        if not leaves.filter(F.col("depth") > max_depth).isEmpty():
+            raise TreeTooDeep(f"tree walk did not end within {max_depth} levels")
+    return reached.unionByName(leaves)
 
 
 def climb(nodes: DataFrame, starts: DataFrame, start_col: str = "start_id", carry=("name",),
           halt_before: Column | None = None, halt_after: Column | None = None,
-          max_depth: int = DEFAULT_MAX_DEPTH, marks: DataFrame | None = None,
+          max_depth: int | None = None, marks: DataFrame | None = None,
           derived: dict | None = None) -> DataFrame:
     """Bottom-up walk from ``starts[start_col]`` through ``nodes`` (``file_id,
     parent_id`` + node columns).
@@ -175,10 +198,12 @@ def climb(nodes: DataFrame, starts: DataFrame, start_col: str = "start_id", carr
         .withColumn("__cur", F.col("start_id"))
     first = True
     done: list[DataFrame] = []
-    for _depth in range(max_depth + 1):
+    depth = 0
+    while True:
         j = state.join(n, F.col("__cur") == F.col("file_id"), "left")
-        if marks is not None:
-            j = j.join(marks, F.col("file_id") == F.col("__mark_id"), "left").drop("__mark_id")
+        if marks is not None:  # unknown nodes have no id: their rows are spread instead of meeting in one task
+            key = null_safe_key(F.col("file_id"), F.col("start_id"), "unknown")
+            j = j.join(marks, key == F.col("__mark_id"), "left").drop("__mark_id")
         for name, col in derived.items():
             j = j.withColumn(name, col)
         found = F.col("file_id").isNotNull()
@@ -191,13 +216,16 @@ def climb(nodes: DataFrame, starts: DataFrame, start_col: str = "start_id", carr
         step = j.select("start_id", new_chain.alias("chain"), F.col("parent_id").alias("__next"),
                         stop.alias("__stop"),
                         (found if first else F.col("found")).alias("found"))
-        step, n_open = _cut_count(step, ~F.col("__stop"))
+        again = ~F.col("__stop") & F.array_contains(F.col("chain")["id"], F.col("__next"))
+        step, n_open = _cut_count(step, ~F.col("__stop"), depth, cycle=again)
         done.append(step.filter(F.col("__stop")).select("start_id", "chain", "found"))
         state = step.filter(~F.col("__stop")).select("start_id", "chain", "found", F.col("__next").alias("__cur"))
         first = False
         if n_open == 0:
             return _union(done)
-    raise TreeTooDeep(f"climb did not end within {max_depth} levels (parent cycle?)")
+        depth += 1
+        if max_depth is not None and depth > max_depth:
+            raise TreeTooDeep(f"climb did not end within {max_depth} levels")
 
 
 def forest_tops(remote: DataFrame) -> DataFrame:
@@ -206,41 +234,48 @@ def forest_tops(remote: DataFrame) -> DataFrame:
     return remote.join(ids, F.col("parent_id") == F.col("__pid"), "left_anti")
 
 
-def closure(remote: DataFrame, max_depth: int = DEFAULT_MAX_DEPTH) -> DataFrame:
+def closure(remote: DataFrame, max_depth: int | None = None) -> DataFrame:
     """Every node with its root-first chain of ids (``chain``), its absolute
-    remote path (``/top/.../name``) and depth, by one top-down BFS."""
-    seeds = forest_tops(remote).select(*NODE_COLS, F.concat(F.lit("/"), F.col("name")).alias("path"))
-    return _closure_bfs(remote, seeds, max_depth)
-
-
-def _closure_bfs(remote: DataFrame, seeds: DataFrame, max_depth: int) -> DataFrame:
-    """Every node is a frontier node (a child of a non-folder is still in the tree)."""
-    cols = NODE_COLS
-    level, n_open = _cut_count(seeds.select(*cols, "path", F.lit(0).alias("depth"),
-                                            F.array(F.col("file_id")).alias("chain")), F.lit(True))
-    levels = [level]
-    for depth in range(1, max_depth + 2):
-        if n_open == 0:
-            return _union(levels)
-        front = level.select(F.col("file_id").alias("__pid"), F.col("path").alias("__ppath"),
-                             F.col("chain").alias("__pchain"))
-        nxt = remote.select(*cols).join(front, F.col("parent_id") == F.col("__pid")).select(
-            *cols, F.concat(F.col("__ppath"), F.lit("/"), F.col("name")).alias("path"), F.lit(depth).alias("depth"),
-            F.concat(F.col("__pchain"), F.array(F.col("file_id"))).alias("chain"))
-        level, n_open = _cut_count(nxt, F.lit(True), depth, max_depth)
-        if n_open:
-            levels.append(level)
-    return _union(levels)  # pragma: no cover
-
-
-def id_ancestors_all(remote: DataFrame, max_depth: int = DEFAULT_MAX_DEPTH) -> DataFrame:
+    remote path (``/top/.../name``) and depth, by one top-down BFS over the nodes
+    that are somebody's parent; all others are attached by one join at the end.
+    Nodes on or below a parent cycle have no root: they raise :class:`TreeCycle`."""
+    checkpoint_dir(remote.sparkSession)
+    nodes = remote.select(*NODE_COLS)
+    parents = remote.select(F.col("parent_id").alias("file_id")).filter("file_id IS NOT NULL").distinct()
+    inner = nodes.join(parents, "file_id", "left_semi").select(*NODE_COLS).checkpoint(eager=True)
+
+    def below(kids: DataFrame, front: DataFrame) -> DataFrame:
+        up = front.select(F.col("file_id").alias("__pid"), F.col("path").alias("__ppath"),
+                          F.col("chain").alias("__pchain"), F.col("depth").alias("__pdepth"))
+        return kids.join(up, F.col("parent_id") == F.col("__pid")).select(
+            *NODE_COLS, F.concat(F.col("__ppath"), F.lit("/"), F.col("name")).alias("path"),
+            (F.col("__pdepth") + 1).alias("depth"), F.concat(F.col("__pchain"), F.array(F.col("file_id"))).alias("chain"))
+
+    tops = forest_tops(nodes).select(*NODE_COLS, F.concat(F.lit("/"), F.col("name")).alias("path"),
+                                     F.lit(0).alias("depth"), F.array(F.col("file_id")).alias("chain"))
+    level, n_open = _cut_count(tops, F.lit(True))
+    levels, depth = [level], 0
+    while n_open:
+        depth += 1
+        level, n_open = _cut_count(below(inner, level), F.lit(True), depth, max_depth)
+        levels.append(level)
+    inside = _union(levels)
+    rootless = inner.join(inside.select("file_id"), "file_id", "left_anti")
+    lost = [r["file_id"] for r in rootless.select("file_id").limit(5).collect()]
+    if lost:
+        raise TreeCycle(f"nodes without a root, such as {lost} (parent cycle)")
+    leaves = nodes.join(parents, "file_id", "left_anti")
+    return inside.unionByName(below(leaves, inside))
+
+
+def id_ancestors_all(remote: DataFrame, max_depth: int | None = None) -> DataFrame:
     """H2 for the whole listing: ``(file_id, ancestor_id, depth)``, depth 0 = self."""
     c = closure(remote, max_depth)
     return c.select("file_id", F.posexplode(F.reverse(F.col("chain"))).alias("depth", "ancestor_id"))
 
 
 def id_ancestors(remote: DataFrame, ids: DataFrame, id_col: str = "file_id",
-                 max_depth: int = DEFAULT_MAX_DEPTH) -> DataFrame:
+                 max_depth: int | None = None) -> DataFrame:
     """H2 for given ids: the chain from the node to the top, self first."""
     ch = climb(remote, ids, start_col=id_col, carry=(), max_depth=max_depth)
     return ch.select(F.col("start_id").alias("file_id"),
@@ -248,7 +283,7 @@ def id_ancestors(remote: DataFrame, ids: DataFrame, id_col: str = "file_id",
 
 
 def remote_path(remote: DataFrame, ids: DataFrame, id_col: str = "file_id", stop_id: str | None = None,
-                max_depth: int = DEFAULT_MAX_DEPTH) -> DataFrame:
+                max_depth: int | None = None) -> DataFrame:
     """H3: ``/`` + names from just below ``stop_id`` down to the node; ``/`` for
     the stop itself; from the top when the stop is not an ancestor. Unknown ids
     give NULL."""
@@ -262,7 +297,7 @@ def remote_path(remote: DataFrame, ids: DataFrame, id_col: str = "file_id", stop
 
 
 def is_ancestor(remote: DataFrame, pairs: DataFrame, folder_col: str = "folder_id", file_col: str = "file_id",
-                max_depth: int = DEFAULT_MAX_DEPTH) -> DataFrame:
+                max_depth: int | None = None) -> DataFrame:
     """Is ``folder_col`` an ancestor-or-self of ``file_col``."""
     ch = climb(remote, pairs.select(file_col), start_col=file_col, carry=(), max_depth=max_depth)
     ch = ch.select(F.col("start_id").alias("__fid"), F.col("chain.id").alias("__ids"))
@@ -285,7 +320,7 @@ def archive_marks(archive: DataFrame) -> DataFrame:
 
 
 def nearest_tracked_ancestor(changes: DataFrame, remote: DataFrame, archive: DataFrame, root_ids,
-                             ignored_ids=(), max_depth: int = DEFAULT_MAX_DEPTH) -> DataFrame:
+                             ignored_ids=(), max_depth: int | None = None) -> DataFrame:
     """For each changed id, the first ancestor starting at its parent (taken
     from the change row) that is a root or archived. NULL when an ignored id is
     met first, when the id itself is a root or ignored, or when there is no
@@ -315,7 +350,7 @@ def nearest_tracked_ancestor(changes: DataFrame, remote: DataFrame, archive: Dat
 
 
 def parent_archive(remote: DataFrame, archive: DataFrame, ids: DataFrame, id_col: str = "file_id",
-                   max_depth: int = DEFAULT_MAX_DEPTH) -> DataFrame:
+                   max_depth: int | None = None) -> DataFrame:
     """First archived ancestor-or-self of each id (``archive_id``, ``archive_path``)."""
     ch = climb(remote.select("file_id", "parent_id"), ids, start_col=id_col, carry=("is_archived", "archive_path"),
                halt_after=F.col("is_archived"), max_depth=max_depth, marks=archive_marks(archive),
@@ -326,7 +361,7 @@ def parent_archive(remote: DataFrame, archive: DataFrame, ids: DataFrame, id_col
 
 
 def walk(remote: DataFrame, folder_id: str, where: Column | None = None, where_files_only: bool = False,
-         max_depth: int = DEFAULT_MAX_DEPTH, folder_mime: str = "application/vnd.folder",
+         max_depth: int | None = None, folder_mime: str = "application/vnd.folder",
          root_name: str | None = None) -> DataFrame:
     """H4: the non-trashed subtree of ``folder_id``, root included, one row per
     node with ``path`` starting at the root's name, ``depth`` and ``type``.
@@ -346,35 +381,16 @@ def walk(remote: DataFrame, folder_id: str, where: Column | None = None, where_f
         .withColumn("is_root", F.col("depth") == 0).drop("seed_id")
 
 
-def walk_pruned(nodes: DataFrame, folder_id, flag_col: str, max_depth: int = DEFAULT_MAX_DEPTH,
+def walk_pruned(nodes: DataFrame, folder_id, flag_col: str, max_depth: int | None = None,
                 folder_mime: str = "application/vnd.folder") -> DataFrame:
     """H5: walk where a folder whose ``flag_col`` is true is reported but not
     entered. ``nodes`` is the listing with the flag already computed.
     ``folder_id`` may be a list: one walk per id, told apart by ``seed_id``."""
     kids = nodes.filter(~F.col("trashed"))
-    extra = [c for c in nodes.columns if c not in NODE_COLS]
+    extra = [c for c in nodes.columns if c not in NODE_COLS and c != "seed_id"]
     ids = [folder_id] if isinstance(folder_id, str) else list(folder_id)
-    seeds = nodes.filter(F.col("file_id").isin(ids))
-    return _walk_flagged(kids, seeds, flag_col, extra, max_depth, folder_mime)
-
-
-def _walk_flagged(kids: DataFrame, seeds: DataFrame, flag_col: str, extra, max_depth: int,
-                  folder_mime: str) -> DataFrame:
-    cols = NODE_COLS + [c for c in extra if c != "seed_id"]
-    opens = (F.col("mime_type") == folder_mime) & ~F.coalesce(F.col(flag_col), F.lit(False))
-    level, n_open = _cut_count(seeds.select(*cols, F.col("name").alias("path"), F.lit(0).alias("depth"),
-                                            F.col("file_id").alias("seed_id")), opens)
-    levels = [level]
-    src = kids.select(*cols)
-    for depth in range(1, max_depth + 2):
-        if n_open == 0:
-            break
-        front = level.filter(opens).select(F.col("file_id").alias("__pid"), F.col("path").alias("__ppath"), "seed_id")
-        nxt = src.join(front, F.col("parent_id") == F.col("__pid")).select(
-            *cols, F.concat(F.col("__ppath"), F.lit("/"), F.col("name")).alias("path"), F.lit(depth).alias("depth"),
-            "seed_id")
-        level, n_open = _cut_count(nxt, opens, depth, max_depth)
-        levels.append(level)
-    out = _union(levels)
+    seeds = nodes.filter(F.col("file_id").isin(ids)).withColumn("path", F.col("name"))
+    out = descend(kids, seeds, expand=~F.coalesce(F.col(flag_col), F.lit(False)), max_depth=max_depth,
+                  folder_mime=folder_mime, extra=extra)
     return out.withColumn("type", F.when(F.col("mime_type") == folder_mime, "#folder").otherwise("#file")) \
         .withColumn("is_root", F.col("depth") == 0)

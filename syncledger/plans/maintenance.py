@@ -28,15 +28,8 @@ def exclude_removed(changes: DataFrame, archive: DataFrame, local: DataFrame, ex
     cleaning the set (E2). Returns ``(archive, exclusion_paths)``."""
     removed = removed_remotely(changes, archive, start_seq).select("path")
     added = add_exclusions(ex, removed, local, roots)
-    spark = archive.sparkSession
-    if ex.literal:
-        stored = spark.createDataFrame([(p,) for p in ex.paths], "path string")
-    else:
-        stored = ex.paths_df
-    merged_rows = stored.select(F.lit("path").alias("kind"), F.col("path").alias("value")) \
-        .unionByName(added.select(F.lit("path").alias("kind"), F.col("path").alias("value"))) \
-        .unionByName(spark.createDataFrame([("rule", r) for r in ex.rules], "kind string, value string"))
-    merged = Exclusions.from_df(merged_rows)
+    known = ex.path_table(archive)
+    merged = Exclusions((), ex.rules, added if known is None else known.unionByName(added).distinct())
     return forget_removed(changes, archive, mode, start_seq), minimal_exclusions(merged, local, roots)
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.paths import ancestors_at, depths_of
+from ..functions.paths import explode_ancestors
 from ..session import checkpoint_dir
 from ..operators.catalog import delete_archive
 from ..operators.diff import descendants_join, removed_locally
@@ -123,16 +123,13 @@ def mirror_all(local: DataFrame, archive: DataFrame, ex: Exclusions, roots, fast
            .select("path", "drive_id").collect()}  # one row per configured root
     if fast:
         gone = _materialise(archive.join(local.select("path"), "path", "left_anti"))
-        root_depths = [len([x for x in r.split("/") if x]) for r in roots]
-        rooted = gone.select("*", F.explode(ancestors_at(F.col("path"), root_depths)).alias("__anc")) \
-            .join(F.broadcast(rdf), F.col("__anc") == F.col("root")).drop("__anc")
-        gone_depths = depths_of(rooted, "path")
-        proper = rooted.select("root", "path", F.explode(ancestors_at(F.col("path"), gone_depths)).alias("__anc")) \
+        rooted = explode_ancestors(gone, "path", "__anc", rdf, "root") \
+            .join(rdf, F.col("__anc") == F.col("root")).drop("__anc")
+        proper = explode_ancestors(rooted.select("root", "path"), "path", "__anc", rooted, "path") \
             .filter(F.col("__anc") != F.col("path"))
         covered = proper.join(rooted.select("root", F.col("path").alias("__anc")), ["root", "__anc"], "left_semi")
         deletes = rooted.join(covered.select("root", "path"), ["root", "path"], "left_anti")
-        del_depths = depths_of(deletes, "path")
-        forget = archive.select("*", F.explode(ancestors_at(F.col("path"), del_depths)).alias("__anc")) \
+        forget = explode_ancestors(archive, "path", "__anc", deletes, "path") \
             .join(deletes.select("root", F.col("path").alias("__anc")), "__anc").drop("__anc")
     else:
         if remote is None:
@@ -140,13 +137,12 @@ def mirror_all(local: DataFrame, archive: DataFrame, ex: Exclusions, roots, fast
         seeds = list(ids.values())
         w = walk_pruned(flag_removed(remote, archive, local), seeds, "flag")
         back = spark.createDataFrame([(v, k) for k, v in ids.items()], "seed_id string, root string")
-        removed = w.filter(F.col("flag")).join(F.broadcast(back), "seed_id")
+        removed = w.filter(F.col("flag")).join(back, "seed_id")
         deletes = removed.select("root", F.coalesce(F.col("archive_path"), F.col("path")).alias("path"),
                                  F.col("file_id").alias("drive_id"),
                                  F.when(F.col("type") == "#folder", "").otherwise("x").alias("md5sum"))
         tops = removed.filter(F.col("archived")).select("root", F.col("archive_path").alias("__anc"))
-        top_depths = depths_of(tops, "__anc")
-        forget = archive.select("*", F.explode(ancestors_at(F.col("path"), top_depths)).alias("__anc")) \
+        forget = explode_ancestors(archive, "path", "__anc", tops, "__anc") \
             .join(tops, "__anc").drop("__anc")
     forget = _materialise(forget.dropDuplicates(["root", "drive_id"]))
     remaining = delete_archive(archive, forget, "drive_id")

@@ -1,6 +1,7 @@
-"""The three implementations of the ancestor exclusion tests agree: the
-code-generated fast path, the ancestor-array hash set, and the explode + join
-plan used for very large path sets."""
+"""Ancestor exclusion tests: listed paths and a table of paths give the same
+flags, and the number of paths changes nothing."""
+import fnmatch
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,42 +10,58 @@ from syncledger.operators import exclude as X
 
 
 def variants(spark, paths, rules):
-    base = X.Exclusions(tuple(sorted(paths)), tuple(rules))
-    big = X.Exclusions((), tuple(rules), spark.createDataFrame([(p,) for p in paths], "path string"))
-    return base, big
+    listed = X.Exclusions(tuple(sorted(paths)), tuple(rules))
+    table = X.Exclusions((), tuple(rules), spark.createDataFrame([(p,) for p in paths], "path string"))
+    return listed, table
 
 
 def flags(df, col):
     return {r["path"]: r[col] for r in df.collect()}
 
 
+def plain_up(path, paths, rules, stops):
+    """Walk up from the path to the nearest stop, which is not tested."""
+    while path not in stops:
+        if path in paths or any(fnmatch.fnmatchcase(path.rsplit("/", 1)[1], r) for r in rules):
+            return True
+        if path == "/":
+            break
+        path = path.rsplit("/", 1)[0] or "/"
+    return False
+
+
 @pytest.mark.parametrize("extra_rule", [None, "~$*"])
-def test_up_flags_agree(spark, inv, monkeypatch, extra_rule):
+def test_up_flags_agree(spark, inv, extra_rule):
     rules = list(fx.EXCLUDED_RULES) + ([extra_rule] if extra_rule else [])
     paths = list(fx.EXCLUDED_PATHS) + ["/data/EUROPE"]
-    base, big = variants(spark, paths, rules)
+    listed, table = variants(spark, paths, rules)
     local = inv.L.select("path")
-    fast8 = flags(X.is_excluded_up(local, "path", base, fx.ROOT_PATHS), "excluded")
-    fast9 = flags(X.prune_excluded(local, "path", base, fx.ROOT_PATHS), "pruned")
-    join8 = flags(X.is_excluded_up(local, "path", big, fx.ROOT_PATHS), "excluded")
-    join9 = flags(X.prune_excluded(local, "path", big, fx.ROOT_PATHS), "pruned")
-    monkeypatch.setattr(X, "FAST_MAX", 0)
-    arr8 = flags(X.is_excluded_up(local, "path", base, fx.ROOT_PATHS), "excluded")
-    arr9 = flags(X.prune_excluded(local, "path", base, fx.ROOT_PATHS), "pruned")
-    nostop_fast = None
-    assert fast8 == arr8 == join8
-    assert fast9 == arr9 == join9
-    assert any(fast8.values()) and not all(fast8.values())
-    del nostop_fast
-
-
-def test_no_stop_tests_root(spark, monkeypatch):
+    up = flags(X.is_excluded_up(local, "path", listed, fx.ROOT_PATHS), "excluded")
+    pruned = flags(X.prune_excluded(local, "path", listed, fx.ROOT_PATHS), "pruned")
+    assert up == flags(X.is_excluded_up(local, "path", table, fx.ROOT_PATHS), "excluded")
+    assert pruned == flags(X.prune_excluded(local, "path", table, fx.ROOT_PATHS), "pruned")
+    assert up == {p: plain_up(p, set(paths), rules, set(fx.ROOT_PATHS)) for p in up}
+    assert any(up.values()) and not all(up.values())
+
+
+@pytest.mark.parametrize("more", [0, 65])
+@pytest.mark.parametrize("rule", ["x[+-9]y", "*", "*.pyc"])
+def test_the_number_of_paths_changes_nothing(spark, more, rule):
+    others = [f"/other/p{i}" for i in range(more)]
+    ex = X.Exclusions(tuple(others), (rule,))
+    rows = ["/r", "/r/x/y", "/r/x5y", "/r/a.pyc/b", "/r/s", "/r/s/t"]
+    df = spark.createDataFrame([(p,) for p in rows], "path string")
+    got = flags(X.is_excluded_up(df, "path", ex, stops=["/r", "/r/s"]), "excluded")
+    assert got == {p: plain_up(p, set(others), [rule], {"/r", "/r/s"}) for p in rows}
+    pruned = flags(X.prune_excluded(df, "path", ex, roots=["/r"]), "pruned")
+    assert pruned["/r/x/y"] is (rule == "*") and pruned["/r/a.pyc/b"] is (rule in ("*", "*.pyc"))
+
+
+def test_no_stop_tests_root(spark):
     df = spark.createDataFrame([("/",), ("/a",), ("/a/x.pyc/b",), ("/keep/y",)], "path string")
     ex = X.Exclusions(("/a",), ("*.pyc",))
-    fast = flags(X.is_excluded_up(df, "path", ex), "excluded")
-    monkeypatch.setattr(X, "FAST_MAX", 0)
-    slow = flags(X.is_excluded_up(df, "path", ex), "excluded")
-    assert fast == slow == {"/": False, "/a": True, "/a/x.pyc/b": True, "/keep/y": False}
+    got = flags(X.is_excluded_up(df, "path", ex), "excluded")
+    assert got == {"/": False, "/a": True, "/a/x.pyc/b": True, "/keep/y": False}
 
 
 def test_stop_path_is_not_tested(spark):

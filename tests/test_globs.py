@@ -3,7 +3,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from syncledger.functions.globs import (DEFAULT_RULES, component_rules_regex, glob_to_regex, match_rules,
+from syncledger.functions.globs import (DEFAULT_RULES, glob_to_regex, match_rules,
                                         rules_regex)
 
 NAMES = ["x.pyc", "a.b.pyc", "pyc", "Thumbs.db", "thumbs.db", "~$doc", "__pycache__", "x.tmp", "x.pyc\n", "",
@@ -29,13 +29,6 @@ def test_combined_and_empty():
     assert rx.match("a.pyc") and rx.match("b.tmp") and not rx.match("a.csv")
 
 
-def test_component_regex_stays_in_one_component():
-    rx = py(component_rules_regex(["*.pyc", "[!a]b"]))
-    assert rx.search("d/x.pyc") and rx.search("x.pyc/d") and not rx.search("x.pyc.d/e")
-    assert rx.search("/cb") and not rx.search("/ab") and not rx.search("c/b")
-    assert component_rules_regex(["a/b"]) is None
-
-
 def test_trailing_newline_rejected_on_jvm(spark):
     rows = spark.createDataFrame([("/d/x.pyc",), ("/d/x.pyc\n",)], "p string") \
         .select(match_rules(F.col("p"), ["*.pyc"]).alias("m")).collect()
