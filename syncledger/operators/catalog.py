@@ -28,27 +28,38 @@ def _latest(updates: DataFrame, key: str, seq_col: str) -> DataFrame:
     return latest.select(key, *[F.col("__u")[c].alias(c) for c in cols])
 
 
-def upsert_archive(archive: DataFrame, updates: DataFrame, seq_col: str = "seq") -> DataFrame:
+def upsert_archive(archive: DataFrame, updates: DataFrame, seq_col: str = "seq", check: bool = False) -> DataFrame:
     """Create-or-update. Rows with a ``drive_id`` are keyed by it (path,
     time and md5 are replaced, a new id is created); rows without one are keyed
-    by ``path`` and only update time and md5 of an existing row. Within a key
-    the update with the highest ``seq_col`` wins."""
+    by ``path`` and only update time and md5 of an existing row. Updates apply in
+    the order of ``seq_col``: of all that reach a row, by id or by path, the last
+    one wins. An id moved onto a path that another id holds is a clash, which
+    ``check`` reports as an error (a few keys are read back)."""
     a = archive.select(*ARCHIVE_COLS)
     by_id = _latest(updates.filter(F.col("drive_id").isNotNull()).select(*ARCHIVE_COLS, seq_col), "drive_id",
-                    seq_col).select(*ARCHIVE_COLS)
+                    seq_col).select(*ARCHIVE_COLS, F.col(seq_col).alias("__useq"))
     # replace-or-insert by id: rows whose id is updated leave, the latest updates come in.
     # A left anti join (not a full outer join) lets AQE broadcast a small update set,
     # so a handful of updates does not shuffle the whole archive.
-    merged = a.join(by_id.select("drive_id"), "drive_id", "left_anti").select(*ARCHIVE_COLS).unionByName(by_id)
+    kept = a.join(by_id.select("drive_id"), "drive_id", "left_anti").select(*ARCHIVE_COLS)
+    if check:
+        moved = by_id.groupBy("path").agg(F.count(F.lit(1)).alias("n"))
+        taken = kept.select("path").join(moved.select("path"), "path", "left_semi") \
+            .unionByName(moved.filter("n > 1").select("path"))
+        bad = [r["path"] for r in taken.limit(5).collect()]
+        if bad:
+            raise UniquenessError(f"update breaks the uniqueness of path: {bad}")
+    merged = kept.withColumn("__useq", F.lit(None)).unionByName(by_id)
     by_path_src = updates.filter(F.col("drive_id").isNull())
     by_path = _latest(by_path_src.select("path", "date_modified_on_disk", "md5sum", seq_col), "path", seq_col)
     p = by_path.select(F.col("path").alias("__p"), F.col("date_modified_on_disk").alias("__pt"),
-                       F.col("md5sum").alias("__pm"), F.lit(True).alias("__hit"))
+                       F.col("md5sum").alias("__pm"), F.col(seq_col).alias("__pseq"))
     j2 = merged.join(p, F.col("path") == F.col("__p"), "left")
+    hit = F.col("__p").isNotNull() & (F.col("__useq").isNull() | (F.col("__pseq") >= F.col("__useq")))
     return j2.select(
         "path", "drive_id",
-        F.when(F.col("__hit"), F.col("__pt")).otherwise(F.col("date_modified_on_disk")).alias("date_modified_on_disk"),
-        F.when(F.col("__hit"), F.col("__pm")).otherwise(F.col("md5sum")).alias("md5sum"))
+        F.when(hit, F.col("__pt")).otherwise(F.col("date_modified_on_disk")).alias("date_modified_on_disk"),
+        F.when(hit, F.col("__pm")).otherwise(F.col("md5sum")).alias("md5sum"))
 
 
 def check_unique(archive: DataFrame) -> DataFrame:
@@ -62,10 +73,16 @@ def check_unique(archive: DataFrame) -> DataFrame:
 
 def insert_archive(archive: DataFrame, rows: DataFrame, check: bool = True) -> DataFrame:
     """Insert rows; a clash on ``path`` or ``drive_id`` is an error (checked
-    eagerly when ``check``; only a few offending keys are read back)."""
+    eagerly when ``check``: the new rows against each other and, by semi joins,
+    against the archive; only a few offending keys are read back)."""
     out = archive.select(*ARCHIVE_COLS).unionByName(rows.select(*ARCHIVE_COLS))
     if check:
-        bad = check_unique(out).limit(5).collect()
+        clashes = check_unique(rows.select(*ARCHIVE_COLS))
+        for column in ("path", "drive_id"):
+            taken = archive.join(rows.select(column), column, "left_semi")
+            clashes = clashes.unionByName(taken.select(F.lit(column).alias("column"), F.col(column).alias("key"),
+                                                       F.lit(2).cast("bigint").alias("n")))
+        bad = clashes.limit(5).collect()
         if bad:
             raise UniquenessError(f"insert breaks uniqueness: {[tuple(b) for b in bad]}")
     return out
@@ -85,14 +102,14 @@ def rename_paths(archive: DataFrame, old: str, new: str, mode: str = "descendant
     return archive.withColumn("path", F.when(hit, replace_prefix(F.col("path"), old, new)).otherwise(F.col("path")))
 
 
-def record_uploads(archive: DataFrame, results: DataFrame, seq_col: str = "seq") -> DataFrame:
+def record_uploads(archive: DataFrame, results: DataFrame, seq_col: str = "seq", check: bool = False) -> DataFrame:
     """After uploads: ``results(path, drive_id, mtime, md5sum[, seq])``.
-    Folders carry ``md5sum = ''``."""
+    Folders carry ``md5sum = ''``. ``check`` reports path clashes as in U1."""
     r = results.select("path", "drive_id", F.col("mtime").alias("date_modified_on_disk"), "md5sum",
                        (F.col(seq_col) if seq_col in results.columns else F.lit(0)).alias(seq_col))
-    return upsert_archive(archive, r, seq_col)
+    return upsert_archive(archive, r, seq_col, check)
 
 
-def record_downloads(archive: DataFrame, results: DataFrame, seq_col: str = "seq") -> DataFrame:
+def record_downloads(archive: DataFrame, results: DataFrame, seq_col: str = "seq", check: bool = False) -> DataFrame:
     """After downloads: same shape; the md5 comes from the remote side."""
-    return record_uploads(archive, results, seq_col)
+    return record_uploads(archive, results, seq_col, check)

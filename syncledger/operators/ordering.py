@@ -35,7 +35,13 @@ def group_row_number(df: DataFrame, by: list[str], order: list[str], out: str =
     counts = ranged.groupBy(*gkeys).agg(F.min("__mid").alias("__first"), F.count(F.lit(1)).alias("__n"))
     w = Window.partitionBy(*by).orderBy("__pid") if by else Window.orderBy("__pid")
     counts = counts.withColumn("__off", F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, -1)))
-    joined = ranged.join(counts.select(*gkeys, "__first", "__off"), gkeys)
+    # groups may be NULL, so the offsets are joined null-safely; without groups there is one row per partition
+    renamed = counts.select(*[F.col(c).alias(f"__g{i}") for i, c in enumerate(gkeys)], "__first", "__off")
+    same = F.lit(True)
+    for i, c in enumerate(gkeys):
+        same = same & ranged[c].eqNullSafe(renamed[f"__g{i}"])
+    joined = ranged.join(renamed if by else F.broadcast(renamed), same) \
+        .drop(*[f"__g{i}" for i in range(len(gkeys))])
     rn = F.coalesce(F.col("__off"), F.lit(0)) + (F.col("__mid") - F.col("__first")) + 1
     return joined.withColumn(out, rn.cast("bigint")).drop("__pid", "__mid", "__first", "__off")
 
@@ -57,11 +63,6 @@ def parents_first(plan: DataFrame, path_col: str = "path", type_col: str = "type
     return staged.orderBy("stage", "depth", path_col)
 
 
-def first_match(df: DataFrame, order: list[str]) -> DataFrame:
-    """O2: the first row under a fixed order."""
-    return df.orderBy(*order).limit(1)
-
-
 # The conflict answers and what each sticky answer stands for.
 ANSWERS = {"y": "accept", "n": "reject", "o": "accept_renamed"}
 STICKY = {"a": "y", "r": "n", "c": "o"}
@@ -107,28 +108,30 @@ def _attach_scalar(df: DataFrame, one_row: DataFrame, order_type: str) -> DataFr
         "__sticky_from", F.lit(start).cast(order_type))
 
 
-_NAME_RE = r"^(.*?)( \((\d+)\))?(\.[^./]*)?$"
+_NAME_RE = r"^(.*?)( \((\d{1,18})\))?(\.[^./]*)?$"  # longer numbers belong to the stem
 
 
 def free_name(plan: DataFrame, local: DataFrame, dest_col: str = "dest_path", order_col: str = "seq",
               out: str = "free_path") -> DataFrame:
     """A destination that clashes with nothing: ``stem (n).ext`` in the same
-    folder, where ``n`` is the highest ``n`` already used locally for that
-    stem and extension (0 if none) plus the rank (by ``order_col``) among plan
-    rows sharing the destination."""
+    folder, where ``n`` is the highest ``n`` already used for that stem and
+    extension, locally or by the plan's own destinations (0 if none), plus the
+    rank (by ``order_col``) among the plan rows of that folder, stem and
+    extension. A NULL destination gets none."""
     def parts(df, col):
         name = basename(F.col(col))
         return df.withColumn("__dir", parent_dir(F.col(col))) \
             .withColumn("__stem", F.regexp_extract(name, _NAME_RE, 1)) \
             .withColumn("__num", F.regexp_extract(name, _NAME_RE, 3)) \
             .withColumn("__ext", F.regexp_extract(name, _NAME_RE, 4))
-    used = parts(local.select(F.col("path").alias("__p")), "__p") \
-        .groupBy("__dir", "__stem", "__ext") \
-        .agg(F.max(F.when(F.col("__num") != "", F.col("__num").cast("bigint")).otherwise(0)).alias("__max"))
-    keyed = parts(plan, dest_col).join(used, ["__dir", "__stem", "__ext"], "left")
-    dups = group_row_number(keyed, [dest_col], [order_col], out="__rank")
+    key = ["__dir", "__stem", "__ext"]
+    names = local.select(F.col("path").alias("__p")).unionByName(plan.select(F.col(dest_col).alias("__p")))
+    used = parts(names.filter("__p IS NOT NULL"), "__p").groupBy(*key) \
+        .agg(F.max(F.coalesce(F.expr("try_cast(__num AS bigint)"), F.lit(0))).alias("__max"))
+    ranked = group_row_number(parts(plan, dest_col), key, [order_col, dest_col], out="__rank")
+    keyed = ranked.join(used, key, "left")
     n = F.coalesce(F.col("__max"), F.lit(0)) + F.col("__rank")
     newname = F.concat(F.col("__stem"), F.lit(" ("), n.cast("string"), F.lit(")"), F.col("__ext"))
     newpath = F.when(F.col("__dir") == "/", F.concat(F.lit("/"), newname)).otherwise(
         F.concat(F.col("__dir"), F.lit("/"), newname))
-    return dups.withColumn(out, newpath).drop("__dir", "__stem", "__num", "__ext", "__max", "__rank")
+    return keyed.withColumn(out, newpath).drop(*key, "__num", "__max", "__rank")

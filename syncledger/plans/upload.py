@@ -54,11 +54,14 @@ def upload_plan(local: DataFrame, archive: DataFrame, ex: Exclusions, roots, roo
 
 def link_root(local: DataFrame, archive: DataFrame, folder_id: str, local_path: str) -> DataFrame:
     """Link ``local_path`` to ``folder_id`` in the archive (as a folder) when the
-    path exists locally; the archive is unchanged otherwise."""
+    path exists locally; the archive is unchanged otherwise. The path leaves any
+    other id it was archived under, so it stays unique."""
     link = local.filter(F.col("path") == local_path).select(
         "path", F.lit(folder_id).alias("drive_id"), F.col("mtime").alias("date_modified_on_disk"),
         F.lit(FOLDER_MD5).alias("md5sum"), F.lit(0).alias("seq"))
-    return upsert_archive(archive, link)
+    other = (F.col("path") == local_path) & (F.col("drive_id") != folder_id)
+    replaced = archive.filter(other).join(link.select("path"), "path", "left_semi").select("drive_id")
+    return upsert_archive(archive.join(replaced, "drive_id", "left_anti"), link)
 
 
 def upload_sync_plan(local: DataFrame, archive: DataFrame, ex: Exclusions, folder_id: str,

@@ -6,6 +6,8 @@ projections that Catalyst pushes into the Parquet scan.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,10 +29,13 @@ def scan_local(spark: SparkSession, path: str, with_md5: bool = False, with_dirs
 
     Uses the ``binaryFile`` source; the file content is read only when
     ``with_md5`` asks for it (otherwise it is pruned from the scan). Folders
-    are derived from the file paths, so empty folders do not appear.
+    are derived from the file paths, so empty folders do not appear, and a
+    folder's time is that of its newest file. ``path`` may have a scheme
+    (``file:``, ``hdfs://host``); the listed paths have none.
     """
+    bare = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", path)
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    p = normalize_path(F.regexp_replace(F.col("path"), r"^file:", ""))
+    p = normalize_path(F.regexp_replace(F.col("path"), r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", ""))
     files = raw.select(
         p.alias("path"), F.lit(False).alias("is_dir"),
         F.col("modificationTime").cast("timestamp_ntz").alias("mtime"),
@@ -38,7 +43,7 @@ def scan_local(spark: SparkSession, path: str, with_md5: bool = False, with_dirs
         F.col("length").alias("size"))
     if not with_dirs:
         return files
-    base = normalize_path(F.lit(path))
+    base = normalize_path(F.lit(bare))
     # newest file time per parent first (partial aggregation), then up the ancestors of the folders only
     parents = files.groupBy(parent_dir(F.col("path")).alias("parent")).agg(F.max("mtime").alias("mtime"))
     dirs = parents.select(F.explode(ancestors(F.col("parent"))).alias("path"), F.col("mtime")) \

@@ -19,10 +19,21 @@ from ..operators.catalog import ARCHIVE_COLS
 
 
 def _log(spark: SparkSession, base: str) -> DataFrame | None:
+    """The version log, or None where nothing was ever written. A base that holds
+    snapshots but no readable log is an error, never an empty store."""
+    if not exists(spark, base):
+        return None
     try:
         return spark.read.parquet(f"{base}/_versions")
-    except AnalysisException:
-        return None
+    except AnalysisException as e:
+        raise RuntimeError(f"{base} holds files but no readable version log") from e
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder exists and holds anything, on whatever file system Spark reads it from."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(where) and len(fs.listStatus(where)) > 0
 
 
 def latest_version(spark: SparkSession, base: str) -> int | None:
@@ -46,10 +57,13 @@ def write_archive(df: DataFrame, base: str, partitions: int | None = None) -> in
     spark = df.sparkSession
     current = latest_version(spark, base)
     v = 0 if current is None else current + 1
+    while exists(spark, f"{base}/version={v}"):
+        v += 1  # a snapshot that was never published, or is being written
     out = df.select(*ARCHIVE_COLS)
     if partitions:
         out = out.repartition(partitions, "path")
-    out.write.mode("overwrite").parquet(f"{base}/version={v}")
+    # two writers that chose the same number do not overwrite each other: the second one fails here
+    out.write.mode("errorifexists").parquet(f"{base}/version={v}")
     entry = spark.createDataFrame([(v, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))],
                                   "version bigint, written_at timestamp_ntz")
     entry.write.mode("append").parquet(f"{base}/_versions")
