@@ -34,10 +34,3 @@ def apply_plan(plan: DataFrame, handler: Callable[[pd.DataFrame], pd.DataFrame],
                 yield handler(pdf)
 
     return src.mapInPandas(run, schema)
-
-
-def on_results(results: DataFrame, callback: Callable[[DataFrame, int], None], out_checkpoint: str):
-    """C1 for streams of results: call ``callback(batch_df, batch_id)`` for each
-    micro-batch of a streaming results table (``foreachBatch``)."""
-    return results.writeStream.foreachBatch(callback).option("checkpointLocation", out_checkpoint) \
-        .trigger(availableNow=True).start()

@@ -449,8 +449,9 @@ def q_e3(spark, sf_dir):
 SELECT 'remote_only' AS side, r.file_id AS key FROM remote_files r
   WHERE NOT r.trashed AND r.file_id NOT IN (SELECT drive_id FROM archive)
 UNION ALL SELECT 'local_only', l.path FROM local_files l WHERE l.path NOT IN (SELECT path FROM archive)
-UNION ALL SELECT 'archive_only', a.drive_id FROM archive a LEFT JOIN remote_files r ON r.file_id = a.drive_id
-  WHERE NOT coalesce(NOT r.trashed, FALSE) AND a.path NOT IN (SELECT path FROM local_files)""")
+UNION ALL SELECT CASE WHEN coalesce(NOT r.trashed, FALSE) THEN CASE WHEN l.path IS NULL THEN 'archive_remote' ELSE 'both' END
+    WHEN l.path IS NULL THEN 'archive_only' ELSE 'archive_local' END, a.drive_id
+  FROM archive a LEFT JOIN remote_files r ON r.file_id = a.drive_id LEFT JOIN local_files l ON l.path = a.path""")
 def q_e4(spark, sf_dir):
     i = inv(spark, sf_dir)
     return D.diff_state(i.R, i.A, i.L)
@@ -542,30 +543,31 @@ def q_j3(spark, sf_dir):
 
 
 def _j8_sql(pairs_sql: str) -> str:
-    return f"""tagged AS (SELECT r.file_id, r.parent_id,
+    return f"""tagged AS (SELECT r.file_id, r.parent_id, r.name,
     CASE WHEN r.file_id IN ('{"','".join(IGNORED_IDS)}') THEN 'ignored'
          WHEN r.file_id IN {ROOT_IDS_SQL} OR a.drive_id IS NOT NULL THEN 'tracked' END AS tag
   FROM remote_files r LEFT JOIN archive a ON a.drive_id = r.file_id),
 pairs AS ({pairs_sql}),
-cl(start_id, node_id, parent_id, tag, d) AS (
-  SELECT p.parent_id, t.file_id, t.parent_id, t.tag, 0
+cl(start_id, node_id, parent_id, tag, d, mid) AS (
+  SELECT p.parent_id, t.file_id, t.parent_id, t.tag, 0, CASE WHEN t.tag IS NULL THEN t.name ELSE '' END
   FROM (SELECT DISTINCT parent_id FROM pairs WHERE parent_id IS NOT NULL) p JOIN tagged t ON t.file_id = p.parent_id
-  UNION ALL SELECT cl.start_id, t.file_id, t.parent_id, t.tag, cl.d + 1
+  UNION ALL SELECT cl.start_id, t.file_id, t.parent_id, t.tag, cl.d + 1,
+    CASE WHEN t.tag IS NULL THEN t.name || '/' || cl.mid ELSE cl.mid END
   FROM cl JOIN tagged t ON t.file_id = cl.parent_id WHERE cl.tag IS NULL),
-hit AS (SELECT start_id, node_id, tag FROM cl WHERE tag IS NOT NULL),
+hit AS (SELECT start_id, node_id, tag, mid FROM cl WHERE tag IS NOT NULL),
 j8 AS (SELECT p.file_id, p.parent_id,
   CASE WHEN p.file_id IN {ROOT_IDS_SQL} OR p.file_id IN ('{"','".join(IGNORED_IDS)}') OR p.parent_id IS NULL THEN NULL
-       WHEN h.tag = 'tracked' THEN h.node_id END AS tracked_id
+       WHEN h.tag = 'tracked' THEN h.node_id END AS tracked_id, h.mid
   FROM pairs p LEFT JOIN hit h ON h.start_id = p.parent_id)"""
 
 
 @register("j8_nearest_tracked", oracle=f"""
 RECURSIVE {_j8_sql("SELECT DISTINCT file_id, parent_id FROM changes")}
-SELECT file_id, parent_id, tracked_id FROM j8""")
+SELECT file_id, parent_id, tracked_id, CASE WHEN tracked_id IS NOT NULL THEN mid END AS mid_path FROM j8""")
 def q_j8(spark, sf_dir):
     i = inv(spark, sf_dir)
     return H.nearest_tracked_ancestor(i.C, i.R, i.A, root_ids_of(i), IGNORED_IDS).select(
-        "file_id", "parent_id", "tracked_id")
+        "file_id", "parent_id", "tracked_id", "mid_path")
 
 
 @register("j10_parent_archive", oracle="""

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import fixtures as fx
-from .functions.mime import MIME_TYPES, guess_mime
+from .functions.mime import guess_mime
 from .functions.paths import basename, normalize_path, parent_dir
 from .functions.times import format_remote_time, parse_remote_time
 from .operators import catalog as U
@@ -360,6 +360,17 @@ def q_p10(spark, sf_dir):
     return paths
 
 
+@register("p10_exclude_removed_archive", oracle=f"""
+{REMOVED_PATHS}
+SELECT * FROM archive a WHERE NOT EXISTS (SELECT 1 FROM removed r WHERE a.path = r.path
+  OR starts_with(a.path, r.path || '/'))""")
+def q_p10_archive(spark, sf_dir):
+    """The other half of P10: the archive that is left."""
+    i = inv(spark, sf_dir)
+    left, _paths = PM.exclude_removed(i.C, i.A, i.L, excl(spark, sf_dir), fx.ROOT_PATHS)
+    return left
+
+
 @register("p11_purge_unarchived", oracle=f"""
 RECURSIVE w(file_id, name, mime_type, path) AS (
   SELECT file_id, name, mime_type, name FROM remote_files WHERE file_id = '{WALK_FOLDER}'
@@ -423,6 +434,17 @@ def q_p12_apply(spark, sf_dir):
     return new_archive
 
 
+@register("p12_retry_deletes", oracle=f"""
+{GONE_BATCH_SQL},
+res AS (SELECT drive_id, {STATUS_SQL} AS status FROM p12)
+SELECT drive_id, status FROM res WHERE status = 403""")
+def q_p12_retry(spark, sf_dir):
+    """The other half of P12's results: what the next attempt has to delete."""
+    i = inv(spark, sf_dir)
+    _archive, retry = PM.apply_delete_results(i.A, _results(PM.purge_removed_local(i.A, i.L)))
+    return retry.select("drive_id", "status")
+
+
 # --------------------------------------------------------------------------- catalog updates
 
 UPLOAD_RESULTS_SQL = f"""{p1_sql('m', 'archive', 'sync_roots', "'root'")},
@@ -648,7 +670,10 @@ def q_t5(spark, sf_dir):
 
 
 def _mime_values() -> str:
-    return ", ".join(f"('{e}', '{m}')" for e, m in MIME_TYPES)
+    """The standard registry as SQL rows, read here on its own."""
+    import mimetypes
+
+    return ", ".join(f"('{e}', '{m}')" for e, m in sorted(mimetypes.MimeTypes().types_map[True].items()))
 
 
 @register("t10_guess_mime", oracle=f"""
@@ -731,28 +756,6 @@ def q_v6(spark, sf_dir):
     return spark.read.parquet(f"{out}/_offsets").select("batch_id", "max_seq")
 
 
-# --------------------------------------------------------------------------- executing a plan
-
-def _simulated_delete_service(pdf):
-    """Stand-in handler: the status a delete service would answer, derived
-    from the id (the same rule as the oracle)."""
-    import pandas as pd
-    n = pdf["drive_id"].str.len() % 4
-    status = n.map({0: 200, 1: 404, 2: 403, 3: 500}).astype("int32")
-    err = status.map(lambda s: None if s in (200, 404) else f"HTTP {s}")
-    return pd.DataFrame({"drive_id": pdf["drive_id"], "status": status, "error": err})
-
-
-@register("c2_apply_plan", oracle=f"""
-{GONE_BATCH_SQL}
-SELECT drive_id, CAST({STATUS_SQL} AS INTEGER) AS status,
-  CASE WHEN {STATUS_SQL} IN (200, 404) THEN NULL ELSE 'HTTP ' || CAST({STATUS_SQL} AS VARCHAR) END AS error FROM p12""")
-def q_c2(spark, sf_dir):
-    from .plans.execute import apply_plan
-    i = inv(spark, sf_dir)
-    return apply_plan(PM.purge_removed_local(i.A, i.L), _simulated_delete_service)
-
-
 @register("j13_collides", oracle=f"""
 RECURSIVE {P2_SQL},
 two_plans AS (SELECT file_id, '/data/' || path AS dest_path FROM w UNION ALL SELECT file_id, dest_path FROM p2_plan),

@@ -54,6 +54,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     key = sc.applicationId
     if key not in _LOCAL_DIRS:
         _LOCAL_DIRS[key] = tempfile.mkdtemp(prefix="run-syncledger-")

@@ -3,12 +3,13 @@
 import pytest
 
 import __spark_entry__ as E
+from syncledger import queries as Q
 from syncledger.testing import compare, duck_connect
 
 SMALL = "/root/testdata/sf0.001"
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+QUERIES = Q.QUERIES  # those of the optional subpackage have tests of their own
+ORACLES = Q.ORACLES
 
 
 @pytest.fixture(scope="module")
