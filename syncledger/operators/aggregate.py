@@ -35,11 +35,6 @@ def transfer_summary(log: DataFrame) -> DataFrame:
         .otherwise(F.coalesce(F.col("bytes"), F.lit(0)).cast("bigint")).alias("bytes"))
 
 
-def distinct_ids(df: DataFrame, id_col: str = "drive_id") -> DataFrame:
-    """A2: each id once."""
-    return df.select(id_col).distinct()
-
-
 def decision_counts(reconciled: DataFrame) -> DataFrame:
     """A3: rows per (decision, why)."""
     return reconciled.groupBy("decision", "why").agg(F.count(F.lit(1)).alias("n"))
@@ -53,7 +48,3 @@ def result_outcomes(results: DataFrame, status_col: str = "status") -> DataFrame
     outcome = (F.when(s.isNull() | ((s >= 200) & (s < 300)), "deleted").when(s == 404, "deleted")
                .when(s == 403, "retry").otherwise("failed"))
     return results.withColumn("outcome", outcome).withColumn("forget", F.col("outcome") == "deleted")
-
-
-def outcome_counts(results: DataFrame, status_col: str = "status") -> DataFrame:
-    return result_outcomes(results, status_col).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
