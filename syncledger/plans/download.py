@@ -13,15 +13,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..fixtures import FOLDER_MIME
-from ..functions.paths import join_path, strip_first_segment
-from ..operators.diff import tracked_roots
+from ..functions.mime import DEFAULT_MIME
+from ..functions.paths import basename, join_path, parent_dir, strip_first_segment
+from ..operators.catalog import record_uploads
+from ..operators.diff import lookup, tracked_roots
 from ..operators.exclude import Exclusions
 from ..operators.hierarchy import nearest_tracked_ancestor, walk
 from ..operators.reconcile import NEUTRAL, collides, reconcile
+from ..session import checkpoint_dir
 from ..sources.listing import read_changes
 from ..streaming.feed import changed_since
 
 
+def _once(plan: DataFrame) -> DataFrame:
+    """The plan written to the shared folder: what is read twice below is not decided twice."""
+    checkpoint_dir(plan.sparkSession)
+    return plan.checkpoint(eager=True)
+
+
 def download_folder_plan(remote: DataFrame, archive: DataFrame, local: DataFrame, ex: Exclusions, folder_id: str,
                          local_path: str) -> DataFrame:
     """Nodes below a remote folder that are missing, outdated or in conflict
@@ -34,7 +43,7 @@ def download_folder_plan(remote: DataFrame, archive: DataFrame, local: DataFrame
     plan = dec.select("decision", "why", "type", "file_id", F.col("path").alias("remote_path"),
                       join_path(F.lit(local_path), strip_first_segment(F.col("path"))).alias("dest_path"),
                       "md5sum", "size")
-    out = collides(plan, local, "dest_path")
+    out = collides(_once(plan), local, "dest_path")
     return out.withColumn("conflict", (F.col("decision") == -1) | F.col("exists_locally"))
 
 
@@ -61,12 +70,12 @@ def download_changes_plan(changes: DataFrame, remote: DataFrame, archive: DataFr
     a = archive.select(F.col("drive_id").alias("__tid"), F.col("path").alias("__tpath"))
     t = tracked.select(F.col("drive_id").alias("__tid2"), F.col("base_path").alias("__tbase"))
     dec = dec.join(a, F.col("tracked_id") == F.col("__tid"), "left") \
-        .join(F.broadcast(t), F.col("tracked_id") == F.col("__tid2"), "left")
+        .join(t, F.col("tracked_id") == F.col("__tid2"), "left")
     pre = F.coalesce(F.col("__tpath"), F.col("__tbase"))
     plan = dec.select("seq", "file_id", "type", "decision", "why", F.col("tracked_id").alias("root_parent_id"),
                       join_path(pre, F.col("mid_path"), F.col("name")).alias("dest_path"),
                       F.coalesce(F.col("md5sum"), F.lit("")).alias("md5sum"))
-    out = collides(plan, local, "dest_path")
+    out = collides(_once(plan), local, "dest_path")
     return out.withColumn("conflict", (F.col("decision") == -1) | F.col("exists_locally"))
 
 
@@ -80,9 +89,33 @@ def copy_down_plan(remote: DataFrame, folder_id: str, save_path: str, folder_nam
                     F.when(F.col("type") == "#file", F.col("size")).otherwise(F.lit(0)).alias("size"))
 
 
+def apply_uploads(remote: DataFrame, archive: DataFrame, results: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The remote listing and the archive after uploads (U5): ``results(path,
+    drive_id, is_dir, mtime, md5sum, size)``. Nodes that exist take the time, md5
+    and size; new ones hang under the id their parent folder has by then."""
+    after = record_uploads(archive, results.select("path", "drive_id", "mtime", "md5sum"))
+    r = results.select(F.col("drive_id").alias("__rid"), F.col("mtime").alias("__time"), F.col("md5sum").alias("__md5"),
+                       F.col("size").alias("__size"), F.lit(True).alias("__up"))
+    is_file = F.col("__up") & (F.col("mime_type") != FOLDER_MIME)
+    changed = remote.join(r, F.col("file_id") == F.col("__rid"), "left") \
+        .withColumn("modified_time", F.coalesce(F.col("__time"), F.col("modified_time"))) \
+        .withColumn("md5sum", F.when(is_file, F.col("__md5")).otherwise(F.col("md5sum"))) \
+        .withColumn("size", F.when(is_file, F.col("__size")).otherwise(F.col("size"))).select(*remote.columns)
+    fresh = results.join(remote.select(F.col("file_id").alias("drive_id")), "drive_id", "left_anti") \
+        .withColumn("__parent", parent_dir(F.col("path")))
+    nodes = lookup(fresh, after, "__parent", "path", "drive_id", out="parent_id").select(
+        F.col("drive_id").alias("file_id"), basename(F.col("path")).alias("name"), "parent_id",
+        F.when(F.col("is_dir"), FOLDER_MIME).otherwise(DEFAULT_MIME).alias("mime_type"),
+        F.when(~F.col("is_dir"), F.col("md5sum")).alias("md5sum"), F.col("mtime").alias("modified_time"),
+        F.col("size").cast("bigint").alias("size"), F.lit(False).alias("trashed"))
+    return changed.unionByName(nodes.select(*remote.columns)), after
+
+
 def folder_sync_plan(upload: DataFrame, download: DataFrame) -> DataFrame:
     """The upload side (P7) then the download side (P2) of one folder pair,
-    in a common shape: ``direction, type, local_path, file_id, action``."""
+    in a common shape: ``direction, type, local_path, file_id, action``. As a
+    dry run both sides see the state before; for a sync, plan the download on
+    what :func:`apply_uploads` returns."""
     up = upload.select(F.lit("up").alias("direction"), "type", F.col("path").alias("local_path"),
                        F.col("drive_id").alias("file_id"),
                        F.when(F.col("op") == "NEW", "upload_new").otherwise("upload_update").alias("action"))
@@ -91,4 +124,4 @@ def folder_sync_plan(upload: DataFrame, download: DataFrame) -> DataFrame:
     return up.unionByName(down)
 
 
-__all__ = ["download_folder_plan", "download_changes_plan", "copy_down_plan", "folder_sync_plan", "FOLDER_MIME"]
+__all__ = ["download_folder_plan", "download_changes_plan", "copy_down_plan", "apply_uploads", "folder_sync_plan", "FOLDER_MIME"]

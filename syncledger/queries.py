@@ -623,3 +623,4 @@ _ = collides  # used by the plan queries below
 
 
 from . import queries_plans  # noqa: E402,F401  (registers the plan queries)
+from . import queries_more  # noqa: E402,F401

@@ -23,10 +23,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from ..operators.diff import removed_remotely
 from ..operators.exclude import Exclusions
+from ..sources.store import exists
 
 CHANGES_SCHEMA = T.StructType([
     T.StructField("seq", T.LongType()),
@@ -66,10 +66,9 @@ def _offsets_path(out: str) -> str:
 
 def committed_seq(spark: SparkSession, out: str) -> int | None:
     """Highest ``seq`` a job writing to ``out`` has finished (or initialised)."""
-    try:
-        v = spark.read.parquet(_offsets_path(out)).agg(F.max("max_seq")).first()[0]
-    except AnalysisException:
-        return None
+    if not exists(spark, _offsets_path(out)):
+        return None  # a first run; any other trouble with the offsets is an error
+    v = spark.read.parquet(_offsets_path(out)).agg(F.max("max_seq")).first()[0]
     return None if v is None else int(v)
 
 
