@@ -17,6 +17,7 @@ from ..operators.catalog import delete_archive
 from ..operators.diff import descendants_join, removed_locally
 from ..operators.exclude import Exclusions
 from ..operators.hierarchy import tag_archived, topmost, walk_pruned
+from ..operators.reconcile import null_safe_key
 from .upload import upload_plan, upload_sync_plan
 
 OUT_COLS = ["root", "action", "op", "type", "path", "drive_id", "parent_id", "is_root"]
@@ -84,7 +85,8 @@ def mirror_fast_plan(local: DataFrame, archive: DataFrame, ex: Exclusions, root:
 def flag_removed(remote: DataFrame, archive: DataFrame, local: DataFrame) -> DataFrame:
     """Remote nodes with ``flag``: unarchived, or archived but gone locally."""
     t = tag_archived(remote, archive)
-    t = t.join(local.select(F.col("path").alias("__lp")), F.col("archive_path") == F.col("__lp"), "left")
+    here = null_safe_key(F.col("archive_path"), F.col("file_id"), "noarchive")  # unarchived nodes spread over tasks
+    t = t.join(local.select(F.col("path").alias("__lp")), here == F.col("__lp"), "left")
     return t.withColumn("flag", ~F.col("archived") | F.col("__lp").isNull()).drop("__lp")
 
 

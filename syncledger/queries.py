@@ -521,9 +521,9 @@ pw(file_id, name, mime_type, flag, path, depth) AS (
 
 def flag_nodes(i: fx.Inventories):
     """Remote nodes flagged when unarchived, or archived but gone locally."""
-    t = H.tag_archived(i.R, i.A)
-    t = t.join(i.L.select(F.col("path").alias("__lp")), F.col("archive_path") == F.col("__lp"), "left")
-    return t.withColumn("flag", ~F.col("archived") | F.col("__lp").isNull()).drop("__lp")
+    from .plans.mirror import flag_removed
+
+    return flag_removed(i.R, i.A, i.L)
 
 
 @register("h5_walk_pruned", oracle=f"""

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from ..fixtures import FOLDER_MIME
 from ..functions.paths import ancestors, basename, normalize_path, parent_dir
+from ..operators.reconcile import classify_type
 
 LOCAL_SCHEMA = T.StructType([
     T.StructField("path", T.StringType(), False),
@@ -55,10 +56,6 @@ def scan_local(spark: SparkSession, path: str, with_md5: bool = False, with_dirs
     return files.unionByName(dirs)
 
 
-def classify(df: DataFrame, folder_mime: str = FOLDER_MIME) -> DataFrame:
-    return df.withColumn("type", F.when(F.col("mime_type") == folder_mime, "#folder").otherwise("#file"))
-
-
 def list_children(remote: DataFrame, folder_id: str, kind: str = "all", where: Column | None = None,
                   folder_mime: str = FOLDER_MIME) -> DataFrame:
     """Direct non-trashed children of a folder: ``all``, ``files`` or ``folders``."""
@@ -71,7 +68,7 @@ def list_children(remote: DataFrame, folder_id: str, kind: str = "all", where: C
         raise ValueError(f"unknown kind {kind!r}")
     if where is not None:
         cond = cond & where
-    return classify(remote.filter(cond), folder_mime)
+    return classify_type(remote.filter(cond), folder_mime=folder_mime)
 
 
 def list_all(remote: DataFrame, where: Column | None = None) -> DataFrame:
