@@ -7,12 +7,13 @@ values propose candidates; links are confirmed on the full sets.
 
 * Documents with equal sets are one class from the start (a grouping by a
   128-bit digest of the set); only class representatives are banded.
-* In a bucket, all members are compared with one member (the leader). Of buckets
-  that still hold two components or more, members leave that have too many
-  shingles of their own to be linked with any other; the rest is compared with
-  the next leaders, from the smallest component, with twice as many leaders
-  each round, until each bucket is settled. No pairs inside a component are
-  made, no bucket is gathered in one task, and no possible link is dropped.
+* In a bucket, all members are compared with one member (the leader), which
+  joins most of a group of copies into one component. Of buckets that still hold
+  two components or more, members leave that have too many shingles of their own
+  to be linked with any other. What is left outside the largest component is
+  compared with all others of its family of buckets, inside a join that gives
+  the links alone. No pairs inside a component are looked at, no bucket is
+  gathered in one task, and no possible link is dropped.
 * A pair with J = 0.75 is missed by all 32 bands with probability 5e-6.
 
 Defined cases: without words, or with a null text, the set is empty and the
@@ -38,6 +39,8 @@ WORDS = 5
 PERCENT = 75
 HASHES = 64
 ROWS = 4
+#: Members on each side of one cell of a family's comparisons in the last step.
+SIDE = 500
 _U = np.uint64
 
 
@@ -122,15 +125,18 @@ def _full_sets(docs: DataFrame, ids: DataFrame, words: int, id_col: str, text_co
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offs = text_bytes(batch.column(1))
-            out = []
+            out, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for _, _, d, o in blocks(data, offs):
                 sets, at = shingle_sets(d, o, words)
-                out += [sets[a:b].tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-            yield pa.record_batch([batch.column(0), pa.array(out, pa.binary())], ["id", "shingles"])
+                out.append(sets.view(np.int64))
+                sizes.append(np.diff(at))
+            cuts = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int32)
+            yield pa.record_batch([batch.column(0), pa.ListArray.from_arrays(
+                pa.array(cuts), pa.array(np.concatenate(out)))], ["id", "shingles"])
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
     wanted = hinted(ids.select(F.col("rep").alias("id")).distinct())
-    return stored(rows.join(wanted, "id", "left_semi").mapInArrow(gather, "id bigint, shingles binary"), "dup-sets")
+    return stored(rows.join(wanted, "id", "left_semi").mapInArrow(gather, "id bigint, shingles array<bigint>"), "dup-sets")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -138,8 +144,9 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = np.zeros(batch.num_rows, bool)
-            for k, (x, y) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
-                x, y = np.frombuffer(x.as_buffer(), _U), np.frombuffer(y.as_buffer(), _U)
+            (xs, xo), (ys, yo) = ((c.values.to_numpy().view(_U), c.offsets.to_numpy()) for c in batch.columns[2:])
+            for k in range(batch.num_rows):
+                x, y = xs[xo[k]:xo[k + 1]], ys[yo[k]:yo[k + 1]]
                 if len(x) > len(y):
                     x, y = y, x
                 if len(x) and 100 * len(x) >= percent * len(y):
@@ -172,20 +179,50 @@ def _supported(held: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``held`` without the members that can have no link in their bucket: a link to a set of ``m`` shingles takes
     ``percent / (100 + percent) * (n + m)`` common ones, and those of a member that no other member of any bucket
     has are common to none. Exact, and one count of shingles, however many members a bucket has."""
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for rep, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                h = np.frombuffer(raw.as_buffer(), np.int64)
-                yield pa.record_batch([pa.array(h), pa.array(np.full(len(h), rep))], ["h", "rep"])
-
     reps = hinted(held.select(F.col("rep").alias("id")).distinct())
-    own = sets.join(reps, "id", "left_semi").select("id", "shingles").mapInArrow(spread, "h bigint, rep bigint") \
+    own = sets.join(reps, "id", "left_semi").select(F.col("id").alias("rep"), F.explode("shingles").alias("h")) \
         .groupBy("h").agg(F.min("rep").alias("rep"), F.max("rep").alias("last")).filter("rep = last") \
         .groupBy("rep").agg(F.count("*").alias("own"))
     least = held.groupBy("key").agg(F.min("n").alias("least"))
     partner = F.greatest("least", F.ceil(F.col("n") * F.lit(percent) / 100))
     can = (100 + percent) * (F.col("n") - F.coalesce("own", F.lit(0))) >= percent * (F.col("n") + partner)
-    return held.join(own, "rep", "left").join(least, "key").filter(can).select("key", "rep", "n", "component")
+    return held.join(own, "rep", "left").join(least, "key").filter(can) \
+        .select("key", "rep", "n", "component", (F.col("n") - F.coalesce("own", F.lit(0))).alias("shared"))
+
+
+def _links_across(held: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All links (a, b) between different components of buckets that share members, stored.
+
+    Buckets that share members are one family, so that no pair is looked at once per bucket. Of each family the
+    members outside its largest component meet the others; the join's own condition compares the full sets, so only
+    links are made. A large family is dealt to a grid of cells with about ``SIDE`` members on each side."""
+    first = held.groupBy("key").agg(F.min("rep").alias("a"))
+    spokes = held.select("key", F.col("rep").alias("b")).join(first, "key").filter("a < b").select("a", "b").distinct()
+    family = add_edges(spokes).select(F.col("node").alias("rep"), F.col("label").alias("family"))
+    members = stored(held.select("rep", "n", "component", "shared").distinct().join(family, "rep"), "dup-family")
+    by_component = members.groupBy("family", "component").agg(F.count("*").alias("size"))
+    largest = by_component.groupBy("family").agg(
+        F.max_by("component", F.struct("size", "component")).alias("largest"),
+        F.ceil(F.sum("size") / SIDE).cast("int").alias("q_parts"),
+        F.greatest(F.ceil((F.sum("size") - F.max("size")) / SIDE), F.lit(1)).cast("int").alias("p_parts"))
+    full = members.join(largest, "family").join(sets.withColumnRenamed("id", "rep"), "rep")
+    share = F.xxhash64("rep")
+    left = full.filter("component != largest").select(
+        "family", F.pmod(share, "p_parts").cast("int").alias("p"),
+        F.explode(F.sequence(F.lit(0), F.col("q_parts") - 1)).alias("q"), "rep", "n", "component", "shared", "shingles")
+    right = full.select(
+        "family", F.explode(F.sequence(F.lit(0), F.col("p_parts") - 1)).alias("p"),
+        F.pmod(share, "q_parts").cast("int").alias("q"), F.col("rep").alias("rep2"), F.col("n").alias("n2"),
+        F.col("component").alias("component2"), F.col("shared").alias("shared2"), F.col("shingles").alias("shingles2"))
+    needed = percent * (F.col("n") + F.col("n2"))
+    alike = (F.col("component") != F.col("component2")) \
+        & (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")) \
+        & ((100 + percent) * F.least("shared", "shared2") >= needed) \
+        & ((100 + percent) * F.size(F.array_intersect("shingles", "shingles2")) >= needed)
+    same = (left["family"] == right["family"]) & (left["p"] == right["p"]) & (left["q"] == right["q"])
+    found = left.join(right, same & alike) \
+        .select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b"))
+    return stored(found.distinct(), "dup-links")
 
 
 def _components(docs: DataFrame, reps: DataFrame, words: int, percent: int, id_col: str,
@@ -199,35 +236,16 @@ def _components(docs: DataFrame, reps: DataFrame, words: int, percent: int, id_c
     if pairs.isEmpty():
         return None
     sets = _full_sets(docs, members.select("rep"), words, id_col, text_col)
-    links = _confirmed(pairs, sets, percent)
-    labels = add_edges(links)
-    tested, left, leaders = pairs, members.filter("rep != other").select("key", "rep", "n"), 1
-    while True:
-        held = left.join(labels.withColumnRenamed("node", "rep"), "rep", "left") \
-            .select("key", "rep", "n", F.coalesce("label", "rep").alias("component"))
-        held = _unsettled(held)
-        if held.isEmpty():
-            return labels
-        held = _unsettled(_supported(held, sets, percent))
-        if held.isEmpty():
-            return labels
-        sizes = held.groupBy("key", "component").agg(F.count("*").alias("size"))
-        share = F.pmod(F.xxhash64("rep"), F.lit(leaders))
-        lead = held.join(sizes, ["key", "component"]).groupBy("key", share.alias("share")) \
-            .agg(F.min(F.struct("size", "rep", "n", "component")).alias("lead")) \
-            .select("key", F.col("lead.rep").alias("other"), F.col("lead.n").alias("other_n"),
-                    F.col("lead.component").alias("other_component"))
-        lead = stored(lead, "dup-leaders")
-        across = held.join(lead, "key").filter("component != other_component")
-        pairs = stored(_pairs(across, percent).join(tested, ["a", "b"], "left_anti"), "dup-pairs")
-        if not pairs.isEmpty():
-            links = _confirmed(pairs, sets, percent)
-            if not links.isEmpty():
-                labels = add_edges(links, labels)
-            tested = tested.unionByName(pairs)
-        left = held.select("key", "rep", "n").join(lead.select("key", F.col("other").alias("rep")), ["key", "rep"],
-                                                   "left_anti")
-        leaders *= 2
+    labels = add_edges(_confirmed(pairs, sets, percent))
+    held = members.filter("rep != other").select("key", "rep", "n") \
+        .join(labels.withColumnRenamed("node", "rep"), "rep", "left") \
+        .select("key", "rep", "n", F.coalesce("label", "rep").alias("component"))
+    held = _unsettled(_supported(_unsettled(held), sets, percent))
+    if not held.isEmpty():
+        links = _links_across(held, sets, percent)
+        if not links.isEmpty():
+            labels = add_edges(links, labels)
+    return labels
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, hashes: int = HASHES,
