@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, bounded_batches, is_training, lower_ascii, stored, text_bytes, word_hashes
+from .common import blocks, bounded_batches, is_training, lower_ascii, stored, text_bytes, tidied, word_hashes
 
 #: Words that the exchange algorithm assigns, and the classes it assigns them to.
 CLASS_WORDS = 512
@@ -75,7 +75,7 @@ def count_tokens(texts: DataFrame) -> DataFrame:
         if held:
             yield counted()
 
-    return stored(texts.select("text").mapInArrow(count, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n")),
+    return stored(texts.select("text").mapInArrow(tidied(count), "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n")),
                   "lm-counts")
 
 
@@ -111,7 +111,7 @@ def count_bigrams(texts: DataFrame, words: np.ndarray) -> np.ndarray:
         at = np.flatnonzero(total)
         yield pa.record_batch([pa.array(at), pa.array(total[at])], ["pair", "n"])
 
-    found = texts.select("text").mapInArrow(count, "pair bigint, n bigint") \
+    found = texts.select("text").mapInArrow(tidied(count), "pair bigint, n bigint") \
         .groupBy("pair").agg(F.sum("n").alias("n")).toArrow()  # at most (K + 2) ** 2 rows
     out = np.zeros(side * side, np.int64)
     out[found.column("pair").to_numpy()] = found.column("n").to_numpy()
@@ -284,7 +284,7 @@ def score(docs: DataFrame, model: ClassModel, rare: DataFrame, id_col: str = "do
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = ("row bigint, doc_id bigint, n_tokens bigint, n_rare bigint, base double, own double, "
               "h array<bigint>, times array<bigint>")
-    scored = stored(rows.mapInArrow(local, schema), "lm-scored")
+    scored = stored(rows.mapInArrow(tidied(local), schema), "lm-scored")
     tail = scored.select("row", F.explode(F.arrays_zip("h", "times")).alias("t")).select("row", "t.h", "t.times") \
         .join(rare, "h", "left").groupBy("row").agg(
             F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + F.lit(1.0))).alias("logs"),

@@ -11,6 +11,7 @@ mixed; they are the same on every machine and in every run.
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 import uuid
@@ -72,6 +73,18 @@ def worker_state(key: str, build: Callable[[], object]) -> object:
     return getattr(held, key)
 
 
+def tidied(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``work`` that at a task's end gives memory it no longer uses back to the system, as workers live on."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+        if trim is not None:
+            trim(0)
+
+    return run
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column and its n + 1 offsets (null: empty)."""
     if column.null_count:

@@ -30,14 +30,14 @@ import pyarrow.compute  # noqa: F401 - pa.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLOCK, blocks, bounded_batches, is_training, text_bytes, worker_state
+from .common import BLOCK, blocks, bounded_batches, is_training, text_bytes, tidied, worker_state
 
 ORDER = 4
 SAMPLE_BYTES = 1_500_000
 #: A text is in no learned language if the best model codes it longer than its plain bytes by this many bits.
 REJECT_BITS = 64.0
 #: Bytes of memory for codes of contexts seen before, per worker.
-CACHE_BYTES = 32_000_000
+CACHE_BYTES = 16_000_000
 UNKNOWN = "und"
 _U = np.uint64
 _MIX = _U(0x9E3779B97F4A7C15)
@@ -148,7 +148,7 @@ def train(docs: DataFrame, training=None, sample_bytes: int = SAMPLE_BYTES, orde
                 found, n = np.unique(codes, return_counts=True)
                 yield pa.record_batch([pa.array(found.astype(np.int64)), pa.array(n)], ["code", "n"])
 
-    counts = sample.mapInArrow(count, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
+    counts = sample.mapInArrow(tidied(count), "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
     codes = counts.column("code").to_numpy().astype(_U)
     return compile_model(languages, (codes >> _U(8 * (order + 1))).astype(np.int64),
                          codes & _U((1 << 8 * (order + 1)) - 1), counts.column("n").to_numpy(), order)
@@ -244,7 +244,7 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
                                   ["doc_id", "lang_pred", "score", "bits_per_byte"])
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(predict, "doc_id bigint, lang_pred string, score double, bits_per_byte double")
+    return rows.mapInArrow(tidied(predict), "doc_id bigint, lang_pred string, score double, bits_per_byte double")
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel, reject_bits: float = REJECT_BITS,
@@ -264,7 +264,7 @@ def keep_identified(docs: DataFrame, model: LanguageModel, reject_bits: float =
                 batch = batch.set_column(lang, batch.schema.field(lang), column)
             yield batch.filter(pa.array(fits.astype(bool)))
 
-    return docs.mapInArrow(select, docs.schema)
+    return docs.mapInArrow(tidied(select), docs.schema)
 
 
 def op6_language_ppm(spark, sf_dir: str) -> DataFrame:

@@ -32,7 +32,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, bounded_batches, hinted, lower_ascii, mix64, stored, text_bytes, window_hashes, word_hashes
+from .common import (
+    blocks,
+    bounded_batches,
+    hinted,
+    lower_ascii,
+    mix64,
+    stored,
+    text_bytes,
+    tidied,
+    window_hashes,
+    word_hashes,
+)
 from .components import add_edges
 
 WORDS = 5
@@ -116,7 +127,7 @@ def document_signatures(docs: DataFrame, words: int = WORDS, hashes: int = HASHE
                 ["doc_id", "n", "d1", "d2", "bands"])
 
     out = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return stored(out.mapInArrow(sign, "doc_id bigint, n bigint, d1 bigint, d2 bigint, bands array<bigint>"),
+    return stored(out.mapInArrow(tidied(sign), "doc_id bigint, n bigint, d1 bigint, d2 bigint, bands array<bigint>"),
                   "dup-signatures")
 
 
@@ -136,7 +147,7 @@ def _full_sets(docs: DataFrame, ids: DataFrame, words: int, id_col: str, text_co
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
     wanted = hinted(ids.select(F.col("rep").alias("id")).distinct())
-    return stored(rows.join(wanted, "id", "left_semi").mapInArrow(gather, "id bigint, shingles array<bigint>"), "dup-sets")
+    return stored(rows.join(wanted, "id", "left_semi").mapInArrow(tidied(gather), "id bigint, shingles array<bigint>"), "dup-sets")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -157,7 +168,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     sa = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     sb = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
     both = pairs.select("a", "b").join(sa, "a").join(sb, "b").select("a", "b", "sa", "sb")
-    return stored(both.mapInArrow(compare, "a bigint, b bigint").distinct(), "dup-links")
+    return stored(both.mapInArrow(tidied(compare), "a bigint, b bigint").distinct(), "dup-links")
 
 
 def _pairs(rows: DataFrame, percent: int) -> DataFrame:

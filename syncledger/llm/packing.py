@@ -24,8 +24,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, stored, text_bytes, worker_state
-from .pieces import PieceCache, piece_blocks, ship_vocabulary, vocabulary
+from .common import bounded_batches, stored, text_bytes, tidied, worker_state
+from .pieces import PieceCache, piece_blocks, ship_vocabulary
 
 LENGTH = 1024
 END_ID = 2
@@ -34,9 +34,9 @@ SLACK = 8
 #: Items packed in one task, and partitions merged into one from round to round.
 ITEMS = 65_536
 FAN_IN = 8
-CACHE_BITS = 20
+CACHE_BITS = 19
 #: Ids kept per worker for pieces seen before; the table starts anew beyond it.
-POOL = 8_000_000
+POOL = 3_000_000
 
 PIECE = "row bigint, doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -49,6 +49,7 @@ class _IdCache:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(raw.decode())
+        self.special = {t.content.encode(): i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.clear()
 
     def clear(self) -> None:
@@ -96,7 +97,6 @@ def document_pieces(docs: DataFrame, length: int = LENGTH, end_id: int = END_ID,
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw = shipped.value
-        vocab = vocabulary(raw)
         cache = worker_state(f"piece_ids_{zlib.crc32(raw):08x}", lambda: _IdCache(raw))
         end = np.array([end_id], np.uint32).tobytes()
         row = TaskContext.get().partitionId() << 33
@@ -105,7 +105,7 @@ def document_pieces(docs: DataFrame, length: int = LENGTH, end_id: int = END_ID,
             keys = batch.column(0).to_pylist()
             out: list[list] = [[] for _ in range(6)]
             held: list[np.ndarray] = []
-            for i, j, d, s, e, first in piece_blocks(data, offs, vocab):
+            for i, j, d, s, e, first in piece_blocks(data, offs, cache.special):
                 ids, begins = cache.ids(d, s, e)
                 lo, raw_ids = begins[first].tolist(), ids.tobytes()
                 for k in range(j - i):
@@ -127,7 +127,7 @@ def document_pieces(docs: DataFrame, length: int = LENGTH, end_id: int = END_ID,
             yield pa.record_batch(arrays, names)
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return stored(rows.mapInArrow(tokenize, PIECE + (", ids array<int>" if with_ids else "")), "pack-pieces")
+    return stored(rows.mapInArrow(tidied(tokenize), PIECE + (", ids array<int>" if with_ids else "")), "pack-pieces")
 
 
 def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
@@ -184,7 +184,7 @@ def _pack_round(items: DataFrame, level: int, length: int, last: bool) -> DataFr
                  pa.ListArray.from_arrays(pa.array(cuts), pa.array(offsets))],
                 ["sequence_id", "fill", "members", "offsets"])
 
-    return items.mapInArrow(pack, f"sequence_id bigint, fill bigint, members {members}, offsets array<bigint>")
+    return items.mapInArrow(tidied(pack), f"sequence_id bigint, fill bigint, members {members}, offsets array<bigint>")
 
 
 def place_pieces(pieces: DataFrame, length: int = LENGTH) -> DataFrame:

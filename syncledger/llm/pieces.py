@@ -125,15 +125,16 @@ def _split_keep(text: str, token: str) -> list[str]:
     return out
 
 
-def piece_blocks(data: np.ndarray, offs: np.ndarray, vocab: Vocabulary) -> Iterator[
+def piece_blocks(data: np.ndarray, offs: np.ndarray, tokens: dict[bytes, int]) -> Iterator[
         tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Runs of whole texts: (first row, end row, bytes, piece starts, piece ends, first piece of each text)."""
-    special = [t.decode() for t in vocab.special]
+    """Runs of whole texts: (first row, end row, bytes, piece starts, piece ends, first piece of each text). ``tokens``:
+    the special strings that are pieces of their own."""
+    special = [t.decode() for t in tokens]
     for i, j, d, o in blocks(data, offs):
         odd = np.unique(np.searchsorted(o, np.flatnonzero((d == 0xC2) | (d >= 0xCA)), "right") - 1)
         raw = d.tobytes()
-        if any(t in raw for t in vocab.special):
-            odd = np.union1d(odd, [k for k in range(j - i) if any(t in raw[o[k]:o[k + 1]] for t in vocab.special)])
+        if any(t in raw for t in tokens):
+            odd = np.union1d(odd, [k for k in range(j - i) if any(t in raw[o[k]:o[k + 1]] for t in tokens)])
         if not len(odd):
             s = _plain_pieces(d, o) if len(d) else np.zeros(0, np.int64)
         else:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, stored, text_bytes
+from .common import bounded_batches, stored, text_bytes, tidied
 
 KINDS = ("email", "ip", "card", "phone")
 MAX_TOKENS = 24
@@ -384,7 +384,7 @@ def train(docs: DataFrame, snippets: int = SNIPPETS, id_col: str = "doc_id", tex
         yield pa.record_batch([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64()),
                                pa.array([r[2] for r in rows], pa.string())], ["kind", "h", "snippet"])
 
-    cuts = stored(_rows(docs, id_col, text_col).mapInArrow(cut, "kind string, h bigint, snippet string"),
+    cuts = stored(_rows(docs, id_col, text_col).mapInArrow(tidied(cut), "kind string, h bigint, snippet string"),
                   "pii-snippets")
     chosen: list[str] = []
     for kind, n in shares.items():
@@ -409,7 +409,7 @@ def find_pii(docs: DataFrame, model: SegmentModel, id_col: str = "doc_id", text_
             yield pa.record_batch([batch.column(0), pa.array(spans, kind_type)], ["doc_id", "spans"])
 
     return _rows(docs, id_col, text_col).mapInArrow(
-        search, "doc_id bigint, spans array<struct<kind:string,start:bigint,end:bigint,base:boolean>>")
+        tidied(search), "doc_id bigint, spans array<struct<kind:string,start:bigint,end:bigint,base:boolean>>")
 
 
 def all_spans(text: str, model: SegmentModel) -> list[tuple[int, int, str, bool]]:
@@ -451,7 +451,7 @@ def redact(docs: DataFrame, model: SegmentModel, text_col: str = "text") -> Data
                 batch = batch.set_column(at, batch.schema.field(at), pa.array(texts, column.type))
             yield batch
 
-    return docs.mapInArrow(rewrite, schema)
+    return docs.mapInArrow(tidied(rewrite), schema)
 
 
 def op4_pii_semi_crf(spark, sf_dir: str) -> DataFrame:

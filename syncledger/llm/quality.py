@@ -21,7 +21,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, bounded_batches, space_table, span_hashes, stored, text_bytes, window_hashes, word_hashes
+from .common import (
+    blocks,
+    bounded_batches,
+    space_table,
+    span_hashes,
+    stored,
+    text_bytes,
+    tidied,
+    window_hashes,
+    word_hashes,
+)
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -137,7 +147,7 @@ def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             yield pa.record_batch([batch.column(0), *[pa.array(v) for v in out.values()]], ["doc_id", *_STATS])
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(measure, "doc_id bigint, " + ", ".join(f"{c} bigint" for c in _STATS))
+    return rows.mapInArrow(tidied(measure), "doc_id bigint, " + ", ".join(f"{c} bigint" for c in _STATS))
 
 
 def votes(rules=RULES):

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, text_bytes, worker_state
+from .common import bounded_batches, text_bytes, tidied, worker_state
 from .pieces import PieceCache, Vocabulary, piece_blocks, ship_vocabulary, vocabulary
 
 LIMIT = 512
@@ -83,14 +83,14 @@ def token_counts(docs: DataFrame, limit: int = LIMIT, vocab_path: str | None = N
         for batch in batches:
             data, offs = text_bytes(batch.column(1))
             totals = np.zeros(batch.num_rows, np.int64)
-            for i, j, d, s, e, first in piece_blocks(data, offs, vocab):
+            for i, j, d, s, e, first in piece_blocks(data, offs, vocab.special):
                 sums = np.concatenate([[0], np.cumsum(cache.lookup(d, s, e))])
                 totals[i:j] = sums[first[1:]] - sums[first[:-1]]
             yield pa.record_batch([batch.column(0), pa.array(np.diff(offs)), pa.array(totals)],
                                   ["doc_id", "n_bytes", "n_tokens"])
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(count, "doc_id bigint, n_bytes bigint, n_tokens bigint") \
+    return rows.mapInArrow(tidied(count), "doc_id bigint, n_bytes bigint, n_tokens bigint") \
         .withColumn("over_limit", F.col("n_tokens") > limit)
 
 

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import stored, tidied
 
 SCALE = 64
 LARGEST = 1 << 24
@@ -102,7 +102,7 @@ def index_blocks(vectors: DataFrame, blocks: int) -> DataFrame:
                                   ["block", "dim", "ids", "low", "digits", "slices"])
 
     return stored(vectors.repartition(blocks).mapInArrow(
-        build, "block bigint, dim bigint, ids binary, low binary, digits binary, slices binary"), "topk-index")
+        tidied(build), "block bigint, dim bigint, ids binary, low binary, digits binary, slices binary"), "topk-index")
 
 
 def query_blocks(queries: DataFrame, blocks: int) -> DataFrame:
@@ -115,7 +115,7 @@ def query_blocks(queries: DataFrame, blocks: int) -> DataFrame:
                                   ["part", "dim", "query_ids", "weights"])
 
     return stored(queries.repartition(blocks).mapInArrow(
-        build, "part bigint, dim bigint, query_ids binary, weights binary"), "topk-queries")
+        tidied(build), "part bigint, dim bigint, query_ids binary, weights binary"), "topk-queries")
 
 
 class BitSlices:
@@ -219,7 +219,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
                                                              F.lit(n_blocks - 1).cast("bigint")))),
               ["block", "part", "dim"])
     with _small_batches(spark):
-        found = stored(cells.mapInArrow(search, "query_id bigint, vec_id bigint, score bigint, block bigint"),
+        found = stored(cells.mapInArrow(tidied(search), "query_id bigint, vec_id bigint, score bigint, block bigint"),
                        "topk-found")
     best_first = [F.desc("score"), F.asc("vec_id")]
     while n_blocks > FAN_IN:  # merge neighbouring blocks first
