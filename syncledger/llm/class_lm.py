@@ -1,15 +1,19 @@
 """Operator 9: scoring by a class-based n-gram model (Brown classes by exchange).
 
-Every token of the training texts is counted. The most frequent words (a
-documented number) are put into classes by the exchange algorithm on their
-bigram counts over the whole training corpus; all other words form one class,
-and a text's end, which also stands before its start, another. A token's
-probability is that of its class after the class before it, times the word's
-share in its class; both are smoothed, and unseen words share one unit of the
-class of other words.
-
-Counts of frequent words (a proven bound) are sent to every worker. A text's
-rarer words are joined with their counts, hash by hash.
+Every token of the training texts is counted, and every word seen is put into a
+class by the exchange algorithm on bigram counts over the whole training corpus;
+the number of classes grows with the number of words. The most frequent words
+(``CLASS_WORDS``) begin the classes; then sweeps over the corpus count each
+word's neighbours by class and move it to the class that raises the likelihood
+most, first every word that has no class, then half of all words at a time. A
+sweep that does not raise the likelihood is undone and is the last. A text's
+end, which also stands before its start, has a class of its own, and so have
+unseen words. A token's probability is that of its class after the class before
+it, smoothed, times the word's share in its class.
+
+Counts and classes of frequent words (a proven bound) are sent to every worker.
+Bigrams with a rarer word are stored and joined with its class, and a text's
+rarer words with their counts and classes, hash by hash.
 
 Defined cases: a null or empty text is one end token; an id may be null (it
 counts as the empty text) or repeat, every row is scored for itself; without
@@ -28,12 +32,26 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, bounded_batches, is_training, lower_ascii, stored, text_bytes, tidied, word_hashes
-
-#: Words that the exchange algorithm assigns, and the classes it assigns them to.
+from .common import (
+    blocks,
+    bounded_batches,
+    is_training,
+    lower_ascii,
+    stored,
+    text_bytes,
+    tidied,
+    word_hashes,
+    worker_state,
+)
+
+#: Words that begin the classes, and the fewest classes of a corpus with that many words.
 CLASS_WORDS = 512
 CLASSES = 40
 SWEEPS = 8
+#: Sweeps over all words of the corpus, the first assignment included.
+CORPUS_SWEEPS = 2
+#: Counts up to this have their gains in a table.
+SMALL = 8
 #: At most this many words have their counts sent to every worker (16 bytes each).
 BROADCAST_WORDS = 1_000_000
 #: Tokens gathered in a worker before they are counted.
@@ -173,24 +191,255 @@ def exchange(bigrams: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS)
     return of
 
 
+def class_number(types: int) -> int:
+    """Twice the fourth root of the number of types, at least ``CLASSES`` and at most ``CLASS_WORDS``."""
+    return min(CLASS_WORDS, max(CLASSES, round(2 * types ** 0.25)))
+
+
+def _summed(codes: list[np.ndarray], times: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    code, back = np.unique(np.concatenate(codes), return_inverse=True)
+    return code, np.bincount(back, np.concatenate(times), len(code)).astype(np.int64)
+
+
+def rare_bigrams(texts: DataFrame, keys: np.ndarray) -> DataFrame:
+    """(a, b, n), stored: how often b comes after a, for all pairs with a word that is not in the sorted ``keys``."""
+    shipped = texts.sparkSession.sparkContext.broadcast(keys)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shipped.value
+        for batch in batches:
+            data, offs = text_bytes(batch.column(0))
+            for _, _, d, o in blocks(data, offs):
+                tokens = _tokens(d, o)[0]
+                rare = ~_lookup(known, tokens)[1] & (tokens != END)
+                before, rare_before = np.concatenate([[END], tokens[:-1]]), np.concatenate([[False], rare[:-1]])
+                at = np.flatnonzero(rare | rare_before)
+                yield pa.record_batch([pa.array(before[at].view(np.int64)), pa.array(tokens[at].view(np.int64))],
+                                      ["a", "b"])
+
+    return stored(texts.select("text").mapInArrow(tidied(count), "a bigint, b bigint")
+                  .groupBy("a", "b").agg(F.count("*").alias("n")), "lm-bigrams")
+
+
+def contexts(texts: DataFrame, pairs: DataFrame, keys: np.ndarray, of: np.ndarray, rare: DataFrame,
+             side: int) -> DataFrame:
+    """(h, old, cells, times) of every word and the end, stored: its class (null: a class of ``of``), and how often each
+    class comes after it (cells 0 to side - 1) and before it (side to 2 * side - 1). Cell 2 * side: it after itself,
+    which the other cells count too. ``of``: classes of ``keys``; ``rare``: (h, of) of all other words."""
+    shipped = texts.sparkSession.sparkContext.broadcast((keys, of))
+    span = 2 * side + 1
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, classes = shipped.value
+        codes, times, size = [], [], 0
+        named = np.concatenate([known, np.array([0, END], _U)]).view(np.int64)
+
+        def counted() -> pa.RecordBatch:
+            code, n = _summed(codes, times)
+            return pa.record_batch([pa.array(named[code // span]), pa.array((code % span).astype(np.int32)), pa.array(n)],
+                                   ["h", "cell", "n"])
+
+        other, places = len(known), np.arange(len(known))
+        for batch in batches:
+            data, offs = text_bytes(batch.column(0))
+            for _, _, d, o in blocks(data, offs):
+                y = _word_ids(known, places, _tokens(d, o)[0])
+                x = np.concatenate([[other + 1], y[:-1]])
+                both = (x != other) & (y != other)
+                x, y = x[both], y[both]
+                code, n = np.unique(np.concatenate([x * span + classes[y], y * span + side + classes[x],
+                                                    x[x == y] * span + 2 * side]), return_counts=True)
+                codes.append(code)
+                times.append(n)
+                size += len(code)
+                if size >= CHUNK:
+                    code, n = _summed(codes, times)
+                    codes, times, size = [code], [n], len(code)
+                    if size >= CHUNK // 2:
+                        yield counted()
+                        codes, times, size = [], [], 0
+        if codes:
+            yield counted()
+
+    def resolve(joined: bool):
+        """Contexts of the pairs by the neighbour's class, or (``joined``) by the neighbour if its class is not sent."""
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known, classes = shipped.value
+            places = np.arange(len(known))
+            for batch in batches:
+                a, b, n = (batch.column(k).to_numpy() for k in range(3))
+                for h, near, first in ((a, b, 0), (b, a, side)):
+                    ids = _word_ids(known, places, near.view(_U))
+                    at = np.flatnonzero((ids == len(known)) == joined)
+                    cell = (first + (0 if joined else classes[ids[at]])) + np.zeros(len(at), np.int32)
+                    yield pa.record_batch([pa.array(h[at]), pa.array(near[at]), pa.array(cell.astype(np.int32)),
+                                           pa.array(n[at])], ["h", "near", "cell", "n"])
+                if not joined:
+                    at = np.flatnonzero(a == b)
+                    yield pa.record_batch([pa.array(a[at]), pa.array(b[at]), pa.array(np.full(len(at), 2 * side, np.int32)),
+                                           pa.array(n[at])], ["h", "near", "cell", "n"])
+        return pairs.mapInArrow(tidied(work), "h bigint, near bigint, cell int, n bigint")
+
+    cells = texts.select("text").mapInArrow(tidied(count), "h bigint, cell int, n bigint")
+    if rare is not None:
+        told = resolve(True).join(rare.select(F.col("h").alias("near"), "of"), "near")
+        cells = cells.unionByName(resolve(False).drop("near")) \
+            .unionByName(told.select("h", (F.col("cell") + F.col("of")).alias("cell"), "n"))
+    found = cells.groupBy("h", "cell").agg(F.sum("n").alias("n")) \
+        .groupBy("h").agg(F.sort_array(F.collect_list(F.struct("cell", "n"))).alias("c"))
+    found = found.join(rare.select("h", F.col("of").alias("old")), "h", "left") if rare is not None \
+        else found.withColumn("old", F.lit(None).cast("int"))
+    return stored(found.select("h", "old", F.col("c.cell").alias("cells"), F.col("c.n").alias("times")), "lm-contexts")
+
+
+def _read(batch: pa.RecordBatch, keys: np.ndarray, of: np.ndarray):
+    """Of a batch of contexts: hashes, classes, whether sent; and per cell the row, the cell and its count."""
+    h = batch.column(0).to_numpy().view(_U)
+    ids = _word_ids(keys, np.arange(len(keys)), h)
+    held = batch.column(1).fill_null(0).to_numpy(zero_copy_only=False)
+    old = np.where(ids == len(keys), held, of[ids])
+    cells = batch.column(2)
+    row = np.repeat(np.arange(len(h)), np.diff(cells.offsets.to_numpy()))
+    return h, old, ids != len(keys), row, cells.flatten().to_numpy(), batch.column(3).flatten().to_numpy()
+
+
+def class_table(found: DataFrame, keys: np.ndarray, of: np.ndarray, side: int) -> np.ndarray:
+    """side x side counts of classes after classes."""
+    shipped = found.sparkSession.sparkContext.broadcast((keys, of))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(side * side)
+        for batch in batches:
+            _, old, _, row, cell, n = _read(batch, *shipped.value)
+            at = cell < side
+            total += np.bincount(old[row[at]] * side + cell[at], n[at], side * side)
+        at = np.flatnonzero(total)
+        yield pa.record_batch([pa.array(at), pa.array(total[at].astype(np.int64))], ["pair", "n"])
+
+    got = found.mapInArrow(tidied(count), "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(side * side)
+    out[got.column("pair").to_numpy()] = got.column("n").to_numpy()
+    return out.reshape(side, side)
+
+
+def _f(x):
+    return x * np.log(np.maximum(x, 1))
+
+
+def likelihood(table: np.ndarray) -> float:
+    """What classes add to the log-likelihood of the corpus, but for a constant."""
+    return float(_f(table).sum() - _f(table.sum(axis=1)).sum() - _f(table.sum(axis=0)).sum())
+
+
+def best_classes(table: np.ndarray, old: np.ndarray, row: np.ndarray, cell: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The class that raises the likelihood most, for each word by its contexts. In its own class a word is judged
+    without its own counts, in all others by the table as it stands. Class side - 2 is no choice."""
+    side = len(table)
+    classes, words = side - 2, len(old)
+    small, near = worker_state("lm_gains", dict), np.concatenate([table[:classes].T, table[:, :classes]])
+    if small.get("table") is not table:  # gains by count and cell
+        small.update(table=table, gains=np.stack([_f(near + k) - _f(near) for k in range(SMALL + 1)]))
+    gain = np.zeros((words, classes))
+    plain = cell < 2 * side
+    w, c, m = row[plain], cell[plain], n[plain].astype(float)
+    after, before = np.zeros(words), np.zeros(words)
+    own = np.bincount(row[~plain], n[~plain], words)
+    for i in range(0, len(w), 1 << 14):
+        ww, cc, mm = w[i:i + (1 << 14)], c[i:i + (1 << 14)], m[i:i + (1 << 14)]
+        value = small["gains"][np.minimum(mm, SMALL).astype(np.int64), cc]
+        big = np.flatnonzero(mm > SMALL)
+        value[big] = _f(near[cc[big]] + mm[big, None]) - _f(near[cc[big]])
+        start = np.flatnonzero(np.concatenate([[True], ww[1:] != ww[:-1]]))
+        gain[ww[start]] += np.add.reduceat(value, start, axis=0)
+    right = c < side
+    after += np.bincount(w[right], m[right], words)
+    before += np.bincount(w[~right], m[~right], words)
+    rows, cols = table.sum(axis=1)[:classes], table.sum(axis=0)[:classes]
+    gain -= _f(rows + after[:, None]) - _f(rows) + _f(cols + before[:, None]) - _f(cols)
+    # classes on both sides of a word meet in one cell of the table if it joins them
+    at_right, at_left = w[right] * side + c[right], w[~right] * side + c[~right] - side
+    _, i, j = np.intersect1d(at_right, at_left, assume_unique=True, return_indices=True)
+    k, r, l = c[right][i], m[right][i], m[~right][j]
+    inner = k < classes
+    k, r, l, who = k[inner], r[inner], l[inner], w[right][i][inner]
+    corner = table[k, k]
+    gain[who, k] += _f(corner + r + l) - _f(corner + r) - _f(corner + l) + _f(corner)
+    # its own class, without it
+    at = np.flatnonzero(old < classes)
+    if len(at):
+        o = np.minimum(old, classes - 1)
+        cells = np.where(right, o[w] * side + c, (c - side) * side + o[w])
+        mine = table.ravel()[cells]
+        stay = np.bincount(w, _f(mine) - _f(np.maximum(mine - m, 0)), words)
+        hit = old[who] == k
+        who, k, r, l = who[hit], k[hit], r[hit], l[hit]
+        corner, twice = table[k, k], own[who]  # its own pairs are in both counts
+        stay[who] += _f(corner - r) + _f(corner - l) - _f(corner) - _f(np.maximum(corner - r - l + twice, 0))
+        stay -= _f(rows[o]) - _f(rows[o] - after) + _f(cols[o]) - _f(cols[o] - before)
+        gain[at, old[at]] = stay[at]
+    best = gain.argmax(axis=1)
+    rise = gain[np.arange(words), best] > gain[np.arange(words), np.minimum(old, classes - 1)] + 1e-9
+    return np.where((old >= classes) | rise, best, old)
+
+
+def moved(found: DataFrame, keys: np.ndarray, of: np.ndarray, table: np.ndarray, sweep: int) -> DataFrame:
+    """(h, of, sent) of all words after a sweep, stored."""
+    shipped = found.sparkSession.sparkContext.broadcast((keys, of, table))
+    unset = len(table) - 2
+
+    def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, of, table = shipped.value
+        for batch in batches:
+            h, old, sent, row, cell, n = _read(batch, keys, of)
+            new = best_classes(table, old, row, cell, n)
+            turn = (old == unset) if not sweep else (h >> _U(20)) % _U(2) == _U(sweep % 2)
+            new = np.where(turn & (h != END), new, old)
+            yield pa.record_batch([pa.array(h.view(np.int64)), pa.array(new.astype(np.int32)), pa.array(sent)],
+                                  ["h", "of", "sent"])
+
+    return stored(found.mapInArrow(tidied(move), "h bigint, of int, sent boolean"), "lm-classes")
+
+
+def classify(texts: DataFrame, keys: np.ndarray, of: np.ndarray, rare: DataFrame | None, side: int,
+             sweeps: int = CORPUS_SWEEPS) -> tuple[np.ndarray, DataFrame | None, np.ndarray]:
+    """Sweeps over the corpus until all words have classes and no sweep raises the likelihood: the classes of the sorted
+    ``keys`` (and of unseen words and the end), (h, of) of the words in ``rare``, and counts of classes after classes."""
+    pairs = rare_bigrams(texts, keys) if rare is not None else None
+    kept = None
+    for sweep in range(sweeps + 1):
+        found = contexts(texts, pairs, keys, of, rare, side)
+        table = class_table(found, keys, of, side)
+        if sweep > 1 and likelihood(table) <= likelihood(kept[2]):
+            return kept
+        kept = of, rare, table
+        if sweep == sweeps:
+            return kept
+        new = moved(found, keys, of, table, sweep)
+        got = new.filter("sent").toArrow()  # as many as are sent, and the end
+        h = got.column("h").to_numpy().view(_U)
+        of = of.copy()
+        of[_word_ids(keys, np.arange(len(keys)), h)] = got.column("of").to_numpy()
+        rare = new.filter("not sent").select("h", "of") if rare is not None else None
+    return kept
+
+
 @dataclass
 class ClassModel:
     tokens: int  # N
     types: int  # V
     keys: np.ndarray  # hashes of the words whose counts are sent, sorted
     counts: np.ndarray
-    words: np.ndarray  # hashes of the class words, sorted
+    words: np.ndarray  # those of them that are words, not the end
     ids: np.ndarray  # their ids
-    of: np.ndarray  # class of each word id
+    of: np.ndarray  # class of each word id; of unseen words and of the end
     after: np.ndarray  # log10 P(class | class before)
-    emit: np.ndarray  # log10 P(word | class) of the class words, 0 for the others
-    other_tokens: int
-    other_types: int
+    emit: np.ndarray  # log10 P(word | class) of the words that are sent, 0 for the others
+    size: np.ndarray  # tokens of each class
 
 
-def train(texts: DataFrame, class_words: int = CLASS_WORDS, classes: int = CLASSES,
+def train(texts: DataFrame, class_words: int = CLASS_WORDS, classes: int | None = None,
           broadcast_words: int = BROADCAST_WORDS) -> tuple[ClassModel, DataFrame]:
-    """The model of the column ``text``, and (h, n) of the words whose counts are not in it."""
+    """The model of the column ``text``, and (h, n, of) of the words whose counts are not in it."""
     counts = count_tokens(texts)
     tokens, types = counts.agg(F.sum("n"), F.count("*")).first()
     tokens = tokens or 0
@@ -206,25 +455,35 @@ def train(texts: DataFrame, class_words: int = CLASS_WORDS, classes: int = CLASS
     number = frequent.column("n").to_numpy().copy() if held else np.zeros(0, np.int64)
     order = np.argsort(keys)
     keys, number = keys[order], number[order]
-    plain = np.flatnonzero(keys != END)
-    top = plain[np.lexsort((keys[plain], -number[plain]))[:class_words]]
-    words = keys[top]
-    bigrams = count_bigrams(texts, words)
-    classes = max(1, min(classes, len(words)))
-    of = exchange(bigrams, classes)
-    member = np.zeros((len(of), classes + 2))
-    member[np.arange(len(of)), of] = 1
-    n = member.T @ bigrams @ member
-    after = np.log10((n + 1) / (n.sum(axis=1, keepdims=True) + n.shape[1]))
-    size = member[:len(words)].T @ number[top] if len(words) else np.zeros(classes + 2)
+    plain = keys != END
+    words, times = keys[plain], number[plain]
+    top = counts.filter(F.col("h") != int(END)).orderBy(F.desc("n"), "h").limit(class_words).toArrow()
+    seeds = top.column("h").to_numpy().view(_U)
+    classes = max(1, min(classes or class_number(int(types)), len(seeds)))
+    side = classes + 2
+    seeded = exchange(count_bigrams(texts, seeds), classes)
+    order = np.argsort(seeds)
+    at, known = _lookup(seeds[order], words)
+    of = np.full(len(words) + 2, classes)
+    of[-1] = classes + 1
+    if len(seeds):
+        of[:-2][known] = seeded[order][at[known]]
+    rare = None
+    if held < types:
+        begun = texts.sparkSession.createDataFrame([(int(h), int(c)) for h, c in zip(seeds.view(np.int64), seeded)],
+                                                   "h bigint, seed int")
+        rare = counts.filter((F.expr(_STEP) < least) & (F.col("h") != int(END))).join(F.broadcast(begun), "h", "left") \
+            .select("h", F.coalesce("seed", F.lit(classes)).alias("of"))
+    of, rare, n = classify(texts, words, of, rare, side)
+    after = np.log10((n + 1) / (n.sum(axis=1, keepdims=True) + side))
+    size = n.sum(axis=0)
     emit = np.zeros(len(of))
-    emit[:len(words)] = np.log10(number[top] / size[of[:len(words)]])
-    rank = np.argsort(words)
-    ends = 1 if tokens else 0
-    other_tokens = int(tokens - number[top].sum() - bigrams[:, -1].sum())
-    model = ClassModel(int(tokens), int(types), keys, number, words[rank], rank, of, after, emit,
-                       other_tokens, int(types) - len(words) - ends)
-    return model, counts.filter(F.expr(_STEP) < least)
+    emit[:len(words)] = np.log10(times / np.maximum(size[of[:-2]], 1))
+    model = ClassModel(int(tokens), int(types), keys, number, words, np.arange(len(words)), of, after, emit, size)
+    left = counts.filter(F.expr(_STEP) < least)
+    if rare is None:
+        return model, left.withColumn("of", F.lit(classes + 1))
+    return model, left.join(rare, "h", "left").select("h", "n", F.coalesce("of", F.lit(classes + 1)).alias("of"))
 
 
 def score(docs: DataFrame, model: ClassModel, rare: DataFrame, id_col: str = "doc_id",
@@ -238,27 +497,20 @@ def score(docs: DataFrame, model: ClassModel, rare: DataFrame, id_col: str = "do
         m = shipped.value
         base_of = np.log10(m.counts + 1.0)
         row = TaskContext.get().partitionId() << 33
-        other = len(m.words)
+        other, side = len(m.words), len(m.after)
         for batch in batches:
             data, offs = text_bytes(batch.column(1))
             n_tokens, n_rare = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
             base, own = np.zeros(batch.num_rows), np.zeros(batch.num_rows)
             hashes, times, lengths = [], [], np.zeros(batch.num_rows, np.int64)
+            lefts, rights, met = [], [], np.zeros(batch.num_rows, np.int64)
             for i, j, d, o in blocks(data, offs):
                 tokens, first = _tokens(d, o)
                 at, known = _lookup(m.keys, tokens)
                 logs = np.where(known, base_of[at] if len(base_of) else 0.0, 0.0)
                 ids = _word_ids(m.words, m.ids, tokens)
-                of = m.of[ids]
-                before = np.concatenate([[m.of[-1]], of[:-1]])
-                before[first[:-1]] = m.of[-1]
-                value = m.after[before, of] + m.emit[ids]
-                value[ids == other] += logs[ids == other]
                 base[i:j] = np.add.reduceat(logs, first[:-1])
-                own[i:j] = np.add.reduceat(value, first[:-1])
                 n_tokens[i:j] = np.diff(first)
-                others = np.concatenate([[0], np.cumsum(ids == other)])
-                own[i:j] -= (others[first[1:]] - others[first[:-1]]) * np.log10(m.other_tokens + m.other_types + 1.0)
                 tail = np.flatnonzero(~known)
                 doc = np.searchsorted(first, tail, "right") - 1
                 n_rare[i:j] = np.bincount(doc, minlength=j - i)
@@ -270,30 +522,77 @@ def score(docs: DataFrame, model: ClassModel, rare: DataFrame, id_col: str = "do
                 hashes.append(h[start].view(np.int64))
                 times.append(np.diff(np.append(start, len(h))))
                 lengths[i:j] = np.bincount(doc[start], minlength=j - i)
+                # classes, or side + the place among the text's rarer words
+                code = m.of[ids]
+                places = np.cumsum(new) - 1 - np.concatenate([[0], np.cumsum(lengths[i:j])])[doc]
+                far = ids[tail[order]] == other
+                code[tail[order][far]] = side + places[far]
+                before = np.concatenate([[m.of[-1]], code[:-1]])
+                before[first[:-1]] = m.of[-1]
+                both = (code < side) & (before < side)
+                value = m.emit[ids]
+                value[both] += m.after[before[both], code[both]]
+                own[i:j] = np.add.reduceat(value, first[:-1])
+                open_ = np.flatnonzero(~both)
+                lefts.append(before[open_].astype(np.int32))
+                rights.append(code[open_].astype(np.int32))
+                met[i:j] = np.bincount(np.searchsorted(first, open_, "right") - 1, minlength=j - i)
             base -= n_tokens * np.log10(m.tokens + m.types + 1.0)
             cuts = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
-            empty = [np.zeros(0, np.int64)]
+            ends = pa.array(np.concatenate([[0], np.cumsum(met)]).astype(np.int32))
+            empty, none = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
             yield pa.record_batch(
                 [pa.array(row + np.arange(batch.num_rows)), batch.column(0), pa.array(n_tokens), pa.array(n_rare),
                  pa.array(base), pa.array(own),
                  pa.ListArray.from_arrays(cuts, pa.array(np.concatenate(hashes or empty))),
-                 pa.ListArray.from_arrays(cuts, pa.array(np.concatenate(times or empty)))],
-                ["row", "doc_id", "n_tokens", "n_rare", "base", "own", "h", "times"])
+                 pa.ListArray.from_arrays(cuts, pa.array(np.concatenate(times or empty))),
+                 pa.ListArray.from_arrays(ends, pa.array(np.concatenate(lefts or none))),
+                 pa.ListArray.from_arrays(ends, pa.array(np.concatenate(rights or none)))],
+                ["row", "doc_id", "n_tokens", "n_rare", "base", "own", "h", "times", "lefts", "rights"])
             row += batch.num_rows
 
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shipped.value
+        unseen, side = len(m.after) - 2, len(m.after)
+        for batch in batches:
+            n_tokens, n_rare, base, own = (batch.column(k).to_numpy().copy() for k in range(1, 5))
+            times = batch.column(5)
+            cuts = times.offsets.to_numpy() - times.offsets[0].as_py()
+            times, doc = times.flatten().to_numpy(), np.repeat(np.arange(len(own)), np.diff(cuts))
+            n, of = np.zeros(len(times), np.int64), np.full(len(times), unseen)
+            found = batch.column(8)
+            counted = np.diff(found.offsets.to_numpy())
+            parts = found.flatten()
+            at = np.repeat(cuts[:-1], np.where(found.is_valid().to_numpy(zero_copy_only=False), counted, 0)) \
+                + parts.field(0).to_numpy()
+            n[at], of[at] = parts.field(1).to_numpy(), parts.field(2).to_numpy()
+            base += np.bincount(doc, times * np.log10(n + 1.0), len(own))
+            logs = np.where((n > 0) & (of < unseen), np.log10(np.maximum(n, 1) / np.maximum(m.size[of], 1)), 0.0)
+            own += np.bincount(doc, times * logs, len(own))
+            lists = batch.column(6)
+            row = np.repeat(np.arange(len(own)), np.diff(lists.offsets.to_numpy()))
+            a, b = lists.flatten().to_numpy().astype(np.int64), batch.column(7).flatten().to_numpy().astype(np.int64)
+            for code in (a, b):
+                far = np.flatnonzero(code >= side)
+                code[far] = of[cuts[row[far]] + code[far] - side]
+            own += np.bincount(row, m.after[a, b], len(own))
+            known = n_tokens - n_rare + np.bincount(doc, np.where(n > 0, times, 0), len(own)).astype(np.int64)
+            yield pa.record_batch([batch.column(0), pa.array(n_tokens), pa.array(known), pa.array(base), pa.array(own)],
+                                  ["doc_id", "n_tokens", "n_known", "base_score", "score"])
+
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = ("row bigint, doc_id bigint, n_tokens bigint, n_rare bigint, base double, own double, "
-              "h array<bigint>, times array<bigint>")
+              "h array<bigint>, times array<bigint>, lefts array<int>, rights array<int>")
     scored = stored(rows.mapInArrow(tidied(local), schema), "lm-scored")
-    tail = scored.select("row", F.explode(F.arrays_zip("h", "times")).alias("t")).select("row", "t.h", "t.times") \
-        .join(rare, "h", "left").groupBy("row").agg(
-            F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + F.lit(1.0))).alias("logs"),
-            F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("found"))
-    logs, found = F.coalesce("logs", F.lit(0.0)), F.coalesce("found", F.lit(0))
-    return scored.drop("h", "times").join(tail, "row", "left").select(
-        "doc_id", "n_tokens", (F.col("n_tokens") - F.col("n_rare") + found).alias("n_known"),
-        F.lit(model.tokens).cast("bigint").alias("train_tokens"), (F.col("base") + logs).alias("base_score"),
-        (F.col("own") + logs).alias("score")) \
+    tail = scored.select("row", F.posexplode("h").alias("at", "h")).join(rare, "h") \
+        .groupBy("row").agg(F.collect_list(F.struct("at", F.col("n").cast("bigint").alias("n"),
+                                                    F.col("of").cast("int").alias("of"))).alias("found"))
+    whole = scored.drop("h").join(tail, "row", "left").select(
+        "doc_id", "n_tokens", "n_rare", "base", "own", "times", "lefts", "rights",
+        F.coalesce("found", F.expr("cast(array() as array<struct<at:int,n:bigint,of:int>>)")).alias("found"))
+    return whole.mapInArrow(tidied(finish), "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double") \
+        .select("doc_id", "n_tokens", "n_known", F.lit(model.tokens).cast("bigint").alias("train_tokens"),
+                "base_score", "score") \
         .withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
 
 

@@ -105,3 +105,23 @@ def test_empty_tables(spark):
     assert lm.score(empty, model, rare).count() == 0
     out = lm.score(docs(spark, [(1, "some words"), (2, None)]), model, rare).collect()
     assert {(r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"]) for r in out} == {(1, 3, 0, 0), (2, 1, 0, 0)}
+
+
+@pytest.mark.parametrize("broadcast", [1_000_000, 6])
+def test_every_seen_word_gets_a_class(spark, broadcast):
+    """Words beyond those that begin the classes are clustered too, sent to the workers or not."""
+    table = docs(spark, [(i, f"{t} {t}") for i, t in sentences()])
+    model, rare = lm.train(table.select("text"), 3, 2, broadcast)
+    of = dict(zip(model.words.tolist(), model.of[:-2].tolist(), strict=True))
+    of |= {r["h"] % (1 << 64): r["of"] for r in rare.collect() if r["h"] != int(lm.END)}
+    assert len(of) == 8 + 40 and set(of.values()) == {0, 1}
+    kinds = []
+    for kind in ("red blue green pink", "cat dog cow hen"):
+        raw = kind.encode()
+        h = lm._tokens(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))[0][:-1]
+        kinds.append({of[x] for x in h.tolist()})
+    assert sorted(kinds, key=min) == [{0}, {1}]
+
+
+def test_the_number_of_classes_grows_with_the_corpus():
+    assert [lm.class_number(n) for n in (0, 1000, 10 ** 7, 10 ** 8)] == [40, 40, 112, 200]
