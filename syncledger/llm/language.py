@@ -8,9 +8,10 @@ this byte; below order 0 all 256 bytes are alike. The language whose frozen
 statistics give the whole text the shortest code wins, ties by name.
 
 The statistics are fitted on a bounded sample of the labelled training rows:
-whole texts, drawn by a hash of their id, about ``SAMPLE_BYTES`` a language
-(all of a language that has less). So the model is bounded by the number of
-languages, whatever the corpus; every text is scored, whole.
+pieces of texts (whole, if they have at most ``PIECE`` bytes) in the order of a
+hash, until a language has ``SAMPLE_BYTES`` (all of a language that has less).
+Every language with any bytes is learned. So the model is bounded by the number
+of languages, whatever the corpus; every text is scored, whole.
 
 Defined cases: a text that is null, empty or has no letter is ``und`` with
 score 0; so is every text if no training row has a language. An id may be null
@@ -34,6 +35,8 @@ from .common import BLOCK, blocks, bounded_batches, is_training, text_bytes, tid
 
 ORDER = 4
 SAMPLE_BYTES = 1_500_000
+#: Bytes of a text that are drawn together.
+PIECE = 1 << 16
 #: A text is in no learned language if the best model codes it longer than its plain bytes by this many bits.
 REJECT_BITS = 64.0
 #: Bytes of memory for codes of contexts seen before, per worker.
@@ -122,36 +125,58 @@ def train(docs: DataFrame, training=None, sample_bytes: int = SAMPLE_BYTES, orde
     """Fits the model on rows with a language (and ``training`` true, if given)."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    usable = F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()
+    usable = F.col(lang_col).isNotNull() & (F.octet_length(F.col(text_col).cast("string")) > 0)
     rows = docs.filter(usable if training is None else usable & training).select(
         F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"), F.col(lang_col).cast("string").alias("lang"),
-        F.col(text_col).cast("string").alias("text"))
-    sizes = {r["lang"]: r["bytes"] for r in  # one row per language
-             rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes")).collect()}
-    languages = sorted((x for x in sizes if sizes[x]), key=lambda x: x.encode())
+        F.col(text_col).cast("string").alias("text")) \
+        .select("lang", "text", F.xxhash64("id", "text").alias("key"), F.octet_length("text").alias("size"))
+    numbers = f"sequence(0, cast((size - 1) div {PIECE} as int))"
+    # eight steps for each doubling of the hash: the last step taken is small beside all before it
+    step = f"cast(floor(8 * log2(xxhash64(key, piece) % {1 << 30} + {1 << 30})) as int)"
+    sizes: dict[str, dict[int, int]] = {}
+    for r in rows.select("lang", "key", "size").withColumn("piece", F.explode(F.expr(numbers))) \
+            .groupBy("lang", F.expr(step).alias("step")) \
+            .agg(F.sum(F.expr(f"least({PIECE}, size - piece * {PIECE}L)")).alias("bytes")).collect():  # 249 rows a language
+        sizes.setdefault(r["lang"], {})[r["step"]] = r["bytes"]
+    languages = sorted(sizes, key=lambda x: x.encode())
     if not languages:
         return LanguageModel([], order)
     number = {x: i for i, x in enumerate(languages)}
-    draw = (F.xxhash64("id") % (1 << 30) + (1 << 30)) / float(1 << 31)
-    rates = spark.createDataFrame([(x, min(1.0, sample_bytes / sizes[x])) for x in languages],
-                                  "name string, rate double")
-    sample = rows.join(F.broadcast(rates), F.col("lang") == F.col("name")).filter(draw < F.col("rate")) \
-        .select("lang", "text")
+    lasts = []
+    for x in languages:
+        total = 0
+        for last in sorted(sizes[x]):
+            total += sizes[x][last]
+            if total >= sample_bytes:
+                break
+        lasts.append((x, last))
+    lasts = spark.createDataFrame(lasts, "name string, last int")
+    sample = rows.join(F.broadcast(lasts), F.col("lang") == F.col("name")) \
+        .withColumn("pieces", F.expr(f"filter({numbers}, piece -> {step} <= last)")) \
+        .filter(F.size("pieces") > 0).select("lang", "text", "pieces")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offs = text_bytes(batch.column(1))
             of = np.array([number[x] for x in batch.column(0).to_pylist()], np.int64)
-            for i, j, d, o in blocks(data, offs):
+            drawn = batch.column(2)
+            row = np.repeat(np.arange(batch.num_rows), np.diff(drawn.offsets.to_numpy()))
+            start = offs[row] + drawn.flatten().to_numpy().astype(np.int64) * PIECE
+            end = np.minimum(start + PIECE, offs[row + 1])
+            lead = np.minimum(start - offs[row], order)  # the bytes before a piece are its first contexts
+            for i, j, _, o in blocks(data, np.concatenate([[0], np.cumsum(end - start + lead)])):
+                d = np.concatenate([data[a:b] for a, b in zip(start[i:j] - lead[i:j], end[i:j], strict=True)])
                 codes = gram_codes(d, o, order)
-                codes |= np.repeat(of[i:j], np.diff(o)).astype(_U) << _U(8 * (order + 1))
-                found, n = np.unique(codes, return_counts=True)
+                codes |= np.repeat(of[row[i:j]], np.diff(o)).astype(_U) << _U(8 * (order + 1))
+                own = np.arange(len(d)) - np.repeat(o[:-1], np.diff(o)) >= np.repeat(lead[i:j], np.diff(o))
+                found, n = np.unique(codes[own], return_counts=True)
                 yield pa.record_batch([pa.array(found.astype(np.int64)), pa.array(n)], ["code", "n"])
 
     counts = sample.mapInArrow(tidied(count), "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
     codes = counts.column("code").to_numpy().astype(_U)
-    return compile_model(languages, (codes >> _U(8 * (order + 1))).astype(np.int64),
-                         codes & _U((1 << 8 * (order + 1)) - 1), counts.column("n").to_numpy(), order)
+    learned, lang = np.unique((codes >> _U(8 * (order + 1))).astype(np.int64), return_inverse=True)
+    return compile_model([languages[i] for i in learned], lang, codes & _U((1 << 8 * (order + 1)) - 1),
+                         counts.column("n").to_numpy(), order)
 
 
 class _Coder:

@@ -105,3 +105,28 @@ def test_only_texts_without_a_language_go(spark):
     got = {r["doc_id"]: r for r in kept.collect()}
     assert set(got) == {i for i, _, _ in rows} | {903}
     assert got[903]["lang"] == "aa"
+
+
+def test_languages_in_few_long_texts_are_learned(spark):
+    """Three long texts a language, each far above the sample: all are learned, from a sample of about that size."""
+    rows, rng = [], random.Random(3)
+    for k in range(8):
+        parts = [chr(97 + 3 * k + j) + "ae"[j % 2] for j in range(2)] + [chr(0x430 + k)]
+        for i in range(3):
+            rows.append((10 * k + i, " ".join(rng.choice(parts) * rng.randint(1, 3) for _ in range(30_000)), f"l{k}"))
+    table = docs(spark, rows)
+    model = lg.train(table, sample_bytes=2000)
+    assert model.languages == [f"l{k}" for k in range(8)]
+    assert all((np.isfinite(g).all() and (g[:, k] > -8).any()) for g in model.logs for k in range(8))
+    ask = docs(spark, [(i, t[:500]) for i, t, _ in rows])
+    assert {r["doc_id"]: r["lang_pred"] for r in lg.identify(ask, model).collect()} == {i: x for i, _, x in rows}
+
+
+def test_pieces_of_a_long_text_count_like_the_whole(spark):
+    text = " ".join(t for _, t, _ in samples(900))
+    assert len(text.encode()) > 2 * lg.PIECE
+    model = lg.train(docs(spark, [(None, text, "aa"), (None, "other words", "bb")]))
+    data = np.frombuffer(text.encode(), np.uint8)
+    codes, n = np.unique(lg.gram_codes(data, np.array([0, len(data)])), return_counts=True)
+    whole = lg.compile_model(["aa"], np.zeros(len(codes), np.int64), codes, n)
+    assert np.allclose(model.log2(codes)[:, 0], whole.log2(codes)[:, 0])
