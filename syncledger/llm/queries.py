@@ -3,6 +3,8 @@
 from .chat import OP10_SQL, op10_perspective_rotation
 from .class_lm import op9_class_ngram_score
 from .language import op6_language_ppm
+from .lexical import OP12_SQL, op12_mask_search
+from .merkle import OP13_SQL, op13_merkle_manifest
 from .mixing import OP2_SQL, op2_mix_sources
 from .near_dup import op1_minmax_near_dup
 from .packing import op8_pack_best_fit
@@ -22,10 +24,14 @@ QUERIES = {
     "op9_class_ngram_score": op9_class_ngram_score,
     "op10_perspective_rotation": op10_perspective_rotation,
     "op2_mix_sources": op2_mix_sources,
+    "op12_mask_search": op12_mask_search,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLES = {
     "op2_mix_sources": OP2_SQL,
     "op3_bit_sliced_topk": OP3_SQL,
     "op10_perspective_rotation": OP10_SQL,
+    "op12_mask_search": OP12_SQL,
+    "op13_merkle_manifest": OP13_SQL,
 }

@@ -15,7 +15,7 @@ from syncledger.llm.pieces import default_vocabulary
 from syncledger.testing import compare
 
 SF = "/root/testdata/sf0.001"
-TABLES = ("documents", "embeddings", "conversations")
+TABLES = ("documents", "embeddings", "conversations", "benchmark")
 
 
 @pytest.fixture(scope="module")
