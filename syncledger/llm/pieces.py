@@ -69,13 +69,19 @@ def _classes() -> np.ndarray:
     return lut
 
 
-def _plain_pieces(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
-    """Starts of all pieces of texts that need no pattern."""
-    n = len(data)
+def latin_classes(data: np.ndarray) -> np.ndarray:
+    """The class of every byte of texts of ASCII and Latin letters."""
     kind = _classes()[data]
     signs = np.flatnonzero((data[:-1] == 0xC3) & ((data[1:] == 0x97) | (data[1:] == 0xB7)))
     kind[signs] = OTHER
     kind[signs + 1] = OTHER
+    return kind
+
+
+def _plain_pieces(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """Starts of all pieces of texts that need no pattern."""
+    n = len(data)
+    kind = latin_classes(data)
     run = np.ones(n + 1, bool)  # starts of runs of one class; the end counts as one
     run[1:n] = kind[1:] != kind[:-1]
     run[offs] = True

@@ -2,6 +2,7 @@
 
 from .chat import OP10_SQL, op10_perspective_rotation
 from .class_lm import op9_class_ngram_score
+from .histogram_packing import op11_pack_by_histogram
 from .language import op6_language_ppm
 from .lexical import OP12_SQL, op12_mask_search
 from .merkle import OP13_SQL, op13_merkle_manifest
@@ -24,6 +25,7 @@ QUERIES = {
     "op9_class_ngram_score": op9_class_ngram_score,
     "op10_perspective_rotation": op10_perspective_rotation,
     "op2_mix_sources": op2_mix_sources,
+    "op11_pack_by_histogram": op11_pack_by_histogram,
     "op12_mask_search": op12_mask_search,
     "op13_merkle_manifest": op13_merkle_manifest,
 }

@@ -28,7 +28,7 @@ def con():
 
 def test_registered():
     names = set(entry.queries())
-    assert {f"op{n}_" for n in range(1, 11)} <= {x.split("_")[0] + "_" for x in names}
+    assert {f"op{n}_" for n in range(1, 14)} <= {x.split("_")[0] + "_" for x in names}
     assert "pipeline" in names and set(queries.ORACLES) <= names
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "near_dedup", "pii", "mix", "pack"]
 
