@@ -28,13 +28,14 @@ def _latest(updates: DataFrame, key: str, seq_col: str) -> DataFrame:
     return latest.select(key, *[F.col("__u")[c].alias(c) for c in cols])
 
 
-def upsert_archive(archive: DataFrame, updates: DataFrame, seq_col: str = "seq", check: bool = False) -> DataFrame:
+def upsert_archive(archive: DataFrame, updates: DataFrame, seq_col: str = "seq", check: bool = True) -> DataFrame:
     """Create-or-update. Rows with a ``drive_id`` are keyed by it (path,
     time and md5 are replaced, a new id is created); rows without one are keyed
     by ``path`` and only update time and md5 of an existing row. Updates apply in
     the order of ``seq_col``: of all that reach a row, by id or by path, the last
-    one wins. An id moved onto a path that another id holds is a clash, which
-    ``check`` reports as an error (a few keys are read back)."""
+    one wins. An id moved onto a path that another id holds is a clash and an
+    error (a few keys are read back), as both columns are unique; ``check=False``
+    leaves the test to the caller (:func:`path_clashes`, :func:`check_unique`)."""
     a = archive.select(*ARCHIVE_COLS)
     by_id = _latest(updates.filter(F.col("drive_id").isNotNull()).select(*ARCHIVE_COLS, seq_col), "drive_id",
                     seq_col).select(*ARCHIVE_COLS, F.col(seq_col).alias("__useq"))
@@ -43,10 +44,7 @@ def upsert_archive(archive: DataFrame, updates: DataFrame, seq_col: str = "seq",
     # so a handful of updates does not shuffle the whole archive.
     kept = a.join(by_id.select("drive_id"), "drive_id", "left_anti").select(*ARCHIVE_COLS)
     if check:
-        moved = by_id.groupBy("path").agg(F.count(F.lit(1)).alias("n"))
-        taken = kept.select("path").join(moved.select("path"), "path", "left_semi") \
-            .unionByName(moved.filter("n > 1").select("path"))
-        bad = [r["path"] for r in taken.limit(5).collect()]
+        bad = [r["path"] for r in _clashes(kept, by_id).limit(5).collect()]
         if bad:
             raise UniquenessError(f"update breaks the uniqueness of path: {bad}")
     merged = kept.withColumn("__useq", F.lit(None)).unionByName(by_id)
@@ -62,6 +60,18 @@ def upsert_archive(archive: DataFrame, updates: DataFrame, seq_col: str = "seq",
         F.when(hit, F.col("__pm")).otherwise(F.col("md5sum")).alias("md5sum"))
 
 
+def _clashes(kept: DataFrame, by_id: DataFrame) -> DataFrame:
+    moved = by_id.groupBy("path").agg(F.count(F.lit(1)).alias("n"))
+    return kept.select("path").join(moved.select("path"), "path", "left_semi") \
+        .unionByName(moved.filter("n > 1").select("path")).distinct()
+
+
+def path_clashes(archive: DataFrame, updates: DataFrame, seq_col: str = "seq") -> DataFrame:
+    """Paths (``path``) that two ids would hold after :func:`upsert_archive` of ``updates``."""
+    by_id = _latest(updates.filter(F.col("drive_id").isNotNull()).select(*ARCHIVE_COLS, seq_col), "drive_id", seq_col)
+    return _clashes(archive.join(by_id.select("drive_id"), "drive_id", "left_anti"), by_id)
+
+
 def check_unique(archive: DataFrame) -> DataFrame:
     """Keys used more than once: ``column, key, n``."""
     dup_p = archive.groupBy(F.col("path").alias("key")).agg(F.count(F.lit(1)).alias("n")) \
@@ -102,7 +112,7 @@ def rename_paths(archive: DataFrame, old: str, new: str, mode: str = "descendant
     return archive.withColumn("path", F.when(hit, replace_prefix(F.col("path"), old, new)).otherwise(F.col("path")))
 
 
-def record_uploads(archive: DataFrame, results: DataFrame, seq_col: str = "seq", check: bool = False) -> DataFrame:
+def record_uploads(archive: DataFrame, results: DataFrame, seq_col: str = "seq", check: bool = True) -> DataFrame:
     """After uploads: ``results(path, drive_id, mtime, md5sum[, seq])``.
     Folders carry ``md5sum = ''``. ``check`` reports path clashes as in U1."""
     r = results.select("path", "drive_id", F.col("mtime").alias("date_modified_on_disk"), "md5sum",
@@ -110,6 +120,6 @@ def record_uploads(archive: DataFrame, results: DataFrame, seq_col: str = "seq",
     return upsert_archive(archive, r, seq_col, check)
 
 
-def record_downloads(archive: DataFrame, results: DataFrame, seq_col: str = "seq", check: bool = False) -> DataFrame:
+def record_downloads(archive: DataFrame, results: DataFrame, seq_col: str = "seq", check: bool = True) -> DataFrame:
     """After downloads: same shape; the md5 comes from the remote side."""
     return record_uploads(archive, results, seq_col, check)

@@ -84,7 +84,8 @@ def descendants_join(archive: DataFrame, paths: DataFrame, path_col: str = "path
       equi-joined with the patterns.
     * ``contains``: plain substring. A pattern that starts with a separator can
       only begin at one of the path's separators, so it is a prefix match of the
-      path's tails; any other pattern is looked for at every character.
+      path's tails; any other pattern meets the paths that hold its rarest gram
+      (:func:`_containing`).
 
     An archive row matched by several paths appears once per match.
     """
@@ -100,12 +101,7 @@ def descendants_join(archive: DataFrame, paths: DataFrame, path_col: str = "path
             steps, lambda k: F.concat(F.lit(SEP), F.call_function("substring_index", F.col("path"), F.lit(SEP), -k))))
         rooted = _starting_with(archive.withColumn("__tail", F.explode(tails)),
                                 p.filter(F.col("matched_path").startswith(SEP)), "__tail").drop("__tail")
-        other = p.filter(~F.col("matched_path").startswith(SEP)).withColumn("__n", F.length("matched_path"))
-        spans = archive.join(other.select("__n").distinct(), F.length("path") >= F.col("__n")) \
-            .withColumn("__at", F.explode(F.sequence(F.lit(1), F.length("path") - F.col("__n") + 1))) \
-            .withColumn("__part", F.expr("substring(path, __at, __n)"))
-        loose = spans.join(other.select("matched_path"), F.col("__part") == F.col("matched_path")) \
-            .drop("__n", "__at", "__part")
+        loose = _containing(archive, p.filter(~F.col("matched_path").startswith(SEP)))
         return rooted.unionByName(loose).select(*archive.columns, "matched_path").distinct()
     raise ValueError(f"unknown mode {mode!r}")
 
@@ -122,6 +118,36 @@ def _starting_with(df: DataFrame, patterns: DataFrame, col: str) -> DataFrame:
     return cut.join(pp.select("__folder", "matched_path"), ["__folder", "matched_path"]).drop("__folder", "__n")
 
 
+GRAM = 3
+
+
+def _grams(col: str, sizes, whole: bool):
+    """The distinct substrings of a column of ``GRAM`` characters and, for those sizes, of less. ``whole``: only of the
+    size that the column itself has if it is shorter."""
+    def cut(size: int):
+        n = F.length(col) - size + 1
+        parts = F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
+                            lambda i: F.substring(F.col(col), i, F.lit(size)))
+        wanted = (F.least(F.length(col), F.lit(GRAM)) == size) if whole else F.array_contains(sizes, size)
+        return F.when((n >= 1) & wanted, parts).otherwise(F.array().cast("array<string>"))
+    return F.array_distinct(F.flatten(F.array(*[cut(size) for size in range(GRAM + 1)])))
+
+
+def _containing(df: DataFrame, patterns: DataFrame) -> DataFrame:
+    """``df`` joined with the ``patterns`` (``matched_path``) that ``path`` contains, by equi-joins on grams: a pattern
+    takes the gram (three characters, or itself if it is shorter) that the fewest paths hold, meets those paths, and is
+    then looked for in them. Gram sizes that no pattern has are not cut (a scalar subquery of the same plan)."""
+    sizes = patterns.agg(F.collect_set(F.least(F.length("matched_path"), F.lit(GRAM))).alias("s")).scalar()
+    asked = patterns.select("matched_path", F.explode(_grams("matched_path", None, True)).alias("__gram"))
+    held = df.select("*", F.explode(_grams("path", sizes, False)).alias("__gram"))
+    often = held.join(asked.select("__gram").distinct(), "__gram", "left_semi").groupBy("__gram") \
+        .agg(F.count(F.lit(1)).alias("__n"))
+    rarest = asked.join(often, "__gram", "left").groupBy("matched_path") \
+        .agg(F.min(F.struct(F.coalesce("__n", F.lit(0)).alias("n"), "__gram")).alias("g"))
+    chosen = rarest.filter("g.n > 0").select("matched_path", F.col("g.__gram").alias("__gram"))
+    return held.join(chosen, "__gram").filter(F.col("path").contains(F.col("matched_path"))).drop("__gram")
+
+
 def path_match(df: DataFrame, patterns: DataFrame, mode: str = "descendant", path_col: str = "path") -> DataFrame:
     """rows of ``df`` whose path matches one of ``patterns`` (``path``)
     by ``descendant`` (separator-aware), ``prefix`` or ``contains``."""

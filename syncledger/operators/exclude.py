@@ -12,9 +12,11 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.globs import match_rules, rules_regex
-from ..functions.paths import ancestors, parent_dir
+from ..functions.paths import SEP, ancestors, parent_dir
+from .semijoin import null_safe_key
 
 
 @dataclass(frozen=True)
@@ -34,11 +36,12 @@ class Exclusions:
         return cls((), tuple(sorted(rules)), paths)
 
     def path_table(self, like: DataFrame) -> DataFrame | None:
-        """All exact paths as ``path``, or None if there are none to look for."""
-        listed = like.sparkSession.createDataFrame([(x,) for x in self.paths], "path string") if self.paths else None
+        """All exact paths as ``path``, each once, or None if there are none to look for."""
+        listed = like.sparkSession.createDataFrame([(x,) for x in sorted(set(self.paths))], "path string") \
+            if self.paths else None
         if self.paths_df is None:
             return listed
-        table = self.paths_df.select("path")
+        table = self.paths_df.select("path").filter("path IS NOT NULL")
         return (table if listed is None else table.unionByName(listed)).distinct()
 
     @property
@@ -46,41 +49,56 @@ class Exclusions:
         return rules_regex(self.rules)
 
 
-def is_excluded(df: DataFrame, path_col: str, ex: Exclusions, out: str = "excluded") -> DataFrame:
+def is_excluded(df: DataFrame, path_col: str, ex: Exclusions, out: str = "excluded",
+                row_id: str | None = None) -> DataFrame:
     """the path itself is an excluded path or its basename matches a rule.
 
-    Ancestors are not tested (see :func:`is_excluded_up`).
+    Ancestors are not tested (see :func:`is_excluded_up`). A NULL path is not
+    excluded; such rows are spread over the tasks of the join by ``row_id`` (or
+    a hash of their values).
     """
     by_rule = F.coalesce(match_rules(F.col(path_col), ex.rules), F.lit(False))
     table = ex.path_table(df)
     if table is None:
         return df.withColumn(out, by_rule)
+    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    key = null_safe_key(F.col(path_col), F.col(row_id) if row_id else F.xxhash64(*[F.col(f"`{c}`") for c in plain]),
+                        "nopath")
     hits = table.select(F.col("path").alias("__xp"), F.lit(True).alias("__xhit"))
-    joined = df.join(hits, F.col(path_col) == F.col("__xp"), "left")
-    return joined.withColumn(out, F.col("__xhit").isNotNull() | by_rule).drop("__xp", "__xhit")
+    joined = df.withColumn("__xkey", key).join(hits, F.col("__xkey") == F.col("__xp"), "left")
+    return joined.withColumn(out, F.col("__xhit").isNotNull() | by_rule).drop("__xp", "__xhit", "__xkey")
 
 
-def _in_scope(path: Column, stops, include_stop: bool) -> Column:
-    """Ancestors-or-self of a path below (or at) the deepest stop path among them; all of them without one."""
-    chain = ancestors(path)
-    if not stops:
-        return chain
-    stop = F.array_max(F.transform(chain, lambda a, i: F.when(a.isin(list(stops)), i).otherwise(F.lit(-1))))
-    return F.filter(chain, lambda _a, i: i >= stop if include_stop else i > stop)
+def _stop_depth(path: Column, stops) -> Column:
+    """Depth of the deepest stop path among a path's ancestors-or-self (``/`` is 0), or -1."""
+    depth = F.lit(-1)
+    for stop in sorted({s.rstrip(SEP) for s in stops}, key=lambda s: s.count(SEP)):
+        under = path.startswith(stop + SEP) | (path == (stop or SEP))
+        depth = F.when(under, F.lit(stop.count(SEP))).otherwise(depth)
+    return depth
 
 
 def _any_excluded(df: DataFrame, path_col: str, ex: Exclusions, stops, include_stop: bool, out: str) -> DataFrame:
-    """Some ancestor-or-self of the path in scope is an excluded path or has a name that matches a rule."""
-    scope, regex = _in_scope(F.col(path_col), stops, include_stop), ex.regex
-    by_rule = F.exists(scope, lambda a: F.substring_index(a, "/", -1).rlike(regex)) if regex else F.lit(False)
-    flagged = df.withColumn(out, F.coalesce(by_rule, F.lit(False)))
-    table = ex.path_table(df)
+    """Some ancestor-or-self of the path in scope is an excluded path or has a name that matches a rule. The scope
+    begins below (or at) the deepest stop path; it is one slice, by depth, of the names and of the ancestors."""
+    path, regex, table = F.col(path_col), ex.regex, ex.path_table(df)
+    first = _stop_depth(path, stops) + F.lit(0 if include_stop else 1)
+    scoped = df.withColumn("__from", F.greatest(first, F.lit(0)) + 1)  # 1-based; the ancestor of depth d is at d + 1
+    if regex:
+        names = F.when(path == SEP, F.array(F.lit(""))).otherwise(F.split(path, SEP))
+        below = F.slice(names, F.col("__from"), F.greatest(F.size(names) - F.col("__from") + 1, F.lit(0)))
+        by_rule = F.coalesce(F.exists(below, lambda n: n.rlike(regex)), F.lit(False))
+    else:
+        by_rule = F.lit(False)
+    flagged = scoped.withColumn(out, by_rule)
     if table is None:
-        return flagged
-    hits = df.select(F.col(path_col).alias("__hit"), F.explode(scope).alias("path")) \
+        return flagged.drop("__from")
+    chain = ancestors(path)
+    scope = F.slice(chain, F.col("__from"), F.greatest(F.size(chain) - F.col("__from") + 1, F.lit(0)))
+    hits = scoped.select(path.alias("__hit"), F.explode(scope).alias("path")) \
         .join(table, "path", "left_semi").select("__hit").distinct()
-    return flagged.join(hits, F.col(path_col) == F.col("__hit"), "left") \
-        .withColumn(out, F.col(out) | F.col("__hit").isNotNull()).drop("__hit")
+    return flagged.join(hits, path == F.col("__hit"), "left") \
+        .withColumn(out, F.col(out) | F.col("__hit").isNotNull()).drop("__hit", "__from")
 
 
 def is_excluded_up(df: DataFrame, path_col: str, ex: Exclusions, stops=(), out: str = "excluded") -> DataFrame:
@@ -97,8 +115,10 @@ def prune_excluded(df: DataFrame, path_col: str, ex: Exclusions, roots, out: str
     The walk root of a node is its deepest root ancestor-or-self.
     """
     roots = tuple(roots)
-    above = F.filter(ancestors(F.col(path_col)), lambda a: a.isin(list(roots)))
-    rooted = df.withColumn("root", F.try_element_at(above, F.lit(-1)))
+    path, root = F.col(path_col), F.lit(None).cast("string")
+    for r in sorted(set(roots), key=lambda r: r.rstrip(SEP).count(SEP)):  # the deepest one wins
+        root = F.when((path == r) | path.startswith(r.rstrip(SEP) + SEP), F.lit(r)).otherwise(root)
+    rooted = df.withColumn("root", root)
     flagged = _any_excluded(rooted, path_col, ex, roots, include_stop=True, out=out)
     return flagged.withColumn(out, F.when(F.col("root").isNotNull(), F.col(out)))
 

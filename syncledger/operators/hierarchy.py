@@ -9,12 +9,14 @@ level by level with joins:
   current frontier with the children table, so every node is touched once;
   AQE broadcasts the frontier while it is small and splits a hot parent
   (one folder holding a large share of all rows) on the children side.
-* :func:`climb` goes bottom-up from a set of start ids (change events, a few
-  ids to resolve). Each level joins the still-climbing rows with the node
-  table by id and can stop per row as soon as a condition holds.
-
-Every level is cut from its lineage with a reliable ``checkpoint()`` into the
-shared checkpoint folder, so a lost executor recomputes one level, not the
+* :func:`lineage` gives the chain of ancestors of every node that is somebody's
+  parent, by pointer doubling: a round reaches twice as far as the one before
+  (ten rounds for a depth of 1,000). :func:`chains` attaches given ids, change
+  events or a few ids to resolve, to their parents' chains by one join; a
+  lineage kept for a listing serves any number of batches.
+
+Every round is cut from its plan with a reliable ``checkpoint()`` into the
+shared checkpoint folder, so a lost executor recomputes one round, not the
 whole loop, and plans do not grow with depth. There is no limit on the depth:
 a parent cycle is known by an id that is met again, and raises.
 """
@@ -25,10 +27,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.paths import ancestors, basename, explode_ancestors, parent_dir, path_depth, path_parts
 from ..session import checkpoint_dir
-from .reconcile import null_safe_key
+from .semijoin import matching, null_safe_key
 
 
 class TreeTooDeep(RuntimeError):
@@ -85,20 +88,22 @@ def topmost(paths: DataFrame, path_col: str = "path") -> DataFrame:
     return p.join(covered, path_col, "left_anti")
 
 
-def tree_listing(local: DataFrame, root: str, files: bool = True) -> DataFrame:
-    """H7: the tree of ``root`` as rows: ``path, rel_depth, name, is_dir, line``
-    where ``line`` is the name indented two spaces per level. Sorting by
-    ``sort_key`` (the array of path parts) gives the listing order."""
-    root = root.rstrip("/") or "/"
-    under = (F.col("path") == root) | F.col("path").startswith(root + "/")
-    df = local.filter(under)
-    if not files:
-        df = df.filter(F.col("is_dir"))
-    rel = path_depth(F.col("path")) - F.lit(len([p for p in root.split("/") if p]))
+def tree_listing(local: DataFrame, root, files: bool = True) -> DataFrame:
+    """H7: the tree of ``root`` as rows: ``root, path, rel_depth, name, is_dir,
+    line`` where ``line`` is the name indented two spaces per level. Sorting by
+    ``sort_key`` (the array of path parts) gives the listing order. ``root`` may
+    be a list (configuration): one scan for all, a row for every root a path is
+    under."""
+    roots = [r.rstrip("/") or "/" for r in ([root] if isinstance(root, str) else root)]
+    df = local if files else local.filter(F.col("is_dir"))
+    path, none = F.col("path"), F.lit(None).cast("string")
+    over = [F.when((path == r) | path.startswith(r.rstrip("/") + "/"), F.lit(r)).otherwise(none) for r in roots]
+    df = df.withColumn("root", F.explode(F.filter(F.array(*over), lambda r: r.isNotNull())))
+    rel = path_depth(path) - path_depth(F.col("root"))
     return df.select(
-        F.lit(root).alias("root"), "path", rel.alias("rel_depth"), basename(F.col("path")).alias("name"), "is_dir",
-        F.concat(F.repeat(F.lit("  "), rel.cast("int")), basename(F.col("path"))).alias("line"),
-        path_parts(F.col("path")).alias("sort_key"))
+        "root", "path", rel.alias("rel_depth"), basename(path).alias("name"), "is_dir",
+        F.concat(F.repeat(F.lit("  "), rel.cast("int")), basename(path)).alias("line"),
+        path_parts(path).alias("sort_key"))
 
 
 def subtree_rollup(local: DataFrame) -> DataFrame:
@@ -170,102 +175,84 @@ def descend(children: DataFrame, seeds: DataFrame, path_col: str = "path", expan
     return reached.unionByName(leaves)
 
 
-def climb(nodes: DataFrame, starts: DataFrame, start_col: str = "start_id", carry=("name",),
-          halt_before: Column | None = None, halt_after: Column | None = None,
-          max_depth: int | None = None, marks: DataFrame | None = None,
-          derived: dict | None = None) -> DataFrame:
-    """Bottom-up walk from ``starts[start_col]`` through ``nodes`` (``file_id,
-    parent_id`` + node columns).
-
-    Returns one row per distinct start id: ``chain`` = array of structs
-    (``id`` + ``carry`` columns), self first, and ``found`` (the start id exists).
-    A row stops when the current node has no parent, is unknown, matches
-    ``halt_before`` (not appended) or ``halt_after`` (appended).
-
-    ``marks`` (key column ``__mark_id`` + columns) is joined to the visited
-    node of every level, so per-node facts (e.g. "is archived") are looked up
-    only for the nodes the climb reaches, never joined to the whole listing.
-    ``derived`` adds named columns computed on the joined level; predicates and
-    ``carry`` may use node, mark and derived columns.
-    """
-    carry = list(carry)
-    derived = dict(derived or {})
-    node_cols = ["file_id", "parent_id", *[c for c in carry if c in nodes.columns and c not in ("file_id", "parent_id")]]
-    n = nodes.select(*node_cols)
-    elem_type = F.struct(F.col("file_id").alias("id"), *[F.col(c) for c in carry])
-    empty = F.filter(F.array(elem_type), lambda _x: F.lit(False))
-    state = starts.select(F.col(start_col).alias("start_id")).distinct() \
-        .withColumn("__cur", F.col("start_id"))
-    first = True
-    done: list[DataFrame] = []
-    depth = 0
-    while True:
-        j = state.join(n, F.col("__cur") == F.col("file_id"), "left")
-        if marks is not None:  # unknown nodes have no id: their rows are spread instead of meeting in one task
-            key = null_safe_key(F.col("file_id"), F.col("start_id"), "unknown")
-            j = j.join(marks, key == F.col("__mark_id"), "left").drop("__mark_id")
-        for name, col in derived.items():
-            j = j.withColumn(name, col)
-        found = F.col("file_id").isNotNull()
-        hb = F.coalesce(halt_before, F.lit(False)) if halt_before is not None else F.lit(False)
-        ha = F.coalesce(halt_after, F.lit(False)) if halt_after is not None else F.lit(False)
-        append = found & ~hb
-        chain_in = empty if first else F.col("chain")
-        new_chain = F.when(append, F.concat(chain_in, F.array(elem_type))).otherwise(chain_in)
-        stop = ~found | hb | ha | F.col("parent_id").isNull()
-        step = j.select("start_id", new_chain.alias("chain"), F.col("parent_id").alias("__next"),
-                        stop.alias("__stop"),
-                        (found if first else F.col("found")).alias("found"))
-        again = ~F.col("__stop") & F.array_contains(F.col("chain")["id"], F.col("__next"))
-        step, n_open = _cut_count(step, ~F.col("__stop"), depth, cycle=again)
-        done.append(step.filter(F.col("__stop")).select("start_id", "chain", "found"))
-        state = step.filter(~F.col("__stop")).select("start_id", "chain", "found", F.col("__next").alias("__cur"))
-        first = False
-        if n_open == 0:
-            return _union(done)
-        depth += 1
-        if max_depth is not None and depth > max_depth:
-            raise TreeTooDeep(f"climb did not end within {max_depth} levels")
-
+def lineage(remote: DataFrame, carry=("name",)) -> DataFrame:
+    """``file_id, chain, cyclic`` of every node that is somebody's parent: ``chain`` = array of structs (``id`` +
+    ``carry`` columns) from the node up to the last known ancestor, ``cyclic`` = it runs into a parent cycle.
 
-def forest_tops(remote: DataFrame) -> DataFrame:
-    """Nodes whose parent is NULL or not in the listing."""
-    ids = remote.select(F.col("file_id").alias("__pid"))
-    return remote.join(ids, F.col("parent_id") == F.col("__pid"), "left_anti")
+    Pointer doubling over these nodes: an open row points at the node that
+    continues its chain; each round it takes that node's chain and pointer. Rows
+    that are done are not written again. Ids must be unique."""
+    elem = F.struct(F.col("file_id").alias("id"), *[F.col(c) for c in carry])
+    parents = remote.select(F.col("parent_id").alias("file_id")).filter("file_id IS NOT NULL").distinct()
+    rows = remote.join(parents, "file_id", "left_semi").select(
+        "file_id", F.array(elem).alias("chain"), F.col("parent_id").alias("next"), F.lit(False).alias("cyclic"))
+    is_open = F.col("next").isNotNull()
+    rows, n_open = _cut_count(rows, is_open)
+    done = [rows.filter(~is_open)]
+    while n_open:
+        up = _union([*done, rows.filter(is_open)]).select(
+            F.col("file_id").alias("__up"), F.col("chain").alias("__chain"), F.col("next").alias("__next"),
+            F.col("cyclic").alias("__cyclic"))
+        met = F.coalesce(F.arrays_overlap(F.col("chain")["id"], F.col("__chain")["id"]), F.lit(False))
+        step = rows.filter(is_open).join(up, F.col("next") == F.col("__up"), "left").select(
+            "file_id", F.when(F.col("__up").isNull() | met, F.col("chain"))
+            .otherwise(F.concat("chain", "__chain")).alias("chain"),
+            F.when(~met, F.col("__next")).alias("next"), (met | F.coalesce("__cyclic", F.lit(False))).alias("cyclic"))
+        rows, n_open = _cut_count(step, is_open)
+        done.append(rows.filter(~is_open))
+    return _union(done).select("file_id", "chain", "cyclic")
+
+
+def chains(remote: DataFrame, ids: DataFrame, id_col: str = "file_id", carry=("name",),
+           max_depth: int | None = None, kept: DataFrame | None = None) -> DataFrame:
+    """One row per distinct id: ``start_id``, ``chain`` (self first; empty for an unknown id) and ``found``, written
+    once. ``kept`` is the :func:`lineage` of the same listing and ``carry``, where there is one already. An id on or
+    below a parent cycle raises :class:`TreeCycle`, one below more than ``max_depth`` ancestors :class:`TreeTooDeep`."""
+    kept = lineage(remote, carry) if kept is None else kept
+    starts = ids.select(F.col(id_col).alias("start_id")).distinct()
+    elem = F.struct(F.col("file_id").alias("id"), *[F.col(c) for c in carry])
+    own = matching(remote, "file_id", starts, "start_id").select(
+        F.col("file_id"), F.col("parent_id").alias("__parent"), F.array(elem).alias("__own"))
+    above = kept.select(F.col("file_id").alias("__f"), F.col("chain").alias("__above"), "cyclic")
+    j = starts.join(own, F.col("start_id") == F.col("file_id"), "left")
+    key = null_safe_key(F.col("__parent"), F.coalesce("start_id", F.lit("")), "noparent")  # tops and unknown ids spread
+    j = j.withColumn("__key", key).join(above, F.col("__key") == F.col("__f"), "left")
+    none = F.slice("__own", 1, 0)
+    met = F.coalesce(F.col("cyclic") | F.array_contains(F.col("__above")["id"], F.col("start_id")), F.lit(False))
+    out = j.select("start_id", F.when(F.col("file_id").isNull(), F.array().cast(_type(remote, carry)))
+                   .otherwise(F.concat("__own", F.coalesce("__above", none))).alias("chain"),
+                   F.col("file_id").isNotNull().alias("found"), met.alias("__cyclic"))
+    too_deep = F.lit(False) if max_depth is None else F.size("chain") > max_depth + 1
+    cut, n_deep = _cut_count(out, too_deep, cycle=F.col("__cyclic"))
+    if n_deep:
+        raise TreeTooDeep(f"{n_deep} nodes have more than {max_depth} ancestors")
+    return cut.drop("__cyclic")
+
+
+def _type(remote: DataFrame, carry) -> T.ArrayType:
+    fields = [T.StructField("id", remote.schema["file_id"].dataType), *[T.StructField(c, remote.schema[c].dataType) for c in carry]]
+    return T.ArrayType(T.StructType(fields))
 
 
 def closure(remote: DataFrame, max_depth: int | None = None) -> DataFrame:
     """Every node with its root-first chain of ids (``chain``), its absolute
-    remote path (``/top/.../name``) and depth, by one top-down BFS over the nodes
-    that are somebody's parent; all others are attached by one join at the end.
-    Nodes on or below a parent cycle have no root: they raise :class:`TreeCycle`."""
-    checkpoint_dir(remote.sparkSession)
-    nodes = remote.select(*NODE_COLS)
-    parents = remote.select(F.col("parent_id").alias("file_id")).filter("file_id IS NOT NULL").distinct()
-    inner = nodes.join(parents, "file_id", "left_semi").select(*NODE_COLS).checkpoint(eager=True)
-
-    def below(kids: DataFrame, front: DataFrame) -> DataFrame:
-        up = front.select(F.col("file_id").alias("__pid"), F.col("path").alias("__ppath"),
-                          F.col("chain").alias("__pchain"), F.col("depth").alias("__pdepth"))
-        return kids.join(up, F.col("parent_id") == F.col("__pid")).select(
-            *NODE_COLS, F.concat(F.col("__ppath"), F.lit("/"), F.col("name")).alias("path"),
-            (F.col("__pdepth") + 1).alias("depth"), F.concat(F.col("__pchain"), F.array(F.col("file_id"))).alias("chain"))
-
-    tops = forest_tops(nodes).select(*NODE_COLS, F.concat(F.lit("/"), F.col("name")).alias("path"),
-                                     F.lit(0).alias("depth"), F.array(F.col("file_id")).alias("chain"))
-    level, n_open = _cut_count(tops, F.lit(True))
-    levels, depth = [level], 0
-    while n_open:
-        depth += 1
-        level, n_open = _cut_count(below(inner, level), F.lit(True), depth, max_depth)
-        levels.append(level)
-    inside = _union(levels)
-    rootless = inner.join(inside.select("file_id"), "file_id", "left_anti")
-    lost = [r["file_id"] for r in rootless.select("file_id").limit(5).collect()]
+    remote path (``/top/.../name``) and depth. Nodes on or below a parent cycle
+    have no root: they raise :class:`TreeCycle`."""
+    kept = lineage(remote)
+    rootless = kept.filter("cyclic").select("file_id")
+    lost = [r["file_id"] for r in rootless.limit(5).collect()]
     if lost:
         raise TreeCycle(f"nodes without a root, such as {lost} (parent cycle)")
-    leaves = nodes.join(parents, "file_id", "left_anti")
-    return inside.unionByName(below(leaves, inside))
+    above = kept.select(F.col("file_id").alias("__f"), F.reverse("chain").alias("__above"))
+    key = null_safe_key(F.col("parent_id"), F.col("file_id"), "noparent")
+    j = remote.select(*NODE_COLS).withColumn("__key", key).join(above, F.col("__key") == F.col("__f"), "left")
+    names = F.concat(F.coalesce(F.col("__above")["name"], F.array().cast("array<string>")), F.array("name"))
+    ids = F.concat(F.coalesce(F.col("__above")["id"], F.array().cast("array<string>")), F.array("file_id"))
+    out = j.select(*NODE_COLS, F.concat(F.lit("/"), F.array_join(names, "/")).alias("path"),
+                   (F.size(ids) - 1).alias("depth"), ids.alias("chain"))
+    if max_depth is not None and not out.filter(F.col("depth") > max_depth).isEmpty():
+        raise TreeTooDeep(f"the tree has more than {max_depth} levels")
+    return out
 
 
 def id_ancestors_all(remote: DataFrame, max_depth: int | None = None) -> DataFrame:
@@ -277,9 +264,9 @@ def id_ancestors_all(remote: DataFrame, max_depth: int | None = None) -> DataFra
 def id_ancestors(remote: DataFrame, ids: DataFrame, id_col: str = "file_id",
                  max_depth: int | None = None) -> DataFrame:
     """H2 for given ids: the chain from the node to the top, self first."""
-    ch = climb(remote, ids, start_col=id_col, carry=(), max_depth=max_depth)
+    ch = chains(remote, ids, id_col, carry=(), max_depth=max_depth)
     return ch.select(F.col("start_id").alias("file_id"),
-                     F.posexplode(F.col("chain.id")).alias("depth", "ancestor_id"))
+                     F.posexplode(F.col("chain")["id"]).alias("depth", "ancestor_id"))
 
 
 def remote_path(remote: DataFrame, ids: DataFrame, id_col: str = "file_id", stop_id: str | None = None,
@@ -287,20 +274,22 @@ def remote_path(remote: DataFrame, ids: DataFrame, id_col: str = "file_id", stop
     """H3: ``/`` + names from just below ``stop_id`` down to the node; ``/`` for
     the stop itself; from the top when the stop is not an ancestor. Unknown ids
     give NULL."""
-    hb = (F.col("file_id") == F.lit(stop_id)) if stop_id is not None else None
-    ch = climb(remote, ids, start_col=id_col, carry=("name",), halt_before=hb, max_depth=max_depth)
-    names = F.reverse(F.col("chain.name"))
-    path = F.when(~F.col("found"), F.lit(None).cast("string")) \
-        .when(F.size(F.col("chain")) == 0, F.lit("/")) \
-        .otherwise(F.concat(F.lit("/"), F.array_join(names, "/")))
+    ch = chains(remote, ids, id_col, max_depth=max_depth)
+    below = F.col("chain")["name"]
+    if stop_id is not None:
+        at = F.array_position(F.col("chain")["id"], stop_id).cast("int")  # 1-based, 0 if it is not an ancestor
+        below = F.when(at > 0, F.slice(below, 1, F.greatest(at - 1, F.lit(0)))).otherwise(below)
+    names = F.reverse(below)
+    path = F.when(F.col("found"), F.when(F.size(names) == 0, F.lit("/"))
+                  .otherwise(F.concat(F.lit("/"), F.array_join(names, "/"))))
     return ch.select(F.col("start_id").alias(id_col), path.alias("remote_path"))
 
 
 def is_ancestor(remote: DataFrame, pairs: DataFrame, folder_col: str = "folder_id", file_col: str = "file_id",
                 max_depth: int | None = None) -> DataFrame:
     """Is ``folder_col`` an ancestor-or-self of ``file_col``."""
-    ch = climb(remote, pairs.select(file_col), start_col=file_col, carry=(), max_depth=max_depth)
-    ch = ch.select(F.col("start_id").alias("__fid"), F.col("chain.id").alias("__ids"))
+    ch = chains(remote, pairs.select(file_col), file_col, carry=(), max_depth=max_depth)
+    ch = ch.select(F.col("start_id").alias("__fid"), F.col("chain")["id"].alias("__ids"))
     j = pairs.join(ch, F.col(file_col) == F.col("__fid"), "left")
     return j.withColumn("is_ancestor", F.coalesce(F.array_contains(F.col("__ids"), F.col(folder_col)), F.lit(False))) \
         .drop("__fid", "__ids")
@@ -313,36 +302,41 @@ def tag_archived(remote: DataFrame, archive: DataFrame) -> DataFrame:
         .withColumn("archived", F.col("__aid").isNotNull()).drop("__aid")
 
 
-def archive_marks(archive: DataFrame) -> DataFrame:
-    """Per-node facts from the archive, keyed for :func:`climb`'s ``marks``."""
-    return archive.select(F.col("drive_id").alias("__mark_id"), F.lit(True).alias("archived"),
-                          F.col("path").alias("archive_path"))
+def _archived_among(ch: DataFrame, archive: DataFrame) -> DataFrame:
+    """``id, archive_path`` of the archived nodes that occur in the chains: every node is looked up once, however many
+    chains hold it."""
+    nodes = ch.select(F.explode(F.col("chain")["id"]).alias("id")).distinct()
+    a = matching(archive, "drive_id", nodes, "id").select(F.col("drive_id").alias("id"),
+                                                          F.col("path").alias("archive_path"))
+    return nodes.join(a, "id")
 
 
 def nearest_tracked_ancestor(changes: DataFrame, remote: DataFrame, archive: DataFrame, root_ids,
-                             ignored_ids=(), max_depth: int | None = None) -> DataFrame:
+                             ignored_ids=(), max_depth: int | None = None, kept: DataFrame | None = None) -> DataFrame:
     """For each changed id, the first ancestor starting at its parent (taken
     from the change row) that is a root or archived. NULL when an ignored id is
     met first, when the id itself is a root or ignored, or when there is no
     parent. Returns ``file_id, parent_id, tracked_id, mid_path`` per distinct
     (file_id, parent_id); ``mid_path`` joins the names strictly below the
-    tracked ancestor down to the parent (``''`` when the parent is tracked)."""
+    tracked ancestor down to the parent (``''`` when the parent is tracked).
+    ``kept``: the listing's :func:`lineage`, if it is there already."""
     root_ids, ignored_ids = list(root_ids), list(ignored_ids)
-    is_root = F.col("file_id").isin(root_ids) if root_ids else F.lit(False)
-    is_ign = F.col("file_id").isin(ignored_ids) if ignored_ids else F.lit(False)
-    tag = F.when(is_ign, "ignored").when(is_root | F.coalesce(F.col("archived"), F.lit(False)), "tracked")
     pairs = changes.select("file_id", "parent_id").distinct()
-    ch = climb(remote.select("file_id", "parent_id", "name"), pairs.filter(F.col("parent_id").isNotNull()),
-               start_col="parent_id", carry=("tag", "name"), halt_after=F.col("tag").isNotNull(),
-               max_depth=max_depth, marks=archive_marks(archive).select("__mark_id", "archived"),
-               derived={"tag": tag})
-    first_tag = F.filter(F.col("chain"), lambda e: e["tag"].isNotNull())
-    hit = F.try_element_at(first_tag, F.lit(1))
-    below = F.slice(F.col("chain"), 1, F.greatest(F.size(F.col("chain")) - 1, F.lit(0)))
-    ch = ch.select(F.col("start_id").alias("__p"),
-                   F.when(hit["tag"] == "tracked", hit["id"]).alias("__tracked"),
-                   F.array_join(F.reverse(below["name"]), "/").alias("__mid"))
-    out = pairs.join(ch, F.col("parent_id") == F.col("__p"), "left")
+    ch = chains(remote.select("file_id", "parent_id", "name"), pairs.filter(F.col("parent_id").isNotNull()),
+                "parent_id", max_depth=max_depth, kept=kept)
+    archived = _archived_among(ch, archive).select("id", F.lit(True).alias("archived"))
+    steps = ch.select("start_id", F.posexplode(F.col("chain")["id"]).alias("depth", "id")).join(archived, "id", "left")
+    is_root = F.col("id").isin(root_ids) if root_ids else F.lit(False)
+    is_ign = F.col("id").isin(ignored_ids) if ignored_ids else F.lit(False)
+    tag = F.when(is_ign, "ignored").when(is_root | F.col("archived"), "tracked")
+    first = steps.withColumn("tag", tag).filter("tag IS NOT NULL").groupBy("start_id") \
+        .agg(F.min(F.struct("depth", "tag", "id")).alias("hit"))
+    names = F.slice(F.col("chain")["name"], 1, F.col("hit.depth"))
+    ch = ch.join(first, "start_id").select(
+        F.col("start_id").alias("__p"), F.when(F.col("hit.tag") == "tracked", F.col("hit.id")).alias("__tracked"),
+        F.array_join(F.reverse(names), "/").alias("__mid"))
+    key = null_safe_key(F.col("parent_id"), F.coalesce("file_id", F.lit("")), "noparent")
+    out = pairs.withColumn("__key", key).join(ch, F.col("__key") == F.col("__p"), "left")
     self_block = (F.col("file_id").isin(root_ids + ignored_ids)) if (root_ids or ignored_ids) else F.lit(False)
     tracked = F.when(self_block | F.col("parent_id").isNull(), F.lit(None).cast("string")).otherwise(F.col("__tracked"))
     return out.select("file_id", "parent_id", tracked.alias("tracked_id"),
@@ -352,12 +346,13 @@ def nearest_tracked_ancestor(changes: DataFrame, remote: DataFrame, archive: Dat
 def parent_archive(remote: DataFrame, archive: DataFrame, ids: DataFrame, id_col: str = "file_id",
                    max_depth: int | None = None) -> DataFrame:
     """First archived ancestor-or-self of each id (``archive_id``, ``archive_path``)."""
-    ch = climb(remote.select("file_id", "parent_id"), ids, start_col=id_col, carry=("is_archived", "archive_path"),
-               halt_after=F.col("is_archived"), max_depth=max_depth, marks=archive_marks(archive),
-               derived={"is_archived": F.coalesce(F.col("archived"), F.lit(False))})
-    hit = F.try_element_at(F.filter(F.col("chain"), lambda e: e["is_archived"]), F.lit(1))
-    return ch.select(F.col("start_id").alias(id_col), hit["id"].alias("archive_id"),
-                     hit["archive_path"].alias("archive_path"))
+    ch = chains(remote.select("file_id", "parent_id"), ids, id_col, carry=(), max_depth=max_depth)
+    steps = ch.select("start_id", F.posexplode(F.col("chain")["id"]).alias("depth", "id"))
+    first = steps.join(_archived_among(ch, archive), "id").groupBy("start_id") \
+        .agg(F.min(F.struct("depth", "id", "archive_path")).alias("hit"))
+    return ch.select("start_id").join(first, "start_id", "left").select(
+        F.col("start_id").alias(id_col), F.col("hit.id").alias("archive_id"),
+        F.col("hit.archive_path").alias("archive_path"))
 
 
 def walk(remote: DataFrame, folder_id: str, where: Column | None = None, where_files_only: bool = False,

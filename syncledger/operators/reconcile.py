@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..fixtures import FOLDER_MIME
+from ..session import checkpoint_dir
 from .exclude import Exclusions, is_excluded
+from .semijoin import matching, null_safe_key
 
 CONFLICT, NEUTRAL, SAFE = -1, 0, 1
 
@@ -21,12 +23,6 @@ def classify_type(df: DataFrame, mime_col: str = "mime_type", out: str = "type",
     return df.withColumn(out, F.when(F.col(mime_col) == folder_mime, "#folder").otherwise("#file"))
 
 
-def null_safe_key(key: Column, row_id: Column, tag: str) -> Column:
-    """Join key that never matches when ``key`` is NULL and spreads NULL rows
-    over all partitions instead of piling them into one."""
-    return F.coalesce(key, F.concat(F.lit(f"\u0000{tag}:"), row_id.cast("string")))
-
-
 def truncate_second(col: Column) -> Column:
     """Drop the fraction of a second (the remote time format keeps whole
     seconds). Built from the wall-clock fields, so no time zone is involved."""
@@ -35,7 +31,7 @@ def truncate_second(col: Column) -> Column:
 
 
 def reconcile(nodes: DataFrame, archive: DataFrame, local: DataFrame, ex: Exclusions,
-              folder_time: bool = False, folder_mime: str = FOLDER_MIME) -> DataFrame:
+              folder_time: bool = False, folder_mime: str = FOLDER_MIME, batch: bool = False) -> DataFrame:
     """Decision per remote node, first matching rule wins.
 
     ``nodes`` needs ``file_id, mime_type, md5sum, modified_time``. Adds
@@ -45,7 +41,17 @@ def reconcile(nodes: DataFrame, archive: DataFrame, local: DataFrame, ex: Exclus
     comparisons are NULL-safe; the remote md5 is ``coalesce(md5, '')`` and the
     archive md5 is compared as stored. ``folder_time`` passes the remote time
     for folders too (change feed); a folder walk passes none.
+
+    With ``batch`` the nodes are few against the archive and the listing (a
+    batch of a feed): both are cut down to the nodes' ids and paths first, and
+    neither is exchanged.
     """
+    if batch:
+        checkpoint_dir(nodes.sparkSession)
+        known = matching(archive, "drive_id", nodes, "file_id")
+        if known is not archive:
+            archive = known.checkpoint(eager=True)  # at most as many rows as there are ids
+            local = matching(local, "path", archive)
     n = classify_type(nodes, folder_mime=folder_mime)
     a = archive.select(
         F.col("drive_id").alias("__a_id"), F.col("path").alias("archive_path"),
@@ -53,7 +59,7 @@ def reconcile(nodes: DataFrame, archive: DataFrame, local: DataFrame, ex: Exclus
     loc = local.select(F.col("path").alias("__l_path"), F.col("mtime").alias("__l_time"),
                        F.col("md5sum").alias("__l_md5"))
     j = n.join(a, F.col("file_id") == F.col("__a_id"), "left")
-    j = is_excluded(j, "archive_path", ex, out="__excl")
+    j = is_excluded(j, "archive_path", ex, out="__excl", row_id="file_id")
     j = j.withColumn("__l_key", null_safe_key(F.col("archive_path"), F.col("file_id"), "noarchive"))
     j = j.join(loc, F.col("__l_key") == F.col("__l_path"), "left")
 

@@ -20,6 +20,7 @@ from ..operators.diff import lookup, tracked_roots
 from ..operators.exclude import Exclusions
 from ..operators.hierarchy import nearest_tracked_ancestor, walk
 from ..operators.reconcile import NEUTRAL, collides, reconcile
+from ..operators.semijoin import matching
 from ..session import checkpoint_dir
 from ..sources.listing import read_changes
 from ..streaming.feed import changed_since
@@ -49,7 +50,8 @@ def download_folder_plan(remote: DataFrame, archive: DataFrame, local: DataFrame
 
 def download_changes_plan(changes: DataFrame, remote: DataFrame, archive: DataFrame, local: DataFrame,
                           ex: Exclusions, roots: DataFrame, last_sync, start_seq: int | None = None,
-                          extra_root: tuple[str, str] | None = None, ignored_ids=()) -> DataFrame:
+                          extra_root: tuple[str, str] | None = None, ignored_ids=(),
+                          kept: DataFrame | None = None) -> DataFrame:
     """Rows to fetch from the change feed.
 
     Non-removed, non-trashed events at or after ``start_seq`` whose time is not
@@ -57,17 +59,22 @@ def download_changes_plan(changes: DataFrame, remote: DataFrame, archive: DataFr
     tracked root or archived (J8) and the decision (J2, time passed for
     folders too) is not neutral. Destination = archived path of that ancestor
     (else the root's base path) + the names between it and the parent + name.
+
+    The archive and the local listing are cut down to the batch's ids, paths and
+    destinations by broadcast semi joins (:func:`matching`), so a small batch
+    exchanges neither. ``kept``: the remote listing's ``lineage``, if it is there
+    already (a stream works it out once).
     """
     tracked = tracked_roots(roots, archive, extra_root)
     root_ids = sorted(r[0] for r in tracked.select("drive_id").collect())  # one row per configured root
     c = changes if start_seq is None else read_changes(changes, start_seq, include_removed=False)
     c = c.filter(~F.col("removed") & ~F.coalesce(F.col("trashed"), F.lit(False)))
     c = changed_since(c, last_sync)
-    anc = nearest_tracked_ancestor(c, remote, archive, root_ids, ignored_ids)
+    anc = nearest_tracked_ancestor(c, remote, archive, root_ids, ignored_ids, kept=kept)
     anc = anc.filter(F.col("tracked_id").isNotNull())
-    ev = c.join(anc, ["file_id", "parent_id"])
-    dec = reconcile(ev, archive, local, ex, folder_time=True).filter(F.col("decision") != NEUTRAL)
-    a = archive.select(F.col("drive_id").alias("__tid"), F.col("path").alias("__tpath"))
+    ev = _once(c.join(anc, ["file_id", "parent_id"]))
+    dec = reconcile(ev, archive, local, ex, folder_time=True, batch=True).filter(F.col("decision") != NEUTRAL)
+    a = matching(archive, "drive_id", ev, "tracked_id").select(F.col("drive_id").alias("__tid"), F.col("path").alias("__tpath"))
     t = tracked.select(F.col("drive_id").alias("__tid2"), F.col("base_path").alias("__tbase"))
     dec = dec.join(a, F.col("tracked_id") == F.col("__tid"), "left") \
         .join(t, F.col("tracked_id") == F.col("__tid2"), "left")
@@ -75,7 +82,8 @@ def download_changes_plan(changes: DataFrame, remote: DataFrame, archive: DataFr
     plan = dec.select("seq", "file_id", "type", "decision", "why", F.col("tracked_id").alias("root_parent_id"),
                       join_path(pre, F.col("mid_path"), F.col("name")).alias("dest_path"),
                       F.coalesce(F.col("md5sum"), F.lit("")).alias("md5sum"))
-    out = collides(_once(plan), local, "dest_path")
+    plan = _once(plan)
+    out = collides(plan, matching(local, "path", plan, "dest_path"), "dest_path")
     return out.withColumn("conflict", (F.col("decision") == -1) | F.col("exists_locally"))
 
 

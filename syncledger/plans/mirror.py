@@ -17,7 +17,7 @@ from ..operators.catalog import delete_archive
 from ..operators.diff import descendants_join, removed_locally
 from ..operators.exclude import Exclusions
 from ..operators.hierarchy import tag_archived, topmost, walk_pruned
-from ..operators.reconcile import null_safe_key
+from ..operators.semijoin import null_safe_key
 from .upload import upload_plan, upload_sync_plan
 
 OUT_COLS = ["root", "action", "op", "type", "path", "drive_id", "parent_id", "is_root"]

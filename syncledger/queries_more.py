@@ -21,8 +21,10 @@ from .queries_plans import (ONE_ROOT, P2_SQL, P3_COLS, RESTORE, link_sql, p1_sql
 from .session import scratch_path
 from .sources import listing as S
 from .sources import store
+from .sources.directory import open_tree
 from .sources.sinks import write_tree_report
 from .streaming import jobs as V
+from .streaming.feed import changed_since
 
 
 def _new_folder(spark, name: str) -> str:
@@ -123,14 +125,153 @@ def q_h7_rank(spark, sf_dir):
 
 # --------------------------------------------------------------------------- what a sync takes
 
-@register("v5_peek_changes", oracle="""
-SELECT seq, file_id FROM changes WHERE seq > (SELECT max(seq) FROM changes WHERE seq % 3 = 0 AND seq < 500)""")
+def _written_feed(spark, name: str, *parts) -> str:
+    """Change events as a feed of their own: a file for each of ``parts``, in that order."""
+    feed = _new_folder(spark, name)
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(feed)
+    return feed
+
+
+def _run_to_end(query) -> None:
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+
+
+@register("v5_peek_changes", oracle="SELECT seq, file_id FROM changes WHERE NOT (seq % 3 = 0 AND seq < 500)")
 def q_v5(spark, sf_dir):
-    """A dry run after a job that has finished part of the feed."""
+    """A dry run after a job that has finished part of the feed, on both sides of what is left."""
+    i = inv(spark, sf_dir)
+    base = _new_folder(spark, "peek")
+    feed = _written_feed(spark, "feed", i.C.filter("seq % 3 = 0 AND seq < 500"))
+    _run_to_end(V._run(V.stream_changes(spark, feed), lambda b, _id: b.select("seq"), f"{base}/out", f"{base}/checkpoint"))
+    return V.peek_changes(spark, i.C, f"{base}/out").select("seq", "file_id")
+
+
+@register("v5_peek_feed", oracle="SELECT seq, file_id FROM changes WHERE seq > 500")
+def q_v5_feed(spark, sf_dir):
+    """A dry run of the feed by seq, whose later files hold earlier events."""
+    i = inv(spark, sf_dir)
+    base = _new_folder(spark, "peek")
+    feed = _written_feed(spark, "feed", i.C.filter("seq % 5 = 1"), i.C.filter("seq % 5 <> 1 AND seq > 400"),
+                         i.C.filter("seq % 5 <> 1 AND seq <= 400"))
+    _run_to_end(V._run(V.stream_feed(spark, feed, until_seq=500), lambda b, _id: b.select("seq"), f"{base}/out",
+                       f"{base}/checkpoint"))
+    return V.peek_changes(spark, V.read_feed(spark, feed), f"{base}/out").select("seq", "file_id")
+
+
+@register("v1_stream_feed", oracle="SELECT * FROM changes")
+def q_v1_feed(spark, sf_dir):
+    """The feed as a stream by seq, in two runs of one job."""
+    i = inv(spark, sf_dir)
+    base = _new_folder(spark, "feed")
+    for until in (700, None):
+        _run_to_end(V._run(V.stream_feed(spark, i.paths["changes"], until_seq=until), lambda b, _id: b, f"{base}/out",
+                           f"{base}/checkpoint"))
+    return V.read_output(spark, f"{base}/out").drop("batch_id")
+
+
+@register("v4_late_events", oracle=f"""
+SELECT seq, file_id, modified_time FROM changes WHERE date_trunc('second', modified_time) >= TIMESTAMP '{LAST_SYNC}'""")
+def q_v4(spark, sf_dir):
+    """Events older than the last sync are dropped from the stream, and so are events that are delivered again."""
+    i = inv(spark, sf_dir)
+    base = _new_folder(spark, "late")
+    feed = _written_feed(spark, "feed", i.C.filter("seq % 2 = 0"), i.C.filter("seq % 3 <> 0"), i.C.filter("seq % 6 <> 1"),
+                         i.C.filter("seq % 6 = 3 OR seq % 5 = 0"))
+    _run_to_end(V._run(V.stream_changes(spark, feed, max_files_per_trigger=1),
+                       lambda b, _id: changed_since(b, LAST_SYNC), f"{base}/out", f"{base}/checkpoint"))
+    return V.read_output(spark, f"{base}/out").select("seq", "file_id", "modified_time")
+
+
+@register("v2_clashes_across_batches", oracle=f"""
+RECURSIVE {p3_sql()},
+bt AS (SELECT *, CASE WHEN seq <= (SELECT max(seq) // 3 FROM changes) THEN 0
+  WHEN seq <= (SELECT 2 * max(seq) // 3 FROM changes) THEN 1 ELSE 2 END AS b FROM p3_plan)
+SELECT seq, file_id, decision, why, dest_path, conflict, EXISTS (SELECT 1 FROM bt o WHERE o.dest_path = bt.dest_path
+  AND (o.b < bt.b OR (o.b = bt.b AND o.seq <> bt.seq))) AS dup_dest FROM bt""")
+def q_v2_clashes(spark, sf_dir):
+    """The download plan as a stream in three batches: a destination of an earlier batch is a clash in a later one."""
     i = inv(spark, sf_dir)
-    out = _new_folder(spark, "peek")
-    V.init_offset(spark, i.C.filter("seq % 3 = 0 AND seq < 500"), out)
-    return V.peek_changes(spark, i.C, out).select("seq", "file_id")
+    base = _new_folder(spark, "clashes")
+    top = i.C.agg(F.max("seq")).first()[0]
+    for until in (top // 3, 2 * top // 3, None):
+        _run_to_end(V.stream_download_plan(V.stream_feed(spark, i.paths["changes"], until_seq=until), i.R, i.A, i.L,
+                                           excl(spark, sf_dir), i.roots, LAST_SYNC, f"{base}/out", f"{base}/checkpoint",
+                                           ignored_ids=IGNORED_IDS))
+    return V.read_output(spark, f"{base}/out").select("seq", "file_id", "decision", "why", "dest_path", "conflict",
+                                                      "dup_dest")
+
+
+# --------------------------------------------------------------------------- a directory tree
+
+_TREE_SQL = """
+t AS (SELECT '/' || r_name AS path, TRUE AS is_dir, NULL AS content FROM region
+  UNION ALL SELECT '/' || r_name || '/' || n_name, TRUE, NULL FROM nation JOIN region ON r_regionkey = n_regionkey
+  UNION ALL SELECT '/' || r_name || '/' || n_name || '/empty', TRUE, NULL FROM nation JOIN region ON r_regionkey = n_regionkey
+  UNION ALL SELECT '/' || r_name || '/' || n_name || '/' || s_name, FALSE, repeat(s_name || chr(10), 1 + s_suppkey % 7)
+  FROM supplier JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey)"""
+
+
+def _written_tree(spark, sf_dir) -> str:
+    """The suppliers as files in folders by region and nation, with an empty folder in each nation's."""
+    base = _new_folder(spark, "tree")
+    t = fx.read_tables(spark, sf_dir, ["supplier", "nation", "region"])
+    nations = t["nation"].join(t["region"], F.col("r_regionkey") == F.col("n_regionkey")) \
+        .withColumn("folder", F.concat_ws("/", "r_name", "n_name"))
+    files = nations.join(t["supplier"], F.col("s_nationkey") == F.col("n_nationkey")).select(
+        F.concat_ws("/", "folder", "s_name").alias("path"),
+        F.expr("repeat(concat(s_name, chr(10)), cast(1 + s_suppkey % 7 as int))").alias("content"))
+    rows = files.unionByName(nations.select(F.concat("folder", F.lit("/empty")).alias("path"),
+                                            F.lit(None).cast("string").alias("content")))
+
+    def write(batches):
+        system, at = open_tree(base)
+        for batch in batches:
+            for row in batch.to_pylist():
+                target = f"{at}/{row['path']}"
+                system.create_dir(target if row["content"] is None else target.rsplit("/", 1)[0], recursive=True)
+                if row["content"] is not None:
+                    with system.open_output_stream(target) as out:
+                        out.write(row["content"].encode())
+            yield batch.select(["path"])
+
+    rows.mapInArrow(write, "path string").count()
+    return base
+
+
+def _listed(spark, base: str, tree):
+    """The listing with paths below ``base``, without ``base`` itself."""
+    at = open_tree(base)[1].rstrip("/")
+    return tree.withColumn("path", F.substring("path", len(at) + 1, 1 << 30)).filter("path <> ''")
+
+
+@register("s1_scan_local", oracle=f"""{_TREE_SQL}
+SELECT path, is_dir, CAST(coalesce(strlen(content), 0) AS BIGINT) AS size FROM t""")
+def q_s1(spark, sf_dir):
+    base = _written_tree(spark, sf_dir)
+    return _listed(spark, base, S.scan_local(spark, base)).select("path", "is_dir", "size")
+
+
+@register("t6_md5", oracle=f"""{_TREE_SQL}
+SELECT path, md5(content) AS md5sum FROM t WHERE NOT is_dir""")
+def q_t6(spark, sf_dir):
+    base = _written_tree(spark, sf_dir)
+    return _listed(spark, base, S.scan_local(spark, base, with_md5=True, with_dirs=False)).select("path", "md5sum")
+
+
+@register("j9_contains_anywhere", oracle="""
+pats AS (SELECT DISTINCT substr(path, 7, 6) AS p FROM archive WHERE drive_id LIKE 'o%7' AND length(path) > 12
+  UNION SELECT 'IA' UNION SELECT 'x_nowhere_y' UNION SELECT '/NATION_1/'),
+hits AS (SELECT a.path, a.drive_id, p AS matched_path FROM archive a JOIN pats ON contains(a.path, p))
+SELECT * FROM hits""")
+def q_j9_anywhere(spark, sf_dir):
+    """Substrings that begin anywhere in a path, short and absent ones among them."""
+    a = inv(spark, sf_dir).A
+    cut = a.filter(F.col("drive_id").like("o%7") & (F.length("path") > 12)).select(F.substring("path", 7, 6).alias("path"))
+    fixed = spark.createDataFrame([("IA",), ("x_nowhere_y",), ("/NATION_1/",)], "path string")
+    return D.descendants_join(a.select("path", "drive_id"), cut.unionByName(fixed), mode="contains")
 
 
 EXTRA_ROOT = ("root", "/untracked")

@@ -720,7 +720,7 @@ def q_v1(spark, sf_dir):
     return _run_stream(spark, sf_dir, "v1", job).select("seq", "file_id", "removed")
 
 
-P3_STREAM_COLS = "seq, file_id, type, decision, why, root_parent_id, dest_path, md5sum, exists_locally, conflict"
+P3_STREAM_COLS = P3_COLS  # one batch here: clashes of destinations are those of the whole plan
 
 
 @register("v2_stream_download_plan", oracle=f"""

@@ -6,54 +6,23 @@ projections that Catalyst pushes into the Parquet scan.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..fixtures import FOLDER_MIME
-from ..functions.paths import ancestors, basename, normalize_path, parent_dir
+from ..functions.paths import basename, normalize_path
 from ..operators.reconcile import classify_type
-
-LOCAL_SCHEMA = T.StructType([
-    T.StructField("path", T.StringType(), False),
-    T.StructField("is_dir", T.BooleanType(), False),
-    T.StructField("mtime", T.TimestampNTZType(), True),
-    T.StructField("md5sum", T.StringType(), True),
-    T.StructField("size", T.LongType(), True),
-])
-
+from .directory import LOCAL_SCHEMA, read_tree
 
 def scan_local(spark: SparkSession, path: str, with_md5: bool = False, with_dirs: bool = True) -> DataFrame:
-    """Recursive listing of a directory tree as ``local_files``.
-
-    Uses the ``binaryFile`` source; the file content is read only when
-    ``with_md5`` asks for it (otherwise it is pruned from the scan). Folders
-    are derived from the file paths, so empty folders do not appear, and a
-    folder's time is that of its newest file. ``path`` may have a scheme
-    (``file:``, ``hdfs://host``); the listed paths have none.
-    """
-    bare = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", path)
-    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    p = normalize_path(F.regexp_replace(F.col("path"), r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", ""))
-    files = raw.select(
-        p.alias("path"), F.lit(False).alias("is_dir"),
-        F.col("modificationTime").cast("timestamp_ntz").alias("mtime"),
-        (F.md5(F.col("content")) if with_md5 else F.lit(None).cast("string")).alias("md5sum"),
-        F.col("length").alias("size"))
-    if not with_dirs:
-        return files
-    base = normalize_path(F.lit(bare))
-    # newest file time per parent first (partial aggregation), then up the ancestors of the folders only
-    parents = files.groupBy(parent_dir(F.col("path")).alias("parent")).agg(F.max("mtime").alias("mtime"))
-    dirs = parents.select(F.explode(ancestors(F.col("parent"))).alias("path"), F.col("mtime")) \
-        .groupBy("path").agg(F.max("mtime").alias("mtime"))
-    dirs = dirs.join(files.select(F.col("path").alias("__f")), F.col("path") == F.col("__f"), "left_anti")
-    dirs = dirs.filter((F.col("path") == base) | F.col("path").startswith(F.concat(base, F.lit("/"))))
-    dirs = dirs.select("path", F.lit(True).alias("is_dir"), "mtime", F.lit(None).cast("string").alias("md5sum"),
-                       F.lit(0).cast("bigint").alias("size"))
-    return files.unionByName(dirs)
+    """Recursive listing of a directory tree as ``local_files``, the folder
+    itself included: every file and folder, empty ones too, each with its own
+    time (:mod:`.directory`). ``with_md5`` adds the files' md5 (T6), worked out
+    block by block where they are listed; without it no content is read.
+    ``path`` may have a scheme (``file:``, ``hdfs://host``); the listed paths
+    have none."""
+    tree = read_tree(spark, path, digest=with_md5).withColumn("path", normalize_path("path"))
+    return tree if with_dirs else tree.filter(~F.col("is_dir"))
 
 
 def list_children(remote: DataFrame, folder_id: str, kind: str = "all", where: Column | None = None,

@@ -32,10 +32,7 @@ def write_transfer_log(plan: DataFrame, out: str, fmt: str = "csv") -> None:
 def write_tree_report(local: DataFrame, roots, files: bool, out: str) -> None:
     """One text listing per root, lines in tree order, written as
     ``out/root=<root>/part-*.txt``. Rows are range-partitioned by their sort
-    key, so the order holds across part files without a single-task sort."""
-    parts = [tree_listing(local, r, files) for r in roots]
-    df = parts[0]
-    for p in parts[1:]:
-        df = df.unionByName(p)
-    ordered = df.repartitionByRange("root", "sort_key").sortWithinPartitions("root", "sort_key")
+    key, so the order holds across part files without a single-task sort. The
+    listing is scanned once for all roots."""
+    ordered = tree_listing(local, list(roots), files).repartitionByRange("root", "sort_key").sortWithinPartitions("root", "sort_key")
     ordered.select("root", "line").write.mode("overwrite").partitionBy("root").text(out)

@@ -1,19 +1,29 @@
 """Structured Streaming twins of the change-feed plans (V1-V6).
 
 The feed is an append-only folder of Parquet files (one row per change
-event, ``seq`` increasing). Jobs read it with ``readStream`` and run the batch
+event, each with a ``seq`` of its own). Jobs read it as a stream, by ``seq``
+(:mod:`.feed_source`) or by files (:func:`stream_changes`), and run the batch
 plan on every micro-batch inside ``foreachBatch``:
 
 * output goes to ``<out>/batch_id=<n>`` with overwrite, so a retried batch
   replaces its own output (idempotent sink);
+* the events a batch has finished are state of the job, ``<out>/_seen``, also
+  by batch and overwritten. An event that is delivered again, in any later
+  batch, is dropped; a dry run (V5) shows exactly the events that are not in it,
+  whatever the order of the files. A batch reads no state of its own or of
+  later batches, so a retry sees what the first attempt saw;
+* the destinations of earlier batches are state as well (their output): a
+  destination planned before is a clash (``dup_dest``);
 * the offset of the source lives in the query checkpoint; the highest ``seq``
-  of every finished batch is also appended to ``<out>/_offsets`` after the
-  batch output exists, which gives dry runs (V5) and first runs (V6) a
-  position without parsing the checkpoint;
+  of every finished batch is also appended to ``<out>/_offsets``;
 * the download plan and the removed-item plan keep separate checkpoints, so
   their positions move independently (two tokens, as in the original tool);
 * the archive is read again in every batch, so a batch sees the catalog as
   updated by the batches before it.
+
+State is read by broadcast semi joins on the batch's own keys (``_seen`` within
+the batch's range of ``seq``, which skips the files of other ranges), so it is
+scanned but never exchanged.
 """
 
 from __future__ import annotations
@@ -26,20 +36,10 @@ from pyspark.sql import types as T
 
 from ..operators.diff import removed_remotely
 from ..operators.exclude import Exclusions
+from ..operators.hierarchy import lineage
+from ..operators.semijoin import matching
 from ..sources.store import exists
-
-CHANGES_SCHEMA = T.StructType([
-    T.StructField("seq", T.LongType()),
-    T.StructField("file_id", T.StringType()),
-    T.StructField("removed", T.BooleanType()),
-    T.StructField("trashed", T.BooleanType()),
-    T.StructField("name", T.StringType()),
-    T.StructField("mime_type", T.StringType()),
-    T.StructField("md5sum", T.StringType()),
-    T.StructField("parent_id", T.StringType()),
-    T.StructField("modified_time", T.TimestampNTZType()),
-])
-
+from .feed_source import CHANGES_SCHEMA, read_feed, stream_feed
 
 def stream_changes(spark: SparkSession, path: str, schema: T.StructType = CHANGES_SCHEMA,
                    max_files_per_trigger: int | None = None, start_seq: int | None = None) -> DataFrame:
@@ -86,36 +86,77 @@ def init_offset(spark: SparkSession, source: DataFrame, out: str) -> int:
     return now
 
 
+def _seen(spark: SparkSession, out: str, before: int | None = None) -> DataFrame | None:
+    """``seq`` of the events that the batches of a job (``before`` one of them) have finished."""
+    path = f"{out.rstrip('/')}/_seen"
+    if not exists(spark, path):
+        return None
+    seen = spark.read.schema("seq bigint, batch_id bigint").parquet(path)
+    return (seen if before is None else seen.filter(F.col("batch_id") < before)).select("seq")
+
+
 def peek_changes(spark: SparkSession, source: DataFrame, out: str) -> DataFrame:
     """V5: events the job writing to ``out`` has not processed yet, read as a
-    batch; nothing is written and no offset moves (dry run)."""
-    cur = committed_seq(spark, out)
-    return source if cur is None else source.filter(F.col("seq") > cur)
+    batch; nothing is written and no offset moves (dry run). They are the
+    events after the job's first position (V6) that no batch has finished."""
+    seen = _seen(spark, out)
+    first = None
+    if exists(spark, _offsets_path(out)):
+        first = spark.read.parquet(_offsets_path(out)).filter("batch_id = -1").agg(F.max("max_seq")).first()[0]
+    left = source if first is None else source.filter(F.col("seq") > int(first))
+    return left if seen is None else left.join(seen, "seq", "left_anti")
+
+
+def _new_events(spark: SparkSession, batch_df: DataFrame, out: str, batch_id: int) -> tuple[DataFrame, int | None]:
+    """The batch without events that earlier batches have finished, each once, and its highest ``seq``."""
+    low, top = batch_df.agg(F.min("seq"), F.max("seq")).first()
+    events = batch_df.dropDuplicates(["seq"])
+    seen = None if low is None else _seen(spark, out, batch_id)
+    if seen is not None:
+        again = matching(seen.filter(F.col("seq").between(low, top)), "seq", events)
+        events = events.join(again, "seq", "left_anti").select(*batch_df.columns)
+    return events, None if top is None else int(top)
 
 
 def _run(stream: DataFrame, per_batch: Callable[[DataFrame, int], DataFrame], out: str, checkpoint: str,
          available_now: bool = True, processing_time: str | None = None):
     spark = stream.sparkSession
+    base = out.rstrip("/")
 
     def sink(batch_df: DataFrame, batch_id: int) -> None:
-        result = per_batch(batch_df, batch_id)
-        result.write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch_id={batch_id}")
-        top = batch_df.agg(F.max("seq")).first()[0]
-        if top is not None:
-            spark.createDataFrame([(int(batch_id), int(top))], "batch_id bigint, max_seq bigint") \
-                .write.mode("append").parquet(_offsets_path(out))
+        batch_df.persist()  # an event feed is read once a batch; a lost block is read again
+        try:
+            events, top = _new_events(spark, batch_df, out, batch_id)
+            per_batch(events, batch_id).write.mode("overwrite").parquet(f"{base}/batch_id={batch_id}")
+            if top is not None:
+                events.select("seq").coalesce(1).sortWithinPartitions("seq").write.mode("overwrite") \
+                    .parquet(f"{base}/_seen/batch_id={batch_id}")
+                spark.createDataFrame([(int(batch_id), top)], "batch_id bigint, max_seq bigint") \
+                    .write.mode("append").parquet(_offsets_path(out))
+        finally:
+            batch_df.unpersist()
 
     w = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 minute")
     return w.start()
 
 
+def _clashes_before(spark: SparkSession, plan: DataFrame, out: str, batch_id: int) -> DataFrame:
+    """``dup_dest`` is true as well where an earlier batch has planned the destination."""
+    if batch_id == 0 or not exists(spark, f"{out.rstrip('/')}/batch_id=0"):
+        return plan
+    taken = read_output(spark, out).filter(F.col("batch_id") < batch_id).select("dest_path")
+    taken = matching(taken, "dest_path", plan).select(F.col("dest_path").alias("__taken")).distinct()
+    return plan.join(taken, F.col("dest_path") == F.col("__taken"), "left") \
+        .withColumn("dup_dest", F.col("dup_dest") | F.col("__taken").isNotNull()).drop("__taken")
+
+
 def read_output(spark: SparkSession, out: str, schema: T.StructType | None = None) -> DataFrame:
     """All batch outputs of a streaming job (partition column ``batch_id``)."""
     reader = spark.read.option("basePath", out)
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.parquet(f"{out.rstrip('/')}/batch_id=*")
+    return reader.parquet(f"{out.rstrip('/')}/batch_id=*")  # state folders begin with _ and are not output
 
 
 def stream_download_plan(stream: DataFrame, remote: DataFrame, archive: DataFrame | Callable[[], DataFrame],
@@ -123,14 +164,17 @@ def stream_download_plan(stream: DataFrame, remote: DataFrame, archive: DataFram
                          ignored_ids=(), extra_root=None, available_now: bool = True):
     """V2: per micro-batch, the download plan of the new events (P3 with the
     feed filters F3 and F5 and the ancestor test J8). ``archive`` may be a
-    function returning the current snapshot, called once per batch."""
+    function returning the current snapshot, called once per batch. The remote
+    listing's chains of ancestors are worked out once, before the first batch."""
     from ..plans.download import download_changes_plan
 
+    kept = lineage(remote.select("file_id", "parent_id", "name"))
+
     def per_batch(batch_df: DataFrame, batch_id: int) -> DataFrame:
         a = archive() if callable(archive) else archive
         plan = download_changes_plan(batch_df, remote, a, local, ex, roots, last_sync, extra_root=extra_root,
-                                     ignored_ids=ignored_ids)
-        return plan
+                                     ignored_ids=ignored_ids, kept=kept)
+        return _clashes_before(batch_df.sparkSession, plan, out, batch_id)
 
     return _run(stream, per_batch, out, checkpoint, available_now)
 
@@ -144,3 +188,7 @@ def stream_removed(stream: DataFrame, archive: DataFrame | Callable[[], DataFram
         return removed_remotely(batch_df, a)
 
     return _run(stream, per_batch, out, checkpoint, available_now)
+
+
+__all__ = ["CHANGES_SCHEMA", "committed_seq", "dedupe_events", "init_offset", "peek_changes", "read_feed", "read_output",
+           "stream_changes", "stream_download_plan", "stream_feed", "stream_removed"]

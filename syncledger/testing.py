@@ -9,7 +9,8 @@ import math
 
 import duckdb
 
-BASE_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+BASE_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+               "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
 def duck_connect(sf_dir: str):

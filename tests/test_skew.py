@@ -52,7 +52,7 @@ def test_hot_folder_walk_is_split(spark):
                 spark.conf.set(k, v)
 
 
-def test_hot_ancestor_climb_is_split(spark):
+def test_hot_parent_of_chains_is_split(spark):
     old = {k: spark.conf.get(k, None) for k in CONF}
     try:
         for k, v in CONF.items():
@@ -63,8 +63,7 @@ def test_hot_ancestor_climb_is_split(spark):
         assert anc.count() == 30000 * 3
         assert anc.filter((F.col("depth") == 1) & (F.col("ancestor_id") == "d0")).count() == \
             nodes.filter(F.col("parent_id") == "d0").count()
-        # climbing rows that share one current node: the left side of a left outer join is hot
-        # as in the climb: distinct start ids, their chain so far, the current node; read from a checkpoint
+        # ids that share one parent: the left side of the left outer join with the parents' chains is hot
         state = files.join(nodes.select("file_id", "parent_id"), "file_id").select(
             F.col("file_id").alias("start_id"), F.array(F.col("file_id")).alias("chain"),
             F.col("parent_id").alias("__cur")).checkpoint(eager=True)
