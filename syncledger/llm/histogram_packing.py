@@ -45,9 +45,9 @@ VOCABULARY = "word_bpe_49k.json"
 #: Sweeps of the coordinate descent, and the relative gain below which it ends.
 SWEEPS = 12
 GAIN = 1e-3
-CACHE_BITS = 18
+CACHE_BITS = 20
 #: Ids kept per worker for words seen before; the table starts anew beyond it.
-POOL = 2_000_000
+POOL = 8_000_000
 #: Bytes of a text that the tokenizer library takes at once.
 CHUNK = 1 << 18
 RANK_BITS = 42
