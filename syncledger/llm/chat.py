@@ -23,8 +23,9 @@ read.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.ordering import group_row_number
 from .common import stored
@@ -35,14 +36,26 @@ SYSTEM = "system"
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 
 
+def _some_value(kind: T.DataType) -> Column:
+    """A value of a type: dialogues may be named by numbers, texts, times or flags."""
+    if isinstance(kind, T.StringType):
+        return F.lit("")
+    if isinstance(kind, T.NumericType):
+        return F.lit(0).cast(kind)
+    if isinstance(kind, T.BooleanType):
+        return F.lit(False)
+    return F.lit("1970-01-01").cast(kind)
+
+
 def numbered(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", speaker_col: str = "role",
              text_col: str = "text") -> DataFrame:
     """(conv, pos, speaker, content): messages with their place in their dialogue, stored."""
     rows = messages.select(F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"),
                            F.col(speaker_col).cast("string").alias("speaker"),
                            F.col(text_col).cast("string").alias("text"))
-    # the numbering joins on its groups, so a null dialogue gets a group key of its own
-    keyed = rows.withColumn("none", F.col("conv").isNull()).withColumn("conv", F.coalesce("conv", F.lit(0)))
+    # joins are on the dialogue, so a null one gets a key of its own: the flag, and any value of the column's type
+    some = _some_value(rows.schema["conv"].dataType)
+    keyed = rows.withColumn("none", F.col("conv").isNull()).withColumn("conv", F.coalesce("conv", some))
     placed = group_row_number(keyed, ["none", "conv"], ["turn", "speaker", "text"], out="rn")
     return stored(placed.select("none", "conv", (F.col("rn") - 1).alias("pos"), "speaker",
                                 F.coalesce("text", F.lit("")).alias("content")), "chat-messages")

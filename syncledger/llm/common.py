@@ -58,6 +58,12 @@ def hinted(ids: DataFrame, bound: int = BROADCAST_IDS) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= bound else ids
 
 
+def by_place(df: DataFrame) -> DataFrame:
+    """``df`` with its columns named ``c0``, ``c1``, ... by place: whatever their names are, none clashes with a column
+    that an operator adds, and none needs quoting. ``toDF`` gives them their names back."""
+    return df.toDF(*[f"c{k}" for k in range(len(df.columns))])
+
+
 def is_training(id_col: str, mod: int, held: int):
     """Not held out: crc32 of the id as text, modulo ``mod``, is not ``held`` (a null id counts as '')."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % mod != held

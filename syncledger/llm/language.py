@@ -31,7 +31,7 @@ import pyarrow.compute  # noqa: F401 - pa.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLOCK, blocks, bounded_batches, is_training, text_bytes, tidied, worker_state
+from .common import BLOCK, blocks, bounded_batches, by_place, is_training, text_bytes, tidied, worker_state
 
 ORDER = 4
 SAMPLE_BYTES = 1_500_000
@@ -277,7 +277,7 @@ def keep_identified(docs: DataFrame, model: LanguageModel, reject_bits: float =
     """The rows of ``docs`` whose text is in a learned language: not ``und``, and not coded by the best model with
     ``reject_bits`` bits more than its plain bytes have. Same columns; a null language becomes the predicted one."""
     shipped = _shipped(docs, model)
-    at, lang = docs.columns.index(text_col), docs.columns.index(lang_col)
+    at, lang, rows = docs.columns.index(text_col), docs.columns.index(lang_col), by_place(docs)
 
     def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -289,7 +289,7 @@ def keep_identified(docs: DataFrame, model: LanguageModel, reject_bits: float =
                 batch = batch.set_column(lang, batch.schema.field(lang), column)
             yield batch.filter(pa.array(fits.astype(bool)))
 
-    return docs.mapInArrow(tidied(select), docs.schema)
+    return rows.mapInArrow(tidied(select), rows.schema).toDF(*docs.columns)
 
 
 def op6_language_ppm(spark, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ordering import group_row_number
-from .common import WORD, hinted, stored
+from .common import WORD, by_place, hinted, stored
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -89,11 +89,13 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float
                 seed: str = SEED, id_col: str = "doc_id", text_col: str = "text",
                 source_col: str = "source") -> DataFrame:
     """The mixed corpus: every row of ``docs`` as often as its source's rate says, same columns."""
-    rates = source_rates(sizes(docs, id_col, text_col, source_col), weights, share, cap)
+    own = by_place(docs)
+    doc_id, text, source = (f"c{docs.columns.index(c)}" for c in (id_col, text_col, source_col))
+    rates = source_rates(sizes(own, doc_id, text, source), weights, share, cap)
     right = hinted(rates.select(F.col("source").alias("__source"), F.col("rate").alias("__rate")), BROADCAST_SOURCES)
-    copies = F.array_repeat(F.lit(True), _copies(id_col, seed))
-    return docs.join(right, docs[source_col].eqNullSafe(right["__source"]), "left") \
-        .withColumn("__copy", F.explode(copies)).select(*[docs[c] for c in docs.columns])
+    copies = F.array_repeat(F.lit(True), _copies(doc_id, seed))
+    return own.join(right, own[source].eqNullSafe(right["__source"]), "left") \
+        .withColumn("__copy", F.explode(copies)).select(*own.columns).toDF(*docs.columns)
 
 
 def op2_mix_sources(spark, sf_dir: str) -> DataFrame:

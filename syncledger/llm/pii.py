@@ -31,11 +31,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, stored, text_bytes, tidied
+from .common import bounded_batches, by_place, stored, text_bytes, tidied
 
 KINDS = ("email", "ip", "card", "phone")
 MAX_TOKENS = 24
-WINDOW = 48
+#: Characters around a digit or sign that a region takes, and as many more as it takes to reach white space.
+WINDOW, REACH = 48, 320
 SNIPPETS = 800
 EPOCHS = 6
 CONFIDENCE = 0.9
@@ -223,7 +224,7 @@ def _regions(text: str, covered: list[tuple[int, int, str]]) -> list[tuple[int,
     trigger = re.compile(r"[0-9]+|@|" + _AT.pattern, re.I)
     for a, b in free:
         for m in trigger.finditer(text, a, b):
-            lo, hi = max(a, m.start() - WINDOW), min(b, m.end() + WINDOW)
+            lo, hi = _whole_words(text, max(a, m.start() - WINDOW), min(b, m.end() + WINDOW), a, b)
             lo = max(lo, text.rfind("\n", lo, m.start()) + 1)
             cut = text.find("\n", m.end(), hi)
             hi = cut if cut >= 0 else hi
@@ -234,6 +235,16 @@ def _regions(text: str, covered: list[tuple[int, int, str]]) -> list[tuple[int,
     return out
 
 
+def _whole_words(text: str, lo: int, hi: int, a: int, b: int) -> tuple[int, int]:
+    """The stretch from lo to hi, made longer within a and b until it begins and ends at white space."""
+    least, most = max(a, lo - REACH), min(b, hi + REACH)
+    while lo > least and not text[lo - 1].isspace():
+        lo -= 1
+    while hi < most and not text[hi].isspace():
+        hi += 1
+    return lo, hi
+
+
 def added_spans(text: str, base: list[tuple[int, int, str]], model: SegmentModel) -> list[tuple[int, int, str]]:
     out = []
     for lo, hi in _regions(text, base):
@@ -433,7 +444,7 @@ def redact(docs: DataFrame, model: SegmentModel, text_col: str = "text") -> Data
     """``docs`` with the personal data of every text replaced by its kind; same columns, null texts stay null."""
     bounded_batches(docs.sparkSession)
     shipped = docs.sparkSession.sparkContext.broadcast(model)
-    at, schema = docs.columns.index(text_col), docs.schema
+    at, rows = docs.columns.index(text_col), by_place(docs)
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shipped.value
@@ -451,7 +462,7 @@ def redact(docs: DataFrame, model: SegmentModel, text_col: str = "text") -> Data
                 batch = batch.set_column(at, batch.schema.field(at), pa.array(texts, column.type))
             yield batch
 
-    return docs.mapInArrow(tidied(rewrite), schema)
+    return rows.mapInArrow(tidied(rewrite), rows.schema).toDF(*docs.columns)
 
 
 def op4_pii_semi_crf(spark, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ Every block of rows meets every block of queries in a task of its own, of a
 bounded size; the best of the blocks are merged in a tree.
 
 Defined cases: vectors that are null, empty, or hold a null, a non-finite
-component or one beyond ``LARGEST`` once quantised take no part, nor do rows
+component, or one so large that sums of products exceed a long (see :func:`quantised`), take no part, nor do rows
 without an id; vectors are compared with those of their own length only; rows
 with a query's id are not its candidates; rows that share an id are candidates
 each; an id that is a query in several rows is one query (the smallest
@@ -34,7 +34,6 @@ from pyspark.sql import functions as F
 from .common import stored, tidied
 
 SCALE = 64
-LARGEST = 1 << 24
 BLOCK_ROWS = 16_384
 BLOCK_QUERIES = 256
 FAN_IN = 256
@@ -56,11 +55,13 @@ def _small_batches(spark: SparkSession):
 
 def quantised(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
               scale: int = SCALE) -> DataFrame:
-    """(vec_id, q) of the vectors that take part: q as array<bigint>."""
+    """(vec_id, q) of the vectors that take part: q as array<bigint>. Finite vectors take part as long as every sum of
+    their products, and the slices' parts of it, fit a long: components up to sqrt(2**60 / length)."""
     x = F.transform(F.col(vec_col), lambda v: v.cast("double"))
-    q = F.transform("x", lambda v: F.floor(v * F.lit(float(scale))))
+    q = F.transform("x", lambda v: F.floor(v * F.lit(float(scale))).cast("bigint"))
     fits = F.size("x") > 0
-    fits &= ~F.exists("x", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) > float(LARGEST // scale)))
+    largest = F.sqrt(F.lit(float(1 << 60)) / F.size("x")) / scale
+    fits &= ~F.exists("x", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) > largest))
     return vectors.select(F.col(id_col).cast("bigint").alias("vec_id"), x.alias("x")) \
         .filter(F.col("vec_id").isNotNull() & F.col("x").isNotNull()).filter(fits).select("vec_id", q.alias("q"))
 
