@@ -17,6 +17,20 @@ def docs(spark, rows):
     return spark.createDataFrame(full, DOCS)
 
 
+#: Names that clash with columns of the operators, or need quoting.
+ODD_NAMES = ("__rate", "__copy", "a.b", "A B", "`tick`", "c0", "C1", "__gone", "n", "d1", "part", "Source size")
+
+
+def oddly_named(spark, rows):
+    """(doc_id, text, lang, source) rows with a column of each odd name."""
+    kinds = "doc_id long, text string, lang string, source string"
+    table = spark.createDataFrame([tuple(list(r) + [None] * (4 - len(r))) for r in rows], kinds)
+    for k, name in enumerate(ODD_NAMES):
+        table = table.toDF(*[f"x{i}" for i in range(len(table.columns))]).selectExpr("*", f"{k} as y") \
+            .toDF(*table.columns, name)
+    return table
+
+
 def odd_rows():
     """Nulls, empty and very long texts, ties and repeated rows."""
     long_text = " ".join(f"w{i % 7919}" for i in range(150_000))

@@ -68,6 +68,56 @@ def test_deduplicate_keeps_one_of_each_group(spark):
     assert ids == [1, 2, 3, 4, 5, 7, 8, 9, 10, 11, None]
 
 
+def test_one_id_on_different_texts(spark):
+    """Rows are linked by their sets: an id that two texts share joins nothing."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(1, a), (1, b), (2, a), (3, b), (4, c), (5, c), (5, c), (1, b), (6, None), (6, None), (6, ""), (None, a)]
+    table = docs(spark, rows)
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"])
+                 for r in nd.near_duplicates(table.filter("doc_id IS NOT NULL")).collect())
+    assert got == sorted([(1, 26, 1, True)] * 3 + [(2, 26, 1, False), (3, 26, 1, False), (4, 26, 4, True)]
+                         + [(5, 26, 4, False)] * 2 + [(6, 0, 6, True)] * 3)
+    left = sorted(((r["doc_id"] or 0, r["text"] or "") for r in nd.deduplicate(table).collect()))
+    assert left == sorted([(1, a), (1, b), (4, c), (6, ""), (6, ""), (6, ""), (0, a)])
+
+
+def test_an_id_that_clashes_joins_no_components(spark):
+    """Two texts of one id, each with near copies of its own: two groups, and one row of each stays."""
+    a, b = ([f"{x}{i}" for i in range(60)] for x in "ab")
+    rows = [(1, " ".join(a)), (1, " ".join(b))]
+    rows += [(10 + i, " ".join([*a[:-1], f"new{i}"])) for i in range(4)] + [(20 + i, " ".join([*b[:-1], f"new{i}"])) for i in range(4)]
+    assert all(r["component_id"] == 1 for r in nd.near_duplicates(docs(spark, rows)).collect())
+    left = nd.deduplicate(docs(spark, rows)).collect()
+    assert sorted(r["text"] for r in left) == sorted([rows[0][1], rows[1][1]])
+
+
+def test_hot_buckets_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(nd, "PART", 5)
+    rows = near_copies()
+    want, _ = components(rows)
+    assert {d: r["component_id"] for d, r in by_id(nd.near_duplicates(docs(spark, rows))).items()} == want
+
+
+@pytest.mark.parametrize("union, bound", [(4, 3e-6), (8, 5e-6), (400, 1e-5)])
+def test_no_band_holds_both_ends_of_a_permutation(union, bound):
+    """The share of bands that two sets of J = 0.75 have in common, over many drawn pairs, is J to the fourth; and the
+    stated chance that none is."""
+    rng = np.random.default_rng(union)
+    inside, hit, pairs = union * 3 // 4, 0, 400
+    for _ in range(pairs):
+        x = np.unique(mix64(rng.integers(1, 1 << 62, union).astype(np.uint64)))
+        common, rest = x[rng.permutation(union)][:inside], x[inside:]
+        other = rng.permutation(np.concatenate([common, rest[:0]]))
+        sets = np.concatenate([np.sort(x), np.sort(other)])
+        values = nd.signatures(sets, np.array([0, union, union + inside]), nd.multipliers(nd.HASHES))
+        keys = nd.band_keys(values, nd.ROWS)
+        hit += int((keys[0] == keys[1]).sum())
+    j = inside / union
+    assert abs(hit / (pairs * 32) - j ** 4) < 0.05
+    miss = (1 - 2 * j ** 4 + (j * (inside - 1) / (union - 1)) ** 4) ** 16
+    assert miss < bound
+
+
 def test_min_and_max_estimate_the_similarity():
     rng = np.random.default_rng(0)
     both, a, b = (mix64(rng.integers(1, 1 << 62, n).astype(np.uint64)) for n in (600, 100, 100))

@@ -117,3 +117,16 @@ def test_redaction(spark, model):
 def test_without_training_data_only_the_base_is_found(spark):
     empty = pii.train(docs(spark, []))
     assert pii.all_spans("call (555) 123-4567 or a@b.co", empty) == [(23, 29, "email", True)]
+
+
+def test_regions_end_at_white_space():
+    """A written-out address longer than a region's own width is in one region, whole."""
+    name = ".".join(f"part{i}" for i in range(14))
+    text = f"please write to {name} [at] {'sub.' * 12}example.com for more, or not"
+    regions = pii._regions(text, [])
+    start, end = text.index(name), text.index(" for more")
+    assert any(lo <= start and end <= hi for lo, hi in regions)
+    for lo, hi in regions:
+        assert (lo == 0 or text[lo - 1].isspace()) and (hi == len(text) or text[hi].isspace())
+    endless = "x1" * 5000
+    assert all(hi - lo <= len(endless) for lo, hi in pii._regions(endless, []))

@@ -46,6 +46,14 @@ def test_odd_vectors(spark):
     assert answer(table(spark, rows), 3) == plain(beyond, 3)
 
 
+def test_large_vectors(spark):
+    """Components far beyond those of embeddings, with sums up to 2^60."""
+    rng = random.Random(2)
+    rows = [(20, [3e5, 1.0]), (1, [3e5, 2.0]), (2, [-3e5, 0.5]), (40, [1.0, 3e5]), (3, [0.0, 0.0]), (60, [-1e7, 1e7])]
+    rows += [(100 + i, [float(rng.randrange(-10**7, 10**7)), rng.choice([0.25, -0.5, 1.0])]) for i in range(60)]
+    assert answer(table(spark, rows), 10) == plain(rows, 10)
+
+
 def test_repeated_rows_and_empty_table(spark):
     rows = [(0, [0.5, 1.0]), (0, [0.5, 1.0]), (1, [1.0, 1.0]), (1, [1.0, 1.0]), (2, [0.1, 0.1])]
     got = answer(table(spark, rows), 20)
