@@ -12,8 +12,12 @@ unseen words. A token's probability is that of its class after the class before
 it, smoothed, times the word's share in its class.
 
 Counts and classes of frequent words (a proven bound) are sent to every worker.
-Bigrams with a rarer word are stored and joined with its class, and a text's
-rarer words with their counts and classes, hash by hash.
+The texts are read three times: to count, to write them as numbers (the tape),
+and to score. A sweep reads the tape alone. Its counts by word and class travel
+in packed runs, each to the part its word is dealt to, where the word is judged.
+A rarer word has its neighbours listed with it; only where two of them meet is a
+class joined. Scoring joins a text's rarer words with their counts and classes,
+hash by hash. Tables that a sweep has replaced are deleted.
 
 Defined cases: a null or empty text is one end token; an id may be null (it
 counts as the empty text) or repeat, every row is scored for itself; without
@@ -23,6 +27,7 @@ and ``text_col`` are read.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,6 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .common import (
     blocks,
     bounded_batches,
@@ -56,6 +62,14 @@ SMALL = 8
 BROADCAST_WORDS = 1_000_000
 #: Tokens gathered in a worker before they are counted.
 CHUNK = 2_000_000
+#: Tokens in a run of the tape, values in a packed row, and bytes of a row group of packed rows.
+RUN, PIECE, ROW_GROUP = 1 << 14, 1 << 13, 16 << 20
+#: The fewest parts that words are dealt to, and tokens of the corpus to a part.
+PARTS, PART_TOKENS = 64, 4_000_000
+#: Words judged at once.
+WORDS = 512
+#: Flags of a neighbour: it stands before the word; it is not sent to the workers.
+BEFORE, RARE = 1, 2
 END = np.uint64(1)
 _U = np.uint64
 _STEP = "cast(floor(4 * log2(n)) as int)"
@@ -73,8 +87,8 @@ def _tokens(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return tokens, first
 
 
-def count_tokens(texts: DataFrame) -> DataFrame:
-    """(h, n): every token of the column ``text`` by its hash, with its count, stored."""
+def count_tokens(texts: DataFrame) -> tuple[DataFrame, str]:
+    """(h, n): every token of the column ``text`` by its hash, with its count, stored; and its path."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
@@ -93,7 +107,7 @@ def count_tokens(texts: DataFrame) -> DataFrame:
         if held:
             yield counted()
 
-    return stored(texts.select("text").mapInArrow(tidied(count), "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n")),
+    return _table(texts.select("text").mapInArrow(tidied(count), "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n")),
                   "lm-counts")
 
 
@@ -105,6 +119,26 @@ def _lookup(keys: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, keys[at] == h
 
 
+def finder(keys: np.ndarray):
+    """A function that gives the places of hashes in the sorted ``keys``, and whether they are there. Hashes are spread
+    evenly, so their first bits lead to within a key or two of the place."""
+    if not len(keys):
+        return lambda h: (np.zeros(len(h), np.int64), np.zeros(len(h), bool))
+    bits, last = len(keys).bit_length(), len(keys) - 1
+    shift = _U(64 - bits)
+    starts = np.searchsorted(keys, np.arange(1 << bits, dtype=_U) << shift)
+
+    def find(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(starts[(h >> shift).astype(np.int64)], last)
+        low = np.flatnonzero((keys[at] < h) & (at < last))
+        while len(low):
+            at[low] += 1
+            low = low[(keys[at[low]] < h[low]) & (at[low] < last)]
+        return at, keys[at] == h
+
+    return find
+
+
 def _word_ids(keys: np.ndarray, ids: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     """0 to K - 1: class words; K: any other word; K + 1: the end."""
     at, known = _lookup(keys, tokens)
@@ -113,29 +147,141 @@ def _word_ids(keys: np.ndarray, ids: np.ndarray, tokens: np.ndarray) -> np.ndarr
     return out
 
 
-def count_bigrams(texts: DataFrame, words: np.ndarray) -> np.ndarray:
-    """(K + 2) x (K + 2) counts of word ids after word ids, over all texts."""
-    order = np.argsort(words)
-    keys, side = words[order], len(words) + 2
+def _table(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written once to the shared folder in small row groups (its rows are long), read back, and its path."""
+    path = scratch_path(df.sparkSession, "llm", f"{name}-{uuid.uuid4().hex}")
+    df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def _drop(spark, path: str) -> None:
+    """Delete a table that nothing reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def _cuts(part: np.ndarray, limit: int = PIECE) -> np.ndarray:
+    """Bounds of runs of equal values of the sorted ``part``, none longer than ``limit``."""
+    heads = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else np.zeros(0, np.int64)
+    ends = np.append(heads[1:], len(part))
+    return np.append(np.concatenate([np.arange(i, j, limit) for i, j in zip(heads, ends)]) if len(heads) else [],
+                     len(part)).astype(np.int64)
+
+
+def _packed(part: np.ndarray, columns: dict[str, np.ndarray], names: list[str]) -> pa.RecordBatch:
+    """Rows (part, one binary a column): runs of the arrays in ``columns``, which are in the order of ``part``. The
+    other columns of ``names`` are null."""
+    cuts = _cuts(part)
+    out = [pa.array(part[cuts[:-1]].astype(np.int32))]
+    for name in names:
+        values = columns.get(name)
+        raw = None if values is None else np.ascontiguousarray(values).view(np.uint8)
+        size = 0 if values is None else values.itemsize
+        out.append(pa.array([None if raw is None else raw[i * size:j * size].tobytes() for i, j in zip(cuts[:-1], cuts[1:])],
+                            pa.binary()))
+    return pa.record_batch(out, ["part", *names])
+
+
+def _unpacked(column: pa.Array, dtype) -> np.ndarray:
+    """The values of a column of binaries, one after the other."""
+    return np.concatenate([np.zeros(0, dtype), *[np.frombuffer(v.as_buffer(), dtype) for v in column if v.is_valid]])
+
+
+def _part_of(h: np.ndarray, parts: int) -> np.ndarray:
+    return ((h >> _U(32)) % _U(parts)).astype(np.int64)
+
+
+_TAPE = ["ids", "r", "near", "flag"]
+_TOLD = ["r", "near", "flag", "own", "cell", "word", "n", "of"]
+
+
+def _schema(names: list[str]) -> str:
+    return "part int, " + ", ".join(f"{name} binary" for name in names)
+
+
+def tape(texts: DataFrame, keys: np.ndarray, parts: int) -> tuple[DataFrame, str]:
+    """The column ``text`` as numbers, stored; no later step reads the texts. Rows of part -1 hold in ``ids`` the places
+    of tokens in the sorted ``keys`` (any other word: their number), each run after the token before it. The other rows
+    hold two entries for every word that is not in ``keys`` (``r``, dealt to parts by hash): the token after it and the one
+    before it in ``near`` (``flag`` has BEFORE), as a place or, with RARE, as a hash."""
+    shipped = texts.sparkSession.sparkContext.broadcast(keys)
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = shipped.value
+        find, other = finder(keys), len(keys)
+        end = int(np.searchsorted(keys, END))
+        held, rows, size = [], [], 0
+
+        def written() -> Iterator[pa.RecordBatch]:
+            ids = np.concatenate([np.array([end], np.int32), *held])
+            at = np.arange(0, len(ids) - 1, RUN)
+            runs = [ids[i:i + RUN + 1].tobytes() for i in at]
+            yield pa.record_batch([pa.array(np.full(len(runs), -1, np.int32)), pa.array(runs, pa.binary()),
+                                   *[pa.nulls(len(runs), pa.binary())] * 3], ["part", *_TAPE])
+            r, near, flag = (np.concatenate(x) for x in zip(*rows))
+            part = _part_of(r, parts)
+            order = np.argsort(part, kind="stable")
+            yield _packed(part[order], {"r": r[order], "near": near[order], "flag": flag[order]}, _TAPE)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(side * side, np.int64)
         for batch in batches:
             data, offs = text_bytes(batch.column(0))
             for _, _, d, o in blocks(data, offs):
-                ids = _word_ids(keys, order, _tokens(d, o)[0])
-                before = np.concatenate([[side - 1], ids[:-1]])  # a text begins after the end of another
-                total += np.bincount(before * side + ids, minlength=side * side)
+                tokens = _tokens(d, o)[0]
+                at, known = find(tokens)
+                near = np.where(known, at.astype(_U), tokens)
+                rare = np.where(known, 0, RARE).astype(np.uint8)
+                own = np.flatnonzero(~known)
+                r = tokens[own]  # an end stands after every word, and before the first
+                rows.append((r, near[own + 1], rare[own + 1]))
+                rows.append((r, np.where(own > 0, near[own - 1], _U(end)),
+                             np.where(own > 0, rare[own - 1], 0).astype(np.uint8) | np.uint8(BEFORE)))
+                held.append(np.where(known, at, other).astype(np.int32))
+                size += len(tokens)
+                if size >= CHUNK:
+                    yield from written()
+                    held, rows, size = [], [], 0
+        if held:
+            yield from written()
+
+    return _table(texts.select("text").mapInArrow(tidied(encode), _schema(_TAPE)), "lm-tape")
+
+
+def _runs(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Tokens and the tokens after them, run by run."""
+    for value in batch.column(0):
+        ids = np.frombuffer(value.as_buffer(), np.int32).astype(np.int64)
+        yield ids[:-1], ids[1:]
+
+
+def _grid(df: DataFrame, count, side: int) -> np.ndarray:
+    """side x side sums of what ``count`` (batch -> pair numbers and times, or None for 1) finds in ``df``."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(side * side, np.int64)
+        for batch in batches:
+            for pair in count(batch):
+                total += np.bincount(pair, minlength=side * side)
         at = np.flatnonzero(total)
         yield pa.record_batch([pa.array(at), pa.array(total[at])], ["pair", "n"])
 
-    found = texts.select("text").mapInArrow(tidied(count), "pair bigint, n bigint") \
-        .groupBy("pair").agg(F.sum("n").alias("n")).toArrow()  # at most (K + 2) ** 2 rows
+    found = df.mapInArrow(tidied(work), "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n")) \
+        .toArrow()  # at most side ** 2 rows
     out = np.zeros(side * side, np.int64)
     out[found.column("pair").to_numpy()] = found.column("n").to_numpy()
     return out.reshape(side, side)
 
 
+def count_bigrams(runs: DataFrame, of: np.ndarray, side: int) -> np.ndarray:
+    """side x side counts of classes after classes in the runs; ``of`` has the class of each id."""
+    shipped = runs.sparkSession.sparkContext.broadcast(of)
+
+    def count(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        of = shipped.value
+        for x, y in _runs(batch):
+            yield of[x] * side + of[y]
+
+    return _grid(runs, count, side)
+
+
 def exchange(bigrams: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) -> np.ndarray:
     """Classes of the word ids: each word in turn moves to the class that raises the likelihood of the class
     bigrams most, until a sweep moves none. The last two ids keep classes of their own (the last two)."""
@@ -196,132 +342,6 @@ def class_number(types: int) -> int:
     return min(CLASS_WORDS, max(CLASSES, round(2 * types ** 0.25)))
 
 
-def _summed(codes: list[np.ndarray], times: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    code, back = np.unique(np.concatenate(codes), return_inverse=True)
-    return code, np.bincount(back, np.concatenate(times), len(code)).astype(np.int64)
-
-
-def rare_bigrams(texts: DataFrame, keys: np.ndarray) -> DataFrame:
-    """(a, b, n), stored: how often b comes after a, for all pairs with a word that is not in the sorted ``keys``."""
-    shipped = texts.sparkSession.sparkContext.broadcast(keys)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shipped.value
-        for batch in batches:
-            data, offs = text_bytes(batch.column(0))
-            for _, _, d, o in blocks(data, offs):
-                tokens = _tokens(d, o)[0]
-                rare = ~_lookup(known, tokens)[1] & (tokens != END)
-                before, rare_before = np.concatenate([[END], tokens[:-1]]), np.concatenate([[False], rare[:-1]])
-                at = np.flatnonzero(rare | rare_before)
-                yield pa.record_batch([pa.array(before[at].view(np.int64)), pa.array(tokens[at].view(np.int64))],
-                                      ["a", "b"])
-
-    return stored(texts.select("text").mapInArrow(tidied(count), "a bigint, b bigint")
-                  .groupBy("a", "b").agg(F.count("*").alias("n")), "lm-bigrams")
-
-
-def contexts(texts: DataFrame, pairs: DataFrame, keys: np.ndarray, of: np.ndarray, rare: DataFrame,
-             side: int) -> DataFrame:
-    """(h, old, cells, times) of every word and the end, stored: its class (null: a class of ``of``), and how often each
-    class comes after it (cells 0 to side - 1) and before it (side to 2 * side - 1). Cell 2 * side: it after itself,
-    which the other cells count too. ``of``: classes of ``keys``; ``rare``: (h, of) of all other words."""
-    shipped = texts.sparkSession.sparkContext.broadcast((keys, of))
-    span = 2 * side + 1
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, classes = shipped.value
-        codes, times, size = [], [], 0
-        named = np.concatenate([known, np.array([0, END], _U)]).view(np.int64)
-
-        def counted() -> pa.RecordBatch:
-            code, n = _summed(codes, times)
-            return pa.record_batch([pa.array(named[code // span]), pa.array((code % span).astype(np.int32)), pa.array(n)],
-                                   ["h", "cell", "n"])
-
-        other, places = len(known), np.arange(len(known))
-        for batch in batches:
-            data, offs = text_bytes(batch.column(0))
-            for _, _, d, o in blocks(data, offs):
-                y = _word_ids(known, places, _tokens(d, o)[0])
-                x = np.concatenate([[other + 1], y[:-1]])
-                both = (x != other) & (y != other)
-                x, y = x[both], y[both]
-                code, n = np.unique(np.concatenate([x * span + classes[y], y * span + side + classes[x],
-                                                    x[x == y] * span + 2 * side]), return_counts=True)
-                codes.append(code)
-                times.append(n)
-                size += len(code)
-                if size >= CHUNK:
-                    code, n = _summed(codes, times)
-                    codes, times, size = [code], [n], len(code)
-                    if size >= CHUNK // 2:
-                        yield counted()
-                        codes, times, size = [], [], 0
-        if codes:
-            yield counted()
-
-    def resolve(joined: bool):
-        """Contexts of the pairs by the neighbour's class, or (``joined``) by the neighbour if its class is not sent."""
-        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known, classes = shipped.value
-            places = np.arange(len(known))
-            for batch in batches:
-                a, b, n = (batch.column(k).to_numpy() for k in range(3))
-                for h, near, first in ((a, b, 0), (b, a, side)):
-                    ids = _word_ids(known, places, near.view(_U))
-                    at = np.flatnonzero((ids == len(known)) == joined)
-                    cell = (first + (0 if joined else classes[ids[at]])) + np.zeros(len(at), np.int32)
-                    yield pa.record_batch([pa.array(h[at]), pa.array(near[at]), pa.array(cell.astype(np.int32)),
-                                           pa.array(n[at])], ["h", "near", "cell", "n"])
-                if not joined:
-                    at = np.flatnonzero(a == b)
-                    yield pa.record_batch([pa.array(a[at]), pa.array(b[at]), pa.array(np.full(len(at), 2 * side, np.int32)),
-                                           pa.array(n[at])], ["h", "near", "cell", "n"])
-        return pairs.mapInArrow(tidied(work), "h bigint, near bigint, cell int, n bigint")
-
-    cells = texts.select("text").mapInArrow(tidied(count), "h bigint, cell int, n bigint")
-    if rare is not None:
-        told = resolve(True).join(rare.select(F.col("h").alias("near"), "of"), "near")
-        cells = cells.unionByName(resolve(False).drop("near")) \
-            .unionByName(told.select("h", (F.col("cell") + F.col("of")).alias("cell"), "n"))
-    found = cells.groupBy("h", "cell").agg(F.sum("n").alias("n")) \
-        .groupBy("h").agg(F.sort_array(F.collect_list(F.struct("cell", "n"))).alias("c"))
-    found = found.join(rare.select("h", F.col("of").alias("old")), "h", "left") if rare is not None \
-        else found.withColumn("old", F.lit(None).cast("int"))
-    return stored(found.select("h", "old", F.col("c.cell").alias("cells"), F.col("c.n").alias("times")), "lm-contexts")
-
-
-def _read(batch: pa.RecordBatch, keys: np.ndarray, of: np.ndarray):
-    """Of a batch of contexts: hashes, classes, whether sent; and per cell the row, the cell and its count."""
-    h = batch.column(0).to_numpy().view(_U)
-    ids = _word_ids(keys, np.arange(len(keys)), h)
-    held = batch.column(1).fill_null(0).to_numpy(zero_copy_only=False)
-    old = np.where(ids == len(keys), held, of[ids])
-    cells = batch.column(2)
-    row = np.repeat(np.arange(len(h)), np.diff(cells.offsets.to_numpy()))
-    return h, old, ids != len(keys), row, cells.flatten().to_numpy(), batch.column(3).flatten().to_numpy()
-
-
-def class_table(found: DataFrame, keys: np.ndarray, of: np.ndarray, side: int) -> np.ndarray:
-    """side x side counts of classes after classes."""
-    shipped = found.sparkSession.sparkContext.broadcast((keys, of))
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(side * side)
-        for batch in batches:
-            _, old, _, row, cell, n = _read(batch, *shipped.value)
-            at = cell < side
-            total += np.bincount(old[row[at]] * side + cell[at], n[at], side * side)
-        at = np.flatnonzero(total)
-        yield pa.record_batch([pa.array(at), pa.array(total[at].astype(np.int64))], ["pair", "n"])
-
-    got = found.mapInArrow(tidied(count), "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(side * side)
-    out[got.column("pair").to_numpy()] = got.column("n").to_numpy()
-    return out.reshape(side, side)
-
-
 def _f(x):
     return x * np.log(np.maximum(x, 1))
 
@@ -382,44 +402,243 @@ def best_classes(table: np.ndarray, old: np.ndarray, row: np.ndarray, cell: np.n
     return np.where((old >= classes) | rise, best, old)
 
 
-def moved(found: DataFrame, keys: np.ndarray, of: np.ndarray, table: np.ndarray, sweep: int) -> DataFrame:
-    """(h, of, sent) of all words after a sweep, stored."""
-    shipped = found.sparkSession.sparkContext.broadcast((keys, of, table))
-    unset = len(table) - 2
+def frequent_cells(runs: DataFrame, told: DataFrame | None, of: np.ndarray, side: int, go: np.ndarray,
+                   parts: int) -> DataFrame:
+    """(part, code, n): how often each class comes after the words of ``keys`` that ``go`` (cells 0 to side - 1) and
+    before them (side to 2 * side - 1). Cell 2 * side: a word after itself, which the other cells count too. A code is
+    place * (2 * side + 1) + cell. Words that are not in ``keys`` have the classes ``told``; without, all have the last
+    of ``of``."""
+    shipped = runs.sparkSession.sparkContext.broadcast((of, go))
+    span, names, apart = 2 * side + 1, ["code", "n"], told is not None
+
+    def work(pairs, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, go = shipped.value
+        held, size = [], 0
+
+        def counted() -> pa.RecordBatch:
+            code, n = np.unique(np.concatenate(held), return_counts=True)
+            part = code // span * parts // len(of)
+            return _packed(part, {"code": code, "n": n.astype(np.int32)}, names)
+
+        for batch in batches:
+            for codes in pairs(batch, of, go):
+                held.append(codes)
+                size += len(codes)
+                if size >= 2 * CHUNK:
+                    yield counted()
+                    held, size = [], 0
+        if held:
+            yield counted()
+
+    def seen(batch: pa.RecordBatch, of: np.ndarray, go: np.ndarray) -> Iterator[np.ndarray]:
+        other = len(of) - 1
+        for x, y in _runs(batch):
+            right, left = go[x], go[y]
+            if apart:
+                right, left = right & (y != other), left & (x != other)
+            twin = x[right & (x == y)]
+            yield np.concatenate([x[right] * span + of[y[right]], y[left] * span + side + of[x[left]], twin * span + 2 * side])
+
+    def heard(batch: pa.RecordBatch, of: np.ndarray, go: np.ndarray) -> Iterator[np.ndarray]:
+        near, flag, own = (_unpacked(batch.column(k), t) for k, t in ((0, np.int64), (1, np.uint8), (2, np.int32)))
+        at = np.flatnonzero(flag & RARE == 0)
+        at = at[go[near[at]]]
+        yield near[at] * span + own[at] + np.where(flag[at] & BEFORE, 0, side)
+
+    cells = runs.mapInArrow(tidied(lambda batches: work(seen, batches)), _schema(names))
+    if told is None:
+        return cells
+    return cells.unionByName(told.filter("r is not null").select("near", "flag", "own")
+                             .mapInArrow(tidied(lambda batches: work(heard, batches)), _schema(names)))
+
+
+def _by_part(batches: Iterator[pa.RecordBatch], columns: list) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """Whole parts of rows that are in the order of their part (the first column): the arrays of the other columns."""
+    held, of = [[] for _ in columns], None
+    for batch in batches:
+        part = batch.column(0).to_numpy()
+        cuts = _cuts(part, len(part) + 1)
+        for i, j in zip(cuts[:-1], cuts[1:]):
+            if of is not None and part[i] != of:
+                yield of, [np.concatenate(x) for x in held]
+                held = [[] for _ in columns]
+            of = int(part[i])
+            for x, k in zip(held, range(len(columns))):
+                x.append(_unpacked(batch.column(k + 1).slice(i, j - i), columns[k]))
+    if of is not None:
+        yield of, [np.concatenate(x) for x in held]
+
+
+def _judged(table: np.ndarray, old: np.ndarray, code: np.ndarray, n: np.ndarray, span: int) -> np.ndarray:
+    """The new classes of words 0, 1, ...: ``code`` (sorted) is word * span + cell, seen ``n`` times."""
+    new = old.copy()
+    row, cell = code // span, code % span
+    for i in range(0, len(old), WORDS):
+        j = min(len(old), i + WORDS)
+        a, b = np.searchsorted(row, [i, j])
+        new[i:j] = best_classes(table, old[i:j], row[a:b] - i, cell[a:b], n[a:b])
+    return new
+
+
+def _summed(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(code, kind="stable")
+    code, n = code[order], n[order]
+    heads = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, np.int64)
+    return code[heads], np.add.reduceat(n, heads) if len(heads) else n
+
+
+def move_frequent(cells: DataFrame, of: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """The classes after a sweep over the words whose ``cells`` are given."""
+    shipped = cells.sparkSession.sparkContext.broadcast((of, table))
+    span = 2 * len(table) + 1
+
+    def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, table = shipped.value
+        for _, (code, n) in _by_part(batches, [np.int64, np.int32]):
+            code, n = _summed(code, n.astype(np.int64))
+            word, place = np.unique(code // span, return_inverse=True)
+            new = _judged(table, of[word], place * span + code % span, n, span)
+            yield pa.record_batch([pa.array(word.astype(np.int32)), pa.array(new.astype(np.int32))], ["id", "of"])
+
+    got = cells.repartition("part").sortWithinPartitions("part").mapInArrow(tidied(move), "id int, of int") \
+        .toArrow()  # as many as are sent
+    out = of.copy()
+    out[got.column("id").to_numpy()] = got.column("of").to_numpy()
+    return out
+
+
+def move_rare(rows: DataFrame, of: np.ndarray, table: np.ndarray, sweep: int) -> tuple[DataFrame, str]:
+    """The entries of the tape's words that are not sent, stored with their word's class after a sweep (``own``), and
+    (word, n, of) of every such word. ``rows``: entries as they were, and from the second sweep on their cells by
+    neighbours that are not sent either (``r``, ``cell``)."""
+    shipped = rows.sparkSession.sparkContext.broadcast((of, table))
+    side = len(table)
+    span, unset = 2 * side + 1, side - 2
 
     def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, of, table = shipped.value
+        of, table = shipped.value
+        kinds = [_U, _U, np.uint8, np.int32, _U, np.int32]
+        for part, (r, near, flag, own, met, cell) in _by_part(batches, kinds):
+            word, at = np.unique(r, return_inverse=True)
+            sent = flag & RARE == 0
+            cells = np.full(len(r), unset)
+            cells[sent] = of[near[sent].astype(np.int64)]
+            cells += np.where(flag & BEFORE, side, 0)
+            twin = np.flatnonzero(~sent & (near == r) & (flag & BEFORE == 0))
+            first = sent if sweep else np.ones(len(r), bool)  # later on, neighbours that are not sent come as cells
+            code, n = np.unique(np.concatenate([at[first] * span + cells[first], at[twin] * span + 2 * side,
+                                                np.searchsorted(word, met) * span + cell]), return_counts=True)
+            old = np.full(len(word), unset)
+            if sweep:
+                old[at] = own
+            turn = (word >> _U(20)) % _U(2) == _U(sweep % 2) if sweep else np.ones(len(word), bool)
+            go = np.flatnonzero(turn)
+            mine = turn[code // span]
+            place = np.cumsum(turn) - 1
+            new = old.copy()
+            new[go] = _judged(table, old[go], place[code[mine] // span] * span + code[mine] % span, n[mine], span)
+            new = new.astype(np.int32)
+            yield _packed(np.full(len(r), part), {"r": r, "near": near, "flag": flag, "own": new[at]}, _TOLD)
+            times = np.bincount(at[flag & BEFORE == 0], minlength=len(word))
+            yield _packed(np.full(len(word), part), {"word": word, "n": times, "of": new}, _TOLD)
+
+    found = rows.repartition("part").sortWithinPartitions("part").mapInArrow(tidied(move), _schema(_TOLD))
+    return _table(found, "lm-told")
+
+
+def rare_words(told: DataFrame) -> DataFrame:
+    """(h, n, of) of the words that are not sent."""
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                yield pa.record_batch([pa.array(_unpacked(batch.column(k).slice(i, 1), t)) for k, t in
+                                       enumerate((np.int64, np.int64, np.int32))], ["h", "n", "of"])
+
+    return told.filter("word is not null").select("word", "n", "of").mapInArrow(tidied(each), "h bigint, n bigint, of int")
+
+
+def meetings(told: DataFrame) -> tuple[DataFrame, str]:
+    """(r, flag, own, of), stored: entries whose neighbour is not sent either, with its class."""
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            h, old, sent, row, cell, n = _read(batch, keys, of)
-            new = best_classes(table, old, row, cell, n)
-            turn = (old == unset) if not sweep else (h >> _U(20)) % _U(2) == _U(sweep % 2)
-            new = np.where(turn & (h != END), new, old)
-            yield pa.record_batch([pa.array(h.view(np.int64)), pa.array(new.astype(np.int32)), pa.array(sent)],
-                                  ["h", "of", "sent"])
+            columns = [_unpacked(batch.column(k), t) for k, t in enumerate((np.int64, np.int64, np.uint8, np.int32))]
+            at = np.flatnonzero(columns[2] & RARE)
+            yield pa.record_batch([pa.array(x[at].astype(np.int32) if k == 2 else x[at]) for k, x in enumerate(columns)],
+                                  ["r", "h", "flag", "own"])
+
+    rows = told.filter("r is not null").select("r", "near", "flag", "own") \
+        .mapInArrow(tidied(each), "r bigint, h bigint, flag int, own int")
+    return _table(rows.join(rare_words(told).select("h", "of"), "h").select("r", "flag", "own", "of"), "lm-meetings")
 
-    return stored(found.mapInArrow(tidied(move), "h bigint, of int, sent boolean"), "lm-classes")
 
+def met_cells(met: DataFrame, side: int, parts: int) -> DataFrame:
+    """(part, r, cell) of the meetings, for :func:`move_rare`."""
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            r, flag, of = (batch.column(k).to_numpy() for k in (0, 1, 3))
+            cell = (of + np.where(flag & BEFORE, side, 0)).astype(np.int32)
+            part = _part_of(r.view(_U), parts)
+            order = np.argsort(part, kind="stable")
+            yield _packed(part[order], {"met": r[order], "cell": cell[order]}, ["met", "cell"])
+
+    return met.mapInArrow(tidied(each), "part int, met binary, cell binary")
 
-def classify(texts: DataFrame, keys: np.ndarray, of: np.ndarray, rare: DataFrame | None, side: int,
+
+def class_table(runs: DataFrame, told: DataFrame | None, met: DataFrame | None, of: np.ndarray, side: int) -> np.ndarray:
+    """side x side counts of classes after classes."""
+    if told is None:
+        return count_bigrams(runs, of, side)
+    # pairs with a word that is not sent fall in a row or column of their own, and are counted from its entries instead
+    out = count_bigrams(runs, np.append(of[:-1], side), side + 1)[:side, :side]
+    shipped = runs.sparkSession.sparkContext.broadcast(of)
+
+    def count(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        near, flag, own = (_unpacked(batch.column(k), t) for k, t in ((0, np.int64), (1, np.uint8), (2, np.int32)))
+        at = np.flatnonzero(flag & RARE == 0)
+        near, before, own = shipped.value[near[at]], flag[at] & BEFORE != 0, own[at].astype(np.int64)
+        yield np.where(before, near * side + own, own * side + near)
+
+    out = out + _grid(told.filter("r is not null").select("near", "flag", "own"), count, side)
+    for r in met.filter(F.col("flag").bitwiseAND(BEFORE) == 0).groupBy("own", "of").count().collect():  # at most side ** 2
+        out[r["own"], r["of"]] += r["count"]
+    return out
+
+
+def classify(tape_: DataFrame, keys: np.ndarray, of: np.ndarray, table: np.ndarray, rare: bool, parts: int,
              sweeps: int = CORPUS_SWEEPS) -> tuple[np.ndarray, DataFrame | None, np.ndarray]:
     """Sweeps over the corpus until all words have classes and no sweep raises the likelihood: the classes of the sorted
-    ``keys`` (and of unseen words and the end), (h, of) of the words in ``rare``, and counts of classes after classes."""
-    pairs = rare_bigrams(texts, keys) if rare is not None else None
-    kept = None
-    for sweep in range(sweeps + 1):
-        found = contexts(texts, pairs, keys, of, rare, side)
-        table = class_table(found, keys, of, side)
-        if sweep > 1 and likelihood(table) <= likelihood(kept[2]):
-            return kept
-        kept = of, rare, table
-        if sweep == sweeps:
-            return kept
-        new = moved(found, keys, of, table, sweep)
-        got = new.filter("sent").toArrow()  # as many as are sent, and the end
-        h = got.column("h").to_numpy().view(_U)
-        of = of.copy()
-        of[_word_ids(keys, np.arange(len(keys)), h)] = got.column("of").to_numpy()
-        rare = new.filter("not sent").select("h", "of") if rare is not None else None
+    ``keys`` (and of any other word), the entries of the words that are not in ``keys`` (if there are any, ``rare``) with
+    their classes, and counts of classes after classes. ``of`` and ``table`` are those before the first sweep."""
+    spark, side = tape_.sparkSession, len(table)
+    runs = tape_.filter("part < 0").select("ids")
+    kept, told, met, paths = (of, None, table), None, None, []
+    for sweep in range(sweeps):
+        turn = (of == side - 2) if not sweep else (np.append(keys, _U(0)) >> _U(20)) % _U(2) == _U(sweep % 2)
+        go = turn & (of < side - 1)
+        go[-1] = False
+        new = move_frequent(frequent_cells(runs, told, of, side, go, parts), of, table)
+        if rare:
+            blank = F.lit(None).cast("binary")
+            if sweep:
+                rows = told.filter("r is not null").select("part", "r", "near", "flag", "own", blank.alias("met"),
+                                                           blank.alias("cell")) \
+                    .unionByName(met_cells(met, side, parts), allowMissingColumns=True)
+            else:
+                rows = tape_.filter("part >= 0").select("part", "r", "near", "flag", blank.alias("own"),
+                                                        blank.alias("met"), blank.alias("cell"))
+            told, told_at = move_rare(rows, of, table, sweep)
+            met, met_at = meetings(told)
+            paths.append((told_at, met_at))
+        of = new
+        table = class_table(runs, told, met, of, side)
+        if sweep and likelihood(table) <= likelihood(kept[2]):
+            paths[-2:] = paths[-2:][::-1]
+            break
+        kept = of, told, table
+    for k, (told_at, met_at) in enumerate(paths):  # all but the classes that are kept
+        _drop(spark, met_at)
+        if k < len(paths) - 1:
+            _drop(spark, told_at)
     return kept
 
 
@@ -440,7 +659,9 @@ class ClassModel:
 def train(texts: DataFrame, class_words: int = CLASS_WORDS, classes: int | None = None,
           broadcast_words: int = BROADCAST_WORDS) -> tuple[ClassModel, DataFrame]:
     """The model of the column ``text``, and (h, n, of) of the words whose counts are not in it."""
-    counts = count_tokens(texts)
+    spark = texts.sparkSession
+    bounded_batches(spark)
+    counts, counts_at = count_tokens(texts)
     tokens, types = counts.agg(F.sum("n"), F.count("*")).first()
     tokens = tokens or 0
     steps = sorted(((r["step"], r["count"]) for r in counts.groupBy(F.expr(_STEP).alias("step")).count().collect()),
@@ -450,40 +671,40 @@ def train(texts: DataFrame, class_words: int = CLASS_WORDS, classes: int | None
         if held + n > broadcast_words:
             break
         least, held = step, held + n
-    frequent = counts.filter(F.expr(_STEP) >= least).toArrow()
-    keys = frequent.column("h").to_numpy().view(_U) if held else np.zeros(0, _U)
-    number = frequent.column("n").to_numpy().copy() if held else np.zeros(0, np.int64)
-    order = np.argsort(keys)
-    keys, number = keys[order], number[order]
+    top = counts.filter(F.col("h") != int(END)).orderBy(F.desc("n"), "h").limit(class_words).toArrow()
+    sent = pa.concat_tables([counts.filter((F.expr(_STEP) >= least) | (F.col("h") == int(END))).toArrow(), top])
+    keys, at = np.unique(sent.column("h").to_numpy().view(_U), return_index=True)  # the end and the top words are always sent
+    number = sent.column("n").to_numpy()[at]
     plain = keys != END
     words, times = keys[plain], number[plain]
-    top = counts.filter(F.col("h") != int(END)).orderBy(F.desc("n"), "h").limit(class_words).toArrow()
     seeds = top.column("h").to_numpy().view(_U)
     classes = max(1, min(classes or class_number(int(types)), len(seeds)))
-    side = classes + 2
-    seeded = exchange(count_bigrams(texts, seeds), classes)
-    order = np.argsort(seeds)
-    at, known = _lookup(seeds[order], words)
-    of = np.full(len(words) + 2, classes)
-    of[-1] = classes + 1
-    if len(seeds):
-        of[:-2][known] = seeded[order][at[known]]
-    rare = None
-    if held < types:
-        begun = texts.sparkSession.createDataFrame([(int(h), int(c)) for h, c in zip(seeds.view(np.int64), seeded)],
-                                                   "h bigint, seed int")
-        rare = counts.filter((F.expr(_STEP) < least) & (F.col("h") != int(END))).join(F.broadcast(begun), "h", "left") \
-            .select("h", F.coalesce("seed", F.lit(classes)).alias("of"))
-    of, rare, n = classify(texts, words, of, rare, side)
+    side, parts = classes + 2, max(PARTS, int(tokens) // PART_TOKENS)
+    told, of = None, np.append(np.where(plain, classes, classes + 1), classes)
+    n = np.zeros((side, side))
+    _drop(spark, counts_at)
+    if len(keys):
+        tape_, tape_at = tape(texts, keys, parts)
+        runs = tape_.filter("part < 0").select("ids")
+        ids = np.append(np.where(plain, len(seeds), len(seeds) + 1), len(seeds))
+        at = np.searchsorted(keys, seeds)
+        ids[at] = np.arange(len(seeds))
+        bigrams = count_bigrams(runs, ids, len(seeds) + 2)
+        seeded = exchange(bigrams, classes)
+        of[at] = seeded[:len(seeds)]
+        n = np.zeros((side, len(seeds) + 2))
+        np.add.at(n, seeded, bigrams)
+        table = np.zeros((side, side))
+        np.add.at(table.T, seeded, n.T)
+        of, told, n = classify(tape_, keys, of, table, len(keys) < types, parts)
+        _drop(spark, tape_at)
+    of = np.concatenate([of[:-1][plain], [classes, classes + 1]])
     after = np.log10((n + 1) / (n.sum(axis=1, keepdims=True) + side))
     size = n.sum(axis=0)
     emit = np.zeros(len(of))
     emit[:len(words)] = np.log10(times / np.maximum(size[of[:-2]], 1))
     model = ClassModel(int(tokens), int(types), keys, number, words, np.arange(len(words)), of, after, emit, size)
-    left = counts.filter(F.expr(_STEP) < least)
-    if rare is None:
-        return model, left.withColumn("of", F.lit(classes + 1))
-    return model, left.join(rare, "h", "left").select("h", "n", F.coalesce("of", F.lit(classes + 1)).alias("of"))
+    return model, spark.createDataFrame([], "h bigint, n bigint, of int") if told is None else rare_words(told)
 
 
 def score(docs: DataFrame, model: ClassModel, rare: DataFrame, id_col: str = "doc_id",
@@ -498,6 +719,7 @@ def score(docs: DataFrame, model: ClassModel, rare: DataFrame, id_col: str = "do
         base_of = np.log10(m.counts + 1.0)
         row = TaskContext.get().partitionId() << 33
         other, side = len(m.words), len(m.after)
+        find, ids_of = finder(m.keys), np.cumsum(m.keys != END) - 1
         for batch in batches:
             data, offs = text_bytes(batch.column(1))
             n_tokens, n_rare = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
@@ -506,9 +728,10 @@ def score(docs: DataFrame, model: ClassModel, rare: DataFrame, id_col: str = "do
             lefts, rights, met = [], [], np.zeros(batch.num_rows, np.int64)
             for i, j, d, o in blocks(data, offs):
                 tokens, first = _tokens(d, o)
-                at, known = _lookup(m.keys, tokens)
+                at, known = find(tokens)
                 logs = np.where(known, base_of[at] if len(base_of) else 0.0, 0.0)
-                ids = _word_ids(m.words, m.ids, tokens)
+                ids = np.where(known, ids_of[at] if len(ids_of) else other, other)
+                ids[tokens == END] = other + 1
                 base[i:j] = np.add.reduceat(logs, first[:-1])
                 n_tokens[i:j] = np.diff(first)
                 tail = np.flatnonzero(~known)

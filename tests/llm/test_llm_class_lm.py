@@ -60,6 +60,52 @@ def test_scores_do_not_depend_on_what_is_broadcast(spark):
     assert scores[0] == pytest.approx(scores[1])
 
 
+@pytest.mark.parametrize("broadcast", [1_000_000, 9])
+def test_scores_equal_a_plain_class_model(spark, broadcast):
+    """Class pairs counted one by one with the classes found; a word after itself, a word before itself, unseen words."""
+    rows = sentences(200) + [(900, "odd odd odd even even"), (901, "odd lone1 lone2 lone2"), (902, "lone3")]
+    table = docs(spark, rows + [(903, "cat never seen blue"), (904, None)]).repartition(4)
+    model, rare = lm.train(table.filter("doc_id < 903").select("text"), 6, 3, broadcast)
+    of = dict(zip(model.words.tolist(), model.of[:-2].tolist(), strict=True))
+    left = rare.collect()
+    of |= {r["h"] % (1 << 64): r["of"] for r in left}
+
+    def hashed(text):
+        raw = (text or "").encode()
+        return lm._tokens(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))[0].tolist()
+
+    count, pairs, size = Counter(), Counter(), Counter()
+    for _, text in rows:
+        own = hashed(text)
+        count.update(own)
+        named = [3 + 1, *[of.get(h, 3 + 1) for h in own]]
+        pairs.update(zip(named[:-1], named[1:], strict=True))
+        size.update(named[1:])
+    assert {r["h"] % (1 << 64): r["n"] for r in left} == {h: count[h] for h in of if h not in set(model.words.tolist())}
+    before = Counter()
+    for (a, _), n in pairs.items():
+        before[a] += n
+    for r in lm.score(table, model, rare).collect():
+        total, last = 0.0, 4
+        for h in hashed(dict(rows + [(903, "cat never seen blue")]).get(r["doc_id"])):
+            c = 4 if h == int(lm.END) else of.get(h, 3)
+            total += math.log10((pairs[last, c] + 1) / (before[last] + 5))
+            total += math.log10(count[h] / size[c]) if c < 3 else 0.0
+            last = c
+        assert r["score"] == pytest.approx(total)
+
+
+def test_places_of_hashes():
+    rng = np.random.default_rng(3)
+    for size in (0, 1, 2, 50, 3000):
+        keys = np.unique(rng.integers(0, 1 << 64, size, np.uint64))
+        keys = np.unique(np.concatenate([keys, np.array([1, (1 << 64) - 1], np.uint64)])) if size > 1 else keys
+        asked = np.concatenate([keys, rng.integers(0, 1 << 64, 500, np.uint64), keys + np.uint64(1)])
+        at, known = lm.finder(keys)(asked)
+        assert list(known) == list(np.isin(asked, keys))
+        assert not size or list(keys[at[known]]) == list(asked[known])
+
+
 def test_classes_beat_counts_on_held_out_text(spark):
     table = docs(spark, sentences())
     model, rare = lm.train(table.filter("doc_id % 7 != 2").select("text"), 8, 2)
