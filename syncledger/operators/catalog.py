@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.paths import is_descendant_or_self, replace_prefix
+from .semijoin import matching
 
 ARCHIVE_COLS = ["path", "drive_id", "date_modified_on_disk", "md5sum"]
 FOLDER_MD5 = ""  # fixed value: the md5 stored for folders
@@ -60,6 +61,28 @@ def upsert_archive(archive: DataFrame, updates: DataFrame, seq_col: str = "seq",
         F.when(hit, F.col("__pm")).otherwise(F.col("md5sum")).alias("md5sum"))
 
 
+def _touched(archive: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+    """The archive rows whose ``key`` occurs in ``batch``."""
+    few = matching(archive, key, batch)
+    if few is archive:  # too many keys to send
+        return archive.join(batch.select(key).distinct(), key, "left_semi").select(archive.columns)
+    return few
+
+
+def upsert_changes(archive: DataFrame, updates: DataFrame, seq_col: str = "seq", check: bool = True) -> DataFrame:
+    """U1 as a delta: only the rows that :func:`upsert_archive` would write, with ``removed`` false. The archive is
+    scanned for the ids and paths of the updates, and not rewritten; clashes are found as there."""
+    a = archive.select(*ARCHIVE_COLS)
+    touched = _touched(a, updates, "drive_id").unionByName(_touched(a, updates, "path")).distinct()
+    return upsert_archive(touched, updates, seq_col, check).withColumn("removed", F.lit(False))
+
+
+def delete_changes(archive: DataFrame, keys: DataFrame, field: str = "drive_id", key_col: str | None = None) -> DataFrame:
+    """U3 as a delta: the rows that :func:`delete_archive` would drop, with ``removed`` true."""
+    batch = keys.select(F.col(key_col or field).alias(field))
+    return _touched(archive.select(*ARCHIVE_COLS), batch, field).withColumn("removed", F.lit(True))
+
+
 def _clashes(kept: DataFrame, by_id: DataFrame) -> DataFrame:
     moved = by_id.groupBy("path").agg(F.count(F.lit(1)).alias("n"))
     return kept.select("path").join(moved.select("path"), "path", "left_semi") \

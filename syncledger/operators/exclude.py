@@ -1,7 +1,9 @@
 """Exclusion rules: exact paths and basename globs.
 
-The rules are configuration: a list that becomes one regular expression. Exact
-paths are always a table and always joined, whatever their number: ancestors in
+The rules are configuration, a list that becomes one regular expression, or a
+table of any size (:meth:`Exclusions.from_table`): rules of the shapes ``name``,
+``*end`` and ``start*`` then meet the distinct names in one equi-join, and only
+rules of other shapes become the expression. Exact paths are always a table and always joined, whatever their number: ancestors in
 scope are exploded, matched by a left semi join, and the few hits are joined
 back by path. While the set is small, both joins broadcast it.
 """
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.globs import match_rules, rules_regex
-from ..functions.paths import SEP, ancestors, parent_dir
+from ..functions.paths import SEP, ancestors, basename, parent_dir
 from .semijoin import null_safe_key
 
 
@@ -26,6 +28,8 @@ class Exclusions:
     paths: tuple[str, ...] = ()
     rules: tuple[str, ...] = ()
     paths_df: DataFrame | None = field(default=None, compare=False)
+    #: (kind, text) as :func:`rule_index` gives them: rules that are joined.
+    rules_df: DataFrame | None = field(default=None, compare=False)
 
     @classmethod
     def from_df(cls, df: DataFrame) -> "Exclusions":
@@ -35,6 +39,15 @@ class Exclusions:
         paths = df.filter(F.col("kind") == "path").select(F.col("value").alias("path")).distinct()
         return cls((), tuple(sorted(rules)), paths)
 
+    @classmethod
+    def from_table(cls, df: DataFrame) -> "Exclusions":
+        """As :meth:`from_df` for any number of rules: they stay a table too. The driver reads those that are neither a
+        name nor a name with one ``*`` at its start or end; they are one regular expression."""
+        index = rule_index(df.filter(F.col("kind") == "rule").select("value"))
+        other = [r["text"] for r in index.filter(F.col("kind") == "other").select("text").distinct().collect()]
+        paths = df.filter(F.col("kind") == "path").select(F.col("value").alias("path")).distinct()
+        return cls((), tuple(sorted(other)), paths, index.filter(F.col("kind") != "other"))
+
     def path_table(self, like: DataFrame) -> DataFrame | None:
         """All exact paths as ``path``, each once, or None if there are none to look for."""
         listed = like.sparkSession.createDataFrame([(x,) for x in sorted(set(self.paths))], "path string") \
@@ -49,6 +62,38 @@ class Exclusions:
         return rules_regex(self.rules)
 
 
+def rule_index(rules: DataFrame) -> DataFrame:
+    """Rules (``value``) by shape: ``kind`` is ``name``, ``end`` (``*`` and a text), ``start`` (a text and ``*``) or
+    ``other``; ``text`` is what a name has to equal, end or start with, or the rule itself. Blank rules are none."""
+    rule = F.regexp_replace("value", r"(?U)\A\s+|\s+\z", "")
+    plain, wild = r"[^*?\[]+", rule.substr(F.lit(2), F.length(rule) - 1)
+    kind = F.when(rule.rlike(rf"\A{plain}\z"), "name").when(rule.rlike(rf"\A\*{plain}\z"), "end") \
+        .when(rule.rlike(rf"\A{plain}\*\z"), "start").otherwise("other")
+    text = F.when(kind == "end", wild).when(kind == "start", rule.substr(F.lit(1), F.length(rule) - 1)).otherwise(rule)
+    return rules.filter(F.length(rule) > 0).select(kind.alias("kind"), text.alias("text"))
+
+
+def names_matched(names: DataFrame, index: DataFrame) -> DataFrame:
+    """The distinct ``name`` that match a rule of the ``index`` (no ``other``). A name meets the rules by itself and by
+    its ends and starts of the lengths that rules have."""
+    name = F.col("name")
+
+    def sizes(kind: str):
+        return index.filter(F.col("kind") == kind).agg(F.collect_set(F.length("text"))).scalar()
+
+    def parts(kind: str, lengths: str, cut):
+        return F.transform(F.filter(lengths, lambda n: n <= F.length(name)),
+                           lambda n: F.struct(F.lit(kind).alias("kind"), cut(n).alias("text")))
+
+    own = F.array(F.struct(F.lit("name").alias("kind"), name.alias("text")))
+    ends = parts("end", "__ends", lambda n: name.substr(F.length(name) - n + 1, n))
+    starts = parts("start", "__starts", lambda n: name.substr(F.lit(1), n))
+    return names.filter("name IS NOT NULL").distinct() \
+        .select("name", sizes("end").alias("__ends"), sizes("start").alias("__starts")) \
+        .select("name", F.explode(F.concat(own, ends, starts)).alias("__p")) \
+        .select("name", "__p.*").join(index, ["kind", "text"], "left_semi").select("name").distinct()
+
+
 def is_excluded(df: DataFrame, path_col: str, ex: Exclusions, out: str = "excluded",
                 row_id: str | None = None) -> DataFrame:
     """the path itself is an excluded path or its basename matches a rule.
@@ -59,11 +104,19 @@ def is_excluded(df: DataFrame, path_col: str, ex: Exclusions, out: str = "exclud
     """
     by_rule = F.coalesce(match_rules(F.col(path_col), ex.rules), F.lit(False))
     table = ex.path_table(df)
+    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    row = F.col(row_id) if row_id else F.xxhash64(*[F.col(f"`{c}`") for c in plain])
+    if ex.rules_df is not None:
+        name = basename(F.col(path_col))
+        hits = names_matched(df.select(name.alias("name")), ex.rules_df).select(F.col("name").alias("__xname"))
+        named = df.withColumn("__xkey", null_safe_key(name, row, "noname")) \
+            .join(hits, F.col("__xkey") == F.col("__xname"), "left").withColumn(out, by_rule | F.col("__xname").isNotNull())
+        if table is None:
+            return named.drop("__xname", "__xkey")
+        df, by_rule = named.drop("__xname", "__xkey"), F.col(out)
     if table is None:
         return df.withColumn(out, by_rule)
-    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    key = null_safe_key(F.col(path_col), F.col(row_id) if row_id else F.xxhash64(*[F.col(f"`{c}`") for c in plain]),
-                        "nopath")
+    key = null_safe_key(F.col(path_col), row, "nopath")
     hits = table.select(F.col("path").alias("__xp"), F.lit(True).alias("__xhit"))
     joined = df.withColumn("__xkey", key).join(hits, F.col("__xkey") == F.col("__xp"), "left")
     return joined.withColumn(out, F.col("__xhit").isNotNull() | by_rule).drop("__xp", "__xhit", "__xkey")
@@ -84,19 +137,25 @@ def _any_excluded(df: DataFrame, path_col: str, ex: Exclusions, stops, include_s
     path, regex, table = F.col(path_col), ex.regex, ex.path_table(df)
     first = _stop_depth(path, stops) + F.lit(0 if include_stop else 1)
     scoped = df.withColumn("__from", F.greatest(first, F.lit(0)) + 1)  # 1-based; the ancestor of depth d is at d + 1
+    names = F.when(path == SEP, F.array(F.lit(""))).otherwise(F.split(path, SEP))
+    below = F.slice(names, F.col("__from"), F.greatest(F.size(names) - F.col("__from") + 1, F.lit(0)))
     if regex:
-        names = F.when(path == SEP, F.array(F.lit(""))).otherwise(F.split(path, SEP))
-        below = F.slice(names, F.col("__from"), F.greatest(F.size(names) - F.col("__from") + 1, F.lit(0)))
         by_rule = F.coalesce(F.exists(below, lambda n: n.rlike(regex)), F.lit(False))
     else:
         by_rule = F.lit(False)
     flagged = scoped.withColumn(out, by_rule)
-    if table is None:
+    if table is None and ex.rules_df is None:
         return flagged.drop("__from")
-    chain = ancestors(path)
-    scope = F.slice(chain, F.col("__from"), F.greatest(F.size(chain) - F.col("__from") + 1, F.lit(0)))
-    hits = scoped.select(path.alias("__hit"), F.explode(scope).alias("path")) \
-        .join(table, "path", "left_semi").select("__hit").distinct()
+    found = []
+    if table is not None:
+        chain = ancestors(path)
+        scope = F.slice(chain, F.col("__from"), F.greatest(F.size(chain) - F.col("__from") + 1, F.lit(0)))
+        found.append(scoped.select(path.alias("__hit"), F.explode(scope).alias("path"))
+                     .join(table, "path", "left_semi").select("__hit"))
+    if ex.rules_df is not None:
+        each = scoped.select(path.alias("__hit"), F.explode(below).alias("name"))
+        found.append(each.join(names_matched(each.select("name"), ex.rules_df), "name", "left_semi").select("__hit"))
+    hits = (found[0] if len(found) == 1 else found[0].unionByName(found[1])).distinct()
     return flagged.join(hits, path == F.col("__hit"), "left") \
         .withColumn(out, F.col(out) | F.col("__hit").isNotNull()).drop("__hit", "__from")
 
@@ -150,5 +209,5 @@ def add_exclusions(ex: Exclusions, new_paths: DataFrame, local: DataFrame, roots
     return topmost(flagged.filter(~F.col("__covered")).select("path"), "path")
 
 
-__all__ = ["Exclusions", "is_excluded", "is_excluded_up", "prune_excluded", "merge_exclusions", "minimal_exclusions",
+__all__ = ["Exclusions", "rule_index", "names_matched", "is_excluded", "is_excluded_up", "prune_excluded", "merge_exclusions", "minimal_exclusions",
            "add_exclusions"]

@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 
 from . import fixtures as fx
 from .functions.paths import join_path, replace_prefix, strip_first_segment
+from .operators import catalog as U
 from .operators import diff as D
+from .operators import exclude as X
 from .operators import hierarchy as H
+from .oracles import excluded_sql
 from .operators.ordering import group_row_number, parents_first
 from .plans import download as PD
 from .plans import upload as PU
@@ -43,6 +46,31 @@ def q_s6(spark, sf_dir):
     return store.read_archive(spark, base)
 
 
+@register("s9_delta_snapshots", oracle="""
+SELECT a.path, a.drive_id, CASE WHEN a.md5sum <> l.md5sum THEN l.mtime ELSE a.date_modified_on_disk END AS date_modified_on_disk,
+  CASE WHEN a.md5sum <> l.md5sum THEN l.md5sum ELSE a.md5sum END AS md5sum
+FROM archive a JOIN local_files l ON l.path = a.path
+UNION ALL SELECT path, 'new:' || path, mtime, coalesce(md5sum, '') FROM local_files
+WHERE path NOT IN (SELECT path FROM archive)""")
+def q_s9_delta(spark, sf_dir):
+    """The archive, then three deltas: U3 of what left the disk, U1 by path of what changed there, U5 of what is new."""
+    i = inv(spark, sf_dir)
+    base = _new_folder(spark, "archive")
+    store.write_archive(i.A, base)
+    store.write_delta(U.delete_changes(i.A, D.removed_locally(i.A, i.L)), base)
+    a = store.read_archive(spark, base)
+    newer = i.L.alias("l").join(a.alias("a"), "path").filter("a.md5sum <> l.md5sum").select(
+        "path", F.lit(None).cast("string").alias("drive_id"), F.col("l.mtime").alias("date_modified_on_disk"),
+        F.col("l.md5sum").alias("md5sum"), F.lit(1).alias("seq"))
+    store.write_delta(U.upsert_changes(a, newer), base)
+    a = store.read_archive(spark, base)
+    new = i.L.join(i.A.select("path"), "path", "left_anti").select(
+        "path", F.concat(F.lit("new:"), "path").alias("drive_id"), F.col("mtime").alias("date_modified_on_disk"),
+        F.coalesce("md5sum", F.lit("")).alias("md5sum"), F.lit(1).alias("seq"))
+    store.write_delta(U.upsert_changes(a, new), base)
+    return store.read_archive(spark, base)
+
+
 @register("s10_tree_report", oracle=" UNION ALL ".join(f"""
 SELECT '{r}' AS root, repeat('  ', len(string_split(path, '/')) - 1 - 2) || regexp_extract(path, '([^/]*)$', 1) AS line
 FROM local_files WHERE path = '{r}' OR starts_with(path, '{r}/')""" for r in fx.ROOT_PATHS).strip())
@@ -52,6 +80,39 @@ def q_s10(spark, sf_dir):
     return spark.read.schema("value string, root string").text(out).select("root", F.col("value").alias("line"))
 
 
+# --------------------------------------------------------------------------- rules as a table
+
+def _rule_table(spark, sf_dir):
+    """The fixture's exclusions, and as rules the names of all customers with a negative balance, and some with a ``*``."""
+    i = inv(spark, sf_dir)
+    customers = spark.read.parquet(f"{sf_dir}/customer.parquet").filter("c_acctbal < 0").select("c_name")
+    rules = customers.select(F.col("c_name").alias("value")).unionByName(customers.select(
+        F.concat(F.lit("*_"), F.substring_index("c_name", "#", -1).cast("bigint"), F.lit(".csv")).alias("value"))) \
+        .unionByName(customers.select(F.concat(F.lit("Order_"), F.substring_index("c_name", "#", -1).cast("bigint"),
+                                               F.lit("*")).alias("value")))
+    return X.Exclusions.from_table(i.exclusions.unionByName(rules.select(F.lit("rule").alias("kind"), "value")))
+
+
+RULE_TABLE_SQL = """
+minus AS (SELECT c_name, CAST(CAST(regexp_extract(c_name, '([0-9]+)$', 1) AS BIGINT) AS VARCHAR) AS num FROM customer WHERE c_acctbal < 0),
+starts AS (SELECT DISTINCT num, length(num) AS n FROM minus),
+sizes AS (SELECT DISTINCT n FROM starts),
+bad_name AS (
+  SELECT name FROM (SELECT DISTINCT unnest(string_split(path, '/')) AS name FROM (SELECT path FROM local_files UNION ALL SELECT path FROM archive))
+  WHERE name IN (SELECT c_name FROM minus)
+    OR regexp_extract(name, '_([0-9]+)\\.csv$', 1) IN (SELECT num FROM minus)
+    OR EXISTS (SELECT 1 FROM sizes z WHERE starts_with(name, 'Order_')
+               AND substr(name, 7, CAST(z.n AS INT)) IN (SELECT num FROM starts s WHERE s.n = z.n)))"""
+
+
+@register("f7_rule_table", oracle=f"""
+{RULE_TABLE_SQL.strip()}
+SELECT path, ({excluded_sql('path')}) OR regexp_extract(path, '([^/]*)$', 1) IN (SELECT name FROM bad_name) AS excluded
+FROM archive""")
+def q_f7_table(spark, sf_dir):
+    return X.is_excluded(inv(spark, sf_dir).A.select("path"), "path", _rule_table(spark, sf_dir))
+
+
 # --------------------------------------------------------------------------- path helpers
 
 @register("t3_join_path", oracle=f"""

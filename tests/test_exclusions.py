@@ -85,3 +85,39 @@ def test_empty_rules_match_nothing(spark):
     df = spark.createDataFrame([("/",), ("/x",)], "path string")
     assert not any(flags(X.is_excluded(df, "path", X.Exclusions()), "excluded").values())
     assert not any(flags(df.withColumn("m", F.lit(False)), "m").values())
+
+
+SHAPES = ["name", "n\u00e4me.b", "*.pyc", "*\u00e9", "tmp*", "  ~$*  ", "x?z", "[ab]c", "**.two", "a*b", "", "  ", "*", "a/b"]
+PATHS = ["/", "/name", "/name/x", "/r/n\u00e4me.b/k", "/r/a.pyc", "/r/.pyc", "/r/pyc", "/r/caf\u00e9/x/y", "/r/tmp", "/r/tmp1/q",
+         "/r/xtmp", "/r/~$doc", "/r/xyz", "/r/xyyz", "/r/ac", "/r/abc", "/r/q.two", "/r/a1b", "/r/ab", "/r/s", "/r/s/name", "/r/n"]
+
+
+@pytest.mark.parametrize("rules", [*[[r] for r in SHAPES], SHAPES[:-2], []])
+def test_a_table_of_rules_matches_as_the_list(spark, rules):
+    rows = [("rule", r) for r in rules] + [("path", "/r/n")]
+    ex = X.Exclusions.from_table(spark.createDataFrame(rows, "kind string, value string"))
+    known = [r.strip() for r in rules if r.strip()]
+    df = spark.createDataFrame([(p,) for p in PATHS], "path string")
+    plain = {p: p == "/r/n" or any(fnmatch.fnmatchcase(p.rsplit("/", 1)[1], r) for r in known) for p in PATHS}
+    assert flags(X.is_excluded(df, "path", ex), "excluded") == plain
+    assert flags(X.is_excluded_up(df, "path", ex, ["/r", "/r/s"]), "excluded") == \
+        {p: plain_up(p, {"/r/n"}, known, {"/r", "/r/s"}) for p in PATHS}
+    assert set(ex.rules) == set(known) & {"x?z", "[ab]c", "**.two", "a*b", "*"}
+
+
+def test_rows_without_a_path_and_repeated_rows_stay(spark):
+    ex = X.Exclusions.from_table(spark.createDataFrame([("rule", "a"), ("rule", "a"), ("path", "/a")], "kind string, value string"))
+    df = spark.createDataFrame([(None,), (None,), ("/a",), ("/a",), ("/b",)], "path string")
+    assert sorted((r["path"] or "", r["excluded"]) for r in X.is_excluded(df, "path", ex).collect()) == \
+        [("", False), ("", False), ("/a", True), ("/a", True), ("/b", False)]
+
+
+def test_a_hundred_thousand_rules_stay_on_the_executors(spark):
+    rules = spark.range(100_000).select(F.lit("rule").alias("kind"), F.when(F.col("id") % 3 == 0, F.concat(F.lit("f"), "id"))
+                                        .when(F.col("id") % 3 == 1, F.concat(F.lit("*."), "id"))
+                                        .otherwise(F.concat(F.lit("d"), "id", F.lit("-*"))).alias("value"))
+    ex = X.Exclusions.from_table(rules)
+    assert ex.rules == ()
+    df = spark.range(90_000, 110_000).select(F.explode(F.array(
+        F.concat(F.lit("/x/f"), "id"), F.concat(F.lit("/x/q."), "id"), F.concat(F.lit("/x/d"), "id", F.lit("-1/y")))).alias("path"))
+    assert X.is_excluded_up(df, "path", ex).filter("excluded").count() == 10_000
