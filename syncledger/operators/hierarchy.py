@@ -29,8 +29,9 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.paths import ancestors, basename, explode_ancestors, parent_dir, path_depth, path_parts
+from ..functions.paths import ancestors, basename, parent_dir, path_depth, path_parts
 from ..session import checkpoint_dir
+from .scan import running
 from .semijoin import matching, null_safe_key
 
 
@@ -79,13 +80,24 @@ def path_ancestors(df: DataFrame, path_col: str = "path", proper: bool = False)
     return exploded
 
 
-def topmost(paths: DataFrame, path_col: str = "path") -> DataFrame:
+def topmost(paths: DataFrame, path_col: str = "path", mode: str = "descendant") -> DataFrame:
     """H6: keep the paths that have no other listed path above them (an antichain
-    that covers the input)."""
-    p = paths.select(path_col).distinct()
-    proper = explode_ancestors(p, path_col, "__anc", p, path_col).filter(F.col("__anc") != F.col(path_col))
-    covered = proper.join(p.select(F.col(path_col).alias("__anc")), "__anc", "left_semi").select(path_col)
-    return p.join(covered, path_col, "left_anti")
+    that covers the input). ``mode='prefix'``: no other listed path as a proper
+    string prefix.
+
+    One ordered scan: with the separator below every other byte, the paths at or
+    below a path follow it up to an end of its own, so a path is covered where
+    the highest end before it lies beyond it. Each path is exchanged as one row,
+    however deep it is."""
+    if mode == "descendant":
+        key = F.when(F.col(path_col) == "/", F.lit("")).otherwise(F.replace(F.col(path_col), F.lit("/"), F.lit("\0"))).cast("binary")
+        end = F.concat("__key", F.lit(bytes([1])))
+    else:
+        key = F.col(path_col).cast("binary")
+        end = F.concat("__key", F.lit(bytes([255])))  # no byte of UTF-8
+    p = paths.select(path_col).distinct().withColumn("__key", key).withColumn("__end", end)
+    seen = running(p, [], ["__key"], "__end", "max", "__reach")
+    return seen.filter(F.col("__reach").isNull() | (F.col("__reach") <= F.col("__key"))).select(path_col)
 
 
 def tree_listing(local: DataFrame, root, files: bool = True) -> DataFrame:

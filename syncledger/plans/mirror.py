@@ -50,13 +50,6 @@ def _upload_rows(plan: DataFrame) -> DataFrame:
     return plan.select("root", F.lit("upload").alias("action"), "op", "type", "path", "drive_id", "parent_id")
 
 
-def prefix_topmost(paths: DataFrame) -> DataFrame:
-    """Paths of which no other listed path is a proper string prefix."""
-    p = paths.select("path").distinct()
-    pairs = descendants_join(p, p, mode="prefix").filter(F.col("path") != F.col("matched_path"))
-    return p.join(pairs.select("path"), "path", "left_anti")
-
-
 def root_folder_id(archive: DataFrame, root: str) -> str:
     rows = archive.filter(F.col("path") == root).select("drive_id").limit(1).collect()
     return rows[0][0] if rows else UNKNOWN_ID
@@ -71,7 +64,7 @@ def mirror_fast_plan(local: DataFrame, archive: DataFrame, ex: Exclusions, root:
     ``mode='prefix'`` reproduces plain ``startswith`` matching.
     """
     gone = _materialise(removed_locally(archive, local, under=root, mode=mode))
-    tops = topmost(gone.select("path")) if mode == "descendant" else prefix_topmost(gone)
+    tops = topmost(gone.select("path"), mode=mode)
     deletes = gone.join(tops, "path", "left_semi")
     forget = _materialise(descendants_join(archive, tops, mode=mode).select(*archive.columns)
                           .dropDuplicates(["drive_id"]))

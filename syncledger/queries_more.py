@@ -15,13 +15,16 @@ from .operators import catalog as U
 from .operators import diff as D
 from .operators import exclude as X
 from .operators import hierarchy as H
+from .operators import intervals as I
 from .oracles import excluded_sql
 from .operators.ordering import group_row_number, parents_first
 from .plans import download as PD
 from .plans import upload as PU
-from .queries import FOLDER, IGNORED_IDS, LAST_SYNC, ROOT_IDS_SQL, WALK_FOLDER, WALK_LOCAL, excl, inv, register
+from .operators.reconcile import needs_upload
+from .queries import FOLDER, IGNORED_IDS, LAST_SYNC, ROOT_IDS_SQL, WALK_FOLDER, WALK_LOCAL, WALK_SQL, excl, inv, register
 from .queries_plans import (ONE_ROOT, P2_SQL, P3_COLS, RESTORE, link_sql, p1_sql, p3_sql)
 from .session import scratch_path
+from .sources import bucketed as B
 from .sources import listing as S
 from .sources import store
 from .sources.directory import open_tree
@@ -113,6 +116,76 @@ def q_f7_table(spark, sf_dir):
     return X.is_excluded(inv(spark, sf_dir).A.select("path"), "path", _rule_table(spark, sf_dir))
 
 
+# --------------------------------------------------------------------------- interval labels, ordered scans, buckets
+
+_IDS_SQL = """RECURSIVE ids(file_id, name, chain, path) AS (
+  SELECT file_id, name, [file_id], '/' || name FROM remote_files WHERE parent_id IS NULL
+  UNION ALL SELECT r.file_id, r.name, list_append(i.chain, r.file_id), i.path || '/' || r.name
+  FROM ids i JOIN remote_files r ON r.parent_id = i.file_id)"""
+
+
+@register("h2_interval_labels", oracle=f"""
+{_IDS_SQL},
+sizes AS (SELECT a, count(*) AS n FROM (SELECT unnest(chain) AS a FROM ids) GROUP BY a),
+placed AS (SELECT *, row_number() OVER (ORDER BY chain) - 1 AS enter FROM ids)
+SELECT p.file_id, CAST(p.enter AS BIGINT) AS enter, CAST(p.enter + s.n - 1 AS BIGINT) AS exit,
+  CAST(len(p.chain) - 1 AS BIGINT) AS depth, p.path AS remote_path
+FROM placed p JOIN sizes s ON s.a = p.file_id""")
+def q_labels(spark, sf_dir):
+    return I.interval_labels(inv(spark, sf_dir).R)
+
+
+def _labelled(spark, sf_dir):
+    return I.write_labelled(inv(spark, sf_dir).R, _new_folder(spark, "labelled"))
+
+
+@register("j14_is_ancestor_labels", oracle=f"""
+{_IDS_SQL},
+folder AS (SELECT DISTINCT parent_id AS folder_id FROM remote_files WHERE parent_id LIKE 'n%'),
+pairs AS (SELECT DISTINCT f.folder_id, c.file_id FROM changes c JOIN folder f
+  ON f.folder_id = 'n' || CAST(c.seq % 25 AS VARCHAR))
+SELECT p.folder_id, p.file_id, coalesce(list_contains(i.chain, p.folder_id), FALSE) AS is_ancestor
+FROM pairs p LEFT JOIN ids i ON i.file_id = p.file_id""")
+def q_j14_labels(spark, sf_dir):
+    """Is a changed file below the nation its event's number names: many folders, many files, no chains."""
+    i = inv(spark, sf_dir)
+    folders = i.R.filter(F.col("parent_id").like("n%")).select(F.col("parent_id").alias("folder_id")).distinct()
+    pairs = i.C.select(F.concat(F.lit("n"), F.col("seq") % 25).alias("folder_id"), "file_id").distinct() \
+        .join(folders, "folder_id", "left_semi")
+    return I.is_ancestor_labelled(_labelled(spark, sf_dir), pairs)
+
+
+@register("h4_walk_labels", oracle=f"""
+RECURSIVE {WALK_SQL}
+SELECT file_id, path, CAST(depth AS BIGINT) AS depth, CASE WHEN mime_type = {FOLDER} THEN '#folder' ELSE '#file' END AS type,
+  depth = 0 AS is_root FROM w""")
+def q_h4_labels(spark, sf_dir):
+    return I.walk_labelled(_labelled(spark, sf_dir), WALK_FOLDER).select("file_id", "path", "depth", "type", "is_root")
+
+
+@register("h6_topmost_prefix", oracle="""
+files AS (SELECT path, drive_id, regexp_replace(path, '[^/]*$', '') AS dir FROM archive WHERE md5sum <> ''),
+x AS (SELECT path, dir FROM files UNION SELECT substr(path, 1, length(path) - 5), dir FROM files WHERE drive_id LIKE '%1')
+SELECT path FROM x WHERE path NOT IN (
+  SELECT a.path FROM x a JOIN x o ON o.dir = a.dir AND starts_with(a.path, o.path) AND a.path <> o.path)""")
+def q_h6_prefix(spark, sf_dir):
+    """Paths of files, and some cut short, that no other of them is a string prefix of."""
+    files = inv(spark, sf_dir).A.filter(F.col("md5sum") != "")
+    cut = files.filter(F.col("drive_id").like("%1")).select(F.expr("substr(path, 1, length(path) - 5)").alias("path"))
+    return H.topmost(files.select("path").unionByName(cut), mode="prefix")
+
+
+@register("j1_bucketed", oracle="""
+SELECT l.path, CASE WHEN a.path IS NULL THEN 'NEW' ELSE 'UPDATE' END AS op, a.drive_id
+FROM local_files l LEFT JOIN archive a ON a.path = l.path
+WHERE a.path IS NULL OR (NOT l.is_dir AND l.mtime > a.date_modified_on_disk)""")
+def q_j1_bucketed(spark, sf_dir):
+    """J1 between stored tables: neither side is exchanged."""
+    i = inv(spark, sf_dir)
+    c = B.write_catalog(i.L, i.A, i.R, _new_folder(spark, "bucketed"))
+    return needs_upload(c.local, c.archive_by_path).select("path", "op", "drive_id")
+
+
 # --------------------------------------------------------------------------- path helpers
 
 @register("t3_join_path", oracle=f"""
