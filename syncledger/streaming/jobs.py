@@ -110,7 +110,7 @@ def peek_changes(spark: SparkSession, source: DataFrame, out: str) -> DataFrame:
 def _new_events(spark: SparkSession, batch_df: DataFrame, out: str, batch_id: int) -> tuple[DataFrame, int | None]:
     """The batch without events that earlier batches have finished, each once, and its highest ``seq``."""
     low, top = batch_df.agg(F.min("seq"), F.max("seq")).first()
-    events = batch_df.dropDuplicates(["seq"])
+    events = batch_df.repartition("seq").dropDuplicates(["seq"])  # exchanged first: no task sorts a whole file
     seen = None if low is None else _seen(spark, out, batch_id)
     if seen is not None:
         again = matching(seen.filter(F.col("seq").between(low, top)), "seq", events)
@@ -129,7 +129,8 @@ def _run(stream: DataFrame, per_batch: Callable[[DataFrame, int], DataFrame], ou
             events, top = _new_events(spark, batch_df, out, batch_id)
             per_batch(events, batch_id).write.mode("overwrite").parquet(f"{base}/batch_id={batch_id}")
             if top is not None:
-                events.select("seq").coalesce(1).sortWithinPartitions("seq").write.mode("overwrite") \
+                # as many tasks as the batch has; every file lies within the batch's range of seq
+                events.select("seq").sortWithinPartitions("seq").write.mode("overwrite") \
                     .parquet(f"{base}/_seen/batch_id={batch_id}")
                 spark.createDataFrame([(int(batch_id), top)], "batch_id bigint, max_seq bigint") \
                     .write.mode("append").parquet(_offsets_path(out))

@@ -77,3 +77,19 @@ def test_download_plan_stream_matches_batch(spark, inv, tmp_path):
     got, want = got.select(*cols), want.select(*cols)
     assert got.count() > 0
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_the_seen_events_of_a_batch_are_written_by_many_tasks(spark, tmp_path):
+    feed, out = str(tmp_path / "feed"), str(tmp_path / "out")
+    spark.range(20_000).select((F.col("id") % 10_000).alias("seq"), F.lit("f").alias("file_id")) \
+        .coalesce(1).write.parquet(feed)
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        V._run(V.stream_changes(spark, feed), lambda b, _id: b.select("seq"), out, str(tmp_path / "ckpt")).awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    seen = spark.read.parquet(f"{out}/_seen/batch_id=0")
+    assert len(seen.inputFiles()) > 1
+    assert sorted(r[0] for r in seen.collect()) == list(range(10_000))
+    assert V.read_output(spark, out).count() == 10_000
