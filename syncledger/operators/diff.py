@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.paths import SEP, basename, explode_ancestors, parent_dir, path_depth
+from ..functions.paths import SEP, ancestors, basename, explode_ancestors, parent_dir, path_depth
 from .exclude import Exclusions, is_excluded, is_excluded_up
+from .semijoin import broadcast_if_few, matching
 
 
 def lookup(keys: DataFrame, archive: DataFrame, key_col: str, field: str = "path",
@@ -94,28 +95,42 @@ def descendants_join(archive: DataFrame, paths: DataFrame, path_col: str = "path
         ex = explode_ancestors(archive, "path", "__anc", p, "matched_path")
         return ex.join(p, F.col("__anc") == F.col("matched_path")).select(*archive.columns, "matched_path")
     if mode == "prefix":
-        return _starting_with(archive, p, "path").select(*archive.columns, "matched_path")
+        return _starting_with(archive.withColumn("__at", F.lit(1)), p).select(*archive.columns, "matched_path")
     if mode == "contains":
+        p, _few = broadcast_if_few(p)  # once: the patterns are read several times below
+        rooted, loose = p.filter(F.col("matched_path").startswith(SEP)), p.filter(~F.col("matched_path").startswith(SEP))
         steps = F.sequence(F.lit(1), path_depth(F.col("path")).cast("int"))
-        tails = F.when(F.col("path") == SEP, F.array(F.lit(SEP))).otherwise(F.transform(
-            steps, lambda k: F.concat(F.lit(SEP), F.call_function("substring_index", F.col("path"), F.lit(SEP), -k))))
-        rooted = _starting_with(archive.withColumn("__tail", F.explode(tails)),
-                                p.filter(F.col("matched_path").startswith(SEP)), "__tail").drop("__tail")
-        loose = _containing(archive, p.filter(~F.col("matched_path").startswith(SEP)))
-        return rooted.unionByName(loose).select(*archive.columns, "matched_path").distinct()
+        starts = F.when(F.col("path") == SEP, F.array(F.lit(1))).otherwise(F.transform(
+            steps, lambda k: F.length("path") - F.length(F.call_function("substring_index", F.col("path"), F.lit(SEP), -k))))
+        out = _starting_with(archive.withColumn("__at", F.explode(starts)), rooted).select(*archive.columns, "matched_path")
+        if not loose.isEmpty():
+            out = out.unionByName(_containing(archive, loose).select(*archive.columns, "matched_path"))
+        return out.distinct()
     raise ValueError(f"unknown mode {mode!r}")
 
 
-def _starting_with(df: DataFrame, patterns: DataFrame, col: str) -> DataFrame:
-    """``df`` joined with the ``patterns`` (``matched_path``) that ``col`` starts with, by equi-joins alone: ``col``
-    meets the distinct pattern lengths of each folder on its way, and its beginnings of those lengths meet the
-    patterns. The rows between depend on how many lengths a folder has, not on how many patterns."""
+def _starting_with(df: DataFrame, patterns: DataFrame) -> DataFrame:
+    """``df`` joined with the ``patterns`` (``matched_path``) that ``path`` holds from the character ``__at`` on, by
+    equi-joins alone: that part of it meets the distinct pattern lengths of each folder on its way, and its beginnings of
+    those lengths meet the patterns. The rows between depend on how many lengths a folder has, not on how many patterns.
+    Folders and beginnings are exchanged as hashes and cut again from the path; a match is made by the texts."""
     pp = patterns.withColumn("__folder", parent_dir(F.col("matched_path"))) \
         .withColumn("__n", F.length("matched_path"))
-    lengths = pp.select("__folder", "__n").distinct()
-    cut = explode_ancestors(df, col, "__folder", pp, "__folder").join(lengths, "__folder") \
-        .filter(F.length(col) >= F.col("__n")).withColumn("matched_path", F.expr(f"left({col}, __n)"))
-    return cut.join(pp.select("__folder", "matched_path"), ["__folder", "matched_path"]).drop("__folder", "__n")
+    lengths = pp.select(F.xxhash64("__folder").alias("__hash"), "__n").distinct()
+    depths = pp.agg(F.collect_set(path_depth(F.col("__folder"))).alias("d")).scalar()
+    # no pattern of a folder is as short as the folder, but for the top one
+    tail = F.col("__tail")
+    deep = df.withColumn("__tail", F.expr("substring(path, __at)")) \
+        .filter((tail == SEP) | (path_depth(tail) > F.array_min(depths)))
+    above = deep.select("*", F.posexplode(ancestors(tail)).alias("__depth", "__folder")) \
+        .filter(F.array_contains(depths, F.col("__depth").cast("bigint")) & ((F.col("__folder") != tail) | (tail == SEP))) \
+        .withColumn("__hash", F.xxhash64("__folder")).drop("__folder", "__tail")
+    start = F.expr("substring(path, __at, __n)")
+    cut = above.join(lengths, "__hash").filter(F.length("path") - F.col("__at") + 1 >= F.col("__n")) \
+        .filter(path_depth(parent_dir(start)) == F.col("__depth")).drop("__hash", "__depth") \
+        .withColumn("__start", F.xxhash64(start))
+    return cut.join(pp.select("matched_path", F.xxhash64("matched_path").alias("__start")), "__start") \
+        .filter(start == F.col("matched_path")).drop("__start", "__at", "__n")
 
 
 GRAM = 3
@@ -136,15 +151,19 @@ def _grams(col: str, sizes, whole: bool):
 def _containing(df: DataFrame, patterns: DataFrame) -> DataFrame:
     """``df`` joined with the ``patterns`` (``matched_path``) that ``path`` contains, by equi-joins on grams: a pattern
     takes the gram (three characters, or itself if it is shorter) that the fewest paths hold, meets those paths, and is
-    then looked for in them. Gram sizes that no pattern has are not cut (a scalar subquery of the same plan)."""
+    then looked for in them. Gram sizes that no pattern has are not cut (a scalar subquery of the same plan). The grams
+    of a path are many times its size: only those that a pattern has are counted, and only chosen ones are exchanged,
+    if the patterns are too many to be sent."""
     sizes = patterns.agg(F.collect_set(F.least(F.length("matched_path"), F.lit(GRAM))).alias("s")).scalar()
-    asked = patterns.select("matched_path", F.explode(_grams("matched_path", None, True)).alias("__gram"))
+    asked, _few = broadcast_if_few(patterns.select("matched_path", F.explode(_grams("matched_path", None, True)).alias("__gram")))
     held = df.select("*", F.explode(_grams("path", sizes, False)).alias("__gram"))
-    often = held.join(asked.select("__gram").distinct(), "__gram", "left_semi").groupBy("__gram") \
-        .agg(F.count(F.lit(1)).alias("__n"))
+    often = matching(df.select(F.explode(_grams("path", sizes, False)).alias("__gram")), "__gram", asked) \
+        .groupBy("__gram").agg(F.count(F.lit(1)).alias("__n"))
     rarest = asked.join(often, "__gram", "left").groupBy("matched_path") \
         .agg(F.min(F.struct(F.coalesce("__n", F.lit(0)).alias("n"), "__gram")).alias("g"))
-    chosen = rarest.filter("g.n > 0").select("matched_path", F.col("g.__gram").alias("__gram"))
+    chosen, few = broadcast_if_few(rarest.filter("g.n > 0").select("matched_path", F.col("g.__gram").alias("__gram")))
+    if not few:
+        held = matching(held, "__gram", chosen)
     return held.join(chosen, "__gram").filter(F.col("path").contains(F.col("matched_path"))).drop("__gram")
 
 

@@ -30,3 +30,12 @@ def matching(table: DataFrame, key: str, batch: DataFrame, batch_key: str | None
     if keys.count() > bound:
         return table
     return table.join(F.broadcast(keys), F.col(key) == F.col("__key"), "left_semi")
+
+
+def broadcast_if_few(keys: DataFrame, bound: int = BATCH_KEYS) -> tuple[DataFrame, bool]:
+    """``keys`` written once, with a broadcast hint where they are at most ``bound``, and whether they are. A table made
+    on the driver has no size that the planner knows, and would have the other side exchanged."""
+    checkpoint_dir(keys.sparkSession)
+    keys = keys.checkpoint(eager=True)
+    few = keys.count() <= bound
+    return (F.broadcast(keys) if few else keys), few

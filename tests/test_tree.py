@@ -95,6 +95,44 @@ def test_contains_equals_substring_test(spark, inv):
     assert got.count() > 0
 
 
+def exchanged_bytes(df):
+    """What the shuffle exchanges of a plan that has run have written."""
+    plan, total, stack = df._jdf.queryExecution().executedPlan(), 0, []
+    df.collect()
+    stack.append(plan.finalPhysicalPlan() if hasattr(plan, "finalPhysicalPlan") else plan)
+    while stack:
+        node = stack.pop()
+        name = node.nodeName()
+        if name == "Exchange":
+            total += node.metrics().apply("shuffleBytesWritten").value()
+        stack += [node.plan()] if name in ("ShuffleQueryStage", "BroadcastQueryStage") else []
+        children = node.children()
+        stack += [children.apply(k) for k in range(children.size())]
+    return total
+
+
+def test_grams_of_paths_are_not_exchanged(spark, tmp_path):
+    spark.range(20_000).select(F.concat(F.lit("/r/"), F.sha2(F.col("id").cast("string"), 256)).alias("path"),
+                               F.col("id").cast("string").alias("drive_id")).write.parquet(str(tmp_path / "a"))
+    archive = spark.read.parquet(str(tmp_path / "a"))  # some 60 grams a path
+    pats = archive.filter("drive_id < '11'").select(F.substring("path", 20, 20).alias("path"))
+    got = D.descendants_join(archive, pats, mode="contains")
+    assert exchanged_bytes(got) < 1_000_000  # the paths alone are over 1 MB
+    want = archive.crossJoin(F.broadcast(pats.withColumnRenamed("path", "matched_path"))) \
+        .filter(F.col("path").contains(F.col("matched_path")))
+    assert sorted(got.collect()) == sorted(want.collect()) and got.count() > 0
+
+
+def test_prefixes_from_any_separator_on(spark):
+    names = ["/", "/a", "/a/b", "/a/b/c", "/b/a/b", "/b/a/bc", "/a/a/a", "/c/é/ab", "/é/a"]
+    archive = spark.createDataFrame([(p, str(k)) for k, p in enumerate(names)], "path string, drive_id string")
+    pats = ["/", "/a", "/a/", "/a/b", "/b/a", "/é", "/é/a", "/a/a", "/x", "/b"]
+    patterns = spark.createDataFrame([(p,) for p in pats], "path string")
+    for mode, test in (("prefix", str.startswith), ("contains", str.__contains__)):
+        got = D.descendants_join(archive, patterns, mode=mode).select("path", "matched_path").collect()
+        assert sorted(map(tuple, got)) == sorted((n, p) for n in names for p in pats if test(n, p))
+
+
 def test_depth_guard_counts_levels(spark):
     chain = [node("d0", "d0", None)] + [node(f"d{k}", f"d{k}", f"d{k - 1}") for k in range(1, 6)]
     remote = spark.createDataFrame(chain, COLS)
