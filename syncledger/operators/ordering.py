@@ -126,7 +126,8 @@ def free_name(plan: DataFrame, local: DataFrame, dest_col: str = "dest_path", or
             .withColumn("__ext", F.regexp_extract(name, _NAME_RE, 4))
     key = ["__dir", "__stem", "__ext"]
     names = local.select(F.col("path").alias("__p")).unionByName(plan.select(F.col(dest_col).alias("__p")))
-    used = parts(names.filter("__p IS NOT NULL"), "__p").groupBy(*key) \
+    numbered = names.filter(F.col("__p").contains(" ("))  # a name without a number counts as 0, as no name does
+    used = parts(numbered, "__p").groupBy(*key) \
         .agg(F.max(F.coalesce(F.expr("try_cast(__num AS bigint)"), F.lit(0))).alias("__max"))
     ranked = group_row_number(parts(plan, dest_col), key, [order_col, dest_col], out="__rank")
     keyed = ranked.join(used, key, "left")
