@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.paths import is_descendant_or_self, replace_prefix
-from .semijoin import matching
+from ..session import checkpoint_dir
+from .semijoin import BATCH_KEYS, broadcast_if_few
 
 ARCHIVE_COLS = ["path", "drive_id", "date_modified_on_disk", "md5sum"]
 FOLDER_MD5 = ""  # fixed value: the md5 stored for folders
@@ -22,6 +23,12 @@ class UniquenessError(ValueError):
     """An insert would break the uniqueness of ``path`` or ``drive_id``."""
 
 
+def _once(df: DataFrame) -> DataFrame:
+    """Rows written to the shared folder: what is read several times is worked out once."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def _latest(updates: DataFrame, key: str, seq_col: str) -> DataFrame:
     """Last update per key (by ``seq_col``); partial aggregation keeps a hot key cheap."""
     cols = [c for c in updates.columns if c != key]
@@ -38,12 +45,18 @@ def upsert_archive(archive: DataFrame, updates: DataFrame, seq_col: str = "seq",
     error (a few keys are read back), as both columns are unique; ``check=False``
     leaves the test to the caller (:func:`path_clashes`, :func:`check_unique`)."""
     a = archive.select(*ARCHIVE_COLS)
+    if check:  # the updates may be a whole plan, and are read several times from here on
+        updates = _once(updates.select(*ARCHIVE_COLS, seq_col))
     by_id = _latest(updates.filter(F.col("drive_id").isNotNull()).select(*ARCHIVE_COLS, seq_col), "drive_id",
                     seq_col).select(*ARCHIVE_COLS, F.col(seq_col).alias("__useq"))
     # replace-or-insert by id: rows whose id is updated leave, the latest updates come in.
     # A left anti join (not a full outer join) lets AQE broadcast a small update set,
     # so a handful of updates does not shuffle the whole archive.
-    kept = a.join(by_id.select("drive_id"), "drive_id", "left_anti").select(*ARCHIVE_COLS)
+    ids = by_id.select("drive_id")
+    if check:
+        by_id = _once(by_id)
+        ids, _few = broadcast_if_few(by_id.select("drive_id"))
+    kept = a.join(ids, "drive_id", "left_anti").select(*ARCHIVE_COLS)
     if check:
         bad = [r["path"] for r in _clashes(kept, by_id).limit(5).collect()]
         if bad:
@@ -53,6 +66,8 @@ def upsert_archive(archive: DataFrame, updates: DataFrame, seq_col: str = "seq",
     by_path = _latest(by_path_src.select("path", "date_modified_on_disk", "md5sum", seq_col), "path", seq_col)
     p = by_path.select(F.col("path").alias("__p"), F.col("date_modified_on_disk").alias("__pt"),
                        F.col("md5sum").alias("__pm"), F.col(seq_col).alias("__pseq"))
+    if check:
+        p, _few = broadcast_if_few(p, BATCH_KEYS // 10)
     j2 = merged.join(p, F.col("path") == F.col("__p"), "left")
     hit = F.col("__p").isNotNull() & (F.col("__useq").isNull() | (F.col("__pseq") >= F.col("__useq")))
     return j2.select(
@@ -62,18 +77,19 @@ def upsert_archive(archive: DataFrame, updates: DataFrame, seq_col: str = "seq",
 
 
 def _touched(archive: DataFrame, batch: DataFrame, key: str) -> DataFrame:
-    """The archive rows whose ``key`` occurs in ``batch``."""
-    few = matching(archive, key, batch)
-    if few is archive:  # too many keys to send
-        return archive.join(batch.select(key).distinct(), key, "left_semi").select(archive.columns)
-    return few
+    """The archive rows whose ``key`` occurs in ``batch``, whose keys are worked out once. Few keys are sent to the
+    archive; for none of them it is not read."""
+    keys, _few = broadcast_if_few(batch.select(key).filter(F.col(key).isNotNull()).distinct())
+    if keys.isEmpty():
+        return archive.filter(F.lit(False))
+    return archive.join(keys, key, "left_semi").select(archive.columns)
 
 
 def upsert_changes(archive: DataFrame, updates: DataFrame, seq_col: str = "seq", check: bool = True) -> DataFrame:
     """U1 as a delta: only the rows that :func:`upsert_archive` would write, with ``removed`` false. The archive is
     scanned for the ids and paths of the updates, and not rewritten; clashes are found as there."""
-    a = archive.select(*ARCHIVE_COLS)
-    touched = _touched(a, updates, "drive_id").unionByName(_touched(a, updates, "path")).distinct()
+    a, updates = archive.select(*ARCHIVE_COLS), _once(updates.select(*ARCHIVE_COLS, seq_col))
+    touched = _once(_touched(a, updates, "drive_id").unionByName(_touched(a, updates, "path")).distinct())
     return upsert_archive(touched, updates, seq_col, check).withColumn("removed", F.lit(False))
 
 
@@ -85,7 +101,7 @@ def delete_changes(archive: DataFrame, keys: DataFrame, field: str = "drive_id",
 
 def _clashes(kept: DataFrame, by_id: DataFrame) -> DataFrame:
     moved = by_id.groupBy("path").agg(F.count(F.lit(1)).alias("n"))
-    return kept.select("path").join(moved.select("path"), "path", "left_semi") \
+    return _touched(kept.select("path"), moved, "path") \
         .unionByName(moved.filter("n > 1").select("path")).distinct()
 
 

@@ -17,8 +17,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.globs import match_rules, rules_regex
-from ..functions.paths import SEP, ancestors, basename, parent_dir
-from .semijoin import null_safe_key
+from ..functions.paths import SEP, ancestors, basename, parent_dir, path_depth
+from .semijoin import broadcast_if_few, null_safe_key
+
+#: Excluded paths of so many depths are looked for depth by depth.
+MOST_DEPTHS = 16
+#: A table of so many excluded paths is sent to rows that are looked up by their own path.
+FEW_PATHS = 1000
 
 
 @dataclass(frozen=True)
@@ -117,7 +122,8 @@ def is_excluded(df: DataFrame, path_col: str, ex: Exclusions, out: str = "exclud
     if table is None:
         return df.withColumn(out, by_rule)
     key = null_safe_key(F.col(path_col), row, "nopath")
-    hits = table.select(F.col("path").alias("__xp"), F.lit(True).alias("__xhit"))
+    sent, few = broadcast_if_few(table, FEW_PATHS)
+    hits = (sent if few else table).select(F.col("path").alias("__xp"), F.lit(True).alias("__xhit"))
     joined = df.withColumn("__xkey", key).join(hits, F.col("__xkey") == F.col("__xp"), "left")
     return joined.withColumn(out, F.col("__xhit").isNotNull() | by_rule).drop("__xp", "__xhit", "__xkey")
 
@@ -131,6 +137,18 @@ def _stop_depth(path: Column, stops) -> Column:
     return depth
 
 
+def _at_depths(df: DataFrame, path: Column, table: DataFrame, depths: list[int], out: str) -> DataFrame:
+    """``out`` is true as well where an ancestor-or-self in scope (from ``__from`` on) is in the ``table`` of few paths:
+    one broadcast join for each depth that its paths have, so the rows are not exchanged."""
+    chain = ancestors(path)
+    for d in depths:
+        at = table.filter(path_depth(F.col("path")) == d).select(F.col("path").alias("__xp"))
+        here = F.when(F.col("__from") <= d + 1, F.get(chain, F.lit(d)))
+        df = df.withColumn("__xa", here).join(F.broadcast(at), F.col("__xa") == F.col("__xp"), "left") \
+            .withColumn(out, F.col(out) | F.col("__xp").isNotNull()).drop("__xa", "__xp")
+    return df
+
+
 def _any_excluded(df: DataFrame, path_col: str, ex: Exclusions, stops, include_stop: bool, out: str) -> DataFrame:
     """Some ancestor-or-self of the path in scope is an excluded path or has a name that matches a rule. The scope
     begins below (or at) the deepest stop path; it is one slice, by depth, of the names and of the ancestors."""
@@ -144,6 +162,12 @@ def _any_excluded(df: DataFrame, path_col: str, ex: Exclusions, stops, include_s
     else:
         by_rule = F.lit(False)
     flagged = scoped.withColumn(out, by_rule)
+    if table is not None:
+        table, few = broadcast_if_few(table)
+        depths = [r[0] for r in table.select(path_depth(F.col("path"))).distinct().limit(MOST_DEPTHS + 1).collect()]
+        if few and len(depths) <= MOST_DEPTHS:
+            flagged = _at_depths(flagged, path, table, sorted(depths), out)
+            table = None
     if table is None and ex.rules_df is None:
         return flagged.drop("__from")
     found = []

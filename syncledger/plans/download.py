@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..fixtures import FOLDER_MIME
 from ..functions.mime import DEFAULT_MIME
-from ..functions.paths import basename, join_path, parent_dir, strip_first_segment
+from ..functions.paths import basename, is_descendant_or_self, join_path, parent_dir, strip_first_segment
 from ..operators.catalog import record_uploads
 from ..operators.diff import lookup, tracked_roots
 from ..operators.exclude import Exclusions
@@ -44,7 +44,8 @@ def download_folder_plan(remote: DataFrame, archive: DataFrame, local: DataFrame
     plan = dec.select("decision", "why", "type", "file_id", F.col("path").alias("remote_path"),
                       join_path(F.lit(local_path), strip_first_segment(F.col("path"))).alias("dest_path"),
                       "md5sum", "size")
-    out = collides(_once(plan), local, "dest_path")
+    below = local.filter(is_descendant_or_self(F.col("path"), F.lit(local_path)))  # where all destinations are
+    out = collides(_once(plan), below, "dest_path")
     return out.withColumn("conflict", (F.col("decision") == -1) | F.col("exists_locally"))
 
 
@@ -101,7 +102,8 @@ def apply_uploads(remote: DataFrame, archive: DataFrame, results: DataFrame) ->
     """The remote listing and the archive after uploads (U5): ``results(path,
     drive_id, is_dir, mtime, md5sum, size)``. Nodes that exist take the time, md5
     and size; new ones hang under the id their parent folder has by then."""
-    after = record_uploads(archive, results.select("path", "drive_id", "mtime", "md5sum"))
+    results = _once(results)  # a whole plan, read several times here and wherever its outcome is
+    after = _once(record_uploads(archive, results.select("path", "drive_id", "mtime", "md5sum")))
     r = results.select(F.col("drive_id").alias("__rid"), F.col("mtime").alias("__time"), F.col("md5sum").alias("__md5"),
                        F.col("size").alias("__size"), F.lit(True).alias("__up"))
     is_file = F.col("__up") & (F.col("mime_type") != FOLDER_MIME)
@@ -116,7 +118,7 @@ def apply_uploads(remote: DataFrame, archive: DataFrame, results: DataFrame) ->
         F.when(F.col("is_dir"), FOLDER_MIME).otherwise(DEFAULT_MIME).alias("mime_type"),
         F.when(~F.col("is_dir"), F.col("md5sum")).alias("md5sum"), F.col("mtime").alias("modified_time"),
         F.col("size").cast("bigint").alias("size"), F.lit(False).alias("trashed"))
-    return changed.unionByName(nodes.select(*remote.columns)), after
+    return _once(changed.unionByName(nodes.select(*remote.columns))), after
 
 
 def folder_sync_plan(upload: DataFrame, download: DataFrame) -> DataFrame:

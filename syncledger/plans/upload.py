@@ -17,6 +17,7 @@ from ..operators.catalog import FOLDER_MD5, upsert_archive
 from ..operators.diff import lookup
 from ..operators.exclude import Exclusions, prune_excluded
 from ..operators.reconcile import needs_upload
+from ..operators.semijoin import broadcast_if_few
 
 PLAN_COLS = ["root", "op", "type", "path", "drive_id", "parent_path", "parent_id", "stage", "depth", "size"]
 
@@ -41,8 +42,14 @@ def upload_plan(local: DataFrame, archive: DataFrame, ex: Exclusions, roots, roo
     ``root_id`` (or ``root_ids[root]``); other unarchived parents are created
     by the plan itself (``parent_id`` NULL, resolve via ``parent_path``).
     """
+    roots = list(roots)
     pr = prune_excluded(local, "path", ex, roots, out="__pruned")
     walked = pr.filter(F.col("root").isNotNull() & ~F.col("__pruned")).drop("__pruned")
+    # all that is looked up lies at or below a root, or is a root's parent
+    near, above = F.lit(False), [r.rstrip("/").rpartition("/")[0] or "/" for r in roots]
+    for r in roots:
+        near = near | is_descendant_or_self(F.col("path"), F.lit(r))
+    archive = archive.filter(near | F.col("path").isin(above))
     cand = needs_upload(walked, archive)
     if root_ids:
         m = F.create_map(*[x for k, v in root_ids.items() for x in (F.lit(k), F.lit(v))])
@@ -61,7 +68,7 @@ def link_root(local: DataFrame, archive: DataFrame, folder_id: str, local_path:
         F.lit(FOLDER_MD5).alias("md5sum"), F.lit(0).alias("seq"))
     other = (F.col("path") == local_path) & (F.col("drive_id") != folder_id)
     replaced = archive.filter(other).join(link.select("path"), "path", "left_semi").select("drive_id")
-    return upsert_archive(archive.join(replaced, "drive_id", "left_anti"), link)
+    return upsert_archive(archive.join(broadcast_if_few(replaced)[0], "drive_id", "left_anti"), link)
 
 
 def upload_sync_plan(local: DataFrame, archive: DataFrame, ex: Exclusions, folder_id: str,

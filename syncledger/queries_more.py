@@ -454,7 +454,7 @@ def q_p8_applied(spark, sf_dir):
     i = inv(spark, sf_dir)
     ex = excl(spark, sf_dir)
     linked = PU.link_root(i.L, i.A, WALK_FOLDER, WALK_LOCAL)
-    up = PU.upload_sync_plan(i.L, i.A, ex, WALK_FOLDER, WALK_LOCAL)
+    up = PD._once(PU.upload_sync_plan(i.L, i.A, ex, WALK_FOLDER, WALK_LOCAL))
     rows = i.L.select("path", "is_dir", "mtime", F.when(F.col("is_dir"), "").otherwise(F.col("md5sum")).alias("md5sum"))
     results = up.select("path", F.coalesce("drive_id", F.concat(F.lit("u-"), F.md5("path"))).alias("drive_id"), "size") \
         .join(rows, "path")

@@ -200,3 +200,49 @@ def test_nested_stops(spark):
                     down = {r["path"]: r["pruned"] for r in prune_excluded(rows, "path", ex, sorted(plain)).collect()}
                     under = {p for p in tree if any(p == s or p.startswith(s.rstrip("/") + "/") for s in plain)}
                     assert down == {p: by_hand(p, paths, names, plain, True) if p in under else None for p in tree}
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_excluded_ancestors_exchange_no_listing(spark, big, no_broadcast, few, monkeypatch):
+    from syncledger.operators import exclude as X
+    paths = spark.createDataFrame([("/r/d7",), ("/r/d8/f8",), ("/",), ("/r/d9/x",), ("/nowhere/a/b/c",)], "path string")
+    if not few:
+        monkeypatch.setattr(X, "MOST_DEPTHS", 2)  # the join of exploded ancestors
+    for stops, hits in (([], 200_000), (["/r"], 2001), (["/r/d7"], 200_000 - 2000)):
+        flagged = is_excluded_up(big["local"], "path", Exclusions((), (), paths), stops)
+        assert flagged.filter("excluded").count() == hits
+        assert not few or not exchanged(flagged, "local")
+
+
+def counted(spark, df, col):
+    """``df`` with a column read through a function that counts its calls."""
+    calls = spark.sparkContext.accumulator(0)
+
+    def note(value):
+        calls.add(1)
+        return value
+
+    return df.withColumn(col, F.udf(note, "string")(col)), calls
+
+
+def test_updates_are_worked_out_once(spark, big):
+    from syncledger.operators import catalog as U
+    from syncledger.plans.download import apply_uploads
+    rows = [(f"/r/d{k % 100}/f{k}", f"f{k}", False, NOON, "c", 1) for k in range(50)] + [("/r/d1/new", "n1", False, NOON, "c", 1)]
+    results = spark.createDataFrame(rows, "path string, drive_id string, is_dir boolean, mtime timestamp_ntz, md5sum string, size bigint")
+    for update in (U.record_uploads, lambda a, r: apply_uploads(spark.createDataFrame([], NODES), a, r)[1],
+                   lambda a, r: U.upsert_changes(a, r.withColumnRenamed("mtime", "date_modified_on_disk").withColumn("seq", F.lit(1)))):
+        given, calls = counted(spark, results, "drive_id")
+        after = update(big["archive"], given)
+        assert after.filter("md5sum = 'c'").count() == 51 and calls.value == 51
+
+
+def test_names_without_a_number_are_not_exchanged(spark):
+    from test_tree import exchanged_bytes
+    from syncledger.operators.ordering import free_name
+    local = spark.range(20_000).select(F.concat(F.lit("/d/"), F.sha2(F.col("id").cast("string"), 256)).alias("path")) \
+        .unionByName(spark.createDataFrame([("/d/a (4).txt",), ("/d/a.txt",)], "path string"))
+    plan = spark.createDataFrame([(1, "/d/a.txt"), (2, "/d/b.txt")], "seq int, dest_path string")
+    out = free_name(plan, local)
+    assert exchanged_bytes(out) < 100_000
+    assert {r["free_path"] for r in out.collect()} == {"/d/a (5).txt", "/d/b (1).txt"}
