@@ -185,7 +185,8 @@ def resolve_parent(df: DataFrame, archive: DataFrame, path_col: str = "path", fa
 def tracked_roots(roots: DataFrame, archive: DataFrame, extra: tuple[str, str] | None = None) -> DataFrame:
     """``drive_id -> base_path`` for sync roots present in the archive;
     ``extra = (root_id, default_path)`` adds (and overrides) one untracked root."""
-    tracked = roots.select("path").join(archive.select("path", "drive_id"), "path") \
+    paths, _ = broadcast_if_few(roots.select("path"))  # one row per configured root
+    tracked = archive.select("path", "drive_id").join(paths, "path") \
         .select("drive_id", F.col("path").alias("base_path"))
     if extra is None:
         return tracked

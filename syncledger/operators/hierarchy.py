@@ -43,18 +43,23 @@ class TreeCycle(TreeTooDeep):
     """Nodes that are their own ancestors."""
 
 
+def _cut(df: DataFrame, **conditions: Column) -> tuple[DataFrame, dict]:
+    """Checkpoint ``df`` and, in the same job, count the rows that meet each condition (an ``Observation`` read after
+    the eager checkpoint)."""
+    checkpoint_dir(df.sparkSession)
+    obs = Observation()
+    cut = df.observe(obs, *[F.count(F.when(c, F.lit(1))).alias(name) for name, c in conditions.items()]) \
+        .checkpoint(eager=True)
+    return cut, obs.get
+
+
 def _cut_count(df: DataFrame, open_rows: Column, depth: int = 0, max_depth: int | None = None,
                cycle: Column | None = None) -> tuple[DataFrame, int]:
     """Checkpoint a level and, in the same job, count its rows that still
-    need another step (an ``Observation`` read after the eager checkpoint).
+    need another step.
     A row of a parent cycle (``cycle`` true) raises :class:`TreeCycle`, a
     non-empty level deeper than ``max_depth`` :class:`TreeTooDeep`."""
-    checkpoint_dir(df.sparkSession)
-    obs = Observation()
-    cut = df.observe(obs, F.count(F.when(open_rows, F.lit(1))).alias("n_open"), F.count(F.lit(1)).alias("n_rows"),
-                     F.count(F.when(F.lit(False) if cycle is None else cycle, F.lit(1))).alias("n_cycle")) \
-        .checkpoint(eager=True)
-    metrics = obs.get
+    cut, metrics = _cut(df, n_open=open_rows, n_rows=F.lit(True), n_cycle=F.lit(False) if cycle is None else cycle)
     if metrics["n_cycle"]:
         raise TreeCycle(f"{metrics['n_cycle']} nodes met themselves again {depth} levels away (parent cycle)")
     if max_depth is not None and depth > max_depth and metrics["n_rows"]:
@@ -219,9 +224,32 @@ def chains(remote: DataFrame, ids: DataFrame, id_col: str = "file_id", carry=("n
            max_depth: int | None = None, kept: DataFrame | None = None) -> DataFrame:
     """One row per distinct id: ``start_id``, ``chain`` (self first; empty for an unknown id) and ``found``, written
     once. ``kept`` is the :func:`lineage` of the same listing and ``carry``, where there is one already. An id on or
-    below a parent cycle raises :class:`TreeCycle`, one below more than ``max_depth`` ancestors :class:`TreeTooDeep`."""
+    below a parent cycle raises :class:`TreeCycle`, one below more than ``max_depth`` ancestors :class:`TreeTooDeep`.
+
+    An id that is somebody's parent has its chain in the lineage; the listing is read for the other ids only."""
     kept = lineage(remote, carry) if kept is None else kept
     starts = ids.select(F.col(id_col).alias("start_id")).distinct()
+    own = kept.select(F.col("file_id").alias("__f"), "chain", "cyclic")
+    cut, n = _cut(starts.join(own, F.col("start_id") == F.col("__f"), "left"), cyclic=F.col("cyclic"),
+                  left=F.col("__f").isNull() & F.col("start_id").isNotNull())
+    if n["cyclic"]:
+        raise TreeCycle(f"{n['cyclic']} nodes on or below a parent cycle")
+    known = cut.filter("__f IS NOT NULL").select("start_id", "chain", F.lit(True).alias("found"))
+    left = cut.filter("__f IS NULL").select("start_id")
+    if n["left"]:
+        out = known.unionByName(_leaf_chains(remote, left, carry, kept))
+    else:
+        none = F.array().cast(_type(remote, carry))
+        out = known.unionByName(left.select("start_id", none.alias("chain"), F.lit(False).alias("found")))
+    if max_depth is not None:
+        n_deep = out.filter(F.size("chain") > max_depth + 1).count()
+        if n_deep:
+            raise TreeTooDeep(f"{n_deep} nodes have more than {max_depth} ancestors")
+    return out
+
+
+def _leaf_chains(remote: DataFrame, starts: DataFrame, carry, kept: DataFrame) -> DataFrame:
+    """:func:`chains` of ids that are nobody's parent (or not in the listing): themselves and their parents' chains."""
     elem = F.struct(F.col("file_id").alias("id"), *[F.col(c) for c in carry])
     own = matching(remote, "file_id", starts, "start_id").select(
         F.col("file_id"), F.col("parent_id").alias("__parent"), F.array(elem).alias("__own"))
@@ -234,10 +262,7 @@ def chains(remote: DataFrame, ids: DataFrame, id_col: str = "file_id", carry=("n
     out = j.select("start_id", F.when(F.col("file_id").isNull(), F.array().cast(_type(remote, carry)))
                    .otherwise(F.concat("__own", F.coalesce("__above", none))).alias("chain"),
                    F.col("file_id").isNotNull().alias("found"), met.alias("__cyclic"))
-    too_deep = F.lit(False) if max_depth is None else F.size("chain") > max_depth + 1
-    cut, n_deep = _cut_count(out, too_deep, cycle=F.col("__cyclic"))
-    if n_deep:
-        raise TreeTooDeep(f"{n_deep} nodes have more than {max_depth} ancestors")
+    cut, _ = _cut_count(out, F.lit(False), cycle=F.col("__cyclic"))
     return cut.drop("__cyclic")
 
 
@@ -334,10 +359,25 @@ def nearest_tracked_ancestor(changes: DataFrame, remote: DataFrame, archive: Dat
     ``kept``: the listing's :func:`lineage`, if it is there already."""
     root_ids, ignored_ids = list(root_ids), list(ignored_ids)
     pairs = changes.select("file_id", "parent_id").distinct()
-    ch = chains(remote.select("file_id", "parent_id", "name"), pairs.filter(F.col("parent_id").isNotNull()),
+    ch, _ = tracked_parents(pairs, remote, archive, root_ids, ignored_ids, max_depth, kept)
+    key = null_safe_key(F.col("parent_id"), F.coalesce("file_id", F.lit("")), "noparent")
+    out = pairs.withColumn("__key", key).join(ch, F.col("__key") == F.col("__p"), "left")
+    self_block = (F.col("file_id").isin(root_ids + ignored_ids)) if (root_ids or ignored_ids) else F.lit(False)
+    tracked = F.when(self_block | F.col("parent_id").isNull(), F.lit(None).cast("string")).otherwise(F.col("__tracked"))
+    return out.select("file_id", "parent_id", tracked.alias("tracked_id"),
+                      F.when(tracked.isNotNull(), F.col("__mid")).alias("mid_path"))
+
+
+def tracked_parents(changes: DataFrame, remote: DataFrame, archive: DataFrame, root_ids: list, ignored_ids: list,
+                    max_depth: int | None = None, kept: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """J8 by parent, which is all it depends on but for the changed id's own test: ``__p`` (a parent of ``changes``),
+    ``__tracked`` and ``__mid``, without parents that meet neither a tracked nor an ignored node. With it the archived
+    nodes on their way, ``id, archive_path``, written once."""
+    ch = chains(remote.select("file_id", "parent_id", "name"), changes.filter(F.col("parent_id").isNotNull()),
                 "parent_id", max_depth=max_depth, kept=kept)
-    archived = _archived_among(ch, archive).select("id", F.lit(True).alias("archived"))
-    steps = ch.select("start_id", F.posexplode(F.col("chain")["id"]).alias("depth", "id")).join(archived, "id", "left")
+    archived = _archived_among(ch, archive).checkpoint(eager=True)
+    hits = archived.select("id", F.lit(True).alias("archived"))
+    steps = ch.select("start_id", F.posexplode(F.col("chain")["id"]).alias("depth", "id")).join(hits, "id", "left")
     is_root = F.col("id").isin(root_ids) if root_ids else F.lit(False)
     is_ign = F.col("id").isin(ignored_ids) if ignored_ids else F.lit(False)
     tag = F.when(is_ign, "ignored").when(is_root | F.col("archived"), "tracked")
@@ -347,12 +387,7 @@ def nearest_tracked_ancestor(changes: DataFrame, remote: DataFrame, archive: Dat
     ch = ch.join(first, "start_id").select(
         F.col("start_id").alias("__p"), F.when(F.col("hit.tag") == "tracked", F.col("hit.id")).alias("__tracked"),
         F.array_join(F.reverse(names), "/").alias("__mid"))
-    key = null_safe_key(F.col("parent_id"), F.coalesce("file_id", F.lit("")), "noparent")
-    out = pairs.withColumn("__key", key).join(ch, F.col("__key") == F.col("__p"), "left")
-    self_block = (F.col("file_id").isin(root_ids + ignored_ids)) if (root_ids or ignored_ids) else F.lit(False)
-    tracked = F.when(self_block | F.col("parent_id").isNull(), F.lit(None).cast("string")).otherwise(F.col("__tracked"))
-    return out.select("file_id", "parent_id", tracked.alias("tracked_id"),
-                      F.when(tracked.isNotNull(), F.col("__mid")).alias("mid_path"))
+    return ch, archived
 
 
 def parent_archive(remote: DataFrame, archive: DataFrame, ids: DataFrame, id_col: str = "file_id",

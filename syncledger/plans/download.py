@@ -18,9 +18,9 @@ from ..functions.paths import basename, is_descendant_or_self, join_path, parent
 from ..operators.catalog import record_uploads
 from ..operators.diff import lookup, tracked_roots
 from ..operators.exclude import Exclusions
-from ..operators.hierarchy import nearest_tracked_ancestor, walk
+from ..operators.hierarchy import tracked_parents, walk
 from ..operators.reconcile import NEUTRAL, collides, reconcile
-from ..operators.semijoin import matching
+from ..operators.semijoin import broadcast_if_few, matching
 from ..session import checkpoint_dir
 from ..sources.listing import read_changes
 from ..streaming.feed import changed_since
@@ -66,24 +66,25 @@ def download_changes_plan(changes: DataFrame, remote: DataFrame, archive: DataFr
     exchanges neither. ``kept``: the remote listing's ``lineage``, if it is there
     already (a stream works it out once).
     """
-    tracked = tracked_roots(roots, archive, extra_root)
+    tracked, _ = broadcast_if_few(tracked_roots(roots, archive, extra_root))
     root_ids = sorted(r[0] for r in tracked.select("drive_id").collect())  # one row per configured root
     c = changes if start_seq is None else read_changes(changes, start_seq, include_removed=False)
     c = c.filter(~F.col("removed") & ~F.coalesce(F.col("trashed"), F.lit(False)))
     c = changed_since(c, last_sync)
-    anc = nearest_tracked_ancestor(c, remote, archive, root_ids, ignored_ids, kept=kept)
-    anc = anc.filter(F.col("tracked_id").isNotNull())
-    ev = _once(c.join(anc, ["file_id", "parent_id"]))
-    dec = reconcile(ev, archive, local, ex, folder_time=True, batch=True).filter(F.col("decision") != NEUTRAL)
-    a = matching(archive, "drive_id", ev, "tracked_id").select(F.col("drive_id").alias("__tid"), F.col("path").alias("__tpath"))
+    ignored_ids = list(ignored_ids)
+    parents, archived = tracked_parents(c, remote, archive, root_ids, ignored_ids, kept=kept)
+    a = archived.select(F.col("id").alias("__tid"), F.col("archive_path").alias("__tpath"))
     t = tracked.select(F.col("drive_id").alias("__tid2"), F.col("base_path").alias("__tbase"))
-    dec = dec.join(a, F.col("tracked_id") == F.col("__tid"), "left") \
-        .join(t, F.col("tracked_id") == F.col("__tid2"), "left")
-    pre = F.coalesce(F.col("__tpath"), F.col("__tbase"))
-    plan = dec.select("seq", "file_id", "type", "decision", "why", F.col("tracked_id").alias("root_parent_id"),
-                      join_path(pre, F.col("mid_path"), F.col("name")).alias("dest_path"),
-                      F.coalesce(F.col("md5sum"), F.lit("")).alias("md5sum"))
-    plan = _once(plan)
+    parents = parents.filter("__tracked IS NOT NULL").join(a, F.col("__tracked") == F.col("__tid"), "left") \
+        .join(t, F.col("__tracked") == F.col("__tid2"), "left") \
+        .select("__p", "__tracked", "__mid", F.coalesce("__tpath", "__tbase").alias("__pre"))
+    top = F.coalesce(F.col("file_id").isin(root_ids + ignored_ids), F.lit(False))  # neither roots nor ignored ids
+    ev = _once(c.filter(F.col("file_id").isNotNull() & ~top).join(parents, F.col("parent_id") == F.col("__p")).select(
+        "seq", "file_id", "mime_type", "md5sum", "modified_time", F.col("__tracked").alias("root_parent_id"),
+        join_path(F.col("__pre"), F.col("__mid"), F.col("name")).alias("dest_path")))
+    dec = reconcile(ev, archive, local, ex, folder_time=True, batch=True).filter(F.col("decision") != NEUTRAL)
+    plan = _once(dec.select("seq", "file_id", "type", "decision", "why", "root_parent_id", "dest_path",
+                            F.coalesce(F.col("md5sum"), F.lit("")).alias("md5sum")))
     out = collides(plan, matching(local, "path", plan, "dest_path"), "dest_path")
     return out.withColumn("conflict", (F.col("decision") == -1) | F.col("exists_locally"))
 

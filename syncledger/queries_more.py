@@ -330,10 +330,11 @@ def q_v2_clashes(spark, sf_dir):
     i = inv(spark, sf_dir)
     base = _new_folder(spark, "clashes")
     top = i.C.agg(F.max("seq")).first()[0]
+    kept = H.lineage(i.R.select("file_id", "parent_id", "name"))  # one listing, three runs
     for until in (top // 3, 2 * top // 3, None):
         _run_to_end(V.stream_download_plan(V.stream_feed(spark, i.paths["changes"], until_seq=until), i.R, i.A, i.L,
                                            excl(spark, sf_dir), i.roots, LAST_SYNC, f"{base}/out", f"{base}/checkpoint",
-                                           ignored_ids=IGNORED_IDS))
+                                           ignored_ids=IGNORED_IDS, kept=kept))
     return V.read_output(spark, f"{base}/out").select("seq", "file_id", "decision", "why", "dest_path", "conflict",
                                                       "dup_dest")
 

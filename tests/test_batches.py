@@ -246,3 +246,43 @@ def test_names_without_a_number_are_not_exchanged(spark):
     out = free_name(plan, local)
     assert exchanged_bytes(out) < 100_000
     assert {r["free_path"] for r in out.collect()} == {"/d/a (5).txt", "/d/b (1).txt"}
+
+
+def test_parents_have_their_chains_without_the_listing(spark, no_broadcast):
+    nodes = spark.createDataFrame(chain(20) + [("leaf", "leaf", "d19", "text/plain", "m", None, 1, False)], NODES)
+    kept = H.lineage(nodes)
+    listing, calls = counted(spark, nodes.select("file_id", "parent_id", "name"), "name")
+    ids = spark.createDataFrame([("d12",), ("d19",), ("d12",), (None,)], "file_id string")
+    got = {r["start_id"]: (len(r["chain"]), r["found"]) for r in H.chains(listing, ids, kept=kept).collect()}
+    assert got == {"d12": (13, True), "d19": (20, True), None: (0, False)} and calls.value == 0
+    ids = spark.createDataFrame([("d12",), ("leaf",), ("gone",), (None,)], "file_id string")
+    got = {r["start_id"]: (len(r["chain"]), r["found"]) for r in H.chains(listing, ids, kept=kept).collect()}
+    assert got == {"d12": (13, True), "leaf": (21, True), "gone": (0, False), None: (0, False)} and calls.value > 0
+    with pytest.raises(H.TreeTooDeep):
+        H.chains(listing, ids, max_depth=15, kept=kept)
+
+
+def test_roots_exchange_no_archive(spark, big, no_broadcast):
+    from syncledger.operators.diff import tracked_roots
+    roots = spark.createDataFrame([("/r/d5/f5",), ("/r/d7/f100007",), ("/nowhere",)], "path string")
+    tracked = tracked_roots(roots, big["archive"])
+    assert {tuple(r) for r in tracked.collect()} == {("f5", "/r/d5/f5"), ("f100007", "/r/d7/f100007")}
+    assert not exchanged(tracked, "archive")
+
+
+def test_the_plan_of_events_keeps_what_ids_say_twice(spark):
+    """An archived id with two paths gives two destinations; roots, ignored ids and events without ids or parents none."""
+    remote = spark.createDataFrame([("d", "d", None, FOLDER, None, None, 0, False), ("e", "e", "d", FOLDER, None, None, 0, False)],
+                                   NODES)
+    archive = spark.createDataFrame([("/one", "d", NOON, ""), ("/two", "d", NOON, "")], "path string, drive_id string, "
+                                    "date_modified_on_disk timestamp_ntz, md5sum string")
+    local = spark.createDataFrame([], "path string, is_dir boolean, mtime timestamp_ntz, md5sum string, size bigint")
+    events = spark.createDataFrame(
+        [(k, i, False, False, "x", "text/plain", "m", p, NOON) for k, (i, p) in enumerate(
+            [("a", "e"), ("d", "e"), ("skip", "e"), (None, "e"), ("b", None), ("c", "gone")])],
+        "seq bigint, file_id string, removed boolean, trashed boolean, name string, mime_type string, md5sum string, "
+        "parent_id string, modified_time timestamp_ntz")
+    plan = download_changes_plan(events, remote, archive, local, Exclusions(), spark.createDataFrame([("/one",)], "path string"),
+                                 datetime.datetime(2020, 1, 1), ignored_ids=("skip",))
+    assert sorted((r["seq"], r["dest_path"], r["root_parent_id"]) for r in plan.collect()) == [
+        (0, "/one/e/x", "d"), (0, "/two/e/x", "d")]
