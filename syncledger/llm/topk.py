@@ -9,8 +9,11 @@ block at once. From the most significant digit downward the rows that are sure
 to be among the k best are set apart; rows that tie at the boundary are told
 apart by the smaller id. Scores are read from the slices, so all is exact.
 
-Every block of rows meets every block of queries in a task of its own, of a
-bounded size; the best of the blocks are merged in a tree.
+Every block of rows meets every block of queries, in tasks of a bounded size.
+The join that brings them together repeats both sides, so it never broadcasts:
+Spark would judge a side by its size before it is repeated. With many cells a
+block of rows is sent once to a group of blocks of queries. The best of the
+blocks are merged in a tree.
 
 Defined cases: vectors that are null, empty, or hold a null, a non-finite
 component, or one so large that sums of products exceed a long (see :func:`quantised`), take no part, nor do rows
@@ -37,6 +40,11 @@ SCALE = 64
 BLOCK_ROWS = 16_384
 BLOCK_QUERIES = 256
 FAN_IN = 256
+#: Blocks of queries are grouped as long as so many cells are left, so many in a group at most.
+GRID = 256
+GROUP = 64
+#: Tasks that the cells are dealt to at most.
+TASKS = 4096
 #: Rows of blocks in an Arrow batch; each may have a few MB.
 BATCH = 4
 _U = np.uint64
@@ -107,12 +115,15 @@ def index_blocks(vectors: DataFrame, blocks: int) -> DataFrame:
 
 
 def query_blocks(queries: DataFrame, blocks: int) -> DataFrame:
-    """(part, dim, query_ids, weights): one row per block of queries and length of vector, stored."""
+    """(part, dim, query_ids, weights): one row per block of queries and length of vector, stored; weights are as
+    narrow as their values allow."""
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for dim, ids, rows in _matrices(batches):
+            width = next(w for w in (np.int8, np.int16, np.int32, np.int64)
+                         if np.iinfo(w).min <= rows.min() and rows.max() <= np.iinfo(w).max)
             yield pa.record_batch([pa.array([TaskContext.get().partitionId()]), pa.array([dim]),
                                    pa.array([ids.astype(np.int64).tobytes()]),
-                                   pa.array([rows.astype(np.int64).tobytes()])],
+                                   pa.array([rows.astype(width).tobytes()])],
                                   ["part", "dim", "query_ids", "weights"])
 
     return stored(queries.repartition(blocks).mapInArrow(
@@ -204,7 +215,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
                 block = BitSlices(np.frombuffer(cell["ids"], np.int64), np.frombuffer(cell["low"], np.int64),
                                   np.frombuffer(cell["digits"], np.int64), cell["slices"])
                 query_ids = np.frombuffer(cell["query_ids"], np.int64)
-                weights = np.frombuffer(cell["weights"], np.int64).reshape(len(query_ids), cell["dim"])
+                width = len(cell["weights"]) // (len(query_ids) * cell["dim"])
+                weights = np.frombuffer(cell["weights"], f"i{width}").reshape(len(query_ids), cell["dim"]).astype(np.int64)
                 owner, found, score = [], [], []
                 for own, w in zip(query_ids.tolist(), weights, strict=True):
                     rows, sums = block.best(*block.add(w), own, k)
@@ -215,10 +227,16 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
                 yield pa.record_batch([*columns, pa.array(np.full(len(columns[0]), cell["block"]))],
                                       ["query_id", "vec_id", "score", "block"])
 
-    cells = index.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_parts - 1).cast("bigint")))) \
-        .join(parts.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                                             F.lit(n_blocks - 1).cast("bigint")))),
-              ["block", "part", "dim"])
+    per_group = min(GROUP, max(1, n_blocks * n_parts // GRID))
+    n_groups = -(-n_parts // per_group)
+    keys = ["block", "group", "dim"]
+
+    def each(df: DataFrame, name: str, n: int) -> DataFrame:
+        every = df.withColumn(name, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))))
+        return every.repartition(min(n_blocks * n_groups, TASKS), *keys).hint("merge")
+
+    grouped = parts.withColumn("group", F.floor(F.col("part") / per_group))
+    cells = each(index, "group", n_groups).join(each(grouped, "block", n_blocks), keys)
     with _small_batches(spark):
         found = stored(cells.mapInArrow(tidied(search), "query_id bigint, vec_id bigint, score bigint, block bigint"),
                        "topk-found")

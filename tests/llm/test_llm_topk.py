@@ -1,5 +1,6 @@
 import math
 import random
+import struct
 
 from syncledger.llm import topk as tk
 
@@ -59,3 +60,32 @@ def test_repeated_rows_and_empty_table(spark):
     got = answer(table(spark, rows), 20)
     assert [(i, s) for _, i, s in got[0]] == [(1, 96 * 64), (1, 96 * 64), (2, 6 * 96)]
     assert answer(table(spark, []), 20) == {}
+
+
+def test_search_never_broadcasts_and_groups_blocks_of_queries(spark, monkeypatch):
+    """Either side is repeated for the join, so its size before says nothing about a broadcast."""
+    plans, store = {}, tk.stored
+
+    def seen(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return store(df, name)
+
+    monkeypatch.setattr(tk, "stored", seen)
+    monkeypatch.setattr(tk, "BLOCK_ROWS", 70)
+    monkeypatch.setattr(tk, "BLOCK_QUERIES", 4)
+    rng = random.Random(3)
+    rows = [(i, [rng.uniform(-0.6, 0.6) for _ in range(8)]) for i in range(380)]
+    rows += [(20 * i, [rng.uniform(-500, 500), 2e5 * i]) for i in range(20, 40)]  # weights of several widths
+    rows += [(1000 + i, [rng.uniform(-1, 1), 1.0]) for i in range(10)]
+    rows = [(i, [struct.unpack("f", struct.pack("f", x))[0] for x in v]) for i, v in rows]
+    df = table(spark, rows)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1g")
+    try:
+        for grid, group in ((256, 64), (8, 64), (1, 3)):  # groups of one, several and at most three blocks
+            monkeypatch.setattr(tk, "GRID", grid, raising=False)
+            monkeypatch.setattr(tk, "GROUP", group, raising=False)
+            assert answer(df, 20) == plain(rows, 20)
+            assert "Broadcast" not in plans["topk-found"] and "SortMergeJoin" in plans["topk-found"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
